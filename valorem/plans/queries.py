@@ -7,6 +7,7 @@ them) in full. Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,3 +83,140 @@ def segment_counts(spark, sf_dir):
 SELECT "ID", split FROM seg"""))
 def hash_split(spark, sf_dir):
     return segments.with_split(master(spark, sf_dir)).select("ID", "split")
+
+
+# ---------------------------------------------------------------------------
+# Profiles
+# ---------------------------------------------------------------------------
+
+from valorem.operators import profile  # noqa: E402
+from valorem.plans.oracle_sql import q  # noqa: E402
+
+
+def _unnest(items: list[str], source: str) -> str:
+    return f"SELECT unnest(l, recursive := true) FROM (SELECT [{', '.join(items)}] AS l FROM {source}) t"
+
+
+@register("null_counts", with_ctes(body=_unnest(
+    [f"{{'position': {i}, 'column': '{c}', 'null_count': count(*) FILTER (WHERE {q(c)} IS NULL)}}"
+     for i, c in enumerate(S.MASTER_COLUMNS)], "master")))
+def null_counts(spark, sf_dir):
+    return profile.null_counts(master(spark, sf_dir))
+
+
+@register("column_sums_flags", with_ctes(body=_unnest(
+    [f"{{'position': {i}, 'column': '{c}', 'total': round(CAST(sum({q(c)}) AS DOUBLE), 2), "
+     f"'zero_or_null': sum({q(c)}) IS NULL OR sum({q(c)}) = 0}}"
+     for i, c in enumerate(S.NUMERIC_COLUMNS)], "master")))
+def column_sums_flags(spark, sf_dir):
+    return profile.column_sums(master(spark, sf_dir))
+
+
+def _describe_sql(cols: list[str]) -> str:
+    items = []
+    for c in cols:
+        x = f"CAST({q(c)} AS DOUBLE)"
+        for stat, agg in (("count", f"CAST(count({x}) AS DOUBLE)"), ("mean", f"avg({x})"),
+                          ("stddev", f"stddev_samp({x})"), ("min", f"min({x})"), ("max", f"max({x})")):
+            items.append(f"{{'column': '{c}', 'statistic': '{stat}', 'value': round({agg}, 4)}}")
+    return _unnest(items, "master")
+
+
+DESCRIBE_COLUMNS = ["Value", "Overall rating", "Potential"]
+
+
+@register("describe_value", with_ctes(body=_describe_sql(DESCRIBE_COLUMNS)))
+def describe_value(spark, sf_dir):
+    return profile.describe(master(spark, sf_dir), DESCRIBE_COLUMNS)
+
+
+def _corr_sql(cols: list[str]) -> str:
+    items = []
+    for a in range(len(cols)):
+        for b in range(a, len(cols)):
+            r = f"round(corr(CAST({q(cols[a])} AS DOUBLE), CAST({q(cols[b])} AS DOUBLE)), 6)"
+            items.append(f"{{'row_col': '{cols[a]}', 'col_col': '{cols[b]}', 'corr': {r}}}")
+            if a != b:
+                items.append(f"{{'row_col': '{cols[b]}', 'col_col': '{cols[a]}', 'corr': {r}}}")
+    return _unnest(items, "report")
+
+
+@register("correlation_matrix", with_ctes(REPORT_BASE_SQL, body=_corr_sql(S.CORRELATION_COLUMNS)))
+def correlation_matrix(spark, sf_dir):
+    return profile.correlation_matrix(report.report_base(master(spark, sf_dir)))
+
+
+def _bin_sql(x: str, lo: str, hi: str, bins: int) -> str:
+    return (f"CASE WHEN {hi} > {lo} THEN least(CAST(floor(({x} - {lo}) * {bins} / ({hi} - {lo})) AS INTEGER), {bins - 1})"
+            f" ELSE 0 END")
+
+
+_WAGE_SQL = 'd AS (SELECT CAST("Wage" AS DOUBLE) AS x FROM report WHERE "Wage" IS NOT NULL AND NOT isnan("Wage"))'
+
+
+@register("wage_histogram_30", with_ctes(
+    REPORT_BASE_SQL, _WAGE_SQL,
+    "st AS (SELECT min(x) AS lo, max(x) AS hi FROM d)",
+    f"c AS (SELECT {_bin_sql('x', 'lo', 'hi', 30)} AS bin, count(*) AS n FROM d, st GROUP BY 1)",
+    body="""
+SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / 30), 4) AS lo,
+       round(lo + (i + 1) * ((hi - lo) / 30), 4) AS hi, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM range(30) r(i) CROSS JOIN st LEFT JOIN c ON c.bin = r.i"""))
+def wage_histogram_30(spark, sf_dir):
+    return profile.histogram(spark, report.report_base(master(spark, sf_dir)), "Wage", 30)
+
+
+_SQRT_2PI = repr(math.sqrt(2 * math.pi))
+
+
+@register("wage_density", with_ctes(
+    REPORT_BASE_SQL, _WAGE_SQL,
+    "st AS (SELECT CAST(count(x) AS DOUBLE) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi FROM d)",
+    "p AS (SELECT n, sd * pow(n, -0.2) AS h, lo, hi FROM st)",
+    f"cb AS (SELECT {_bin_sql('x', 'lo', 'hi', 1024)} AS b, CAST(count(*) AS DOUBLE) AS w FROM d, st GROUP BY 1)",
+    """t AS (SELECT g, w, lo + (b + 0.5) * (hi - lo) / 1024 AS c,
+              (lo - 3.0 * h) + g * (((hi + 3.0 * h) - (lo - 3.0 * h)) / 199) AS gx, h, n
+       FROM cb, p, range(200) r(g))""",
+    body=f"""
+SELECT CAST(g AS INTEGER) AS grid_index, round(first(gx), 4) AS x,
+       round(sum(w * exp(-0.5 * pow((gx - c) / h, 2))) / (n * h * {_SQRT_2PI}), 12) AS density
+FROM t GROUP BY g, n, h"""))
+def wage_density(spark, sf_dir):
+    return profile.density(report.report_base(master(spark, sf_dir)), "Wage")
+
+
+def _pair_sql(cols: list[str], bins: int) -> str:
+    stats = ", ".join(f"min(CAST({q(c)} AS DOUBLE)) AS lo{i}, max(CAST({q(c)} AS DOUBLE)) AS hi{i}"
+                      for i, c in enumerate(cols))
+    parts = []
+    for a in range(len(cols)):
+        for b in range(a + 1, len(cols)):
+            xa, xb = f"CAST({q(cols[a])} AS DOUBLE)", f"CAST({q(cols[b])} AS DOUBLE)"
+            parts.append(f"SELECT '{cols[a]}' AS x_col, '{cols[b]}' AS y_col, "
+                         f"{_bin_sql(xa, f'lo{a}', f'hi{a}', bins)} AS x_bin, {_bin_sql(xb, f'lo{b}', f'hi{b}', bins)} AS y_bin, "
+                         f"count(*) AS n FROM report, st WHERE {q(cols[a])} IS NOT NULL AND {q(cols[b])} IS NOT NULL "
+                         f"GROUP BY ALL")
+    return with_ctes(REPORT_BASE_SQL, f"st AS (SELECT {stats} FROM report)", body="\nUNION ALL\n".join(parts))
+
+
+@register("pair_bins", _pair_sql(S.PAIR_COLUMNS, 10))
+def pair_bins(spark, sf_dir):
+    return profile.pair_bins(report.report_base(master(spark, sf_dir)))
+
+
+def _rescale_sql(cols: list[str]) -> str:
+    stats = ", ".join(f"min({q(c)}) AS lo{i}, max({q(c)}) AS hi{i}" for i, c in enumerate(cols))
+    outs = [f"CASE WHEN hi{i} > lo{i} THEN CAST(round_even(1 + (({q(c)} - lo{i}) / (hi{i} - lo{i})) * 98, 0) AS INTEGER) "
+            f"WHEN {q(c)} IS NOT NULL THEN 1 END AS {q(c)}" for i, c in enumerate(cols)]
+    return with_ctes(f"st AS (SELECT {stats} FROM master)", body=f'SELECT "ID", {", ".join(outs)} FROM master, st')
+
+
+@register("rescale_1_99", _rescale_sql(S.TOTAL_COLUMNS))
+def rescale_1_99(spark, sf_dir):
+    return profile.rescale_1_99(master(spark, sf_dir)).select("ID", *S.TOTAL_COLUMNS)
+
+
+@register("numeric_normalise", with_ctes(body="SELECT \"ID\", " + ", ".join(
+    f"CAST(CAST(trunc({q(c)}) AS BIGINT) AS DOUBLE) AS {q(c)}" for c in S.NUMERIC_COLUMNS) + " FROM master"))
+def numeric_normalise(spark, sf_dir):
+    return profile.numeric_normalise(master(spark, sf_dir)).select("ID", *S.NUMERIC_COLUMNS)
