@@ -58,14 +58,23 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> dict:
     sdf = fn(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    rel = con.execute(sql)
-    dnames = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    dnames = list(rel.columns)
+    dtypes = [str(t) for t in rel.types]
     drows = rel.fetchall()
     t2 = time.time()
     sn, sr = _rows(sdf.columns, srows)
     dn, dr = _rows(dnames, drows)
-    res = {"name": name, "spark_rows": len(sr), "oracle_rows": len(dr), "names_match": sn == dn,
+    smap = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "timestamp": "TIMESTAMP WITH TIME ZONE",
+            "timestamp_ntz": "TIMESTAMP"}
+    st = {n: smap.get(t, t) for n, t in sdf.dtypes}
+    dt = dict(zip(dnames, dtypes))
+    type_diff = {n: (st.get(n), dt.get(n)) for n in dt if st.get(n) != dt.get(n)}
+    res = {"name": name, "types_match": not type_diff, "spark_rows": len(sr), "oracle_rows": len(dr), "names_match": sn == dn,
            "values_match": sr == dr, "spark_s": round(t1 - t0, 2), "oracle_s": round(t2 - t1, 2)}
+    if type_diff:
+        res["type_diff"] = type_diff
     if not res["names_match"]:
         res["spark_names"], res["oracle_names"] = sn, dn
     elif not res["values_match"]:

@@ -43,3 +43,54 @@ seg AS (
 def with_ctes(*fragments: str, body: str) -> str:
     parts = [MASTER_SQL.strip()] + [f.strip() for f in fragments]
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def money_sql(t: str) -> str:
+    s = f"replace(replace({t}, '€', ''), ',', '')"
+    return (f"CASE WHEN {t} IS NULL OR {t} = '' OR {t} = '-' THEN CAST(0.0 AS DOUBLE) "
+            f"WHEN contains({s}, 'M') THEN TRY_CAST(replace({s}, 'M', '') AS DOUBLE) * 1e6 "
+            f"WHEN contains({s}, 'K') THEN TRY_CAST(replace({s}, 'K', '') AS DOUBLE) * 1e3 "
+            f"ELSE coalesce(TRY_CAST({s} AS DOUBLE), CAST(0.0 AS DOUBLE)) END")
+
+
+def text_sql(fragment: str) -> str:
+    from valorem.functions.html import ENTITIES, TAG_PATTERN
+    t = f"regexp_replace({fragment}, '{TAG_PATTERN}', '', 'g')"
+    for a, b in ENTITIES:
+        t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
+    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+
+
+def anchor_text_sql(fragment: str) -> str:
+    from valorem.functions.html import element_pattern
+    return text_sql(f"regexp_extract({fragment}, '{element_pattern('a')}', 1)")
+
+
+def category_sql(code: str) -> str:
+    from valorem import schema as S
+    parts = " ".join(f"WHEN {code} IN ({', '.join(repr(c) for c in codes)}) THEN '{cat}'"
+                     for cat, codes in S.POSITION_GROUPS)
+    return f"CASE {parts} ELSE lower({code}) END"
+
+
+def trimmed_sql(cap: float, source: str = "seg", name: str = "trimmed") -> str:
+    """cap -> ln(1+v) -> per-segment band (goalkeeper 3.0, field 2.5)."""
+    return f"""
+{name}_c AS (SELECT * REPLACE (CASE WHEN "Value" > {cap!r} THEN {cap!r} ELSE "Value" END AS "Value")
+             FROM {source} WHERE segment IS NOT NULL),
+{name}_l AS (SELECT *, ln(1 + "Value") AS "Value_log" FROM {name}_c),
+{name}_s AS (SELECT segment, avg("Value_log") AS m, stddev_samp("Value_log") AS sd FROM {name}_l GROUP BY segment),
+{name}_b AS (SELECT segment, m - k * sd AS lo, m + k * sd AS hi FROM
+             (SELECT *, CASE segment WHEN 'goalkeeper' THEN 3.0 WHEN 'field' THEN 2.5 ELSE 3.0 END AS k FROM {name}_s) x),
+{name} AS (SELECT {name}_l.* FROM {name}_l JOIN {name}_b USING (segment)
+           WHERE "Value_log" BETWEEN lo AND hi)"""
+
+
+ENVELOPE_SQL = """
+envelope AS (
+  SELECT *, "ID" AS key, 'entities' AS topic,
+         CAST(coalesce(('0x' || substr(md5("ID"), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition",
+         CAST(row_number() OVER (PARTITION BY coalesce(('0x' || substr(md5("ID"), 1, 8))::BIGINT % 3, 0)
+              ORDER BY ('0x' || substr(md5(coalesce("ID", '')), 9, 8))::BIGINT % 64, "ID") - 1 AS BIGINT) AS "offset"
+  FROM master
+)"""

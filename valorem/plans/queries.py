@@ -220,3 +220,175 @@ def rescale_1_99(spark, sf_dir):
     f"CAST(CAST(trunc({q(c)}) AS BIGINT) AS DOUBLE) AS {q(c)}" for c in S.NUMERIC_COLUMNS) + " FROM master"))
 def numeric_normalise(spark, sf_dir):
     return profile.numeric_normalise(master(spark, sf_dir)).select("ID", *S.NUMERIC_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Ingest: cleaning, listing extraction, upsert
+# ---------------------------------------------------------------------------
+
+from valorem.functions import html as H  # noqa: E402
+from valorem.operators import prepare, upsert, validate  # noqa: E402
+from valorem.plans.oracle_sql import (ENVELOPE_SQL, anchor_text_sql, category_sql,  # noqa: E402
+                                      money_sql, text_sql, trimmed_sql)
+from valorem.sources import cells, feed, pages  # noqa: E402
+from valorem.sources.cells import POSITION_CODES  # noqa: E402
+from valorem.sources.tables import master_sql, table  # noqa: E402
+
+_MONEY_CELLS_SQL = """
+mc AS (SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber % 7
+    WHEN 0 THEN '€' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '.5M'
+    WHEN 1 THEN '€' || CAST(CAST(l_quantity AS BIGINT) * 50 AS VARCHAR) || 'K'
+    WHEN 2 THEN '€' || CAST(CAST(floor(l_extendedprice / 1000) AS BIGINT) AS VARCHAR) || ',' ||
+                lpad(CAST(CAST(floor(l_extendedprice) AS BIGINT) % 1000 AS VARCHAR), 3, '0')
+    WHEN 3 THEN '-' WHEN 4 THEN ''
+    WHEN 5 THEN CASE WHEN l_tax = 0 THEN 'abcM' ELSE 'x' || l_returnflag END
+    ELSE '€0' END AS raw_value,
+  CASE l_linenumber % 3
+    WHEN 0 THEN '€' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || 'K'
+    WHEN 1 THEN '€' || CAST(CAST(l_quantity AS BIGINT) * 10 AS VARCHAR)
+    ELSE CASE WHEN l_discount = 0 THEN '€0'
+              ELSE '€' || CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) || '.5K' END END AS raw_wage
+FROM lineitem)"""
+
+
+@register("clean_money", with_ctes(_MONEY_CELLS_SQL, f"""
+mp AS (SELECT *, {money_sql('raw_value')} AS "Value", {money_sql('raw_wage')} AS "Wage" FROM mc)""", body="""
+SELECT *, CASE WHEN "Value" IS NULL OR "Wage" IS NULL THEN 'rejected'
+               WHEN "Value" = 0 OR "Wage" = 0 THEN 'zero' ELSE 'kept' END AS status FROM mp"""))
+def clean_money(spark, sf_dir):
+    return cells.parse_money(cells.money_cells(table(spark, sf_dir, "lineitem")))
+
+
+@register("clean_numeric", with_ctes("""
+nc AS (SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber % 4
+    WHEN 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+    WHEN 1 THEN '  ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+    WHEN 2 THEN 'x' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+    ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '+2' END AS raw
+FROM lineitem)""", body=r"""
+SELECT *, coalesce(TRY_CAST(regexp_extract(trim(raw), '^(\d+)', 1) AS INTEGER), 0) AS leading,
+       CASE WHEN regexp_matches(trim(raw), '^\d+$') THEN coalesce(TRY_CAST(trim(raw) AS INTEGER), 0) ELSE 0 END AS digits
+FROM nc"""))
+def clean_numeric(spark, sf_dir):
+    return cells.parse_numbers(cells.number_cells(table(spark, sf_dir, "lineitem")))
+
+
+_CODES_SQL = "[" + ", ".join(f"'{c}'" for c in POSITION_CODES) + "]"
+
+
+@register("clean_team_category", with_ctes(f"""
+ec AS (SELECT CAST(c_custkey AS VARCHAR) AS "ID",
+  CASE WHEN c_acctbal < 0 THEN '<span>' || n_name || '</span>'
+       ELSE '<a href="/team/' || CAST(n_nationkey AS VARCHAR) || '">' || n_name || '</a>' END AS team_cell,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Free' ELSE CAST(2025 + c_nationkey % 5 AS VARCHAR) END AS contract_cell,
+  ({_CODES_SQL})[c_custkey % {len(POSITION_CODES)} + 1] AS position_code
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)""", f"""
+et AS (SELECT "ID", position_code, coalesce(trim({anchor_text_sql('team_cell')}), '') AS tm,
+              coalesce(trim(contract_cell), '') AS ct FROM ec)""", body=f"""
+SELECT "ID", position_code, CASE WHEN contains(ct, 'Free') OR tm = '' THEN 'Free' ELSE tm END AS "Team",
+       {category_sql('position_code')} AS "Position category" FROM et"""))
+def clean_team_category(spark, sf_dir):
+    return cells.parse_entities(cells.entity_cells(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")))
+
+
+@register("listing_extract", f"""
+WITH b AS (SELECT page_id, regexp_replace(html, '{H.NOISE_PATTERN}', '', 'g') AS body FROM pages),
+r AS (SELECT page_id, regexp_extract_all(body, '{H.element_pattern('li')}', 1) AS rws FROM b),
+u AS (SELECT page_id, unnest(rws) AS row_html, generate_subscripts(rws, 1) - 1 AS row_index FROM r)
+SELECT page_id, CAST(row_index AS INTEGER) AS row_index,
+       CAST(len(regexp_extract_all(row_html, '{H.element_pattern('a')}', 1)) AS INTEGER) AS n_cells,
+       {anchor_text_sql('row_html')} AS first_text,
+       regexp_extract(row_html, '(?is)<a\\b[^>]*?href\\s*=\\s*"([^"]*)"', 1) AS href
+FROM u""")
+def listing_extract(spark, sf_dir):
+    return pages.listing_rows(table(spark, sf_dir, "pages"), "li", "a")
+
+
+@register("listing_table_66")
+def listing_table_66(spark, sf_dir):
+    """Listing-table layout over every stored page (the driver pages carry no
+    tables, so this returns no rows there; the layout is unit-tested)."""
+    return pages.table_listings(table(spark, sf_dir, "pages"), with_rejects=True)
+
+
+NEW_BATCH_SINCE = "1998-01-01"
+_UPSERT_SQL = [master_sql("fresh", NEW_BATCH_SINCE),
+               'u AS (SELECT *, 0 AS source FROM master UNION ALL BY NAME SELECT *, 1 AS source FROM fresh)']
+
+
+@register("upsert_keep_last", with_ctes(*_UPSERT_SQL, body="""
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY source DESC) AS rn FROM u) d
+WHERE rn = 1"""))
+def upsert_keep_last(spark, sf_dir):
+    return upsert.keep_last(master(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
+
+
+@register("upsert_stats", with_ctes(*_UPSERT_SQL, """
+c AS (SELECT (SELECT count(*) FROM master) AS e, (SELECT count(*) FROM fresh) AS n,
+             (SELECT count(DISTINCT "ID") + CASE WHEN count(*) FILTER (WHERE "ID" IS NULL) > 0 THEN 1 ELSE 0 END
+              FROM u) AS m)""", body="""
+SELECT e AS existing_rows, n AS new_rows, m AS merged_rows, m - e AS added, e + n - m AS removed FROM c"""))
+def upsert_stats(spark, sf_dir):
+    return upsert.upsert_stats(master(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
+
+
+# ---------------------------------------------------------------------------
+# Preparation, validation
+# ---------------------------------------------------------------------------
+
+TRIM_QUERY_CAP = 4e6   # the default 1.7e8 cap never binds on the driver tables
+
+
+@register("cap_log_trim", with_ctes(SEGMENTS_SQL, trimmed_sql(TRIM_QUERY_CAP), body="""
+SELECT "ID", segment, "Value", round("Value_log", 6) AS "Value_log" FROM trimmed"""))
+def cap_log_trim(spark, sf_dir):
+    t = prepare.trim_segments(segments.with_segments(master(spark, sf_dir)), cap=TRIM_QUERY_CAP)
+    return t.select("ID", "segment", "Value", F.round("Value_log", 6).alias("Value_log"))
+
+
+def _feature_stats_sql(source: str) -> str:
+    feats = list(dict.fromkeys(S.GOALKEEPER_FEATURES + S.FIELD_FEATURES))
+    aggs = ", ".join(f"avg(CAST({q(f)} AS DOUBLE)) AS m{i}, stddev_samp(CAST({q(f)} AS DOUBLE)) AS s{i}"
+                     for i, f in enumerate(feats))
+    lists = []
+    for seg, fs in S.SEGMENTS.items():
+        items = ", ".join(f"{{'slot': {slot}, 'feature': '{f}', 'mean': round(m{feats.index(f)}, 6), "
+                          f"'std': round(s{feats.index(f)}, 6)}}" for slot, f in enumerate(fs))
+        lists.append(f"WHEN '{seg}' THEN [{items}]")
+    return (f"fs AS (SELECT segment, {aggs} FROM {source} GROUP BY segment)",
+            f"SELECT segment, unnest(CASE segment {' '.join(lists)} END, recursive := true) FROM fs")
+
+
+@register("unit_scale_stats", with_ctes(SEGMENTS_SQL, trimmed_sql(S.VALUE_CAP), _feature_stats_sql("trimmed")[0],
+                                        body=_feature_stats_sql("trimmed")[1]))
+def unit_scale_stats(spark, sf_dir):
+    return prepare.feature_stats(prepare.trim_segments(segments.with_segments(master(spark, sf_dir))))
+
+
+def _validate_sql() -> str:
+    feats = list(dict.fromkeys(S.GOALKEEPER_FEATURES + S.FIELD_FEATURES))
+    req = [f for f, _, _ in S.REQUIRED_RANGES]
+    cols = ", ".join(
+        f"CAST(trunc(coalesce(TRY_CAST({q(f)} AS DOUBLE), {'0.0' if f in req else '1.0'})) AS BIGINT) AS {q(f)}"
+        for f in feats)
+    msg = lambda f, lo, hi: (f"{f} must be between {lo:,} and {hi:,}" if f == "Wage"
+                             else f"{f} must be between {lo} and {hi}")
+    chk = lambda f, lo, hi: f"CASE WHEN NOT ({q(f)} BETWEEN {lo} AND {hi}) THEN '{msg(f, lo, hi)}' END"
+    lo, hi = S.OTHER_RANGE
+    gk = [f for f in S.GOALKEEPER_FEATURES if f not in S.SHARED_FEATURES]
+    fd = [f for f in S.FIELD_FEATURES if f not in S.SHARED_FEATURES]
+    err = ("coalesce(" + ", ".join(chk(f, a, b) for f, a, b in S.REQUIRED_RANGES)
+           + f", CASE WHEN is_goalkeeper THEN coalesce({', '.join(chk(f, lo, hi) for f in gk)}) END"
+           + f", CASE WHEN NOT is_goalkeeper THEN coalesce({', '.join(chk(f, lo, hi) for f in fd)}) END)")
+    return with_ctes(SEGMENTS_SQL, f"""
+r AS (SELECT "ID", coalesce(segment = 'goalkeeper', false) AS is_goalkeeper, {cols} FROM seg)""",
+                     body=f"SELECT \"ID\", is_goalkeeper, {err} IS NULL AS valid, {err} AS error FROM r")
+
+
+@register("validate_inputs", _validate_sql())
+def validate_inputs(spark, sf_dir):
+    req = segments.with_segments(master(spark, sf_dir)).withColumn(
+        "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
+    return validate.validate(req).select("ID", "is_goalkeeper", "valid", "error")

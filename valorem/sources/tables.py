@@ -81,10 +81,16 @@ def _position_code(segment: F.Column) -> F.Column:
     return expr.otherwise(F.lit("RES"))
 
 
-def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 21-column master view, in ``MASTER_COLUMNS`` order."""
+def master(spark: SparkSession, sf_dir: str, orders_since: str | None = None) -> DataFrame:
+    """The 21-column master view, in ``MASTER_COLUMNS`` order.
+
+    ``orders_since`` ('YYYY-MM-DD') restricts it to orders from that date on —
+    a later, partial snapshot of the same entities (the upsert's new batch).
+    """
     li = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
+    if orders_since:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(orders_since).cast("timestamp_ntz"))
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
 
@@ -154,8 +160,11 @@ def master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Same view for the DuckDB oracle (tables are pre-registered views there).
-MASTER_SQL = """
-per_order AS (
+def master_sql(name: str = "master", orders_since: str | None = None) -> str:
+    """CTE list defining ``name`` as the master view (helper CTEs are suffixed)."""
+    where = f"WHERE o_orderdate >= TIMESTAMP '{orders_since}'" if orders_since else ""
+    return f"""
+per_order_{name} AS (
   SELECT l_orderkey, sum(l_extendedprice) AS v, count(*) AS n_lines, sum(l_quantity) AS qty,
          max(l_quantity) AS qty_max, min(l_quantity) AS qty_min,
          sum(l_discount) AS disc, sum(l_tax) AS tax,
@@ -165,7 +174,7 @@ per_order AS (
          count(*) FILTER (WHERE l_linestatus = 'O') AS n_open
   FROM lineitem GROUP BY l_orderkey
 ),
-per_entity AS (
+per_entity_{name} AS (
   SELECT o_custkey, count(*) AS n_orders, sum(v) AS v, sum(n_lines) AS n_lines, sum(qty) AS qty,
          max(qty_max) AS qty_max, min(qty_min) AS qty_min, sum(disc) AS disc, sum(tax) AS tax,
          sum(n_r) AS n_r, sum(n_a) AS n_a, sum(n_n) AS n_n, sum(n_open) AS n_open,
@@ -173,10 +182,10 @@ per_entity AS (
          count(*) FILTER (WHERE o_orderstatus = 'F') AS st_f,
          count(*) FILTER (WHERE o_orderstatus = 'O') AS st_o,
          count(*) FILTER (WHERE o_orderstatus = 'P') AS st_p
-  FROM per_order JOIN orders ON l_orderkey = o_orderkey
+  FROM per_order_{name} JOIN (SELECT * FROM orders {where}) o ON l_orderkey = o_orderkey
   GROUP BY o_custkey
 ),
-master AS (
+{name} AS (
   SELECT c_name AS "Name", CAST(n_orders AS INTEGER) AS "Age", CAST(n_lines AS INTEGER) AS "Overall rating",
          CAST(qty AS INTEGER) AS "Potential", n_name AS "Team", CAST(c_custkey AS VARCHAR) AS "ID",
          round(v, 2) AS "Value", CAST(c_acctbal AS DOUBLE) AS "Wage",
@@ -189,11 +198,14 @@ master AS (
          CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'attaquant' WHEN 'BUILDING' THEN 'milieu'
               WHEN 'FURNITURE' THEN 'défenseur' WHEN 'MACHINERY' THEN 'gardien' ELSE 'res' END
            AS "Position category"
-  FROM per_entity JOIN customer ON o_custkey = c_custkey
+  FROM per_entity_{name} JOIN customer ON o_custkey = c_custkey
   LEFT JOIN nation ON c_nationkey = n_nationkey
 )"""
 
 
+MASTER_SQL = master_sql()
+
+
 def with_master(sql_body: str) -> str:
     """Prefix a DuckDB query with the master view CTEs."""
     return f"WITH {MASTER_SQL}\n{sql_body}"
