@@ -392,3 +392,172 @@ def validate_inputs(spark, sf_dir):
     req = segments.with_segments(master(spark, sf_dir)).withColumn(
         "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
     return validate.validate(req).select("ID", "is_goalkeeper", "valid", "error")
+
+
+# ---------------------------------------------------------------------------
+# Message feed: envelope, offsets, bounded read, combined scaler
+# ---------------------------------------------------------------------------
+
+_MSG_COLS = ", ".join(q(c) for c in S.MESSAGE_COLUMNS)
+
+
+def entity_envelope(spark, sf_dir):
+    """Master rows published as keyed JSON messages (key = ID)."""
+    return feed.publish(master(spark, sf_dir), key="ID", columns=S.MESSAGE_COLUMNS)
+
+
+@register("publish_envelope", with_ctes(ENVELOPE_SQL, body=f"""
+SELECT key, topic, "partition", "offset", {_MSG_COLS} FROM envelope"""))
+def publish_envelope(spark, sf_dir):
+    return feed.decode(entity_envelope(spark, sf_dir), keep=["key", "topic", "partition", "offset"])
+
+
+@register("offset_report", with_ctes(ENVELOPE_SQL, body="""
+SELECT topic, "partition", min("offset") AS start_offset, max("offset") + 1 AS end_offset, count(*) AS n
+FROM envelope GROUP BY topic, "partition\""""))
+def offset_report(spark, sf_dir):
+    return feed.offset_report(entity_envelope(spark, sf_dir))
+
+
+FEED_CAP = 300
+_NUMERIC_TRUNC = ", ".join(f"CAST(CAST(trunc({q(c)}) AS BIGINT) AS DOUBLE) AS {q(c)}" for c in S.NUMERIC_COLUMNS)
+_BOUNDED_SQL = [ENVELOPE_SQL, f"""
+bounded AS (SELECT * FROM envelope ORDER BY "partition", "offset" LIMIT {FEED_CAP})""", """
+bl AS (SELECT *, ln(1 + "Value") AS "Value_log" FROM bounded)""", """
+bs AS (SELECT avg("Value_log") AS m, stddev_samp("Value_log") AS sd FROM bl)""", f"""
+feed_rows AS (SELECT "Name", "ID", "Team", "Position category", {_NUMERIC_TRUNC}, "Value_log"
+              FROM bl, bs WHERE "Value_log" BETWEEN m - 3.0 * sd AND m + 3.0 * sd)"""]
+
+
+def bounded_feed(spark, sf_dir):
+    """First 300 messages, decoded, 3-sigma band over all of them, numbers truncated."""
+    from valorem.session import materialize
+    # at most FEED_CAP rows: read once, then reused by every statistic below
+    msgs = materialize(feed.decode(feed.bounded_read(entity_envelope(spark, sf_dir), FEED_CAP)))
+    trimmed = prepare.trim_all(prepare.cap_log(msgs, cap=None), k=S.TRIM_SIGMAS["feed"])
+    return profile.numeric_normalise(trimmed)
+
+
+@register("bounded_feed_300", with_ctes(*_BOUNDED_SQL, body=f"""
+SELECT * REPLACE (round("Value_log", 6) AS "Value_log") FROM feed_rows"""))
+def bounded_feed_300(spark, sf_dir):
+    return (bounded_feed(spark, sf_dir)
+            .select("Name", "ID", "Team", "Position category", *S.NUMERIC_COLUMNS,
+                    F.round("Value_log", 6).alias("Value_log")))
+
+
+_COMMON = ["Name", "ID", "Team", "Position category", *S.NUMERIC_COLUMNS]
+
+
+@register("combined_scaler_stats", with_ctes(
+    *_BOUNDED_SQL,
+    "unioned AS (SELECT {c} FROM master UNION ALL BY NAME SELECT {c} FROM feed_rows)".format(
+        c=", ".join(q(c) for c in _COMMON)),
+    SEGMENTS_SQL.replace("FROM master", "FROM unioned"),
+    trimmed_sql(S.VALUE_CAP), _feature_stats_sql("trimmed")[0], body=_feature_stats_sql("trimmed")[1]))
+def combined_scaler_stats(spark, sf_dir):
+    both = master(spark, sf_dir).select(*_COMMON).unionByName(bounded_feed(spark, sf_dir).select(*_COMMON))
+    return prepare.feature_stats(prepare.trim_segments(segments.with_segments(both)))
+
+
+# ---------------------------------------------------------------------------
+# Reports on predictions, comparison, baseline metrics
+# ---------------------------------------------------------------------------
+
+def _baseline_predictions(spark, sf_dir):
+    """Per-segment mean Value of the training split, scored on the test split:
+    goalkeeper rows by the goalkeeper mean, every other row by the field mean."""
+    from valorem.functions.clean import feed_route
+    tagged = segments.with_split(segments.with_segments(master(spark, sf_dir)))
+    means = (tagged.filter((F.col("split") == "train") & F.col("segment").isNotNull())
+                   .groupBy(F.col("segment").alias("route")).agg(F.avg("Value").alias("mean_value")))
+    test = (tagged.filter(F.col("split") == "test").drop("segment")
+                  .withColumn("route", feed_route("Position category")))
+    # at most one row per model segment
+    scored = test.join(F.broadcast(means), "route").select(
+        "Name", F.round("mean_value", 2).alias("Prediction_euros"), F.col("ID").alias("order"), "route")
+    return [scored.filter(F.col("route") == r).drop("route") for r in ("goalkeeper", "field")]
+
+
+@register("prediction_left_join", with_ctes(SEGMENTS_SQL, """
+means AS (SELECT segment, avg("Value") AS mv FROM seg WHERE split = 'train' AND segment IS NOT NULL GROUP BY segment)""",
+                                            """
+r AS (SELECT *, CASE WHEN lower(coalesce("Position category", '')) = 'gardien' THEN 'goalkeeper' ELSE 'field' END AS route
+      FROM seg WHERE split = 'test')""", """
+p AS (SELECT "Name", round(mv, 2) AS pred, CASE route WHEN 'goalkeeper' THEN 0 ELSE 1 END AS src, "ID" AS ord
+      FROM r JOIN means ON means.segment = r.route)""", """
+d AS (SELECT "Name", pred FROM (SELECT *, row_number() OVER (PARTITION BY "Name" ORDER BY src, ord) AS rn FROM p) x
+      WHERE rn = 1)""", """
+j AS (SELECT "ID", "Name", TRY_CAST("Value" AS DOUBLE) AS "Value", TRY_CAST("Wage" AS DOUBLE) AS "Wage",
+             TRY_CAST("Age" AS DOUBLE) AS "Age", "Team", TRY_CAST(coalesce(pred, "Value") AS DOUBLE) AS "Prediction_euros"
+      FROM master LEFT JOIN d USING ("Name"))""", body="""
+SELECT "ID", "Name", "Value", "Prediction_euros" FROM j
+WHERE "Value" IS NOT NULL AND NOT isnan("Value") AND "Wage" IS NOT NULL AND NOT isnan("Wage")
+  AND "Age" IS NOT NULL AND NOT isnan("Age") AND "Team" IS NOT NULL"""))
+def prediction_left_join(spark, sf_dir):
+    joined = report.attach_predictions(master(spark, sf_dir), _baseline_predictions(spark, sf_dir), "Name")
+    return report.report_base(joined).select("ID", "Name", "Value", "Prediction_euros")
+
+
+COMPARE_NAMES = ["Customer#000000001", "Customer#000000002"]
+
+
+def _comparison_sql() -> str:
+    cats = S.COMPARISON_CATEGORIES
+    items = [f"{{'pos': {i}, 'category': '{c}', 'raw': CAST({q(c)} AS DOUBLE)}}" for i, c in enumerate(cats)]
+    items.append(f"{{'pos': {len(cats)}, 'category': '{cats[0]}', 'raw': CAST({q(cats[0])} AS DOUBLE)}}")
+    names = ", ".join(f"'{n}'" for n in COMPARE_NAMES)
+    return with_ctes(f"""
+c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "Name" ORDER BY "ID") AS rn FROM master
+                     WHERE "Name" IN ({names})) x WHERE rn = 1)""", f"""
+u AS (SELECT "Name" AS entity, CAST(list_position([{names}], "Name") AS INTEGER) AS entity_pos,
+             unnest([{', '.join(items)}], recursive := true) FROM c)""", body=f"""
+SELECT entity, entity_pos, pos, category, round(CAST(pos AS DOUBLE) / {float(len(cats))!r} * {2 * math.pi!r}, 6) AS angle,
+       raw / 100.0 AS ratio FROM u""")
+
+
+@register("entity_comparison_long", _comparison_sql())
+def entity_comparison_long(spark, sf_dir):
+    return report.comparison_long(master(spark, sf_dir), COMPARE_NAMES, S.COMPARISON_CATEGORIES)
+
+
+def _baseline_frame(spark, sf_dir):
+    from valorem.operators import metrics
+    prepared = segments.with_split(prepare.trim_segments(segments.with_segments(master(spark, sf_dir))))
+    return metrics.baseline_predictions(prepared)
+
+
+_BASELINE_SQL = [SEGMENTS_SQL, trimmed_sql(S.VALUE_CAP), """
+tm AS (SELECT segment, avg("Value_log") AS seg_mean FROM trimmed WHERE split = 'train' GROUP BY segment)""", """
+gm AS (SELECT avg("Value_log") AS all_mean FROM trimmed WHERE split = 'train')""", """
+scored AS (
+  SELECT 'segment_mean' AS model, t.segment, t.split, "Value_log", seg_mean AS prediction
+  FROM trimmed t JOIN tm USING (segment)
+  UNION ALL
+  SELECT 'global_mean' AS model, segment, split, "Value_log", all_mean AS prediction FROM trimmed, gm)""", """
+rm AS (SELECT model, segment, count(*) AS n, sqrt(avg(pow(prediction - "Value_log", 2))) AS rmse
+       FROM scored WHERE split = 'test' GROUP BY model, segment)"""]
+
+
+@register("rmse_by_model", with_ctes(*_BASELINE_SQL, body="""
+SELECT model, segment, n, round(rmse, 6) AS rmse FROM rm"""))
+def rmse_by_model(spark, sf_dir):
+    from valorem.operators import metrics
+    return metrics.rmse(_baseline_frame(spark, sf_dir).filter(F.col("split") == "test"), ["model", "segment"])
+
+
+@register("model_pivot", with_ctes(*_BASELINE_SQL, body="""
+SELECT model, round(max(rmse) FILTER (WHERE segment = 'goalkeeper'), 6) AS goalkeeper,
+       round(max(rmse) FILTER (WHERE segment = 'field'), 6) AS field FROM rm GROUP BY model"""))
+def model_pivot(spark, sf_dir):
+    from valorem.operators import metrics
+    r = metrics.rmse(_baseline_frame(spark, sf_dir).filter(F.col("split") == "test"), ["model", "segment"])
+    return metrics.pivot_segments(r, "rmse")
+
+
+@register("calibration_factor", with_ctes(*_BASELINE_SQL, body="""
+SELECT model, segment, round(sum(exp("Value_log") - 1) / sum(exp(prediction) - 1), 6) AS factor
+FROM scored WHERE split = 'train' GROUP BY model, segment"""))
+def calibration_factor(spark, sf_dir):
+    from valorem.operators import metrics
+    return metrics.calibration(_baseline_frame(spark, sf_dir).filter(F.col("split") == "train"), ["model", "segment"])

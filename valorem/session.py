@@ -52,3 +52,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/valorem/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Survives executor loss (the data live in the shared folder, not on an
+    executor), and later plans read the checkpoint instead of recomputing.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
