@@ -561,3 +561,81 @@ FROM scored WHERE split = 'train' GROUP BY model, segment"""))
 def calibration_factor(spark, sf_dir):
     from valorem.operators import metrics
     return metrics.calibration(_baseline_frame(spark, sf_dir).filter(F.col("split") == "train"), ["model", "segment"])
+
+
+# ---------------------------------------------------------------------------
+# Files: CSV master written in the scraper's column order, read back by name
+# ---------------------------------------------------------------------------
+
+@register("csv_round_trip", with_ctes(body="SELECT * FROM master"))
+def csv_round_trip(spark, sf_dir):
+    from valorem.session import scratch_path
+    from valorem.sources import csv_io
+    path = scratch_path(spark, "master-csv")
+    csv_io.write_csv(master(spark, sf_dir).select(*S.MESSAGE_COLUMNS), path)
+    return csv_io.read_by_name(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# Models (rows-only checks: fitted models have no SQL equivalent)
+# ---------------------------------------------------------------------------
+
+from valorem.plans import score, train  # noqa: E402
+
+
+def _models(spark, sf_dir, kinds):
+    prepared = train.prepare_training(master(spark, sf_dir))
+    return train.fitted_models(spark, prepared, kinds, cache_key=(id(spark), sf_dir))
+
+
+def _train_eval(kind):
+    def run(spark, sf_dir):
+        return train.train_eval(spark, master(spark, sf_dir), [kind], cache_key=(id(spark), sf_dir))
+    run.__name__ = f"train_eval_{kind}"
+    return run
+
+
+for _kind in S.MODEL_KINDS:
+    register(f"train_eval_{_kind}")(_train_eval(_kind))
+
+
+@register("model_rmse")
+def model_rmse(spark, sf_dir):
+    from valorem.operators import metrics
+    preds = train.train_eval(spark, master(spark, sf_dir), S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    return metrics.rmse(preds, ["model", "segment"])
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    return train.importances(_models(spark, sf_dir, S.MODEL_KINDS), spark)
+
+
+@register("score_batch")
+def score_batch(spark, sf_dir):
+    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master(spark, sf_dir), S.MODEL_KINDS)
+
+
+@register("whatif_score")
+def whatif_score(spark, sf_dir):
+    req = segments.with_segments(master(spark, sf_dir)).withColumn(
+        "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
+    return score.whatif(_models(spark, sf_dir, ["forest"]), req, "forest")
+
+
+STREAM_FILES = 5
+
+
+@register("stream_score_append")
+def stream_score_append(spark, sf_dir):
+    """Publish the master rows as envelope files, score them with a streaming
+    query (availableNow, 2 files per trigger) and return the appended output."""
+    from valorem.session import scratch_path
+    from valorem.streaming import listener
+    models = _models(spark, sf_dir, S.MODEL_KINDS)
+    root = scratch_path(spark, "stream")
+    feed.write_envelope(entity_envelope(spark, sf_dir), f"{root}/topic", files=STREAM_FILES)
+    q_ = listener.start(listener.file_stream(spark, f"{root}/topic", max_files_per_trigger=2), models,
+                        S.MODEL_KINDS, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint", available_now=True)
+    q_.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
