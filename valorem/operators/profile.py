@@ -64,8 +64,9 @@ def correlation_matrix(df: DataFrame, columns: list[str] = S.CORRELATION_COLUMNS
     """Full Pearson matrix (pairwise null deletion) from one aggregate of the
     upper triangle; the lower triangle mirrors it."""
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    one = df.agg(*[F.corr(F.col(columns[a]).cast("double"), F.col(columns[b]).cast("double")).alias(f"r{a}_{b}")
-                   for a, b in pairs])
+    # NaN counts as missing (pairwise deletion), as in pandas
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+    one = df.agg(*[F.corr(x[a], x[b]).alias(f"r{a}_{b}") for a, b in pairs])
     rows = []
     for a, b in pairs:
         v = F.round(F.col(f"r{a}_{b}"), digits)
