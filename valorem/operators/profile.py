@@ -163,3 +163,36 @@ def numeric_normalise(df: DataFrame, columns: list[str] = S.NUMERIC_COLUMNS) ->
     """Truncate every numeric column to an integer value, kept as double."""
     from valorem.functions.clean import truncate_to_double
     return df.withColumns({c: truncate_to_double(c) for c in columns if c in df.columns})
+
+
+def densities(df: DataFrame, columns: list[str] = S.PAIR_COLUMNS, grid: int = 200, cut: float = 3.0,
+              fine_bins: int = 1024) -> DataFrame:
+    """``density`` for several columns in one pass over the data.
+
+    The columns are stacked into (column, x) rows; statistics and weighted
+    bin centres are grouped by column. The statistics frame has one row per
+    listed column, so broadcasting it is bounded by the column list.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("p")
+    ).select("p.*").filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    stats = stacked.groupBy("column").agg(F.count("x").cast("double").alias("n"), F.stddev_samp("x").alias("sd"),
+                                          F.min("x").alias("lo"), F.max("x").alias("hi"))
+    stats = F.broadcast(stats.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))))
+    lo, hi, h, n = F.col("lo"), F.col("hi"), F.col("h"), F.col("n")
+    centres = (stacked.join(stats.select("column", "lo", "hi"), "column")
+                      .select("column", _bin(F.col("x"), lo, hi, fine_bins).alias("b"))
+                      .groupBy("column", "b").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    start = lo - F.lit(cut) * h
+    step = ((hi + F.lit(cut) * h) - start) / F.lit(grid - 1)
+    centre = lo + (F.col("b") + F.lit(0.5)) * (hi - lo) / F.lit(fine_bins)
+    terms = (centres.join(stats, "column")
+                    .select("column", "w", "n", "h", centre.alias("c"), start.alias("s0"), step.alias("st"),
+                            F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g"))
+                    .withColumn("gx", F.col("s0") + F.col("g") * F.col("st")))
+    kern = F.col("w") * F.exp(F.lit(-0.5) * F.pow((F.col("gx") - F.col("c")) / h, 2))
+    return (terms.groupBy("column", "g").agg(F.sum(kern).alias("k"), F.first("gx").alias("gx"),
+                                              F.first("n").alias("n"), F.first("h").alias("h"))
+                 .select("column", F.col("g").alias("grid_index"), F.round("gx", 4).alias("x"),
+                         F.round(F.col("k") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))), 12)
+                         .alias("density")))

@@ -641,3 +641,61 @@ def stream_score_append(spark, sf_dir):
                         S.MODEL_KINDS, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint", available_now=True)
     q_.awaitTermination()
     return spark.read.parquet(f"{root}/out")
+
+
+# ---------------------------------------------------------------------------
+# Added coverage: diagonal densities, bounded-feed scoring, event feed
+# ---------------------------------------------------------------------------
+
+def _densities_sql(cols: list[str]) -> str:
+    stacked = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({q(c)} AS DOUBLE) AS x FROM report" for c in cols)
+    return with_ctes(
+        REPORT_BASE_SQL,
+        f"sk AS (SELECT * FROM ({stacked}) u WHERE x IS NOT NULL AND NOT isnan(x))",
+        "st AS (SELECT col, CAST(count(x) AS DOUBLE) AS n, stddev_samp(x) AS sd, min(x) AS lo, max(x) AS hi "
+        "FROM sk GROUP BY col)",
+        "p AS (SELECT col, n, sd * pow(n, -0.2) AS h, lo, hi FROM st)",
+        f"cb AS (SELECT col, {_bin_sql('x', 'lo', 'hi', 1024)} AS b, CAST(count(*) AS DOUBLE) AS w "
+        "FROM sk JOIN st USING (col) GROUP BY col, b)",
+        """t AS (SELECT col, g, w, lo + (b + 0.5) * (hi - lo) / 1024 AS c,
+              (lo - 3.0 * h) + g * (((hi + 3.0 * h) - (lo - 3.0 * h)) / 199) AS gx, h, n
+       FROM cb JOIN p USING (col), range(200) r(g))""",
+        body=f"""
+SELECT col AS "column", CAST(g AS INTEGER) AS grid_index, round(first(gx), 4) AS x,
+       round(sum(w * exp(-0.5 * pow((gx - c) / h, 2))) / (n * h * {_SQRT_2PI}), 12) AS density
+FROM t GROUP BY col, g, n, h""")
+
+
+@register("pair_diag_density", _densities_sql(S.PAIR_COLUMNS))
+def pair_diag_density(spark, sf_dir):
+    return profile.densities(report.report_base(master(spark, sf_dir)), S.PAIR_COLUMNS)
+
+
+@register("bounded_feed_score")
+def bounded_feed_score(spark, sf_dir):
+    """The bounded feed (300 messages) scored per segment with the forest
+    models and the training-time scaler inside each model."""
+    models = _models(spark, sf_dir, ["forest"])
+    return score.score_table(models, bounded_feed(spark, sf_dir), ["forest"])
+
+
+EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
+EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
+
+
+@register("event_envelope", """
+WITH e AS (SELECT *, CAST(user_id AS VARCHAR) AS key, 'events' AS topic,
+  CAST(coalesce(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition",
+  ('0x' || substr(md5(coalesce(CAST(event_id AS VARCHAR), '')), 9, 8))::BIGINT % 64 AS sub FROM events)
+SELECT key, topic, "partition",
+       CAST(row_number() OVER (PARTITION BY "partition" ORDER BY sub, event_id) - 1 AS BIGINT) AS "offset",
+       event_id, user_id, event_type, value, props
+FROM e""")
+def event_envelope(spark, sf_dir):
+    """Events keyed by user: a hot user lands in one topic partition, but the
+    offsets are ordered by event id inside it and computed in sub-buckets of
+    the event id, so no task holds the hot user's rows alone."""
+    env = feed.publish(table(spark, sf_dir, "events"), key="user_id", columns=EVENT_COLUMNS, topic="events",
+                       order=["event_id"])
+    return feed.decode(env, schema=EVENT_SCHEMA, keep=["key", "topic", "partition", "offset"])

@@ -135,6 +135,9 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
     if not todo:
         return out
     train = stable_layout(prepared.filter(F.col("split") == "train")).persist()
+    # empty-segment guard: one grouped count, then fit only segments with rows
+    present = {r["segment"] for r in train.groupBy("segment").count().collect()}
+    todo = [job for job in todo if job[0] in present]
     try:
         def run(job):
             segment, kind = job
@@ -161,6 +164,8 @@ def predict(models: dict, rows: DataFrame, kinds: list[str], route: str = "segme
             continue
         part = model.transform(rows.filter(F.col(route) == segment))
         parts.append(part.drop("features", "scaled_features").withColumn("model", F.lit(kind)))
+    if not parts:
+        raise ValueError("no fitted model for the requested kinds")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
