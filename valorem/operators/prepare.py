@@ -52,8 +52,9 @@ def apply_band(df: DataFrame, band: DataFrame, group: str = "segment", drop: boo
 
 def trim_all(df: DataFrame, k: float = S.TRIM_SIGMAS["feed"]) -> DataFrame:
     """Band over all rows together (statistics as scalar subqueries)."""
-    st = df.agg(F.avg("Value_log").alias("m"), F.stddev_samp("Value_log").alias("s"))
-    m, s = st.select("m").scalar(), st.select("s").scalar()
+    from valorem.operators.profile import scalar_stats
+    st = scalar_stats(df, {"m": F.avg("Value_log"), "s": F.stddev_samp("Value_log")})
+    m, s = st["m"], st["s"]
     return df.filter(F.col("Value_log").between(m - F.lit(k) * s, m + F.lit(k) * s))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from valorem import schema as S
 from valorem.operators import report, segments
 from valorem.plans.oracle_sql import REPORT_BASE_SQL, SEGMENTS_SQL, with_ctes
-from valorem.sources.tables import master
+from valorem.sources.tables import master, master_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -42,7 +42,7 @@ SELECT "Team", round(total_value, 2) AS total_value,
 FROM (SELECT "Team", sum("Value") AS total_value FROM report WHERE "Team" IS NOT NULL
       GROUP BY "Team" ORDER BY total_value DESC, "Team" LIMIT 5) t"""))
 def top_teams_share(spark, sf_dir):
-    return report.group_total_share(report.report_base(master(spark, sf_dir)), "Team", "Value", 5)
+    return report.group_total_share(report.report_base(master_table(spark, sf_dir)), "Team", "Value", 5)
 
 
 def _top_distinct_sql(k: int) -> str:
@@ -54,20 +54,20 @@ WHERE rn = 1 ORDER BY "Value" DESC, "Name" LIMIT {k}""")
 
 @register("top_entities_distinct_10", _top_distinct_sql(10))
 def top_entities_distinct_10(spark, sf_dir):
-    return report.top_distinct(report.report_base(master(spark, sf_dir)), "Name", "Value", 10,
+    return report.top_distinct(report.report_base(master_table(spark, sf_dir)), "Name", "Value", 10,
                                ["Name", "Age", "Value"])
 
 
 @register("top_entities_distinct_100", _top_distinct_sql(100))
 def top_entities_distinct_100(spark, sf_dir):
-    return report.top_distinct(report.report_base(master(spark, sf_dir)), "Name", "Value", 100,
+    return report.top_distinct(report.report_base(master_table(spark, sf_dir)), "Name", "Value", 100,
                                ["Name", "Age", "Value"])
 
 
 @register("top_young_10", with_ctes(REPORT_BASE_SQL, body="""
 SELECT "Name", "Age", "Value" FROM report WHERE "Age" <= 23 ORDER BY "Value" DESC, "ID" LIMIT 10"""))
 def top_young_10(spark, sf_dir):
-    return report.top_filtered(report.report_base(master(spark, sf_dir)), F.col("Age") <= 23, "Value", 10,
+    return report.top_filtered(report.report_base(master_table(spark, sf_dir)), F.col("Age") <= 23, "Value", 10,
                                ["Name", "Age", "Value"])
 
 
@@ -76,13 +76,13 @@ SELECT "Position category" AS category, cat_idx::DOUBLE AS category_index,
        coalesce(segment, 'excluded') AS model_segment, count(*) AS n
 FROM seg GROUP BY ALL"""))
 def segment_counts(spark, sf_dir):
-    return segments.segment_counts(master(spark, sf_dir))
+    return segments.segment_counts(master_table(spark, sf_dir))
 
 
 @register("hash_split", with_ctes(SEGMENTS_SQL, body="""
 SELECT "ID", split FROM seg"""))
 def hash_split(spark, sf_dir):
-    return segments.with_split(master(spark, sf_dir)).select("ID", "split")
+    return segments.with_split(master_table(spark, sf_dir)).select("ID", "split")
 
 
 # ---------------------------------------------------------------------------
@@ -101,7 +101,7 @@ def _unnest(items: list[str], source: str) -> str:
     [f"{{'position': {i}, 'column': '{c}', 'null_count': count(*) FILTER (WHERE {q(c)} IS NULL)}}"
      for i, c in enumerate(S.MASTER_COLUMNS)], "master")))
 def null_counts(spark, sf_dir):
-    return profile.null_counts(master(spark, sf_dir))
+    return profile.null_counts(master_table(spark, sf_dir))
 
 
 @register("column_sums_flags", with_ctes(body=_unnest(
@@ -109,7 +109,7 @@ def null_counts(spark, sf_dir):
      f"'zero_or_null': sum({q(c)}) IS NULL OR sum({q(c)}) = 0}}"
      for i, c in enumerate(S.NUMERIC_COLUMNS)], "master")))
 def column_sums_flags(spark, sf_dir):
-    return profile.column_sums(master(spark, sf_dir))
+    return profile.column_sums(master_table(spark, sf_dir))
 
 
 def _describe_sql(cols: list[str]) -> str:
@@ -127,7 +127,7 @@ DESCRIBE_COLUMNS = ["Value", "Overall rating", "Potential"]
 
 @register("describe_value", with_ctes(body=_describe_sql(DESCRIBE_COLUMNS)))
 def describe_value(spark, sf_dir):
-    return profile.describe(master(spark, sf_dir), DESCRIBE_COLUMNS)
+    return profile.describe(master_table(spark, sf_dir), DESCRIBE_COLUMNS)
 
 
 def _corr_sql(cols: list[str]) -> str:
@@ -143,7 +143,7 @@ def _corr_sql(cols: list[str]) -> str:
 
 @register("correlation_matrix", with_ctes(REPORT_BASE_SQL, body=_corr_sql(S.CORRELATION_COLUMNS)))
 def correlation_matrix(spark, sf_dir):
-    return profile.correlation_matrix(report.report_base(master(spark, sf_dir)))
+    return profile.correlation_matrix(report.report_base(master_table(spark, sf_dir)))
 
 
 def _bin_sql(x: str, lo: str, hi: str, bins: int) -> str:
@@ -163,7 +163,7 @@ SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / 30), 4) AS lo,
        round(lo + (i + 1) * ((hi - lo) / 30), 4) AS hi, CAST(coalesce(n, 0) AS BIGINT) AS n
 FROM range(30) r(i) CROSS JOIN st LEFT JOIN c ON c.bin = r.i"""))
 def wage_histogram_30(spark, sf_dir):
-    return profile.histogram(spark, report.report_base(master(spark, sf_dir)), "Wage", 30)
+    return profile.histogram(spark, report.report_base(master_table(spark, sf_dir)), "Wage", 30)
 
 
 _SQRT_2PI = repr(math.sqrt(2 * math.pi))
@@ -182,7 +182,7 @@ SELECT CAST(g AS INTEGER) AS grid_index, round(first(gx), 4) AS x,
        round(sum(w * exp(-0.5 * pow((gx - c) / h, 2))) / (n * h * {_SQRT_2PI}), 12) AS density
 FROM t GROUP BY g, n, h"""))
 def wage_density(spark, sf_dir):
-    return profile.density(report.report_base(master(spark, sf_dir)), "Wage")
+    return profile.density(report.report_base(master_table(spark, sf_dir)), "Wage")
 
 
 def _pair_sql(cols: list[str], bins: int) -> str:
@@ -201,7 +201,7 @@ def _pair_sql(cols: list[str], bins: int) -> str:
 
 @register("pair_bins", _pair_sql(S.PAIR_COLUMNS, 10))
 def pair_bins(spark, sf_dir):
-    return profile.pair_bins(report.report_base(master(spark, sf_dir)))
+    return profile.pair_bins(report.report_base(master_table(spark, sf_dir)))
 
 
 def _rescale_sql(cols: list[str]) -> str:
@@ -213,13 +213,13 @@ def _rescale_sql(cols: list[str]) -> str:
 
 @register("rescale_1_99", _rescale_sql(S.TOTAL_COLUMNS))
 def rescale_1_99(spark, sf_dir):
-    return profile.rescale_1_99(master(spark, sf_dir)).select("ID", *S.TOTAL_COLUMNS)
+    return profile.rescale_1_99(master_table(spark, sf_dir)).select("ID", *S.TOTAL_COLUMNS)
 
 
 @register("numeric_normalise", with_ctes(body="SELECT \"ID\", " + ", ".join(
     f"CAST(CAST(trunc({q(c)}) AS BIGINT) AS DOUBLE) AS {q(c)}" for c in S.NUMERIC_COLUMNS) + " FROM master"))
 def numeric_normalise(spark, sf_dir):
-    return profile.numeric_normalise(master(spark, sf_dir)).select("ID", *S.NUMERIC_COLUMNS)
+    return profile.numeric_normalise(master_table(spark, sf_dir)).select("ID", *S.NUMERIC_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
@@ -322,7 +322,7 @@ _UPSERT_SQL = [master_sql("fresh", NEW_BATCH_SINCE),
 SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY source DESC) AS rn FROM u) d
 WHERE rn = 1"""))
 def upsert_keep_last(spark, sf_dir):
-    return upsert.keep_last(master(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
+    return upsert.keep_last(master_table(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
 
 
 @register("upsert_stats", with_ctes(*_UPSERT_SQL, """
@@ -331,7 +331,7 @@ c AS (SELECT (SELECT count(*) FROM master) AS e, (SELECT count(*) FROM fresh) AS
               FROM u) AS m)""", body="""
 SELECT e AS existing_rows, n AS new_rows, m AS merged_rows, m - e AS added, e + n - m AS removed FROM c"""))
 def upsert_stats(spark, sf_dir):
-    return upsert.upsert_stats(master(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
+    return upsert.upsert_stats(master_table(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
 
 
 # ---------------------------------------------------------------------------
@@ -344,7 +344,7 @@ TRIM_QUERY_CAP = 4e6   # the default 1.7e8 cap never binds on the driver tables
 @register("cap_log_trim", with_ctes(SEGMENTS_SQL, trimmed_sql(TRIM_QUERY_CAP), body="""
 SELECT "ID", segment, "Value", round("Value_log", 6) AS "Value_log" FROM trimmed"""))
 def cap_log_trim(spark, sf_dir):
-    t = prepare.trim_segments(segments.with_segments(master(spark, sf_dir)), cap=TRIM_QUERY_CAP)
+    t = prepare.trim_segments(segments.with_segments(master_table(spark, sf_dir)), cap=TRIM_QUERY_CAP)
     return t.select("ID", "segment", "Value", F.round("Value_log", 6).alias("Value_log"))
 
 
@@ -364,7 +364,7 @@ def _feature_stats_sql(source: str) -> str:
 @register("unit_scale_stats", with_ctes(SEGMENTS_SQL, trimmed_sql(S.VALUE_CAP), _feature_stats_sql("trimmed")[0],
                                         body=_feature_stats_sql("trimmed")[1]))
 def unit_scale_stats(spark, sf_dir):
-    return prepare.feature_stats(prepare.trim_segments(segments.with_segments(master(spark, sf_dir))))
+    return prepare.feature_stats(prepare.trim_segments(segments.with_segments(master_table(spark, sf_dir))))
 
 
 def _validate_sql() -> str:
@@ -389,7 +389,7 @@ r AS (SELECT "ID", coalesce(segment = 'goalkeeper', false) AS is_goalkeeper, {co
 
 @register("validate_inputs", _validate_sql())
 def validate_inputs(spark, sf_dir):
-    req = segments.with_segments(master(spark, sf_dir)).withColumn(
+    req = segments.with_segments(master_table(spark, sf_dir)).withColumn(
         "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
     return validate.validate(req).select("ID", "is_goalkeeper", "valid", "error")
 
@@ -403,7 +403,7 @@ _MSG_COLS = ", ".join(q(c) for c in S.MESSAGE_COLUMNS)
 
 def entity_envelope(spark, sf_dir):
     """Master rows published as keyed JSON messages (key = ID)."""
-    return feed.publish(master(spark, sf_dir), key="ID", columns=S.MESSAGE_COLUMNS)
+    return feed.publish(master_table(spark, sf_dir), key="ID", columns=S.MESSAGE_COLUMNS)
 
 
 @register("publish_envelope", with_ctes(ENVELOPE_SQL, body=f"""
@@ -456,7 +456,7 @@ _COMMON = ["Name", "ID", "Team", "Position category", *S.NUMERIC_COLUMNS]
     SEGMENTS_SQL.replace("FROM master", "FROM unioned"),
     trimmed_sql(S.VALUE_CAP), _feature_stats_sql("trimmed")[0], body=_feature_stats_sql("trimmed")[1]))
 def combined_scaler_stats(spark, sf_dir):
-    both = master(spark, sf_dir).select(*_COMMON).unionByName(bounded_feed(spark, sf_dir).select(*_COMMON))
+    both = master_table(spark, sf_dir).select(*_COMMON).unionByName(bounded_feed(spark, sf_dir).select(*_COMMON))
     return prepare.feature_stats(prepare.trim_segments(segments.with_segments(both)))
 
 
@@ -468,7 +468,7 @@ def _baseline_predictions(spark, sf_dir):
     """Per-segment mean Value of the training split, scored on the test split:
     goalkeeper rows by the goalkeeper mean, every other row by the field mean."""
     from valorem.functions.clean import feed_route
-    tagged = segments.with_split(segments.with_segments(master(spark, sf_dir)))
+    tagged = segments.with_split(segments.with_segments(master_table(spark, sf_dir)))
     means = (tagged.filter((F.col("split") == "train") & F.col("segment").isNotNull())
                    .groupBy(F.col("segment").alias("route")).agg(F.avg("Value").alias("mean_value")))
     test = (tagged.filter(F.col("split") == "test").drop("segment")
@@ -495,7 +495,7 @@ SELECT "ID", "Name", "Value", "Prediction_euros" FROM j
 WHERE "Value" IS NOT NULL AND NOT isnan("Value") AND "Wage" IS NOT NULL AND NOT isnan("Wage")
   AND "Age" IS NOT NULL AND NOT isnan("Age") AND "Team" IS NOT NULL"""))
 def prediction_left_join(spark, sf_dir):
-    joined = report.attach_predictions(master(spark, sf_dir), _baseline_predictions(spark, sf_dir), "Name")
+    joined = report.attach_predictions(master_table(spark, sf_dir), _baseline_predictions(spark, sf_dir), "Name")
     return report.report_base(joined).select("ID", "Name", "Value", "Prediction_euros")
 
 
@@ -518,12 +518,12 @@ SELECT entity, entity_pos, pos, category, round(CAST(pos AS DOUBLE) / {float(len
 
 @register("entity_comparison_long", _comparison_sql())
 def entity_comparison_long(spark, sf_dir):
-    return report.comparison_long(master(spark, sf_dir), COMPARE_NAMES, S.COMPARISON_CATEGORIES)
+    return report.comparison_long(master_table(spark, sf_dir), COMPARE_NAMES, S.COMPARISON_CATEGORIES)
 
 
 def _baseline_frame(spark, sf_dir):
     from valorem.operators import metrics
-    prepared = segments.with_split(prepare.trim_segments(segments.with_segments(master(spark, sf_dir))))
+    prepared = segments.with_split(prepare.trim_segments(segments.with_segments(master_table(spark, sf_dir))))
     return metrics.baseline_predictions(prepared)
 
 
@@ -572,7 +572,7 @@ def csv_round_trip(spark, sf_dir):
     from valorem.session import scratch_path
     from valorem.sources import csv_io
     path = scratch_path(spark, "master-csv")
-    csv_io.write_csv(master(spark, sf_dir).select(*S.MESSAGE_COLUMNS), path)
+    csv_io.write_csv(master_table(spark, sf_dir).select(*S.MESSAGE_COLUMNS), path)
     return csv_io.read_by_name(spark, path)
 
 
@@ -584,13 +584,13 @@ from valorem.plans import score, train  # noqa: E402
 
 
 def _models(spark, sf_dir, kinds):
-    prepared = train.prepare_training(master(spark, sf_dir))
+    prepared = train.prepare_training(master_table(spark, sf_dir))
     return train.fitted_models(spark, prepared, kinds, cache_key=(id(spark), sf_dir))
 
 
 def _train_eval(kind):
     def run(spark, sf_dir):
-        return train.train_eval(spark, master(spark, sf_dir), [kind], cache_key=(id(spark), sf_dir))
+        return train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=(id(spark), sf_dir))
     run.__name__ = f"train_eval_{kind}"
     return run
 
@@ -600,7 +600,7 @@ def train_all(spark, sf_dir):
     """The full training run: every kind x both segments, cross-validated
     (78 fits); returns the test RMSE per (model, segment)."""
     from valorem.operators import metrics
-    preds = train.train_eval(spark, master(spark, sf_dir), S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
     return metrics.rmse(preds, ["model", "segment"])
 
 
@@ -615,12 +615,12 @@ def feature_importance(spark, sf_dir):
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master(spark, sf_dir), S.MODEL_KINDS)
+    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS)
 
 
 @register("whatif_score")
 def whatif_score(spark, sf_dir):
-    req = segments.with_segments(master(spark, sf_dir)).withColumn(
+    req = segments.with_segments(master_table(spark, sf_dir)).withColumn(
         "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
     return score.whatif(_models(spark, sf_dir, ["forest"]), req, "forest")
 
@@ -669,7 +669,7 @@ FROM t GROUP BY col, g, n, h""")
 
 @register("pair_diag_density", _densities_sql(S.PAIR_COLUMNS))
 def pair_diag_density(spark, sf_dir):
-    return profile.densities(report.report_base(master(spark, sf_dir)), S.PAIR_COLUMNS)
+    return profile.densities(report.report_base(master_table(spark, sf_dir)), S.PAIR_COLUMNS)
 
 
 @register("bounded_feed_score")

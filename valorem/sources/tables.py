@@ -159,6 +159,27 @@ def master(spark: SparkSession, sf_dir: str, orders_since: str | None = None) ->
     )
 
 
+_MATERIALIZED: dict = {}
+
+
+def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master view written once as a parquet table in the shared
+    checkpoint folder, then read back (column pruning and pushdown apply).
+
+    Multi-pass operators (statistics first, then a pass that uses them) read
+    this table instead of re-aggregating ``lineitem`` in every pass; the data
+    survive executor loss. Written once per session and input folder.
+    """
+    from valorem.session import scratch_path
+    key = (id(spark), sf_dir.rstrip("/"))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "master")
+        master(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
 # Same view for the DuckDB oracle (tables are pre-registered views there).
 def master_sql(name: str = "master", orders_since: str | None = None) -> str:
     """CTE list defining ``name`` as the master view (helper CTEs are suffixed)."""
