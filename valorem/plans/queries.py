@@ -699,3 +699,10 @@ def event_envelope(spark, sf_dir):
     env = feed.publish(table(spark, sf_dir, "events"), key="user_id", columns=EVENT_COLUMNS, topic="events",
                        order=["event_id"])
     return feed.decode(env, schema=EVENT_SCHEMA, keep=["key", "topic", "partition", "offset"])
+
+
+@register("training_report")
+def training_report(spark, sf_dir):
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    return train.training_report(models, spark, prepared)

@@ -95,9 +95,14 @@ def prepare_training(df: DataFrame, cap: float = S.VALUE_CAP, parity: bool = Fal
     return prepare.apply_band(seg, prepare.fit_band(fit_on, "segment"), "segment")
 
 
-def stable_layout(df: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
-    """Fixed partition count and in-partition order, for reproducible bagging."""
-    return df.repartition(partitions, "ID").sortWithinPartitions("ID")
+def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Fixed partition count and in-partition order, for reproducible bagging.
+
+    The count defaults to the cluster's default parallelism (at least
+    TRAIN_PARTITIONS): fixed for a given cluster, and wide enough to use it.
+    """
+    n = partitions or max(TRAIN_PARTITIONS, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, "ID").sortWithinPartitions("ID")
 
 
 def fit(train: DataFrame, segment: str, kind: str, folds: int | None = None, parallelism: int = 4,
@@ -157,13 +162,25 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
 
 
 def predict(models: dict, rows: DataFrame, kinds: list[str], route: str = "segment") -> DataFrame:
-    """Score every row with its segment's model of each kind; long output with ``model``."""
+    """Score every row with its segment's model of each kind; long output with ``model``.
+
+    Per segment, the kinds' models are chained on one pass over the rows
+    (each writes its own prediction column), then the predictions are
+    stacked — two scans of the input however many kinds are scored.
+    """
     parts = []
-    for (segment, kind), model in models.items():
-        if kind not in kinds:
+    for segment in S.SEGMENTS:
+        chosen = [k for k in kinds if (segment, k) in models]
+        if not chosen:
             continue
-        part = model.transform(rows.filter(F.col(route) == segment))
-        parts.append(part.drop("features", "scaled_features").withColumn("model", F.lit(kind)))
+        part = rows.filter(F.col(route) == segment)
+        for kind in chosen:
+            part = (models[(segment, kind)].transform(part)
+                    .withColumnRenamed("prediction", f"_pred_{kind}").drop("features", "scaled_features"))
+        stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.col(f"_pred_{k}").alias("prediction"))
+                                      for k in chosen])).alias("_p")
+        keep = [c for c in part.columns if not c.startswith("_pred_")]
+        parts.append(part.select(*keep, stacked).select(*keep, "_p.model", "_p.prediction"))
     if not parts:
         raise ValueError("no fitted model for the requested kinds")
     out = parts[0]
@@ -206,3 +223,28 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+REPORTED_PARAMS = ("numTrees", "maxDepth", "subsamplingRate", "regParam", "elasticNetParam")
+
+
+def training_report(models: dict, spark: SparkSession, prepared: DataFrame) -> DataFrame:
+    """Per (segment, model): train/test row counts, fit seconds, chosen
+    parameters and feature count — the diagnostics a training run logs.
+
+    Row counts come from one grouped pass over the prepared rows; the model
+    side has one row per (segment, kind), so it is broadcast by construction.
+    """
+    meta = []
+    for (segment, kind), model in models.items():
+        last = model.stages[-1]
+        params = {p.name: last.getOrDefault(p) for p in last.params
+                  if p.name in REPORTED_PARAMS and (last.isSet(p) or last.hasDefault(p))}
+        meta.append((segment, kind, type(last).__name__, int(last.numFeatures),
+                     float(getattr(model, "_fit_seconds", float("nan"))),
+                     ", ".join(f"{k}={v}" for k, v in sorted(params.items()))))
+    meta_df = spark.createDataFrame(
+        meta, "segment string, model string, model_class string, num_features int, fit_seconds double, params string")
+    sizes = prepared.groupBy("segment").agg(F.count_if(F.col("split") == "train").alias("train_rows"),
+                                            F.count_if(F.col("split") == "test").alias("test_rows"))
+    return F.broadcast(meta_df).join(sizes, "segment", "left")
