@@ -28,7 +28,7 @@ def calibration(scored: DataFrame, by: list[str], label: str = "Value_log", pred
     """sum(actual) / sum(predicted) on the money scale — the multiplicative
     factor that makes predicted totals match actual totals."""
     return scored.groupBy(*by).agg(
-        F.round(F.sum(F.expm1(label)) / F.sum(F.expm1(prediction)), digits).alias("factor"))
+        F.round(F.try_divide(F.sum(F.expm1(label)), F.sum(F.expm1(prediction))), digits).alias("factor"))
 
 
 def baseline_predictions(prepared: DataFrame) -> DataFrame:

@@ -115,7 +115,8 @@ def density(df: DataFrame, column: str, grid: int = 200, cut: float = 3.0, fine_
     data = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     st = scalar_stats(data, {"n": F.count("x").cast("double"), "sd": F.stddev_samp("x"),
                              "lo": F.min("x"), "hi": F.max("x")})
-    h = st["sd"] * F.pow(st["n"], F.lit(-0.2))
+    # a constant column has no bandwidth: null density instead of a division by zero
+    h = F.when(st["sd"] > 0, st["sd"] * F.pow(st["n"], F.lit(-0.2)))
     centres = (data.select(_bin(F.col("x"), st["lo"], st["hi"], fine_bins).alias("b"))
                    .groupBy("b").agg(F.count(F.lit(1)).cast("double").alias("w")))
     start = st["lo"] - F.lit(cut) * h
@@ -185,7 +186,7 @@ def densities(df: DataFrame, columns: list[str] = S.PAIR_COLUMNS, grid: int = 20
     ).select("p.*").filter(F.col("x").isNotNull() & ~F.isnan("x"))
     stats = stacked.groupBy("column").agg(F.count("x").cast("double").alias("n"), F.stddev_samp("x").alias("sd"),
                                           F.min("x").alias("lo"), F.max("x").alias("hi"))
-    stats = F.broadcast(stats.withColumn("h", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))))
+    stats = F.broadcast(stats.withColumn("h", F.when(F.col("sd") > 0, F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))))
     lo, hi, h, n = F.col("lo"), F.col("hi"), F.col("h"), F.col("n")
     centres = (stacked.join(stats.select("column", "lo", "hi"), "column")
                       .select("column", _bin(F.col("x"), lo, hi, fine_bins).alias("b"))

@@ -77,7 +77,7 @@ def group_total_share(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
     return totals.select(
         key,
         F.round("total_value", 2).alias("total_value"),
-        F.round(F.col("total_value") * 100.0 / F.sum("total_value").over(whole), 1).alias("share_pct"),
+        F.round(F.try_divide(F.col("total_value") * 100.0, F.sum("total_value").over(whole)), 1).alias("share_pct"),
     )
 
 
