@@ -100,3 +100,20 @@ def test_feed_trim_all(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 1000]], "Value double")
     got = prepare.trim_all(prepare.cap_log(df, cap=None), k=1.0).count()
     assert got == 3
+
+
+def test_replayed_batch_replaces_itself(spark, models):
+    """A micro-batch re-run under the same batch id (recovery after a failure
+    between writing and committing) overwrites its own partition."""
+    _, m = models
+    df = master(spark, SF_SMALL)
+    env = feed.publish(df, key="ID", columns=S.MESSAGE_COLUMNS)
+    batch = listener.decoded(env)
+    root = scratch_path(spark, "replay")
+    run = listener.batch_scorer(m, ["forest", "linear"], f"{root}/out", f"{root}/rej")
+    run(batch, 7)
+    n1 = spark.read.parquet(f"{root}/out").count()
+    run(batch, 7)
+    assert spark.read.parquet(f"{root}/out").count() == n1
+    run(batch.limit(5), 8)
+    assert spark.read.parquet(f"{root}/out").count() == n1 + 5 * 2

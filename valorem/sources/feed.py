@@ -99,11 +99,12 @@ def read_envelope(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ENVELOPE_SCHEMA).json(path)
 
 
-def read_broker(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Batch read of a broker topic, earliest to latest (needs the Kafka connector)."""
+def read_broker(spark: SparkSession, servers: str, topic: str, retries: int = 5) -> DataFrame:
+    """Batch read of a broker topic, earliest to latest (needs the Kafka connector);
+    offset fetches are retried ``retries`` times by the source itself."""
     return (spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
                  .option("subscribe", topic).option("startingOffsets", "earliest")
-                 .option("endingOffsets", "latest").load()
+                 .option("endingOffsets", "latest").option("fetchOffset.numRetries", retries).load()
                  .select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
                          "partition", "offset", "timestamp"))
 

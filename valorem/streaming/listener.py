@@ -33,10 +33,11 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def broker_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-                  max_offsets_per_trigger: int | None = None) -> DataFrame:
+                  max_offsets_per_trigger: int | None = None, retries: int = 5) -> DataFrame:
     """Broker source (needs the Kafka connector on the classpath)."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic).option("startingOffsets", starting))
+              .option("subscribe", topic).option("startingOffsets", starting)
+              .option("fetchOffset.numRetries", retries))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
