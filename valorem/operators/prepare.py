@@ -42,8 +42,14 @@ def fit_band(df: DataFrame, group: str = "segment", sigmas: dict[str, float] = S
 
 def apply_band(df: DataFrame, band: DataFrame, group: str = "segment", drop: bool = True) -> DataFrame:
     """Keep rows inside [band_lo, band_hi] (inclusive; null Value_log is dropped),
-    or with ``drop=False`` flag them with ``is_outlier``."""
-    j = df.join(F.broadcast(band.select(group, "band_lo", "band_hi")), group, "left")
+    or with ``drop=False`` flag them with ``is_outlier``.
+
+    Grouped by the model segment the band has at most two rows and is
+    broadcast; for any other grouping the join is left to the planner, whose
+    adaptive execution broadcasts it only when its measured size allows.
+    """
+    b = band.select(group, "band_lo", "band_hi")
+    j = df.join(F.broadcast(b) if group == "segment" else b, group, "left")
     inside = F.col("Value_log").between(F.col("band_lo"), F.col("band_hi"))
     if drop:
         return j.filter(inside).drop("band_lo", "band_hi")

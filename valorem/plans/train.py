@@ -102,7 +102,9 @@ def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     TRAIN_PARTITIONS): fixed for a given cluster, and wide enough to use it.
     """
     n = partitions or max(TRAIN_PARTITIONS, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(n, "ID").sortWithinPartitions("ID")
+    # hash of the whole row: deterministic, and a repeated ID cannot pile up in one partition
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartition(n, row_hash).sortWithinPartitions("ID", row_hash)
 
 
 def fit(train: DataFrame, segment: str, kind: str, folds: int | None = None, parallelism: int = 4,
