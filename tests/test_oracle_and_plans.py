@@ -52,3 +52,21 @@ def test_master_plan_pre_aggregates_and_prunes(spark):
     # the lineitem scan reads only the columns the view uses
     scan = [ln for ln in p.splitlines() if "lineitem" in ln and "ReadSchema" in ln]
     assert scan and "l_shipdate" not in scan[0] and "l_partkey" not in scan[0]
+
+
+def test_dedup_and_upsert_combine_map_side(spark):
+    from valorem.operators import report, upsert
+    from valorem.sources.tables import master
+    m = master(spark, SF_SMALL)
+    p = _plan(upsert.keep_last(m, m.limit(10)))
+    assert "partial_max_by" in p
+    p = _plan(report.top_distinct(m, "Name", "Value", 10, ["Name", "Value"]))
+    assert "partial_min_by" in p and "TakeOrderedAndProject" in p
+
+
+def test_envelope_offsets_window_is_sub_bucketed(spark):
+    from valorem.sources import feed, tables
+    env = feed.publish(tables.table(spark, SF_SMALL, "events"), key="user_id", order=["event_id"])
+    p = env._jdf.queryExecution().executedPlan().toString()
+    windows = [ln for ln in p.splitlines() if "Window [" in ln and "row_number" in ln]
+    assert windows and all("_sub" in ln for ln in windows)
