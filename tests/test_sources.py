@@ -7,10 +7,10 @@ from valorem import schema as S
 from valorem.sources import csv_io, feed, pages
 
 
-def _row(name="L. Messi", pid="158023", age="36", value="€28.5M", wage="€950K", contract="2026", team="Inter Miami",
+def _row(name="A. Example", pid="158023", age="36", value="€28.5M", wage="€950K", contract="2026", team="Harbor Town",
          position="RW", n=66):
     cells = ["<td></td>"] * n
-    cells[S.CELL_NAME] = f'<td><a href="/player/{pid}">{name}</a><span>RW</span></td>'
+    cells[S.CELL_NAME] = f'<td><a href="/entity/{pid}">{name}</a><span>RW</span></td>'
     cells[S.CELL_AGE] = f"<td>{age}</td>"
     cells[S.CELL_OVERALL] = "<td><em>90</em>-1</td>"
     cells[S.CELL_POTENTIAL] = "<td>91</td>"
@@ -36,7 +36,7 @@ def test_table_listings(spark):
     assert set(got) == {"158023", "3", "5"}
     m = got["158023"]
     assert (m.Name, m.Age, m["Overall rating"], m.Potential, m.Team, m["Position category"]) == \
-        ("L. Messi", 36, 90, 91, "Inter Miami", "attaquant")
+        ("A. Example", 36, 90, 91, "Harbor Town", "attaquant")
     assert (m.Value, m.Wage, m["Total attacking"], m["Total goalkeeping"], m["Defending / Pace"]) == \
         (28.5e6, 950e3, 100, 106, 111)
     assert got["3"].rejected and not m.rejected
@@ -52,8 +52,8 @@ def test_listing_rows_li(spark):
 
 
 def test_manifest(spark):
-    m = pages.page_manifest(spark, "http://h/players?offset=", 3).collect()
-    assert [r.url for r in m] == ["http://h/players?offset=0", "http://h/players?offset=60", "http://h/players?offset=120"]
+    m = pages.page_manifest(spark, "http://h/list?offset=", 3).collect()
+    assert [r.url for r in m] == ["http://h/list?offset=0", "http://h/list?offset=60", "http://h/list?offset=120"]
 
 
 def test_csv_by_header_name(spark, tmp_path):
