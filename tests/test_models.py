@@ -117,3 +117,18 @@ def test_replayed_batch_replaces_itself(spark, models):
     assert spark.read.parquet(f"{root}/out").count() == n1
     run(batch.limit(5), 8)
     assert spark.read.parquet(f"{root}/out").count() == n1 + 5 * 2
+
+
+def test_band_fitted_on_train_by_default_and_on_all_rows_in_parity(spark):
+    from valorem.operators import prepare as P
+    m = master(spark, SF_SMALL)
+    tagged = P.cap_log(segments.with_split(segments.with_segments(m)).filter(F.col("segment").isNotNull()), S.VALUE_CAP)
+    band_train = {r.segment: (r.band_lo, r.band_hi) for r in P.fit_band(tagged.filter(F.col("split") == "train")).collect()}
+    band_all = {r.segment: (r.band_lo, r.band_hi) for r in P.fit_band(tagged).collect()}
+
+    def inside(rows, band):
+        return sum(1 for r in rows if band[r.segment][0] <= r.Value_log <= band[r.segment][1])
+
+    rows = tagged.select("segment", "Value_log").collect()
+    assert train.prepare_training(m).count() == inside(rows, band_train)
+    assert train.prepare_training(m, parity=True).count() == inside(rows, band_all)
