@@ -70,3 +70,10 @@ def test_envelope_offsets_window_is_sub_bucketed(spark):
     p = env._jdf.queryExecution().executedPlan().toString()
     windows = [ln for ln in p.splitlines() if "Window [" in ln and "row_number" in ln]
     assert windows and all("_sub" in ln for ln in windows)
+
+
+def test_new_batch_date_filter_reaches_the_scan(spark):
+    from valorem.sources.tables import master
+    p = _plan(master(spark, SF_SMALL, "1998-01-01"))
+    scan = [ln for ln in p.splitlines() if "FileScan" in ln and "o_orderdate" in ln]
+    assert scan and "GreaterThanOrEqual(o_orderdate" in scan[0]
