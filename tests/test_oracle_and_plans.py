@@ -77,3 +77,14 @@ def test_new_batch_date_filter_reaches_the_scan(spark):
     p = _plan(master(spark, SF_SMALL, "1998-01-01"))
     scan = [ln for ln in p.splitlines() if "FileScan" in ln and "o_orderdate" in ln]
     assert scan and "GreaterThanOrEqual(o_orderdate" in scan[0]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_no_single_partition_window_over_data(spark, name):
+    """A window is either hash-partitioned or runs over a top-k result."""
+    lines = _plan(QUERIES[name](spark, SF_SMALL)).splitlines()
+    for i, ln in enumerate(lines):
+        if ln.strip().lstrip("+-: ").startswith("Window ["):
+            below = " ".join(lines[i + 1:i + 4])
+            if "SinglePartition" in below:
+                assert "TakeOrderedAndProject" in below or "GlobalLimit" in below, (name, below)
