@@ -615,7 +615,12 @@ def feature_importance(spark, sf_dir):
 
 @register("score_batch")
 def score_batch(spark, sf_dir):
-    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS)
+    """Every master row in a model segment scored by every kind; rows outside
+    the frozen training band are flagged, never dropped."""
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    band = prepare.fit_band(prepared.filter(F.col("split") == "train"), "segment")
+    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS,
+                             band=band)
 
 
 @register("whatif_score")
@@ -706,3 +711,29 @@ def training_report(spark, sf_dir):
     prepared = train.prepare_training(master_table(spark, sf_dir))
     models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
     return train.training_report(models, spark, prepared)
+
+
+@register("model_round_trip")
+def model_round_trip(spark, sf_dir):
+    """Forest models saved whole (assembler + scaler + forest) to the shared
+    folder, loaded back and used to score every master row in a segment."""
+    from valorem.session import scratch_path
+    models = _models(spark, sf_dir, ["forest"])
+    loaded = {}
+    for (segment, kind), model in models.items():
+        path = scratch_path(spark, f"model-{segment}-{kind}")
+        train.save(model, path)
+        loaded[(segment, kind)] = train.load(path)
+    return score.score_table(loaded, master_table(spark, sf_dir), ["forest"])
+
+
+@register("csv_copy")
+def csv_copy(spark, sf_dir):
+    """Master exported as CSV, copied with its header kept, and read back with
+    inferred types (every part of the directory)."""
+    from valorem.session import scratch_path
+    from valorem.sources import csv_io
+    src, dst = scratch_path(spark, "export"), scratch_path(spark, "copy")
+    csv_io.write_csv(master_table(spark, sf_dir), src)
+    csv_io.copy_csv(spark, src, dst)
+    return csv_io.read_inferred(spark, dst)

@@ -15,24 +15,35 @@ from pyspark.sql import functions as F
 
 from valorem import schema as S
 from valorem.functions.clean import feed_route
-from valorem.operators import segments, validate
+from valorem.operators import prepare, segments, validate
 from valorem.plans import train
 
 
 def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1.0,
-                route_unknown_to_field: bool = False) -> DataFrame:
+                route_unknown_to_field: bool = False, band: DataFrame | None = None,
+                cap: float = S.VALUE_CAP) -> DataFrame:
     """(ID, Name, segment, model, prediction, Prediction_euros) for every row of
     ``df`` in a model segment — or, with ``route_unknown_to_field``, every row
     (the listener's routing: 'gardien' -> goalkeeper, anything else -> field).
-    Missing kinds fall back to ``forest``."""
+    Missing kinds fall back to ``forest``.
+
+    With ``band`` (the frozen training band, ``prepare.fit_band``) rows are
+    never dropped: ``is_outlier`` flags those whose capped log value lies
+    outside it (rows without a value are not outliers).
+    """
     tagged = segments.with_segments(df)
     if route_unknown_to_field:
         tagged = tagged.withColumn("segment", feed_route("Position category"))
     tagged = tagged.filter(F.col("segment").isNotNull())
+    extra = []
+    if band is not None:
+        tagged = prepare.apply_band(prepare.cap_log(tagged, cap), band, "segment", drop=False)
+        tagged = tagged.withColumn("is_outlier", F.col("is_outlier") & F.col("Value_log").isNotNull())
+        extra = ["is_outlier"]
     usable = [k if any(key[1] == k for key in models) else "forest" for k in kinds]
     scored = train.predict(models, tagged, list(dict.fromkeys(usable)))
     return scored.select("ID", "Name", "segment", "model", "prediction",
-                         (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"))
+                         (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"), *extra)
 
 
 def whatif(models: dict, requests: DataFrame, kind: str = "forest", scale: float = S.WHATIF_SCALE) -> DataFrame:
