@@ -737,3 +737,14 @@ def csv_copy(spark, sf_dir):
     csv_io.write_csv(master_table(spark, sf_dir), src)
     csv_io.copy_csv(spark, src, dst)
     return csv_io.read_inferred(spark, dst)
+
+
+@register("model_calibration")
+def model_calibration(spark, sf_dir):
+    """Learned calibration factor of every trained model: sum(actual) /
+    sum(predicted) on the money scale over the training split."""
+    from valorem.operators import metrics
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    scored = train.predict(models, prepared.filter(F.col("split") == "train"), S.MODEL_KINDS)
+    return metrics.calibration(scored, ["model", "segment"])
