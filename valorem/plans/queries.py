@@ -474,9 +474,11 @@ def _baseline_predictions(spark, sf_dir):
     test = (tagged.filter(F.col("split") == "test").drop("segment")
                   .withColumn("route", feed_route("Position category")))
     # at most one row per model segment
-    scored = test.join(F.broadcast(means), "route").select(
-        "Name", F.round("mean_value", 2).alias("Prediction_euros"), F.col("ID").alias("order"), "route")
-    return [scored.filter(F.col("route") == r).drop("route") for r in ("goalkeeper", "field")]
+    scored = test.join(F.broadcast(means), "route")
+    # one prediction set; goalkeeper predictions take precedence, then ID order
+    precedence = F.when(F.col("route") == "goalkeeper", F.lit(0)).otherwise(F.lit(1))
+    return [scored.select("Name", F.round("mean_value", 2).alias("Prediction_euros"),
+                          F.struct(precedence.alias("src"), F.col("ID").alias("id")).alias("order"))]
 
 
 @register("prediction_left_join", with_ctes(SEGMENTS_SQL, """
