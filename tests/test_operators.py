@@ -105,3 +105,13 @@ def test_top_distinct_keeps_highest(spark):
                                "ID string, Name string, Age double, Value double")
     got = report.top_distinct(df, "Name", "Value", 10, ["Name", "Age", "Value"]).collect()
     assert [(r.Name, r.Age, r.Value) for r in got] == [("A", 21.0, 9.0), ("B", 30.0, 7.0)]
+
+
+def test_segment_filters(spark):
+    from valorem.operators import segments
+    df = segments.with_segments(spark.createDataFrame(
+        [("1", "Gardien"), ("2", "milieu"), ("3", None), ("4", "attaquant"), ("5", "défenseur")],
+        "ID string, `Position category` string"))
+    assert sorted(r.ID for r in segments.segment_rows(df, "goalkeeper").collect()) == ["1"]
+    assert sorted(r.ID for r in segments.segment_rows(df, "field").collect()) == ["2", "4", "5"]
+    assert {r.ID: r["Position category"] for r in df.collect()}["3"] == "unknown"

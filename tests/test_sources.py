@@ -98,3 +98,16 @@ def test_decode_malformed(spark):
     assert got["1"]._corrupt is None and got["1"].Name == "a"
     assert got["2"]._corrupt == "{not json" and got["2"].Name is None
     assert got["3"]._corrupt is None and got["3"]["Position category"] is None
+
+
+def test_manifest_pages_and_envelope_files(spark, tmp_path):
+    stored = spark.createDataFrame([(1, "http://h/list?offset=60", "<li>x</li>"), (2, "http://other/", "<li>y</li>")],
+                                   "page_id long, url string, html string")
+    got = pages.manifest_pages(spark, stored, "http://h/list?offset=", 3).collect()
+    assert [(r.page_no, r.page_id) for r in got] == [(1, 1)]
+    df = spark.createDataFrame([(str(i), f"n{i}") for i in range(20)], "ID string, Name string")
+    env = feed.publish(df, key="ID")
+    feed.write_envelope(env, str(tmp_path / "topic"), files=3)
+    back = feed.read_envelope(spark, str(tmp_path / "topic"))
+    assert sorted((r.key, r.partition, r.offset) for r in back.collect()) == \
+        sorted((r.key, r.partition, r.offset) for r in env.collect())

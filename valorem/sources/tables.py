@@ -225,8 +225,3 @@ per_entity_{name} AS (
 
 
 MASTER_SQL = master_sql()
-
-
-def with_master(sql_body: str) -> str:
-    """Prefix a DuckDB query with the master view CTEs."""
-    return f"WITH {MASTER_SQL}\n{sql_body}"
