@@ -52,5 +52,10 @@ def test_truncate_and_cap(spark):
 
 def test_html_text_and_anchor(spark):
     frags = ['<a href="/p/1">L. &amp; Co</a>', "<span>x</span>", '<b>t</b><a href="/q">  A\n B </a>']
-    assert _one(spark, html.anchor_text, frags) == ["L. & Co", "", "A B"]
+    assert _one(spark, html.anchor_text, frags) == ["L. & Co", "", "A\n B"]
     assert _one(spark, html.anchor_href, frags) == ["/p/1", "", "/q"]
+
+
+def test_strip_all_whitespace(spark):
+    assert _one(spark, clean.leading_int, ["\t80-1\n", "\n7 "]) == [80, 7]
+    assert _one(spark, clean.digits_int, ["\t12\n"]) == [12]

@@ -41,22 +41,27 @@ def money(text: str | Column) -> Column:
             .otherwise(plain))
 
 
+def strip(text: str | Column) -> Column:
+    """Leading and trailing whitespace of every kind removed (``trim`` only removes spaces)."""
+    return F.regexp_replace(_c(text), r"^\s+|\s+$", "")
+
+
 def leading_int(text: str | Column) -> Column:
-    """Leading integer of the trimmed text ('80-1' -> 80), else 0."""
-    digits = F.regexp_extract(F.trim(_c(text)), r"^(\d+)", 1)
+    """Leading integer of the stripped text ('80-1' -> 80), else 0."""
+    digits = F.regexp_extract(strip(text), r"^(\d+)", 1)
     return F.coalesce(digits.try_cast("int"), F.lit(0))
 
 
 def digits_int(text: str | Column) -> Column:
-    """All-digit trimmed text -> int, anything else (or overflow) -> 0."""
-    t = F.trim(_c(text))
+    """All-digit stripped text -> int, anything else (or overflow) -> 0."""
+    t = strip(text)
     return F.when(t.rlike(r"^\d+$"), F.coalesce(t.try_cast("int"), F.lit(0))).otherwise(F.lit(0))
 
 
 def team(team_text: str | Column, contract_text: str | Column) -> Column:
     """'Free' when the contract mentions it or the team is empty."""
-    tm = F.coalesce(F.trim(_c(team_text)), F.lit(""))
-    ct = F.coalesce(F.trim(_c(contract_text)), F.lit(""))
+    tm = F.coalesce(strip(team_text), F.lit(""))
+    ct = F.coalesce(strip(contract_text), F.lit(""))
     return F.when(ct.contains("Free") | (tm == ""), F.lit("Free")).otherwise(tm)
 
 

@@ -44,11 +44,15 @@ def first_element(html: str | Column, tag: str) -> Column:
     return F.when(_c(html).rlike(rf"(?is)<{tag}\b[^>]*>.*?</{tag}>"), inner)
 
 
+EDGE_SPACE_PATTERN = r"^\s+|\s+$"
+
+
 def text(fragment: str | Column) -> Column:
-    """Visible text of a fragment: tags removed, entities decoded, trimmed."""
+    """Visible text of a fragment: tags removed, entities decoded, leading and
+    trailing whitespace of every kind stripped (inner whitespace kept)."""
     t = F.regexp_replace(_c(fragment), TAG_PATTERN, "")
     t = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, t)
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return F.regexp_replace(t, EDGE_SPACE_PATTERN, "")
 
 
 def anchor_text(fragment: str | Column) -> Column:

@@ -58,7 +58,8 @@ def text_sql(fragment: str) -> str:
     t = f"regexp_replace({fragment}, '{TAG_PATTERN}', '', 'g')"
     for a, b in ENTITIES:
         t = f"replace({t}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
-    return f"trim(regexp_replace({t}, '\\s+', ' ', 'g'))"
+    from valorem.functions.html import EDGE_SPACE_PATTERN
+    return f"regexp_replace({t}, '{EDGE_SPACE_PATTERN}', '', 'g')"
 
 
 def anchor_text_sql(fragment: str) -> str:

@@ -268,9 +268,9 @@ nc AS (SELECT l_orderkey, l_linenumber,
     WHEN 2 THEN 'x' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
     ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '+2' END AS raw
 FROM lineitem)""", body=r"""
-SELECT *, coalesce(TRY_CAST(regexp_extract(trim(raw), '^(\d+)', 1) AS INTEGER), 0) AS leading,
-       CASE WHEN regexp_matches(trim(raw), '^\d+$') THEN coalesce(TRY_CAST(trim(raw) AS INTEGER), 0) ELSE 0 END AS digits
-FROM nc"""))
+SELECT * EXCLUDE (st), coalesce(TRY_CAST(regexp_extract(st, '^(\d+)', 1) AS INTEGER), 0) AS leading,
+       CASE WHEN regexp_matches(st, '^\d+$') THEN coalesce(TRY_CAST(st AS INTEGER), 0) ELSE 0 END AS digits
+FROM (SELECT *, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS st FROM nc) x"""))
 def clean_numeric(spark, sf_dir):
     return cells.parse_numbers(cells.number_cells(table(spark, sf_dir, "lineitem")))
 
@@ -285,8 +285,8 @@ ec AS (SELECT CAST(c_custkey AS VARCHAR) AS "ID",
   CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Free' ELSE CAST(2025 + c_nationkey % 5 AS VARCHAR) END AS contract_cell,
   ({_CODES_SQL})[c_custkey % {len(POSITION_CODES)} + 1] AS position_code
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)""", f"""
-et AS (SELECT "ID", position_code, coalesce(trim({anchor_text_sql('team_cell')}), '') AS tm,
-              coalesce(trim(contract_cell), '') AS ct FROM ec)""", body=f"""
+et AS (SELECT "ID", position_code, coalesce({anchor_text_sql('team_cell')}, '') AS tm,
+              coalesce(regexp_replace(contract_cell, '^\\s+|\\s+$', '', 'g'), '') AS ct FROM ec)""", body=f"""
 SELECT "ID", position_code, CASE WHEN contains(ct, 'Free') OR tm = '' THEN 'Free' ELSE tm END AS "Team",
        {category_sql('position_code')} AS "Position category" FROM et"""))
 def clean_team_category(spark, sf_dir):
