@@ -750,3 +750,15 @@ def model_calibration(spark, sf_dir):
     models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
     scored = train.predict(models, prepared.filter(F.col("split") == "train"), S.MODEL_KINDS)
     return metrics.calibration(scored, ["model", "segment"])
+
+
+@register("listing_status", f"""
+WITH b AS (SELECT regexp_replace(html, '{H.NOISE_PATTERN}', '', 'g') AS body FROM pages),
+r AS (SELECT regexp_extract_all(body, '{H.element_pattern('li')}', 1) AS rws FROM b),
+p AS (SELECT len(rws) AS n_rows,
+             coalesce(list_sum(list_transform(rws, lambda x: len(regexp_extract_all(x, '{H.element_pattern('a')}', 1)))), 0)
+               AS n_cells FROM r)
+SELECT count(*) AS pages, count(*) FILTER (WHERE n_rows = 0) AS pages_without_rows,
+       CAST(sum(n_rows) AS BIGINT) AS rows, CAST(sum(n_cells) AS BIGINT) AS cells FROM p""")
+def listing_status(spark, sf_dir):
+    return pages.extraction_status(table(spark, sf_dir, "pages"))

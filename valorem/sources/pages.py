@@ -80,3 +80,20 @@ def page_manifest(spark: SparkSession, base_url: str, max_pages: int = 5) -> Dat
 def manifest_pages(spark: SparkSession, pages: DataFrame, base_url: str, max_pages: int = 5) -> DataFrame:
     """Stored pages of the manifest, in page order (inner join on url)."""
     return page_manifest(spark, base_url, max_pages).join(pages, "url")
+
+
+def extraction_status(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") -> DataFrame:
+    """One status row for an extraction run: pages read, pages that yielded no
+    row, rows and cells extracted. An empty run is reported, not silent, and
+    the caller decides what to do with it. One aggregate pass over the pages."""
+    body = html.strip_noise(F.col("html"))
+    rows = html.elements(body, row_tag)
+    per_page = pages.select(
+        F.size(rows).alias("n_rows"),
+        F.aggregate(F.transform(rows, lambda r: F.size(html.elements(r, cell_tag))), F.lit(0),
+                    lambda acc, x: acc + x).alias("n_cells"))
+    return per_page.agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(F.col("n_rows") == 0).alias("pages_without_rows"),
+        F.sum("n_rows").cast("bigint").alias("rows"),
+        F.sum("n_cells").cast("bigint").alias("cells"))
