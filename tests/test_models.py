@@ -132,3 +132,13 @@ def test_band_fitted_on_train_by_default_and_on_all_rows_in_parity(spark):
     rows = tagged.select("segment", "Value_log").collect()
     assert train.prepare_training(m).count() == inside(rows, band_train)
     assert train.prepare_training(m, parity=True).count() == inside(rows, band_all)
+
+
+def test_forest_refit_is_reproducible(spark, models):
+    prepared, _ = models
+    rows = train.stable_layout(prepared.filter((F.col("split") == "train") & (F.col("segment") == "field")))
+    a = train.fit(rows, "field", "forest", tune=False).transform(rows).select("ID", "prediction").collect()
+    # a different upstream partitioning gives the same layout, hence the same forest
+    rows2 = train.stable_layout(prepared.repartition(3).filter((F.col("split") == "train") & (F.col("segment") == "field")))
+    b = train.fit(rows2, "field", "forest", tune=False).transform(rows2).select("ID", "prediction").collect()
+    assert sorted(a) == sorted(b)
