@@ -115,3 +115,9 @@ def test_segment_filters(spark):
     assert sorted(r.ID for r in segments.segment_rows(df, "goalkeeper").collect()) == ["1"]
     assert sorted(r.ID for r in segments.segment_rows(df, "field").collect()) == ["2", "4", "5"]
     assert {r.ID: r["Position category"] for r in df.collect()}["3"] == "unknown"
+
+
+def test_upsert_stats_empty(spark):
+    e = spark.createDataFrame([], "ID string, v int")
+    st = upsert.upsert_stats(e, e).first()
+    assert (st.existing_rows, st.new_rows, st.merged_rows, st.added, st.removed) == (0, 0, 0, 0, 0)

@@ -39,12 +39,17 @@ def keep_last(existing: DataFrame, new: DataFrame, key: str = "ID", seq: str | N
 
 
 def upsert_stats(existing: DataFrame, new: DataFrame, key: str = "ID", seq: str | None = None) -> DataFrame:
-    """existing / new / merged rows, added = merged - existing, removed = (existing + new) - merged."""
-    merged_n = keep_last(existing, new, key, seq).agg(F.count(F.lit(1))).scalar()
-    counts = tagged_union(existing, new, seq).agg(
-        F.count_if(F.col("_src") == 0).alias("existing_rows"),
-        F.count_if(F.col("_src") == 1).alias("new_rows"))
-    return counts.select(
-        "existing_rows", "new_rows", merged_n.alias("merged_rows"),
-        (merged_n - F.col("existing_rows")).alias("added"),
-        (F.col("existing_rows") + F.col("new_rows") - merged_n).alias("removed"))
+    """existing / new / merged rows, added = merged - existing, removed = (existing + new) - merged.
+
+    One pass: rows are grouped by key once (map-side partial counts), and the
+    number of groups is the merged row count.
+    """
+    per_key = tagged_union(existing, new, seq).groupBy(key).agg(
+        F.count_if(F.col("_src") == 0).alias("e"), F.count_if(F.col("_src") == 1).alias("n"))
+    st = per_key.agg(F.coalesce(F.sum("e"), F.lit(0)).cast("bigint").alias("existing_rows"),
+                     F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("new_rows"),
+                     F.count(F.lit(1)).alias("merged_rows"))
+    return st.select(
+        "existing_rows", "new_rows", "merged_rows",
+        (F.col("merged_rows") - F.col("existing_rows")).alias("added"),
+        (F.col("existing_rows") + F.col("new_rows") - F.col("merged_rows")).alias("removed"))
