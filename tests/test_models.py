@@ -142,3 +142,12 @@ def test_forest_refit_is_reproducible(spark, models):
     rows2 = train.stable_layout(prepared.repartition(3).filter((F.col("split") == "train") & (F.col("segment") == "field")))
     b = train.fit(rows2, "field", "forest", tune=False).transform(rows2).select("ID", "prediction").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_batch_scorer_csv_output(spark, models):
+    _, m = models
+    env = feed.publish(master(spark, SF_SMALL).limit(20), key="ID", columns=S.MESSAGE_COLUMNS)
+    root = scratch_path(spark, "csv-out")
+    listener.batch_scorer(m, ["forest"], f"{root}/out", f"{root}/rej", fmt="csv")(listener.decoded(env), 0)
+    back = spark.read.option("header", True).csv(f"{root}/out")
+    assert back.count() == 20 and "Prediction_euros" in back.columns and "model_type" in back.columns

@@ -49,24 +49,29 @@ def decoded(stream: DataFrame) -> DataFrame:
     return msgs.withColumn("segment", feed_route("Position category"))
 
 
-def batch_scorer(models: dict, kinds: list[str], out_path: str, reject_path: str, factor: float = 1.0):
+def _writer(df: DataFrame, fmt: str):
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+    return w.option("header", True) if fmt == "csv" else w
+
+
+def batch_scorer(models: dict, kinds: list[str], out_path: str, reject_path: str, factor: float = 1.0,
+                 fmt: str = "parquet"):
     """foreachBatch function: score one micro-batch with every kind, write it
-    under its own batch_id partition (dynamic overwrite)."""
+    under its own batch_id partition (dynamic overwrite). ``fmt`` is the
+    output format (parquet, or csv with a header as report files)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             bad = batch.filter(F.col("_corrupt").isNotNull()).select(
                 F.lit(batch_id).alias("batch_id"), "key", "partition", "offset", F.col("_corrupt").alias("value"))
-            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id").parquet(reject_path))
+            _writer(bad, fmt).partitionBy("batch_id").save(reject_path)
             good = batch.filter(F.col("_corrupt").isNull())
             scored = train.predict(models, good, kinds)
             out = scored.select(
                 F.lit(batch_id).alias("batch_id"), F.col("model").alias("model_type"), "key", "partition",
                 "offset", "Name", "segment", (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id", "model_type").parquet(out_path))
+            _writer(out, fmt).partitionBy("batch_id", "model_type").save(out_path)
         finally:
             batch.unpersist()
 
@@ -75,8 +80,8 @@ def batch_scorer(models: dict, kinds: list[str], out_path: str, reject_path: str
 
 def start(stream: DataFrame, models: dict, kinds: list[str], out_path: str, reject_path: str,
           checkpoint: str, available_now: bool = False, interval: str = "5 seconds",
-          factor: float = 1.0) -> StreamingQuery:
-    w = (decoded(stream).writeStream.foreachBatch(batch_scorer(models, kinds, out_path, reject_path, factor))
+          factor: float = 1.0, fmt: str = "parquet") -> StreamingQuery:
+    w = (decoded(stream).writeStream.foreachBatch(batch_scorer(models, kinds, out_path, reject_path, factor, fmt))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
