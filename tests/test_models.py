@@ -151,3 +151,16 @@ def test_batch_scorer_csv_output(spark, models):
     listener.batch_scorer(m, ["forest"], f"{root}/out", f"{root}/rej", fmt="csv")(listener.decoded(env), 0)
     back = spark.read.option("header", True).csv(f"{root}/out")
     assert back.count() == 20 and "Prediction_euros" in back.columns and "model_type" in back.columns
+
+
+def test_scoring_flags_against_the_training_band(spark, models):
+    _, m = models
+    df = master(spark, SF_SMALL)
+    seg, band = train.training_band(df)
+    s = score.score_table(m, df, ["forest"], band=band)
+    flagged = {r.ID for r in s.filter("is_outlier").collect()}
+    kept = {r.ID for r in train.prepare_training(df).collect()}
+    in_seg = {r.ID for r in seg.collect()}
+    # exactly the segment rows the training band trims are flagged, none dropped
+    assert flagged == in_seg - kept
+    assert s.count() == len(in_seg)

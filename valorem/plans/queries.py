@@ -619,8 +619,7 @@ def feature_importance(spark, sf_dir):
 def score_batch(spark, sf_dir):
     """Every master row in a model segment scored by every kind; rows outside
     the frozen training band are flagged, never dropped."""
-    prepared = train.prepare_training(master_table(spark, sf_dir))
-    band = prepare.fit_band(prepared.filter(F.col("split") == "train"), "segment")
+    _, band = train.training_band(master_table(spark, sf_dir))
     return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS,
                              band=band)
 

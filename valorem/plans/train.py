@@ -89,10 +89,17 @@ def prepare_training(df: DataFrame, cap: float = S.VALUE_CAP, parity: bool = Fal
     like the original flow that trimmed before splitting) and applied to both
     splits.
     """
+    seg, band = training_band(df, cap, parity)
+    return prepare.apply_band(seg, band, "segment")
+
+
+def training_band(df: DataFrame, cap: float = S.VALUE_CAP, parity: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(segment rows capped and logged, the frozen band fitted on them) — the
+    band ``prepare_training`` trims with, and scoring flags against."""
     tagged = segments.with_split(segments.with_segments(df))
     seg = prepare.cap_log(tagged.filter(F.col("segment").isNotNull()), cap)
     fit_on = seg if parity else seg.filter(F.col("split") == "train")
-    return prepare.apply_band(seg, prepare.fit_band(fit_on, "segment"), "segment")
+    return seg, prepare.fit_band(fit_on, "segment")
 
 
 def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
