@@ -121,3 +121,10 @@ def test_upsert_stats_empty(spark):
     e = spark.createDataFrame([], "ID string, v int")
     st = upsert.upsert_stats(e, e).first()
     assert (st.existing_rows, st.new_rows, st.merged_rows, st.added, st.removed) == (0, 0, 0, 0, 0)
+
+
+def test_top_distinct_ignores_null_values_per_name(spark):
+    df = spark.createDataFrame([("1", "A", 20.0, None), ("2", "A", 21.0, 3.0), ("3", "B", 30.0, None)],
+                               "ID string, Name string, Age double, Value double")
+    got = report.top_distinct(df, "Name", "Value", 10, ["Name", "Value"]).collect()
+    assert [(r.Name, r.Value) for r in got] == [("A", 3.0), ("B", None)]

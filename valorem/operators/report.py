@@ -55,7 +55,8 @@ def top_distinct(df: DataFrame, key: str, value: str, k: int, columns: list[str]
                  tiebreak: str = "ID") -> DataFrame:
     """Highest ``value`` per ``key``, then the k largest; ties broken by tiebreak, then key."""
     needed = list(dict.fromkeys([key, value, tiebreak, *columns]))
-    best = keep_first(df.select(*needed), key, [-F.col(value), F.col(tiebreak)])
+    # rows with a value first, then the highest value, then the smallest tiebreak
+    best = keep_first(df.select(*needed), key, [F.col(value).isNull(), -F.col(value), F.col(tiebreak)])
     return best.orderBy(F.col(value).desc(), F.col(key).asc()).limit(k).select(*columns)
 
 
