@@ -14,9 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valorem import schema as S
-from valorem.operators import report, segments
-from valorem.plans.oracle_sql import REPORT_BASE_SQL, SEGMENTS_SQL, with_ctes
-from valorem.sources.tables import master, master_table
+from valorem.functions import html as H
+from valorem.functions.clean import feed_route
+from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
+from valorem.plans import score, train
+from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
+                                      money_sql, q, trimmed_sql, with_ctes)
+from valorem.session import materialize, scratch_path
+from valorem.sources import cells, csv_io, feed, pages
+from valorem.sources.cells import POSITION_CODES
+from valorem.sources.tables import master, master_sql, master_table, table
+from valorem.streaming import listener
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -89,8 +97,6 @@ def hash_split(spark, sf_dir):
 # Profiles
 # ---------------------------------------------------------------------------
 
-from valorem.operators import profile  # noqa: E402
-from valorem.plans.oracle_sql import q  # noqa: E402
 
 
 def _unnest(items: list[str], source: str) -> str:
@@ -226,13 +232,6 @@ def numeric_normalise(spark, sf_dir):
 # Ingest: cleaning, listing extraction, upsert
 # ---------------------------------------------------------------------------
 
-from valorem.functions import html as H  # noqa: E402
-from valorem.operators import prepare, upsert, validate  # noqa: E402
-from valorem.plans.oracle_sql import (ENVELOPE_SQL, anchor_text_sql, category_sql,  # noqa: E402
-                                      money_sql, text_sql, trimmed_sql)
-from valorem.sources import cells, feed, pages  # noqa: E402
-from valorem.sources.cells import POSITION_CODES  # noqa: E402
-from valorem.sources.tables import master_sql, table  # noqa: E402
 
 _MONEY_CELLS_SQL = """
 mc AS (SELECT l_orderkey, l_linenumber,
@@ -431,7 +430,6 @@ feed_rows AS (SELECT "Name", "ID", "Team", "Position category", {_NUMERIC_TRUNC}
 
 def bounded_feed(spark, sf_dir):
     """First 300 messages, decoded, 3-sigma band over all of them, numbers truncated."""
-    from valorem.session import materialize
     # at most FEED_CAP rows: read once, then reused by every statistic below
     msgs = materialize(feed.decode(feed.bounded_read(entity_envelope(spark, sf_dir), FEED_CAP)))
     trimmed = prepare.trim_all(prepare.cap_log(msgs, cap=None), k=S.TRIM_SIGMAS["feed"])
@@ -467,7 +465,6 @@ def combined_scaler_stats(spark, sf_dir):
 def _baseline_predictions(spark, sf_dir):
     """Per-segment mean Value of the training split, scored on the test split:
     goalkeeper rows by the goalkeeper mean, every other row by the field mean."""
-    from valorem.functions.clean import feed_route
     tagged = segments.with_split(segments.with_segments(master_table(spark, sf_dir)))
     means = (tagged.filter((F.col("split") == "train") & F.col("segment").isNotNull())
                    .groupBy(F.col("segment").alias("route")).agg(F.avg("Value").alias("mean_value")))
@@ -524,7 +521,6 @@ def entity_comparison_long(spark, sf_dir):
 
 
 def _baseline_frame(spark, sf_dir):
-    from valorem.operators import metrics
     prepared = segments.with_split(prepare.trim_segments(segments.with_segments(master_table(spark, sf_dir))))
     return metrics.baseline_predictions(prepared)
 
@@ -544,7 +540,6 @@ rm AS (SELECT model, segment, count(*) AS n, sqrt(avg(pow(prediction - "Value_lo
 @register("rmse_by_model", with_ctes(*_BASELINE_SQL, body="""
 SELECT model, segment, n, round(rmse, 6) AS rmse FROM rm"""))
 def rmse_by_model(spark, sf_dir):
-    from valorem.operators import metrics
     return metrics.rmse(_baseline_frame(spark, sf_dir).filter(F.col("split") == "test"), ["model", "segment"])
 
 
@@ -552,7 +547,6 @@ def rmse_by_model(spark, sf_dir):
 SELECT model, round(max(rmse) FILTER (WHERE segment = 'goalkeeper'), 6) AS goalkeeper,
        round(max(rmse) FILTER (WHERE segment = 'field'), 6) AS field FROM rm GROUP BY model"""))
 def model_pivot(spark, sf_dir):
-    from valorem.operators import metrics
     r = metrics.rmse(_baseline_frame(spark, sf_dir).filter(F.col("split") == "test"), ["model", "segment"])
     return metrics.pivot_segments(r, "rmse")
 
@@ -561,7 +555,6 @@ def model_pivot(spark, sf_dir):
 SELECT model, segment, round(sum(exp("Value_log") - 1) / sum(exp(prediction) - 1), 6) AS factor
 FROM scored WHERE split = 'train' GROUP BY model, segment"""))
 def calibration_factor(spark, sf_dir):
-    from valorem.operators import metrics
     return metrics.calibration(_baseline_frame(spark, sf_dir).filter(F.col("split") == "train"), ["model", "segment"])
 
 
@@ -571,8 +564,6 @@ def calibration_factor(spark, sf_dir):
 
 @register("csv_round_trip", with_ctes(body="SELECT * FROM master"))
 def csv_round_trip(spark, sf_dir):
-    from valorem.session import scratch_path
-    from valorem.sources import csv_io
     path = scratch_path(spark, "master-csv")
     csv_io.write_csv(master_table(spark, sf_dir).select(*S.MESSAGE_COLUMNS), path)
     return csv_io.read_by_name(spark, path)
@@ -582,7 +573,6 @@ def csv_round_trip(spark, sf_dir):
 # Models (rows-only checks: fitted models have no SQL equivalent)
 # ---------------------------------------------------------------------------
 
-from valorem.plans import score, train  # noqa: E402
 
 
 def _models(spark, sf_dir, kinds):
@@ -601,7 +591,6 @@ def _train_eval(kind):
 def train_all(spark, sf_dir):
     """The full training run: every kind x both segments, cross-validated
     (78 fits); returns the test RMSE per (model, segment)."""
-    from valorem.operators import metrics
     preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
     return metrics.rmse(preds, ["model", "segment"])
 
@@ -638,8 +627,6 @@ STREAM_FILES = 5
 def stream_score_append(spark, sf_dir):
     """Publish the master rows as envelope files, score them with a streaming
     query (availableNow, 2 files per trigger) and return the appended output."""
-    from valorem.session import scratch_path
-    from valorem.streaming import listener
     models = _models(spark, sf_dir, S.MODEL_KINDS)
     root = scratch_path(spark, "stream")
     feed.write_envelope(entity_envelope(spark, sf_dir), f"{root}/topic", files=STREAM_FILES)
@@ -718,7 +705,6 @@ def training_report(spark, sf_dir):
 def model_round_trip(spark, sf_dir):
     """Forest models saved whole (assembler + scaler + forest) to the shared
     folder, loaded back and used to score every master row in a segment."""
-    from valorem.session import scratch_path
     models = _models(spark, sf_dir, ["forest"])
     loaded = {}
     for (segment, kind), model in models.items():
@@ -732,8 +718,6 @@ def model_round_trip(spark, sf_dir):
 def csv_copy(spark, sf_dir):
     """Master exported as CSV, copied with its header kept, and read back with
     inferred types (every part of the directory)."""
-    from valorem.session import scratch_path
-    from valorem.sources import csv_io
     src, dst = scratch_path(spark, "export"), scratch_path(spark, "copy")
     csv_io.write_csv(master_table(spark, sf_dir), src)
     csv_io.copy_csv(spark, src, dst)
@@ -744,7 +728,6 @@ def csv_copy(spark, sf_dir):
 def model_calibration(spark, sf_dir):
     """Learned calibration factor of every trained model: sum(actual) /
     sum(predicted) on the money scale over the training split."""
-    from valorem.operators import metrics
     prepared = train.prepare_training(master_table(spark, sf_dir))
     models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
     scored = train.predict(models, prepared.filter(F.col("split") == "train"), S.MODEL_KINDS)
