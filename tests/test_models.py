@@ -164,3 +164,21 @@ def test_scoring_flags_against_the_training_band(spark, models):
     # exactly the segment rows the training band trims are flagged, none dropped
     assert flagged == in_seg - kept
     assert s.count() == len(in_seg)
+
+
+def test_features_null_and_zero_variance(spark):
+    """A row with a null feature is skipped by the assembler; a constant
+    feature scales to 0 and does not break the fit."""
+    rows = [(str(i), float(i % 7) + 1.0, 50.0, float(i), 10.0 + i, 1.0) for i in range(40)]
+    rows.append(("null", None, 50.0, 1.0, 2.0, 1.0))
+    cols = ["ID", "Age", "Overall rating", "Potential", "Wage", "Value_log"]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" if c != "ID" else "ID string" for c in cols))
+    for f in S.FIELD_FEATURES:
+        if f not in df.columns:
+            df = df.withColumn(f, F.lit(3.0))          # zero-variance features
+    model = train.fit(df, "field", "linear", tune=False)
+    out = model.transform(df)
+    assert out.count() == 40 and "null" not in {r.ID for r in out.select("ID").collect()}
+    scaler = model.stages[1]
+    const_slots = [i for i, f in enumerate(S.FIELD_FEATURES) if f not in cols]
+    assert all(scaler.std[i] == 0.0 for i in const_slots)

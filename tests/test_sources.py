@@ -29,7 +29,7 @@ def _row(name="A. Example", pid="158023", age="36", value="€28.5M", wage="€9
 
 def test_table_listings(spark):
     body = "".join([_row(), _row(pid="2", n=65), _row(pid="3", value="abcM"), _row(pid="4", value="€0"),
-                    _row(pid="5", team="", contract="Free", position="GK", age="x1")])
+                    _row(pid="5", team="", contract="Free", position="GK", age="x1"), _row(pid="6", wage="-")])
     page = f"<html><script>var t='<table>';</script><table><thead></thead><tbody>{body}</tbody></table><table></table></html>"
     df = spark.createDataFrame([(1, "u1", page), (2, "u2", "<html><p>no table</p></html>")], "page_id long, url string, html string")
     got = {r.ID: r for r in pages.table_listings(df, with_rejects=True).collect()}

@@ -130,7 +130,7 @@ _CACHE: dict = {}
 
 
 def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], cache_key=None,
-                  tune: bool = True, concurrency: int = 8) -> dict[tuple[str, str], PipelineModel]:
+                  tune: bool = True, concurrency: int = 8, cv_parallelism: int = 4) -> dict[tuple[str, str], PipelineModel]:
     """{(segment, kind): model} for both segments; models are reused per cache_key.
 
     The (segment, kind) fits are independent Spark jobs over one persisted
@@ -156,7 +156,8 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
         def run(job):
             segment, kind = job
             t0 = time.time()
-            model = fit(train.filter(F.col("segment") == segment), segment, kind, tune=tune)
+            model = fit(train.filter(F.col("segment") == segment), segment, kind, parallelism=cv_parallelism,
+                        tune=tune)
             model._fit_seconds = time.time() - t0  # noqa: SLF001
             return job, model
 
