@@ -677,10 +677,10 @@ EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
 
 
-@register("event_envelope", """
+@register("event_envelope", f"""
 WITH e AS (SELECT *, CAST(user_id AS VARCHAR) AS key, 'events' AS topic,
   CAST(coalesce(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition",
-  ('0x' || substr(md5(coalesce(CAST(event_id AS VARCHAR), '')), 9, 8))::BIGINT % 64 AS sub FROM events)
+  ('0x' || substr(md5(coalesce(CAST(event_id AS VARCHAR), '')), 9, 8))::BIGINT % {feed.DEFAULT_SUB_BUCKETS} AS sub FROM events)
 SELECT key, topic, "partition",
        CAST(row_number() OVER (PARTITION BY "partition" ORDER BY sub, event_id) - 1 AS BIGINT) AS "offset",
        event_id, user_id, event_type, value, props

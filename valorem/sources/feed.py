@@ -25,7 +25,9 @@ from valorem.operators.segments import hash_bucket
 
 DEFAULT_TOPIC = "entities"
 DEFAULT_PARTITIONS = 3
-DEFAULT_SUB_BUCKETS = 64
+# sub-buckets per topic partition: the offset windows run as (partitions x this)
+# independent groups, so the numbering spreads over thousands of tasks
+DEFAULT_SUB_BUCKETS = 4096
 
 
 def _sub_bucket(cols: list[str], n: int) -> F.Column:
