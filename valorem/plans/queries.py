@@ -714,10 +714,12 @@ def model_round_trip(spark, sf_dir):
     return score.score_table(loaded, master_table(spark, sf_dir), ["forest"])
 
 
-@register("csv_copy")
+@register("csv_copy", with_ctes(body='SELECT * REPLACE (CAST("ID" AS INTEGER) AS "ID") FROM master'))
 def csv_copy(spark, sf_dir):
     """Master exported as CSV, copied with its header kept, and read back with
-    inferred types (every part of the directory)."""
+    inferred types (every part of the directory). Inference turns the numeric
+    IDs into integers — the reason the master itself is read by name with a
+    fixed schema instead."""
     src, dst = scratch_path(spark, "export"), scratch_path(spark, "copy")
     csv_io.write_csv(master_table(spark, sf_dir), src)
     csv_io.copy_csv(spark, src, dst)
