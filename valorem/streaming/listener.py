@@ -65,7 +65,8 @@ def batch_scorer(models: dict, kinds: list[str], out_path: str, reject_path: str
         try:
             bad = batch.filter(F.col("_corrupt").isNotNull()).select(
                 F.lit(batch_id).alias("batch_id"), "key", "partition", "offset", F.col("_corrupt").alias("value"))
-            _writer(bad, fmt).partitionBy("batch_id").save(reject_path)
+            if not bad.isEmpty():  # the batch is persisted: a cheap check that skips an empty write
+                _writer(bad, fmt).partitionBy("batch_id").save(reject_path)
             good = batch.filter(F.col("_corrupt").isNull())
             scored = train.predict(models, good, kinds)
             out = scored.select(
