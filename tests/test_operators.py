@@ -128,3 +128,14 @@ def test_top_distinct_ignores_null_values_per_name(spark):
                                "ID string, Name string, Age double, Value double")
     got = report.top_distinct(df, "Name", "Value", 10, ["Name", "Value"]).collect()
     assert [(r.Name, r.Value) for r in got] == [("A", 3.0), ("B", None)]
+
+
+def test_rescale_with_frozen_master_stats(spark):
+    from valorem.sources.tables import master
+    from conftest import SF_SMALL
+    m = master(spark, SF_SMALL)
+    stats = profile.rescale_stats(m)
+    whole = {r.ID: r for r in profile.rescale_1_99(m).collect()}
+    batch = m.filter(F.col("Age") > 10)                       # a later, partial batch
+    part = profile.rescale_1_99(batch, stats=stats).collect()
+    assert part and all(all(r[c] == whole[r.ID][c] for c in S.TOTAL_COLUMNS) for r in part)

@@ -149,16 +149,31 @@ def pair_bins(df: DataFrame, columns: list[str] = S.PAIR_COLUMNS, bins: int = 10
               .agg(F.count(F.lit(1)).alias("n")))
 
 
-def rescale_1_99(df: DataFrame, columns: list[str] = S.TOTAL_COLUMNS) -> DataFrame:
+def rescale_stats(df: DataFrame, columns: list[str] = S.TOTAL_COLUMNS) -> DataFrame:
+    """One row of min/max per listed column present in ``df`` — the frozen
+    statistics a later batch can be rescaled with (``rescale_1_99(stats=...)``)."""
+    cols = [c for c in columns if c in df.columns]
+    return df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                  *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)])
+
+
+def rescale_1_99(df: DataFrame, columns: list[str] = S.TOTAL_COLUMNS, stats: DataFrame | None = None) -> DataFrame:
     """Min-max rescale to 1..99, half-even rounding; a constant column becomes 1.
 
-    Only the listed columns present in ``df`` are rescaled.
+    Only the listed columns present in ``df`` are rescaled. By default the
+    minimum and maximum come from ``df`` itself; with ``stats`` (from
+    ``rescale_stats`` over the master table) every batch is scaled by the
+    same master-wide bounds, so values stay comparable across batches.
     """
     cols = [c for c in columns if c in df.columns]
-    exprs = {}
-    for i, c in enumerate(cols):
-        exprs[f"lo{i}"], exprs[f"hi{i}"] = F.min(c), F.max(c)
-    st = scalar_stats(df, exprs)
+    if stats is None:
+        exprs = {}
+        for i, c in enumerate(cols):
+            exprs[f"lo{i}"], exprs[f"hi{i}"] = F.min(c), F.max(c)
+        st = scalar_stats(df, exprs)
+    else:
+        one = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+        st = {name: one.getField(name) for name in stats.columns}
     out = {}
     for i, c in enumerate(cols):
         lo, hi = st[f"lo{i}"], st[f"hi{i}"]
