@@ -88,3 +88,8 @@ def test_no_single_partition_window_over_data(spark, name):
             below = " ".join(lines[i + 1:i + 4])
             if "SinglePartition" in below:
                 assert "TakeOrderedAndProject" in below or "GlobalLimit" in below, (name, below)
+
+
+def test_messages_are_parsed_once(spark):
+    df = QUERIES["publish_envelope"](spark, SF_SMALL)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
