@@ -38,7 +38,7 @@ def _norm(v):
     if isinstance(v, bool):
         return (3, str(int(v)))
     if isinstance(v, int):
-        return (2, repr(float(v))) if False else (4, str(v))
+        return (4, str(v))
     if hasattr(v, "isoformat"):
         return (5, v.isoformat(sep=" "))
     if isinstance(v, (list, tuple)):
