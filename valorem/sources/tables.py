@@ -45,7 +45,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valorem import schema as S
 from valorem.functions import clean
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
