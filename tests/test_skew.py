@@ -27,9 +27,9 @@ def test_envelope_spreads_a_hot_key(spark):
     st = part.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"), F.max("offset").alias("hi")).first()
     assert st.n == st.d == st.hi + 1
     # the window groups (partition, sub-bucket) each hold a small share of the rows
-    staged = _hot(spark).select(
-        F.col("user_id").cast("string").alias("k"),
-        feed._sub_bucket(["event_id"], 64).alias("sub"))
+    hot_df = _hot(spark)
+    staged = hot_df.select(F.col("user_id").cast("string").alias("k"),
+                           feed.sub_bucket(hot_df, ["event_id"], 64).alias("sub"))
     biggest = staged.groupBy("sub").count().agg(F.max("count")).first()[0]
     assert biggest < N / 20
 

@@ -677,18 +677,18 @@ EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
 
 
-@register("event_envelope", f"""
+@register("event_envelope", """
 WITH e AS (SELECT *, CAST(user_id AS VARCHAR) AS key, 'events' AS topic,
-  CAST(coalesce(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition",
-  ('0x' || substr(md5(coalesce(CAST(event_id AS VARCHAR), '')), 9, 8))::BIGINT % {feed.DEFAULT_SUB_BUCKETS} AS sub FROM events)
+  CAST(coalesce(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition"
+  FROM events)
 SELECT key, topic, "partition",
-       CAST(row_number() OVER (PARTITION BY "partition" ORDER BY sub, event_id) - 1 AS BIGINT) AS "offset",
+       CAST(row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS BIGINT) AS "offset",
        event_id, user_id, event_type, value, props
 FROM e""")
 def event_envelope(spark, sf_dir):
-    """Events keyed by user: a hot user lands in one topic partition, but the
-    offsets are ordered by event id inside it and computed in sub-buckets of
-    the event id, so no task holds the hot user's rows alone."""
+    """Events keyed by user; inside each topic partition the offsets follow
+    the event id. A hot user lands in one topic partition, but the numbering
+    runs in range sub-buckets of the event id, so no task holds its rows alone."""
     env = feed.publish(table(spark, sf_dir, "events"), key="user_id", columns=EVENT_COLUMNS, topic="events",
                        order=["event_id"])
     return feed.decode(env, schema=EVENT_SCHEMA, keep=["key", "topic", "partition", "offset"])

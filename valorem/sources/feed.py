@@ -5,14 +5,15 @@ shape of a broker record. Publishing assigns each row a partition from the
 hash of its key and a dense per-partition offset. Offsets are computed
 without a single-task window:
 
-* every row gets a sub-bucket from the hash of its ordering columns;
+* every row gets a sub-bucket: a range of its numeric ordering column, or a
+  hash of its ordering columns;
 * one small aggregate counts rows per (partition, sub-bucket) and a window
   over that small table turns the counts into start offsets;
 * a ``row_number`` partitioned by (partition, sub-bucket) adds the position.
 
 So the largest window group is ~1/(partitions x sub_buckets) of the data,
 even when one key holds a third of all rows (its rows spread over
-sub-buckets when the ordering columns include a unique sequence).
+sub-buckets when the ordering column is a unique sequence, e.g. an event id).
 """
 
 from __future__ import annotations
@@ -30,12 +31,35 @@ DEFAULT_PARTITIONS = 3
 DEFAULT_SUB_BUCKETS = 4096
 
 
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def _sub_bucket(cols: list[str], n: int) -> F.Column:
+    """Hash sub-bucket of the ordering columns (any types)."""
     joined = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
     h = F.conv(F.substring(F.md5(joined), 9, 8), 16, 10).cast("bigint")
     return (h % F.lit(n)).cast("int")
 
 
+def sub_bucket(df: DataFrame, order: list[str], n: int) -> F.Column:
+    """Sub-bucket used to spread the offset numbering.
+
+    A single numeric ordering column gets equal-width *range* buckets over
+    its [min, max] (statistics as one scalar subquery): the bucket is
+    monotone in the value, so (bucket, value) order is exactly value order
+    and offsets follow it whatever ``n`` is. Other orderings get hash buckets
+    (offset order is then (hash bucket, ordering columns)).
+    """
+    if len(order) == 1 and dict(df.dtypes)[order[0]] in NUMERIC_TYPES:
+        from valorem.operators.profile import scalar_stats
+        x = F.col(order[0]).cast("double")
+        st = scalar_stats(df, {"lo": F.min(x), "hi": F.max(x)})
+        lo, hi = st["lo"], st["hi"]
+        raw = F.floor((x - lo) * F.lit(n) / (hi - lo)).cast("int")
+        return F.coalesce(F.when(hi > lo, F.least(raw, F.lit(n - 1))), F.lit(0))
+    return _sub_bucket(order, n)
+
+
 def publish(df: DataFrame, key: str = "ID", columns: list[str] | None = None, topic: str = DEFAULT_TOPIC,
             partitions: int = DEFAULT_PARTITIONS, order: list[str] | None = None,
             sub_buckets: int = DEFAULT_SUB_BUCKETS, timestamp: F.Column | None = None) -> DataFrame:
@@ -46,7 +70,7 @@ def publish(df: DataFrame, key: str = "ID", columns: list[str] | None = None, to
         F.col(key).cast("string").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"),
         hash_bucket(F.col(key), partitions).cast("int").alias("partition"),
-        _sub_bucket(order, sub_buckets).alias("_sub"),
+        sub_bucket(df, order, sub_buckets).alias("_sub"),
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
     )
     counts = staged.groupBy("partition", "_sub").agg(F.count(F.lit(1)).alias("_n"))
