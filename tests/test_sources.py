@@ -111,3 +111,22 @@ def test_manifest_pages_and_envelope_files(spark, tmp_path):
     back = feed.read_envelope(spark, str(tmp_path / "topic"))
     assert sorted((r.key, r.partition, r.offset) for r in back.collect()) == \
         sorted((r.key, r.partition, r.offset) for r in env.collect())
+
+
+def test_table_listings_equal_their_sql_formulation(spark):
+    """Spark extraction vs the independent DuckDB formulation on edge rows."""
+    import duckdb
+    from oracle_harness import _rows
+    from valorem.plans.oracle_sql import table_listings_sql
+    body = "".join([_row(), _row(pid="2", n=65), _row(pid="3", value="abcM"), _row(pid="4", value="€0"),
+                    _row(pid="5", team="", contract="Free", position="GK", age="x1"), _row(pid="6", wage="-"),
+                    _row(pid="7", name="  B &amp; C \\n", value="€1,200", wage="€12.5K", position="RES")])
+    page = f"<html><!-- <table> --><table><thead><tr><th>x</th></tr></thead><tbody>{body}</tbody></table></html>"
+    pdf = pd.DataFrame({"page_id": [1, 2], "url": ["u1", "u2"], "html": [page, "<p>no table</p>"]})
+    sdf = pages.table_listings(spark.createDataFrame(pdf), with_rejects=True)
+    con = duckdb.connect()
+    con.register("pages", pdf)
+    rel = con.sql(table_listings_sql())
+    sn, sr = _rows(sdf.columns, [tuple(r) for r in sdf.collect()])
+    dn, dr = _rows(list(rel.columns), rel.fetchall())
+    assert sn == dn and sr == dr and len(sr) == 4

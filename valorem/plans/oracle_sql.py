@@ -96,3 +96,55 @@ envelope AS (
               ORDER BY ('0x' || substr(md5(coalesce("ID", '')), 9, 8))::BIGINT % {SUB_BUCKETS}, "ID") - 1 AS BIGINT) AS "offset"
   FROM master
 )""".replace("{SUB_BUCKETS}", str(DEFAULT_SUB_BUCKETS))
+
+
+def table_listings_sql(pages: str = "pages") -> str:
+    """DuckDB formulation of the 66-cell listing-table extraction (rejects kept)."""
+    from valorem import schema as S
+    from valorem.functions.html import NOISE_PATTERN, element_pattern
+    tbl, tbody, tr, td = (element_pattern(t) for t in ("table", "tbody", "tr", "td"))
+    strip = "regexp_replace({x}, '^\\\\s+|\\\\s+$', '', 'g')"
+
+    def cell(i: int) -> str:
+        return f"cells[{i + 1}]"
+
+    def txt(i: int) -> str:
+        return text_sql(cell(i))
+
+    def digits(i: int) -> str:
+        t = strip.format(x=txt(i))
+        return f"CASE WHEN regexp_matches({t}, '^\\d+$') THEN coalesce(TRY_CAST({t} AS INTEGER), 0) ELSE 0 END"
+
+    def leading(i: int) -> str:
+        return f"coalesce(TRY_CAST(regexp_extract({strip.format(x=txt(i))}, '^(\\d+)', 1) AS INTEGER), 0)"
+
+    team_txt = f"coalesce({strip.format(x=anchor_text_sql(cell(S.CELL_TEAM)))}, '')"
+    contract = f"coalesce({strip.format(x=txt(S.CELL_CONTRACT))}, '')"
+    fields = {
+        "Name": f"coalesce({anchor_text_sql(cell(S.CELL_NAME))}, '')",
+        "ID": txt(S.CELL_ID),
+        "Age": digits(S.CELL_AGE),
+        "Overall rating": leading(S.CELL_OVERALL),
+        "Potential": leading(S.CELL_POTENTIAL),
+        "Team": f"CASE WHEN contains({contract}, 'Free') OR {team_txt} = '' THEN 'Free' ELSE {team_txt} END",
+        "Position category": category_sql(txt(S.CELL_POSITION)),
+        "Value": money_sql(txt(S.CELL_VALUE)),
+        "Wage": money_sql(txt(S.CELL_WAGE)),
+    }
+    for col, idx in zip(S.TOTAL_COLUMNS + S.STAT_COLUMNS, S.TOTAL_CELLS + S.STAT_CELLS):
+        fields[col] = digits(idx)
+    select = ",\n       ".join(f"{v} AS {q(k)}" for k, v in ((c, fields[c]) for c in S.MESSAGE_COLUMNS))
+    return f"""
+WITH b AS (SELECT page_id, regexp_replace(html, '{NOISE_PATTERN}', '', 'g') AS body FROM {pages}),
+t AS (SELECT page_id, CASE WHEN regexp_matches(body, '{tbl}') THEN regexp_extract(body, '{tbl}', 1) END AS tb FROM b),
+tb AS (SELECT page_id, coalesce(CASE WHEN regexp_matches(tb, '{tbody}') THEN regexp_extract(tb, '{tbody}', 1) END, tb)
+              AS tbody FROM t WHERE tb IS NOT NULL),
+r AS (SELECT page_id, regexp_extract_all(tbody, '{tr}', 1) AS rws FROM tb),
+u AS (SELECT page_id, unnest(rws) AS row_html, generate_subscripts(rws, 1) - 1 AS row_index FROM r),
+c AS (SELECT page_id, CAST(row_index AS INTEGER) AS row_index, regexp_extract_all(row_html, '{td}', 1) AS cells FROM u
+      WHERE len(regexp_extract_all(row_html, '{td}', 1)) >= {S.MIN_CELLS}),
+f AS (SELECT page_id, row_index,
+       {select}
+      FROM c)
+SELECT *, ("Value" IS NULL OR "Wage" IS NULL) AS rejected FROM f
+WHERE ("Value" IS NULL OR "Wage" IS NULL) OR ("Value" != 0 AND "Wage" != 0)"""

@@ -19,7 +19,7 @@ from valorem.functions.clean import feed_route
 from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
 from valorem.plans import score, train
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
-                                      money_sql, q, trimmed_sql, with_ctes)
+                                      money_sql, q, table_listings_sql, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
 from valorem.sources import cells, csv_io, feed, pages
 from valorem.sources.cells import POSITION_CODES
@@ -305,7 +305,7 @@ def listing_extract(spark, sf_dir):
     return pages.listing_rows(table(spark, sf_dir, "pages"), "li", "a")
 
 
-@register("listing_table_66")
+@register("listing_table_66", table_listings_sql())
 def listing_table_66(spark, sf_dir):
     """Listing-table layout over every stored page (the driver pages carry no
     tables, so this returns no rows there; the layout is unit-tested)."""
