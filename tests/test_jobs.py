@@ -13,14 +13,15 @@ from test_sources import _row
 
 
 def test_ingest_upserts_and_reports(spark):
-    page = "<table><tbody>" + _row(pid="1") + _row(pid="2", value="€3M") + _row(pid="3", n=10) + "</tbody></table>"
+    page = ("<table><tbody>" + _row(pid="1") + _row(pid="2", value="€3M") + _row(pid="3", n=10)
+            + _row(pid="4", value="xM") + "</tbody></table>")
     pages_df = spark.createDataFrame([(1, "u", page), (2, "v", "<p>none</p>")], "page_id long, url string, html string")
     root = scratch_path(spark, "ingest")
     first = jobs.ingest(spark, pages_df, f"{root}/master")
     m1 = spark.read.parquet(first["master_path"])
     assert sorted(r.ID for r in m1.collect()) == ["1", "2"] and m1.columns == S.MASTER_COLUMNS
     st = first["status"].first()
-    assert (st.pages, st.pages_without_rows, st.rows) == (2, 1, 3)
+    assert (st.pages, st.pages_with_rows, st.rows_kept, st.rows_rejected) == (2, 1, 2, 1)
     assert first["envelope"].count() == 2
     # a second run over a re-read page: new values win, no duplicates
     page2 = "<table><tbody>" + _row(pid="2", value="€4M") + _row(pid="9") + "</tbody></table>"

@@ -32,16 +32,23 @@ def ingest(spark: SparkSession, stored_pages: DataFrame, master_path: str | None
     table at ``master_path`` (new rows win) and publish them.
 
     Returns {"status", "stats", "master_path", "envelope"}: the extraction
-    status row, the upsert statistics, the path of the new master version
+    status row (pages, pages with rows, rows kept, rows rejected for
+    unparsable money), the upsert statistics, the path of the new master version
     (the previous one is never overwritten while it is read) and the
     envelope of the new rows. An empty extraction is reported in ``status``.
     """
-    new = pages.table_listings(stored_pages).select(*S.MASTER_COLUMNS)
+    listed = pages.table_listings(stored_pages, with_rejects=True)
+    new = listed.filter(~F.col("rejected")).select(*S.MASTER_COLUMNS)
+    n_pages = stored_pages.agg(F.count(F.lit(1))).scalar()
+    status = listed.agg(F.count_distinct("page_id").alias("pages_with_rows"),
+                        F.count_if(~F.col("rejected")).alias("rows_kept"),
+                        F.count_if(F.col("rejected")).alias("rows_rejected")
+                        ).select(n_pages.alias("pages"), "pages_with_rows", "rows_kept", "rows_rejected")
     master_path = master_path or scratch_path(spark, "master-table")
     existing = upsert.read_existing(spark, master_path, fmt, new)
     merged = upsert.keep_last(existing.select(*S.MASTER_COLUMNS), new, "ID").drop("source")
     target = csv_io.replace(merged.select(*S.MASTER_COLUMNS), master_path, fmt)
-    return {"status": pages.extraction_status(stored_pages, "tr", "td"),
+    return {"status": status,
             "stats": upsert.upsert_stats(existing, new, "ID"),
             "master_path": target,
             "envelope": feed.publish(new, key="ID", columns=S.MESSAGE_COLUMNS)}
