@@ -182,3 +182,15 @@ def test_features_null_and_zero_variance(spark):
     scaler = model.stages[1]
     const_slots = [i for i, f in enumerate(S.FIELD_FEATURES) if f not in cols]
     assert all(scaler.std[i] == 0.0 for i in const_slots)
+
+
+def test_importance_text_report(spark, models):
+    from valorem.sources import csv_io
+    _, m = models
+    path = scratch_path(spark, "importance-report")
+    csv_io.write_importance_report(train.importances(m, spark), path)
+    lines = spark.read.text(f"{path}/model=forest/segment=field").collect()
+    feats = [ln.value.split(": ")[0] for ln in lines]
+    assert sorted(feats) == sorted(S.FIELD_FEATURES)
+    vals = [float(ln.value.split(": ")[1]) for ln in lines]
+    assert vals == sorted(vals, reverse=True)

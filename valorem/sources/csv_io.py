@@ -70,3 +70,12 @@ def replace(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     target = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").format(fmt).save(target)
     return target
+
+
+def write_importance_report(importances: DataFrame, path: str) -> None:
+    """Plain-text ``feature: importance`` lines in rank order, one folder per
+    (model, segment) — the text form of ``train.importances``."""
+    lines = importances.select("model", "segment", "rank",
+                               F.concat_ws(": ", F.col("feature"), F.col("importance").cast("string")).alias("value"))
+    (lines.repartition("model", "segment").sortWithinPartitions("rank").drop("rank")
+          .write.mode("overwrite").partitionBy("model", "segment").text(path))
