@@ -130,3 +130,8 @@ def test_table_listings_equal_their_sql_formulation(spark):
     sn, sr = _rows(sdf.columns, [tuple(r) for r in sdf.collect()])
     dn, dr = _rows(list(rel.columns), rel.fetchall())
     assert sn == dn and sr == dr and len(sr) == 4
+
+
+def test_broker_read_without_connector_is_empty(spark):
+    df = feed.read_broker_or_empty(spark, "127.0.0.1:9", "entities", retries=1)
+    assert df.count() == 0 and df.schema == S.ENVELOPE_SCHEMA

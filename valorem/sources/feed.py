@@ -138,6 +138,20 @@ def read_broker(spark: SparkSession, servers: str, topic: str, retries: int = 5)
                          "partition", "offset", "timestamp"))
 
 
+def read_broker_or_empty(spark: SparkSession, servers: str, topic: str, retries: int = 5) -> DataFrame:
+    """``read_broker``; when the topic cannot be read (connector missing,
+    broker unreachable after the source's retries) an empty envelope — "no
+    data" is an empty frame, never ``None``."""
+    try:
+        df = read_broker(spark, servers, topic, retries)
+        df.schema  # resolve now: a missing connector fails here
+        return df
+    except Exception as e:  # noqa: BLE001 - any read failure means "no data"
+        import logging
+        logging.getLogger(__name__).warning("no data from %s/%s: %s", servers, topic, str(e).splitlines()[0])
+        return spark.createDataFrame([], S.ENVELOPE_SCHEMA)
+
+
 def write_broker(envelope: DataFrame, servers: str) -> None:
     """Publish to a broker (needs the Kafka connector)."""
     (envelope.select("key", "value", "topic", "partition").write.format("kafka")
