@@ -194,3 +194,22 @@ def test_importance_text_report(spark, models):
     assert sorted(feats) == sorted(S.FIELD_FEATURES)
     vals = [float(ln.value.split(": ")[1]) for ln in lines]
     assert vals == sorted(vals, reverse=True)
+
+
+def test_unbounded_stream_with_processing_time_trigger(spark, models):
+    """The listener as an unbounded query: files arriving while it runs are scored."""
+    _, m = models
+    df = master(spark, SF_SMALL)
+    env = feed.publish(df, key="ID", columns=S.MESSAGE_COLUMNS)
+    root = scratch_path(spark, "unbounded")
+    feed.write_envelope(env.limit(30), f"{root}/topic/a")
+    q = listener.start(spark.readStream.schema(S.ENVELOPE_SCHEMA).option("recursiveFileLookup", True)
+                       .json(f"{root}/topic"), m, ["forest"], f"{root}/out", f"{root}/rej", f"{root}/ckpt",
+                       interval="1 second")
+    try:
+        q.processAllAvailable()
+        feed.write_envelope(env.subtract(env.limit(30)).limit(20), f"{root}/topic/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{root}/out").count() == 50
