@@ -43,3 +43,17 @@ def test_keep_last_and_top_distinct_with_a_hot_key(spark):
     assert got == expect
     top = report.top_distinct(df.withColumn("Name", F.col("ID")), "Name", "Value", 5, ["Name", "Value"]).collect()
     assert len(top) == 5 and len({r.Name for r in top}) == 5
+
+
+def test_salted_prediction_join_spreads_a_hot_name(spark):
+    base = spark.range(N).select(F.col("id").cast("string").alias("ID"),
+                                 F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("Name"),
+                                 F.col("id").cast("double").alias("Value"))
+    preds = spark.createDataFrame([("hot", 1.0, "a"), ("n1", 2.0, "a"), ("n4", 3.0, "a")],
+                                  "Name string, Prediction_euros double, order string")
+    plain = report.attach_predictions(base, [preds])
+    salted = report.attach_predictions(base, [preds], salt=16)
+    assert sorted(salted.collect()) == sorted(plain.collect())
+    # the hot name's rows are spread over every salt value
+    spread = base.filter(F.col("Name") == "hot").select(F.pmod(F.xxhash64("ID"), F.lit(16)).alias("s")).distinct().count()
+    assert spread == 16

@@ -83,10 +83,14 @@ def group_total_share(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
 
 
 def attach_predictions(df: DataFrame, prediction_sets: list[DataFrame], key: str = "Name",
-                       prediction: str = "Prediction_euros", fallback: str = "Value") -> DataFrame:
+                       prediction: str = "Prediction_euros", fallback: str = "Value",
+                       salt: int = 0, salt_by: str = "ID") -> DataFrame:
     """Left-join predictions on ``key``; the earlier set wins for a key present twice,
     and rows without a prediction fall back to ``fallback``.
 
+    With ``salt`` > 1 the join is salted (see below), so a hot key does not
+    depend on adaptive skew handling to be spread.
+
     Each set carries (key, prediction, order) columns; ``order`` (any
     orderable column, e.g. a struct) breaks ties inside a set. Several sources
     already in one frame can be passed as one set with the precedence as the
@@ -97,7 +101,15 @@ def attach_predictions(df: DataFrame, prediction_sets: list[DataFrame], key: str
         t = p.select(key, prediction, F.col("order").alias("_order")).withColumn("_src", F.lit(i))
         tagged = t if tagged is None else tagged.unionByName(t)
     preds = keep_first(tagged, key, [F.col("_src"), F.col("_order")], [key, prediction])
-    joined = df.join(preds, key, "left")
+    if salt > 1:
+        # a key holding a large share of ``df`` is split over ``salt`` join
+        # partitions: each row draws a salt from its own id, and the
+        # prediction side (one row per key) is replicated once per salt value
+        left = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt)).cast("int"))
+        right = preds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        joined = left.join(right, [key, "_salt"], "left").drop("_salt")
+    else:
+        joined = df.join(preds, key, "left")
     return joined.withColumn(prediction, F.coalesce(F.col(prediction), F.col(fallback)))
 
 
