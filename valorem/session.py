@@ -40,12 +40,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     is unset — a bare local test session — a private temp folder is created
     and registered as the checkpoint dir.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="valorem-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():  # e.g. the conf was given after the context started
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
