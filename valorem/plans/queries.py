@@ -581,12 +581,12 @@ def csv_round_trip(spark, sf_dir):
 
 def _models(spark, sf_dir, kinds):
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    return train.fitted_models(spark, prepared, kinds, cache_key=(id(spark), sf_dir))
+    return train.fitted_models(spark, prepared, kinds, cache_key=(spark.sparkContext.applicationId, sf_dir))
 
 
 def _train_eval(kind):
     def run(spark, sf_dir):
-        return train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=(id(spark), sf_dir))
+        return train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=(spark.sparkContext.applicationId, sf_dir))
     run.__name__ = f"train_eval_{kind}"
     return run
 
@@ -595,7 +595,7 @@ def _train_eval(kind):
 def train_all(spark, sf_dir):
     """The full training run: every kind x both segments, cross-validated
     (78 fits); returns the test RMSE per (model, segment)."""
-    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
     return metrics.rmse(preds, ["model", "segment"])
 
 
@@ -701,7 +701,7 @@ def event_envelope(spark, sf_dir):
 @register("training_report")
 def training_report(spark, sf_dir):
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
     return train.training_report(models, spark, prepared)
 
 
@@ -735,7 +735,7 @@ def model_calibration(spark, sf_dir):
     """Learned calibration factor of every trained model: sum(actual) /
     sum(predicted) on the money scale over the training split."""
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(id(spark), sf_dir))
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
     scored = train.predict(models, prepared.filter(F.col("split") == "train"), S.MODEL_KINDS)
     return metrics.calibration(scored, ["model", "segment"])
 

@@ -170,7 +170,7 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     survive executor loss. Written once per session and input folder.
     """
     from valorem.session import scratch_path
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, "master")
