@@ -59,3 +59,27 @@ def test_segment_sets_are_disjoint(spark):
     idx = spark.range(6).select(F.col("id").cast("double").alias("i"))
     segs = [r[0] for r in idx.select(clean.model_segment("i")).collect()]
     assert segs == ["field", "field", "field", "goalkeeper", None, None]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.booleans(), st.floats(min_value=0, max_value=120, allow_nan=False),
+                          st.floats(min_value=30, max_value=120, allow_nan=False),
+                          st.floats(min_value=30, max_value=120, allow_nan=False),
+                          st.floats(min_value=-10, max_value=3e5, allow_nan=False),
+                          st.integers(min_value=-5, max_value=120)), min_size=1, max_size=8))
+def test_validation_matches_ranges(spark, reqs):
+    from valorem.operators import validate
+    others = list(dict.fromkeys(f for f in S.GOALKEEPER_FEATURES + S.FIELD_FEATURES if f not in S.SHARED_FEATURES))
+    rows = [(str(i), gk, a, o, p, w, *[x] * len(others)) for i, (gk, a, o, p, w, x) in enumerate(reqs)]
+    schema = ("ID string, is_goalkeeper boolean, Age double, `Overall rating` double, Potential double, Wage double, "
+              + ", ".join(f"`{f}` int" for f in others))
+    got = {r.ID: r for r in validate.validate(spark.createDataFrame(rows, schema)).collect()}
+    for i, (gk, a, o, p, w, x) in enumerate(reqs):
+        checks = [("Age", int(a), 15, 40), ("Overall rating", int(o), 50, 99), ("Potential", int(p), 50, 99),
+                  ("Wage", int(w), 0, 200000)]
+        seg = S.GOALKEEPER_FEATURES if gk else S.FIELD_FEATURES
+        checks += [(f, x, 1, 99) for f in seg if f not in S.SHARED_FEATURES]
+        first_bad = next((f for f, v, lo, hi in checks if not lo <= v <= hi), None)
+        r = got[str(i)]
+        assert r.valid == (first_bad is None)
+        assert (r.error is None) if first_bad is None else r.error.startswith(first_bad + " must be")
