@@ -57,3 +57,18 @@ def test_salted_prediction_join_spreads_a_hot_name(spark):
     # the hot name's rows are spread over every salt value
     spread = base.filter(F.col("Name") == "hot").select(F.pmod(F.xxhash64("ID"), F.lit(16)).alias("s")).distinct().count()
     assert spread == 16
+
+
+def test_pruned_top_distinct_equals_unpruned(spark):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):
+        name = "hot" if i % 3 == 0 else f"n{rnd.randint(0, 400)}"
+        v = None if i % 97 == 0 else float(rnd.randint(0, 2000))
+        rows.append((str(i), name, float(i % 50), v))
+    df = spark.createDataFrame(rows, "ID string, Name string, Age double, Value double")
+    for k in (1, 5, 10, 100, 500):
+        a = report.top_distinct(df, "Name", "Value", k, ["Name", "Age", "Value"], prune=True).collect()
+        b = report.top_distinct(df, "Name", "Value", k, ["Name", "Age", "Value"], prune=False).collect()
+        assert a == b, k

@@ -52,11 +52,26 @@ def keep_first(df: DataFrame, key: str, order: list[Column], columns: list[str]
 
 
 def top_distinct(df: DataFrame, key: str, value: str, k: int, columns: list[str],
-                 tiebreak: str = "ID") -> DataFrame:
-    """Highest ``value`` per ``key``, then the k largest; ties broken by tiebreak, then key."""
+                 tiebreak: str = "ID", prune: bool = True, sample_factor: int = 4) -> DataFrame:
+    """Highest ``value`` per ``key``, then the k largest; ties broken by tiebreak, then key.
+
+    With ``prune`` the de-duplication only sees rows that can matter: the
+    top ``sample_factor * k`` rows by value (a per-partition top-k, no
+    shuffle of the data) give the k-th largest per-key maximum among them,
+    ``L``. At least k keys really reach ``L``, so every key of the answer has
+    its maximum at or above it, and rows below ``L`` are dropped before the
+    shuffle. ``L`` enters as a scalar subquery; when the sample holds fewer
+    than k keys there is no filter. The result is exact either way.
+    """
     needed = list(dict.fromkeys([key, value, tiebreak, *columns]))
+    rows = df.select(*needed)
+    if prune:
+        sample = rows.filter(F.col(value).isNotNull()).orderBy(F.col(value).desc()).limit(sample_factor * k)
+        per_key = sample.groupBy(key).agg(F.max(value).alias("_mx")).orderBy(F.col("_mx").desc()).limit(k)
+        bound = per_key.agg(F.when(F.count(F.lit(1)) == k, F.min("_mx")).alias("_lo")).select("_lo").scalar()
+        rows = rows.filter(bound.isNull() | (F.col(value) >= bound))
     # rows with a value first, then the highest value, then the smallest tiebreak
-    best = keep_first(df.select(*needed), key, [F.col(value).isNull(), -F.col(value), F.col(tiebreak)])
+    best = keep_first(rows, key, [F.col(value).isNull(), -F.col(value), F.col(tiebreak)])
     return best.orderBy(F.col(value).desc(), F.col(key).asc()).limit(k).select(*columns)
 
 
