@@ -41,3 +41,15 @@ def test_train_save_load_and_score_feed(spark):
     env = feed.publish(df, key="ID", columns=S.MESSAGE_COLUMNS)
     scored = jobs.score_feed(loaded, env, ["forest", "linear"], max_messages=50)
     assert scored.count() == 100 and scored.filter(F.col("Prediction_euros").isNull()).count() == 0
+
+
+def test_command_line_train_and_score(spark):
+    from valorem.__main__ import main
+    root = scratch_path(spark, "cli")
+    master(spark, SF_SMALL).write.parquet(f"{root}/master")
+    assert main(["train", "--master", f"{root}/master", "--models", f"{root}/models", "--kinds", "forest",
+                 "--no-tune"]) == 0
+    feed.write_envelope(feed.publish(master(spark, SF_SMALL), key="ID", columns=S.MESSAGE_COLUMNS), f"{root}/env")
+    assert main(["score-feed", "--models", f"{root}/models", "--envelope", f"{root}/env", "--out", f"{root}/out",
+                 "--max", "40", "--kinds", "forest"]) == 0
+    assert spark.read.parquet(f"{root}/out").count() == 40
