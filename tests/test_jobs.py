@@ -53,3 +53,13 @@ def test_command_line_train_and_score(spark):
     assert main(["score-feed", "--models", f"{root}/models", "--envelope", f"{root}/env", "--out", f"{root}/out",
                  "--max", "40", "--kinds", "forest"]) == 0
     assert spark.read.parquet(f"{root}/out").count() == 40
+
+
+def test_command_line_ingest(spark, capsys):
+    from valorem.__main__ import main
+    root = scratch_path(spark, "cli-ingest")
+    page = "<table><tbody>" + _row(pid="1") + _row(pid="2", value="€3M") + "</tbody></table>"
+    spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string").write.parquet(f"{root}/pages")
+    assert main(["ingest", "--pages", f"{root}/pages", "--master", f"{root}/master"]) == 0
+    written = capsys.readouterr().out.strip().splitlines()[-1]
+    assert spark.read.parquet(written).count() == 2
