@@ -93,3 +93,12 @@ def test_no_single_partition_window_over_data(spark, name):
 def test_messages_are_parsed_once(spark):
     df = QUERIES["publish_envelope"](spark, SF_SMALL)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_query_names_and_documentation():
+    import re
+    for name, fn in QUERIES.items():
+        assert "pipeline" not in name and not re.match(r"op\d+_", name), name
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
+        # every rows-only query says what it does
+        assert name in ORACLE or (fn.__doc__ or "").strip() or name.startswith("train_eval_"), name

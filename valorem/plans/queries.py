@@ -605,6 +605,8 @@ for _kind in S.MODEL_KINDS:
 
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
+    """Importances of every trained forest (sorted desc) and coefficients of
+    every linear kind (sorted by absolute value), per segment."""
     return train.importances(_models(spark, sf_dir, S.MODEL_KINDS), spark)
 
 
@@ -619,6 +621,8 @@ def score_batch(spark, sf_dir):
 
 @register("whatif_score")
 def whatif_score(spark, sf_dir):
+    """Every master row as a what-if request: validated, and scored by the
+    forest of its segment as exp(prediction) * scale when valid."""
     req = segments.with_segments(master_table(spark, sf_dir)).withColumn(
         "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
     return score.whatif(_models(spark, sf_dir, ["forest"]), req, "forest")
@@ -700,6 +704,7 @@ def event_envelope(spark, sf_dir):
 
 @register("training_report")
 def training_report(spark, sf_dir):
+    """Per (segment, model): train/test rows, fit seconds, chosen parameters."""
     prepared = train.prepare_training(master_table(spark, sf_dir))
     models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
     return train.training_report(models, spark, prepared)
