@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valorem.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +42,15 @@ def ascii_lower(text: Column) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """crc32 of the id written in decimal: the fold of a document."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8"))
+
+
+def text_pieces(text: bytes, size: int = 1 << 20):
+    """A text in pieces of about ``size`` bytes, cut at ASCII white space so that no word is split."""
+    start, end = 0, size
+    while end < len(text):
+        space = SPACE.search(text, end)
+        if space is None:
+            break
+        yield text[start:space.start()]
+        start, end = space.start(), space.start() + size
+    yield text[start:]

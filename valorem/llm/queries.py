@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from valorem.llm import exact_dedup
+from valorem.llm import exact_dedup, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_simhash": simhash.op4_simhash,
 }
 
 LLM_SQL = {
