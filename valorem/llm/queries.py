@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from valorem.llm import exact_dedup, simhash
+from valorem.llm import decontaminate, exact_dedup, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
 }
 
 LLM_SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op8_decontaminate": decontaminate.SQL,
 }
