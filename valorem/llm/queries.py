@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from valorem.llm import decontaminate, exact_dedup, simhash
+from valorem.llm import decontaminate, exact_dedup, language_id, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 LLM_SQL = {
