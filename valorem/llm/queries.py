@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from valorem.llm import decontaminate, exact_dedup, language_id, simhash
+from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_language_id": language_id.op9_language_id,
 }
