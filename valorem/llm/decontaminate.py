@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valorem.llm.common import stored, table, text_pieces
+from valorem.llm.hashing import Rolling, mix
 
 SPAN = 10
 GRAM = 5
@@ -41,26 +42,7 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[48:58] = _IS_WORD[65:91] = _IS_WORD[97:123] = _IS_WORD[128:] = True
-_BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64 for i below n."""
-    if len(_POWERS["up"]) < n:
-        size = 1 << n.bit_length()
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _POWERS[name] = np.multiply.accumulate(factors)
-    return _POWERS["up"], _POWERS["down"]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
 
 
 class Words:
@@ -79,10 +61,7 @@ class Words:
         self.first = np.searchsorted(self.start, self.segment_start)
         self.count = np.diff(np.append(self.first, len(self.start)))
         self.segment = np.repeat(np.arange(len(segments)), self.count)
-        up, down = _powers(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((_LOWER[raw] + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-        self.hash = _mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self.hash = Rolling(_LOWER[raw]).spans(self.start, self.end)
 
     def grams(self, size: int) -> np.ndarray:
         """Hash of each run of ``size`` words; a run over the end of a segment has a hash too."""
@@ -90,7 +69,7 @@ class Words:
         out = np.full(n, np.uint64(size))
         for i in range(size):
             out = out * _STEP + self.hash[i:n + i]
-        return _mix(out)
+        return mix(out)
 
     def whole(self, at: np.ndarray, size: int) -> np.ndarray:
         """Those of the word numbers ``at`` from which ``size`` words lie in one segment."""

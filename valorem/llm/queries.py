@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, simhash
+from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
@@ -14,5 +15,6 @@ LLM_QUERIES = {
 
 LLM_SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op3_line_dedup": line_dedup.SQL,
     "op8_decontaminate": decontaminate.SQL,
 }

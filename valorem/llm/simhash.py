@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from valorem.llm.common import stored, table, text_pieces
 from valorem.llm.components import components
+from valorem.llm.hashing import whole_runs
 
 WORDS = 3
 MAX_BITS = 3
@@ -172,45 +173,13 @@ def _compare(most: int | None, max_bits: int):
             [pa.array(np.full(len(a), hot)), pa.array(a), pa.array(b), pa.array(rest)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((3, 0), np.int64)
-        hot_key = None
-
-        def settle(rows: np.ndarray):
-            key, fp, rest = rows
-            if most is not None:
-                start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                size = np.diff(np.append(start, len(key)))
-                common = np.repeat(size > most, size)
-                if common.any():
-                    yield out(True, key[common], fp[common], rest[common])
-                    key, fp = key[~common], fp[~common]
-            a, b = _forest(fp.view(np.uint64), key, max_bits)
-            if len(a):
-                yield out(False, a.view(np.int64), b.view(np.int64), np.zeros(len(a), np.int64))
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = np.concatenate([held, np.stack([batch.column(i).to_numpy() for i in range(3)])], axis=1)
-            if hot_key is not None:  # the rest of a key whose first members were sent on
-                more = rows[0] == hot_key
-                if more.any():
-                    yield out(True, *(rows[:, more]))
-                    rows = rows[:, ~more]
-                if not rows.shape[1]:
-                    held = rows
-                    continue
-                hot_key = None
-            last = rows[0] == rows[0, -1]
-            done, held = rows[:, ~last], rows[:, last]
-            if done.shape[1]:
-                yield from settle(done)
-            if most is not None and held.shape[1] > most:
-                hot_key = held[0, 0]
-                yield out(True, *held)
-                held = held[:, :0]
-        if held.shape[1]:
-            yield from settle(held)
+        for common, (key, fp, rest) in whole_runs(batches, 3, most):
+            if common:
+                yield out(True, key, fp, rest)
+            else:
+                a, b = _forest(fp.view(np.uint64), key, max_bits)
+                if len(a):
+                    yield out(False, a.view(np.int64), b.view(np.int64), np.zeros(len(a), np.int64))
 
     return run
 
