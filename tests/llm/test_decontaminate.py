@@ -58,12 +58,12 @@ def test_against_brute_force(spark, monkeypatch, block, bitmap_rows):
         docs.append((100 + i, rng.choice([str.upper, str])(" ".join(own))))
     d = spark.createDataFrame([(*r, 1, "c") for r in docs], "doc_id long, text string, h int, context string").repartition(3)
     b = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, size int")
-    got = sorted((tuple(r) for r in dc.contamination(d, b).collect()), key=str)
+    got = sorted((tuple(r) for r in dc.contamination(d, b).drop("body").collect()), key=str)
     assert got == plain(docs, items)
 
 
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
     b = spark.createDataFrame([], "item_id long, text string")
-    assert sorted(tuple(r) for r in dc.contamination(d, b).collect()) == plain([(1, "some words"), (2, None)], [])
+    assert sorted(tuple(r) for r in dc.contamination(d, b).drop("body").collect()) == plain([(1, "some words"), (2, None)], [])
     assert dc.contamination(d.filter("false"), b).collect() == []

@@ -286,12 +286,14 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return own.mapInArrow(run, own.drop("ids").withColumn("text", F.lit("")).schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded and its ids decoded.
+def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids): each text encoded and its ids decoded.
 
     One row per input row. Null and empty texts have no tokens. Other columns are ignored.
     """
     shared = _vocabulary(docs, path)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    types = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
@@ -299,19 +301,20 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             rows: list[tuple] = []
             for text in batch.column(1).to_pylist():
-                n, ids_sha, back = 0, hashlib.sha256(), hashlib.sha256()
+                n, ids_sha, back, kept = 0, hashlib.sha256(), hashlib.sha256(), []
                 for ids in codec.encode(text or ""):
                     ids_sha.update((" " * bool(n) + " ".join(map(name, ids))).encode())
                     n += len(ids)
                     for data in codec.decode(ids):
                         back.update(data)
-                rows.append((n, ids_sha.hexdigest(), back.hexdigest()))
+                    if with_ids:
+                        kept += ids
+                rows.append((n, ids_sha.hexdigest(), back.hexdigest(), kept))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[i] for r in rows], pa.string()) for i in (1, 2))],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 
 
 def op7_byte_bpe(spark, sf_dir):

@@ -54,3 +54,22 @@ def text_pieces(text: bytes, size: int = 1 << 20):
         yield text[start:space.start()]
         start, end = space.start(), space.start() + size
     yield text[start:]
+
+
+#: Rows (two longs each, 3.2 MB) up to which a list of document keys is broadcast; a longer list is joined by shuffle.
+SEND_KEYS = 200_000
+
+
+def with_body(docs: DataFrame) -> DataFrame:
+    """``body``: a hash of the text that, with doc_id, names a row; rows equal in both are one document."""
+    return docs.withColumn("body", F.xxhash64("text"))
+
+
+def without(docs: DataFrame, gone: DataFrame, send: int = SEND_KEYS) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, body) is not in ``gone``, which must be a stored table."""
+    own = docs.withColumn("_body", F.xxhash64("text"))
+    keys = gone.select(F.col("doc_id").alias("_gone_id"), F.col("body").alias("_gone_body")).distinct()
+    if keys.limit(send + 1).count() <= send:
+        keys = F.broadcast(keys)
+    same = own.doc_id.cast("long").eqNullSafe(keys._gone_id) & (own._body == keys._gone_body)
+    return own.join(keys, same, "left_anti").select(*docs.columns)

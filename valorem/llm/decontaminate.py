@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored, table, text_pieces
+from valorem.llm.common import stored, table, text_pieces, without
 from valorem.llm.hashing import Rolling, mix
 
 SPAN = 10
@@ -133,8 +133,8 @@ HIT = "struct<h: long, pos: int, left: int, size: int, context: string>"
 _HIT_TYPE = pa.struct([("h", pa.int64()), ("pos", pa.int32()), ("left", pa.int32()), ("size", pa.int32()), ("context", pa.string())])
 
 
-def _scan(id_type: pa.DataType, short: list[int] | None, bitmap: np.ndarray | None):
-    """(id, text) -> (id, n_words, hits). ``short`` None: a text of under SPAN words is hashed whole."""
+def _scan(short: list[int] | None, bitmap: np.ndarray | None):
+    """(id, body, text) -> (id, body, n_words, hits). ``short`` None: a text of under SPAN words is hashed whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +161,7 @@ def _scan(id_type: pa.DataType, short: list[int] | None, bitmap: np.ndarray | No
                 owners.clear()
 
             held = 0
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(2)):
                 for n, segment in _segments((text.as_buffer().to_pybytes() if text.is_valid else b"")):
                     segments.append(segment)
                     owners.append((i, n))
@@ -171,7 +171,7 @@ def _scan(id_type: pa.DataType, short: list[int] | None, bitmap: np.ndarray | No
                         held = 0
             settle()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(id_type), pa.array(n_words), pa.array(hits, pa.list_(_HIT_TYPE))], ["id", "n_words", "hits"])
+                [*batch.columns[:2], pa.array(n_words), pa.array(hits, pa.list_(_HIT_TYPE))], ["id", "body", "n_words", "hits"])
 
     return run
 
@@ -202,12 +202,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame, id_column: str, short: list[int] | None, bitmap: np.ndarray | None = None) -> DataFrame:
-    own = docs.select(F.col(id_column).cast("long").alias("id"), F.encode("text", "UTF-8").alias("text"))
-    return own.mapInArrow(_scan(pa.int64(), short, bitmap), f"id long, n_words int, hits array<{HIT}>")
+    own = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64("text").alias("body"), F.encode("text", "UTF-8").alias("text"))
+    return own.mapInArrow(_scan(short, bitmap), f"id long, body long, n_words int, hits array<{HIT}>")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row per input row.
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, body (hash of the text): one row per input row.
 
     Null and empty texts have no words. Benchmark rows without words or
     without an id are no items; rows that repeat an id are one item with the
@@ -243,16 +243,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .groupBy("id").agg(F.array_sort(F.collect_set("item")).alias("items")))
     hit = covered.join(found, "id")
     none = F.array().cast("array<string>")
-    return (seen.select(F.col("id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), F.col("row").alias("id"))
+    return (seen.select(F.col("id").alias("doc_id"), "body", F.col("n_words").cast("long").alias("n_words"), F.col("row").alias("id"))
             .join(hit, "id", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
                     F.sha2(F.encode(F.array_join(F.coalesce("items", none), ","), "UTF-8"), 256).alias("items_sha256"),
-                    F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated")))
+                    F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), "body"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs."""
+    found = contamination(docs, benchmark).filter("contaminated").select("doc_id", "body")
+    return without(docs, stored(found, "contaminated"))
 
 
 def op8_decontaminate(spark, sf_dir):
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("body")
 
 
 SQL = r"""

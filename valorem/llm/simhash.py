@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored, table, text_pieces
+from valorem.llm.common import stored, table, text_pieces, with_body, without
 from valorem.llm.components import components
 from valorem.llm.hashing import whole_runs
 
@@ -106,15 +106,15 @@ def fingerprints(texts: list[bytes | None], words: int = WORDS) -> np.ndarray:
 
 
 def fingerprint_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long)."""
+    """doc_id, body (hash of the text), fp (the fingerprint's bits as a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = fingerprints(batch.column(1).to_pylist(), words)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = fingerprints(batch.column(2).to_pylist(), words)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp.view(np.int64))], ["doc_id", "body", "fp"])
 
-    own = docs.select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("text"))
-    return own.mapInArrow(run, "doc_id long, fp long")
+    own = with_body(docs.select("doc_id", "text")).select(F.col("doc_id").cast("long"), "body", F.encode("text", "UTF-8").alias("text"))
+    return own.mapInArrow(run, "doc_id long, body long, fp long")
 
 
 def signatures(rows: DataFrame, width: int) -> DataFrame:
@@ -202,6 +202,14 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> Da
     return links
 
 
+def grouped(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
+    """doc_id, body, fp, root: rows with one root are a group of near-duplicates."""
+    prints = stored(fingerprint_table(docs, words), "simhash-fingerprints")
+    nodes = prints.select("fp").distinct()
+    roots = components(near_links(nodes, max_bits, most)).withColumnRenamed("node", "fp")
+    return prints.join(roots, "fp", "left").select("doc_id", "body", "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
     """doc_id, fingerprint, component_id: one row per input row.
 
@@ -210,16 +218,25 @@ def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS
     null has a null component_id. An empty table gives no rows; other columns
     of the input are ignored.
     """
-    prints = stored(fingerprint_table(docs, words), "simhash-fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(near_links(nodes.select("fp"), max_bits, most))
-    rooted = stored(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                    .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    rows = stored(grouped(docs, words, max_bits, most), "simhash-groups")
+    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def one_per_group(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
+    """The rows of ``docs`` with one row of each group: the one of least doc_id (null ids last), then of least body."""
+    rows = stored(grouped(docs, words, max_bits, most), "simhash-groups")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "body")
+    kept = rows.groupBy("root").agg(F.min(first).alias("kept"))
+    gone = rows.join(kept, "root").filter(~first.eqNullSafe(F.col("kept"))).select("doc_id", "body")
+    left = without(docs, stored(gone, "simhash-gone"))
+    repeated = rows.groupBy("root", "doc_id", "body").count().filter("count > 1").join(kept, "root").filter(first.eqNullSafe(F.col("kept")))
+    if repeated.isEmpty():
+        return left
+    # A row that stays occurs more than once, id and text alike: one of the rows is enough.
+    return with_body(left).dropDuplicates(["doc_id", "body"]).select(*docs.columns)
+
+
 def op4_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
