@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, simhash
+from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, quality, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,6 +11,7 @@ LLM_QUERIES = {
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_language_id": language_id.op9_language_id,
+    "op10_quality": quality.op10_quality,
 }
 
 LLM_SQL = {
