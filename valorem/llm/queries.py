@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, quality, simhash
+from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, lm_scoring, quality, simhash
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op5_lm_scoring": lm_scoring.op5_lm_scoring,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_language_id": language_id.op9_language_id,
