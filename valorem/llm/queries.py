@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, line_dedup, lm_scoring, quality, simhash
+from valorem.llm import byte_bpe, decontaminate, exact_dedup, language_id, licenses, line_dedup, lm_scoring, quality, simhash, warc_fixity
 
 LLM_QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_simhash": simhash.op4_simhash,
     "op5_lm_scoring": lm_scoring.op5_lm_scoring,
+    "op6_warc_fixity": warc_fixity.op6_warc_fixity,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_language_id": language_id.op9_language_id,
@@ -17,6 +19,8 @@ LLM_QUERIES = {
 
 LLM_SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_license_scan": licenses.SQL,
     "op3_line_dedup": line_dedup.SQL,
+    "op6_warc_fixity": warc_fixity.SQL,
     "op8_decontaminate": decontaminate.SQL,
 }
