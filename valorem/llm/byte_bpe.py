@@ -2,12 +2,12 @@
 
 Encoding reads a piece byte by byte. The encoding of each prefix ends with one
 token, and a token may follow another exactly when merging their joint bytes
-gives the two back. A position is live while the bytes after it begin some
-token. A state of the transducer is the last settled token and the bytes read
-since; it knows the last token at each live position. When all live positions
-share the beginning of their paths, those tokens are emitted: no later byte
-can change them, and the lookahead is bounded by the longest token. States and
-transitions are made when a text first needs them and are then table lookups.
+gives the two back. A prefix is live while the bytes after it begin a longer
+token that may follow. A state of the transducer is the last settled token and, for each live
+prefix, the tokens since and the bytes after it. Tokens that all live prefixes
+share are emitted: no later byte can change them, and the lookahead is bounded
+by the longest token. States and transitions are made when a text first needs
+them and are then table lookups.
 
 Decoding takes ids in any portions; a UTF-8 state machine holds back the bytes
 of a character that is not complete yet.
@@ -16,8 +16,10 @@ of a character that is not complete yet.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -29,11 +31,13 @@ from pyspark.sql import functions as F
 from valorem.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Entries of the tables that a worker keeps; they are emptied when full and filled again by need.
+#: Entries of the tables that a worker keeps. Full tables become the older ones, which are kept until the next time.
 MOST_STATES = 100_000
-MOST_PIECES = 200_000
-MOST_PAIRS = 500_000
-#: Longest piece, in characters, that is remembered whole.
+MOST_PIECES = 300_000
+MOST_PAIRS = 150_000
+#: Bytes from which on it is looked up whether any token that grows from a prefix may follow.
+SHORT = 3
+#: Longest piece that is remembered whole, and longest rest of a piece that is read without compiling transitions.
 LONG_PIECE = 40
 #: Pieces (encoding) or ids (decoding) that are held at once.
 PORTION = 100_000
@@ -45,15 +49,13 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class State:
-    """What the transducer knows between two bytes. Positions count from the last settled token."""
+    """What the transducer knows between two bytes."""
 
-    __slots__ = ("before", "pending", "ends", "live", "next")
+    __slots__ = ("before", "live", "next")
 
-    def __init__(self, before: int | None, pending: bytes, ends: dict[int, int], live: list[int]):
-        self.before = before  # the settled token before, None at the start of a piece
-        self.pending = pending  # bytes after it
-        self.ends = ends  # position -> token that ends there on the path to it
-        self.live = live  # positions after which a token may still grow
+    def __init__(self, before: int | None, live: tuple[tuple[bytes, tuple[int, ...]], ...]):
+        self.before = before  # the last settled token, None at the start of a piece
+        self.live = live  # for each live prefix, shortest first: the bytes after it, the tokens since the settled one
         self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
 
 
@@ -61,104 +63,193 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.prefixes = {token[:n] for token in ranks for n in range(len(token) + 1)}
-        self.pairs: dict[tuple[int | None, int], bool] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.start = State(None, b"", {}, [0])
-        self.states = {(None, b""): self.start}
-
-    def merged(self, data: bytes) -> list[int]:
-        """Merges by least rank, leftmost first. Only short data come here: one token or two."""
-        parts = [data[i:i + 1] for i in range(len(data))]
+        # Each token and prefix of one -> its rank (None: no token) and the longer tokens that begin with it (None: none;
+        # of short prefixes, which have many, only that there are some).
+        self.trie: dict[bytes, tuple[int | None, list[int] | None]] = {token: (rank, None) for token, rank in ranks.items()}
+        for token, rank in ranks.items():
+            for n in range(1, len(token)):
+                own, longer = self.trie.get(token[:n], (None, None))
+                if longer is None:
+                    longer = []
+                    self.trie[token[:n]] = own, longer
+                if n >= SHORT:
+                    longer.append(rank)
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.hopes: dict[tuple[int, bytes], bool] = {}
+        self.spines: dict[bytes, tuple | None] = {}
+        self.start = State(None, ((b"", ()),))
+        self.states: dict[tuple, State] = {}
+        self.older: dict[tuple, State] = {}
+
+    def state(self, before: int | None, live: tuple) -> State:
+        key = (before, live)
+        found = self.states.get(key)
+        if found is None:
+            if len(self.states) >= MOST_STATES:
+                self.forget()
+                self.start.next.clear()
+                self.older, self.states = self.states, {}
+            found = self.states[key] = self.older.pop(key, None) or State(before, live)
+        return found
+
+    def forget(self) -> None:
+        """Drops the older states."""
+        for state in self.older.values():
+            state.next.clear()  # states refer to one another in circles
+        self.older = {}
+
+    def spine(self, token: bytes) -> tuple | None:
+        """How a token's first and last parts grow while it is merged: two lists of (part, rank that merges it into the next).
+
+        Merges go by least rank, leftmost first. None for a token that its own merges do not make.
+        """
+        if token in self.spines:
+            return self.spines[token]
+        parts = [token[i:i + 1] for i in range(len(token))]
+        first, last = [], []
         while len(parts) > 1:
             rank, at = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
             if rank == 1 << 62:
                 break
+            if at == 0:
+                first.append((parts[0], rank))
+            if at == len(parts) - 2:
+                last.append((parts[-1], rank))
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        own = (first + [(token, 1 << 62)], last + [(token, 1 << 62)]) if len(parts) == 1 else None
+        self.spines[token] = own
+        return own
 
     def follows(self, left: int | None, right: int) -> bool:
-        """May ``right`` come after ``left`` (None: first)?"""
+        """May ``right`` come after ``left`` (None: first)? Only if their joint bytes never merge over the border.
+
+        At any time the border lies between one part of the left token's last
+        parts and one of the right token's first parts. Their merge comes when
+        its rank is below those that take either part into the next one (at
+        equal ranks the leftmost merge comes first).
+        """
         known = self.pairs.get((left, right))
-        if known is None:
-            own = [right] if left is None else [left, right]
-            known = self.merged(b"".join(self.tokens[t] for t in own)) == own
-            if len(self.pairs) >= MOST_PAIRS:
-                self.pairs.clear()
-            self.pairs[left, right] = known
+        if known is not None:
+            return known
+        after = self.spine(self.tokens[right])
+        known = after is not None
+        if known and left is not None:
+            a, b, i, j = self.spine(self.tokens[left])[1], after[0], 0, 0
+            while known:
+                rank = self.ranks.get(a[i][0] + b[j][0], 1 << 62)
+                if rank < a[i][1] and rank <= b[j][1] and rank < 1 << 62:
+                    known = False
+                elif a[i][1] == b[j][1] == 1 << 62:
+                    break
+                elif a[i][1] <= b[j][1]:
+                    i += 1
+                else:
+                    j += 1
+        if len(self.pairs) >= MOST_PAIRS:
+            self.pairs.clear()
+        self.pairs[left, right] = known
+        return known
+
+    def hope(self, left: int | None, suffix: bytes, longer: list[int]) -> bool:
+        """Can one of the tokens ``longer``, which begin with ``suffix``, come after ``left``?"""
+        known = any(self.follows(left, t) for t in longer)
+        if len(self.hopes) >= MOST_PAIRS:
+            self.hopes.clear()
+        self.hopes[left, suffix] = known
         return known
 
     def step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """Next state and the tokens that this byte settles."""
-        pending = state.pending + bytes((byte,))
-        end, ends = len(pending), dict(state.ends)
-        for i in state.live:
-            token = self.ranks.get(pending[i:])
-            if token is not None and self.follows(ends.get(i, state.before), token):
-                ends[end] = token
-                break
-        live = [i for i in (*state.live, end) if pending[i:] in self.prefixes]
-
-        def path(i: int) -> list[int]:
-            out = [i]
-            while i:
-                i -= len(self.tokens[ends[i]])
-                out.append(i)
-            return out[::-1]
-
-        shared = path(live[0])
-        for i in live[1:]:
-            own = path(i)
-            shared = [a for a, b in zip(shared, own) if a == b]
-        root = shared[-1]
-        settled = tuple(ends[i] for i in shared[1:])
-        before = ends[root] if root else state.before
-        key = (before, pending[root:])
-        found = self.states.get(key)
-        if found is None:
-            kept = {i for x in live for i in path(x) if i > root}
-            found = State(before, key[1], {i - root: ends[i] for i in kept}, [i - root for i in live])
-            if len(self.states) >= MOST_STATES:
-                self.reset()
-            self.states[key] = found
-        state.next[byte] = found, settled
-        return found, settled
-
-    def finish(self, state: State) -> list[int]:
-        """Tokens of the pending bytes when the piece ends here."""
-        out, i = [], len(state.pending)
-        while i:
-            out.append(state.ends[i])
-            i -= len(self.tokens[state.ends[i]])
-        return out[::-1]
-
-    def encode(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
+        own, before, trie, hopes = bytes((byte,)), state.before, self.trie, self.hopes
+        end = None
+        live = []
+        for suffix, path in state.live:
+            suffix += own
+            known = trie.get(suffix)
+            if known is None:
+                continue
+            token, longer = known
+            left = path[-1] if path else before
+            if end is None and token is not None and self.follows(left, token):
+                end = (*path, token)
+            if longer is not None:
+                keep = hopes.get((left, suffix)) if longer else True
+                if keep is None:
+                    keep = self.hope(left, suffix, longer)
+                if keep:
+                    live.append((suffix, path))
+        live.append((b"", end))
+        shared = live[0][1]
+        if shared:
+            for _, path in live:
+                if path[:len(shared)] != shared:
+                    shared = shared[:next(i for i, (a, b) in enumerate(zip(shared, (*path, None))) if a != b)]
+        if shared:
+            n, before = len(shared), shared[-1]
+            live = [(suffix, path[n:]) for suffix, path in live]
+        found = self.state(before, tuple(live))
+        state.next[byte] = found, shared
+        return found, shared
+
+    def rest(self, state: State, piece: bytes) -> tuple[int, ...]:
+        """Tokens from ``state`` on when ``piece`` follows and ends: the same steps, without states."""
+        before, live, trie, pairs = state.before, state.live, self.trie, self.pairs
+        end = live[-1][1]
+        for at in range(len(piece)):
+            own, end, grown = piece[at:at + 1], None, []
+            for suffix, path in live:
+                suffix += own
+                entry = trie.get(suffix)
+                if entry is None:
+                    continue
+                if end is None and (token := entry[0]) is not None:
+                    left = path[-1] if path else before
+                    known = pairs.get((left, token))
+                    if self.follows(left, token) if known is None else known:
+                        end = (*path, token)
+                if entry[1] is not None:
+                    grown.append((suffix, path))
+            grown.append((b"", end))
+            live = grown
+        return end
+
+    def walk(self, state: State, piece: bytes) -> list[int]:
+        """Tokens from ``state`` on. A transition is compiled when it is asked for the second time."""
         out: list[int] = []
-        state = self.start
-        for byte in piece:
-            way = state.next.get(byte) or self.step(state, byte)
+        for at, byte in enumerate(piece):
+            way = state.next.get(byte)
+            if not way:
+                if way is None and len(piece) - at <= LONG_PIECE:
+                    state.next[byte] = ()
+                    out += self.rest(state, piece[at:])
+                    return out
+                way = self.step(state, byte)
             state, settled = way
             if settled:
-                out.extend(settled)
-        return out + self.finish(state)
+                out += settled
+        out += state.live[-1][1]  # the last live prefix is all that was read
+        return out
+
+    def encode(self, piece: bytes) -> list[int]:
+        whole = self.ranks.get(piece)
+        return [whole] if whole is not None else self.walk(self.start, piece)
 
 
 class _Pieces(dict):
-    """piece -> ids, by the transducer when a piece is new."""
+    """piece -> ids, by the transducer when a piece is new. The last MOST_PIECES new ones and those before are kept."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.transducer.encode(piece.encode()))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.transducer.encode(piece.encode()))
         if len(piece) <= LONG_PIECE:
             if len(self) >= MOST_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -217,13 +308,17 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         self.transducer = Transducer(ranks)
-        self.find = regex.compile(pattern).finditer
-        self.ids_of = _Pieces(self.transducer).__getitem__
+        self.pattern = regex.compile(pattern)
+        self.pieces = _Pieces(self.transducer)
+        self.ids_of = self.pieces.__getitem__
         self.bytes_of = self.transducer.tokens.__getitem__
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids in portions."""
-        pieces = map(regex.Match.group, self.find(text))
+        if len(text) <= PORTION:
+            yield list(chain.from_iterable(map(self.ids_of, self.pattern.findall(text))))
+            return
+        pieces = map(regex.Match.group, self.pattern.finditer(text))
         while own := list(islice(pieces, PORTION)):
             yield list(chain.from_iterable(map(self.ids_of, own)))
 
@@ -241,12 +336,26 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def _codec(data: bytes) -> Codec:
-    """One codec a worker and vocabulary; its tables outlive the task."""
+@contextmanager
+def _codec(data: bytes):
+    """One codec a worker and vocabulary; its tables outlive the task.
+
+    The cyclic collector rests meanwhile: it would walk the tables again and
+    again, and they undo their circles themselves.
+    """
     name = hashlib.sha256(data).hexdigest()
-    if name not in _codecs:
-        _codecs[name] = Codec(read_ranks(data))
-    return _codecs[name]
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        if name not in _codecs:
+            _codecs[name] = Codec(read_ranks(data))
+        yield _codecs[name]
+    finally:
+        if name in _codecs:  # between tasks the newer tables are enough
+            _codecs[name].pieces.older = {}
+            _codecs[name].transducer.forget()
+        if collecting:
+            gc.enable()
 
 
 def _vocabulary(docs: DataFrame, path: str | None):
@@ -255,6 +364,13 @@ def _vocabulary(docs: DataFrame, path: str | None):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows: a row's Python objects are many times its text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The columns of ``docs`` without text, and ids (array<int>). Null text is empty; no special tokens."""
     names = [c for c in docs.columns if c not in ("text", "ids")]
@@ -262,10 +378,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     own = docs.select(*names, F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
-        for batch in batches:
-            ids = [list(chain.from_iterable(codec.encode(t or ""))) for t in batch.column(len(names)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"])
+        with _codec(shared.value) as codec:
+            for batch in _small(batches):
+                ids = [list(chain.from_iterable(codec.encode(t or ""))) for t in batch.column(len(names)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"])
 
     schema = own.drop("text").withColumn("ids", F.array().cast("array<int>")).schema
     return own.mapInArrow(run, schema)
@@ -278,10 +394,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     own = encoded.select(*names, F.col("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
-        for batch in batches:
-            texts = [codec.text(ids or ()) for ids in batch.column(len(names)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*names, "text"])
+        with _codec(shared.value) as codec:
+            for batch in _small(batches):
+                texts = [codec.text(ids or ()) for ids in batch.column(len(names)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*names, "text"])
 
     return own.mapInArrow(run, own.drop("ids").withColumn("text", F.lit("")).schema)
 
@@ -296,22 +412,22 @@ def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False)
     types = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value)
-        name = [str(i) for i in range(max(codec.transducer.tokens) + 1)].__getitem__
-        for batch in batches:
-            rows: list[tuple] = []
-            for text in batch.column(1).to_pylist():
-                n, ids_sha, back, kept = 0, hashlib.sha256(), hashlib.sha256(), []
-                for ids in codec.encode(text or ""):
-                    ids_sha.update((" " * bool(n) + " ".join(map(name, ids))).encode())
-                    n += len(ids)
-                    for data in codec.decode(ids):
-                        back.update(data)
-                    if with_ids:
-                        kept += ids
-                rows.append((n, ids_sha.hexdigest(), back.hexdigest(), kept))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names)
+        with _codec(shared.value) as codec:
+            name = [str(i) for i in range(max(codec.transducer.tokens) + 1)].__getitem__
+            for batch in _small(batches):
+                rows: list[tuple] = []
+                for text in batch.column(1).to_pylist():
+                    n, ids_sha, back, kept = 0, hashlib.sha256(), hashlib.sha256(), []
+                    for ids in codec.encode(text or ""):
+                        ids_sha.update((" " * bool(n) + " ".join(map(name, ids))).encode())
+                        n += len(ids)
+                        for data in codec.decode(ids):
+                            back.update(data)
+                        if with_ids:
+                            kept += ids
+                    rows.append((n, ids_sha.hexdigest(), back.hexdigest(), kept))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
