@@ -36,6 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +53,14 @@ SEATINGS = 2
 ONE_BY_ONE = 32
 HOT_SHARE = 0.002
 #: Tokens in a bucket on average, and buckets at least.
-BUCKET_TOKENS = 8_000_000
+BUCKET_TOKENS = 2_500_000
 LEAST_BUCKETS = 64
 #: Tokens that a task sorts at once before it deals them out.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_000_000
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
 #: Packed bytes of buckets that are seated together at least.
-JOINED = 6_000_000
+JOINED = 4_000_000
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -104,10 +105,12 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
                 held = 0
     if segments:
         settle()
-    owner = np.concatenate([*owners, np.empty(0, np.int64)]).astype(np.int64)
+    owner = np.concatenate([*owners, np.empty(0, np.int32)]).astype(np.int32)
     word = np.concatenate([*words, np.empty(0, np.uint64)])
+    owners.clear()
+    words.clear()
     place = np.arange(len(word)) + owner  # each text before has one end
-    doc = np.empty(len(word) + len(texts), np.int64)
+    doc = np.empty(len(word) + len(texts), np.int32)
     out = np.full(len(doc), END)
     out[place] = word
     ends = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1) - 1
@@ -119,10 +122,20 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return doc, out, context.astype(np.uint16)
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each has about BLOCK_TOKENS tokens, or one text. The text is the last column."""
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0))
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // (6 * BLOCK_TOKENS))) + 1
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if low < high:
+                yield batch.slice(low, high - low)
+
+
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of half the hot share or more within a batch, and the number of tokens as word 0."""
-    for batch in batches:
-        _, word, _ = tokens(batch.column(0).to_pylist())
+    for texts in _portions(batches):
+        _, word, _ = tokens(texts.column(0).to_pylist())
         own, n = np.unique(word, return_counts=True)
         keep = n >= HOT_SHARE / 2 * len(word)
         yield pa.RecordBatch.from_arrays(
@@ -174,9 +187,11 @@ def _unpacked(parts: list[bytes]):
             first = int(reader.schema.metadata[b"first_row"])
             for batch in reader:
                 word, context, doc, n = (c.to_numpy() for c in batch.columns)
-                for x, v in zip(out, (word, context, first + (doc >> 1).astype(np.int64), (doc & 1).astype(bool), n.astype(np.int64))):
+                for x, v in zip(out, (word, context, first + (doc >> 1).astype(np.int64), (doc & 1).astype(bool), n.astype(np.int32))):
                     x.append(v)
-    return [np.concatenate(x) for x in out]
+    for i, x in enumerate(out):
+        out[i] = np.concatenate(x)
+    return out
 
 
 _DEALT = "bucket int, part binary, row long, doc_id long, held_out boolean, n_tokens long"
@@ -192,36 +207,27 @@ def _deal(buckets: int, hot: np.ndarray):
                  pa.array(held_out, pa.bool_()), pa.array(n_tokens, pa.int64())],
                 ["bucket", "part", "row", "doc_id", "held_out", "n_tokens"])
 
-        for batch in batches:
+        for batch in _portions(batches):
             row, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
-            texts = batch.column(3).to_pylist()
-            sizes = np.array([len(t or b"") for t in texts])
-            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // (6 * BLOCK_TOKENS))) + 1).tolist(), len(texts)]
-            for low, high in zip(cuts, cuts[1:]):
-                if low == high:
-                    continue
-                doc, word, context = tokens(texts[low:high])
-                n_tokens = np.bincount(doc, minlength=high - low)
-                yield out((-1 - row[low:high] % buckets).astype(np.int32), [None] * (high - low), row[low:high],
-                          batch.column(1).slice(low, high - low), held[low:high], n_tokens)
-                # By word, then context, then text: the high bits of the word's hash order the buckets too.
-                order = np.argsort((word & ~np.uint64(0xFFFF)) | context, kind="stable")
-                doc, word, context = doc[order], word[order], context[order]
-                new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]))))
-                n = np.diff(np.append(new, len(word)))
-                doc, word, context = doc[new], word[new], context[new]
-                bucket = (((word >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-                split = _among(word, hot) >= 0
-                if split.any():
-                    spread = mix(word[split] ^ mix(context[split].astype(np.uint64)))
-                    bucket[split] = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
-                    order = np.argsort(bucket, kind="stable")
-                    bucket, doc, word, context, n = bucket[order], doc[order], word[order], context[order], n[order]
-                first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                base = int(row[low])
-                code = ((row[low:high] - base)[doc] << 1 | held[low:high][doc]).astype(np.uint32)
-                for a, b in zip(first, np.append(first[1:], len(bucket))):
-                    yield out([bucket[a]], [_packed(word[a:b], context[a:b], code[a:b], n[a:b].astype(np.uint32), base)], [None], [None], [None], [None])
+            doc, word, context = tokens(batch.column(3).to_pylist())
+            yield out((-1 - row % buckets).astype(np.int32), [None] * len(row), row, batch.column(1), held, np.bincount(doc, minlength=len(row)))
+            # By word, then context, then text: the high bits of the word's hash order the buckets too.
+            order = np.argsort((word & ~np.uint64(0xFFFF)) | context, kind="stable")
+            doc, word, context = doc[order], word[order], context[order]
+            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]))))
+            n = np.diff(np.append(new, len(word)))
+            doc, word, context = doc[new], word[new], context[new]
+            bucket = (((word >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+            split = _among(word, hot) >= 0
+            if split.any():
+                spread = mix(word[split] ^ mix(context[split].astype(np.uint64)))
+                bucket[split] = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                bucket, doc, word, context, n = bucket[order], doc[order], word[order], context[order], n[order]
+            first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            code = ((row - row[0])[doc] << 1 | held[doc]).astype(np.uint32)
+            for a, b in zip(first, np.append(first[1:], len(bucket))):
+                yield out([bucket[a]], [_packed(word[a:b], context[a:b], code[a:b], n[a:b].astype(np.uint32), int(row[0]))], [None], [None], [None], [None])
 
     return run
 
@@ -327,14 +333,15 @@ class Bucket:
         order = np.argsort(context, kind="stable")
         order = order[np.argsort(word[order], kind="stable")]
         word, context, self.row, self.n = word[order], context[order], row[order], n[order]
-        train = np.where(held[order], 0, self.n)
+        train = np.where(held[order], 0, self.n).astype(np.int64)
+        del order, row, n, held
         new_word = np.concatenate(([True], word[1:] != word[:-1]))
         new_pair = new_word | np.concatenate(([True], context[1:] != context[:-1]))
         pair_at, word_at = np.flatnonzero(new_pair), np.flatnonzero(new_word)
-        self.pair = np.cumsum(new_pair) - 1  # of an entry
+        self.pair = np.cumsum(new_pair, dtype=np.int32) - 1  # of an entry
         self.c = np.add.reduceat(train, pair_at)
         self.context = context[pair_at].astype(np.int64)
-        self.word_of = (np.cumsum(new_word) - 1)[pair_at]  # of a pair
+        self.word_of = (np.cumsum(new_word, dtype=np.int32) - 1)[pair_at]  # of a pair
         self.word = word[word_at]
         self.count = np.add.reduceat(train, word_at)
         self.hot = _among(self.word, hot)
