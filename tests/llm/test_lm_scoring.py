@@ -101,7 +101,7 @@ def test_predictive_probabilities_of_a_bucket():
     own = lm.Bucket([part], np.empty(0, np.uint64))
     customers = np.bincount(own.context, weights=own.c, minlength=lm.CONTEXTS)
     tables = np.bincount(own.context, minlength=lm.CONTEXTS).astype(float)
-    totals = lm.Totals(np.empty(0, np.uint64), int(own.c.sum()), len(own.word), customers, tables, (0.4, 0.6))
+    totals = lm.Totals(np.empty(0, np.uint64), tokens=int(own.c.sum()), words=len(own.word), customers=customers, tables=tables, discounts=(0.4, 0.6))
     totals.root = (float(len(own.c)), float(len(own.word)))
     assert own.c.sum() == sum(len(t.split()) + 1 for t in texts)
     for t, cw, tw in own.rounds(totals):

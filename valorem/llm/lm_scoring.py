@@ -53,14 +53,16 @@ SEATINGS = 2
 ONE_BY_ONE = 32
 HOT_SHARE = 0.002
 #: Tokens in a bucket on average, and buckets at least.
-BUCKET_TOKENS = 2_500_000
-LEAST_BUCKETS = 64
+BUCKET_TOKENS = 1_200_000
+LEAST_BUCKETS = 128
 #: Tokens that a task sorts at once before it deals them out.
 BLOCK_TOKENS = 1_000_000
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
 #: Packed bytes of buckets that are seated together at least.
-JOINED = 4_000_000
+JOINED = 3_000_000
+#: Rows of partial sums that a task holds before it adds up those of one text.
+HELD_SUMS = 1_000_000
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -239,6 +241,8 @@ class Totals:
     """What is known of the whole corpus: fixed-size vectors, scalars, and numbers for each hot word."""
 
     hot: np.ndarray
+    burn_in: int = BURN_IN
+    samples: int = SAMPLES
     tokens: int = 0
     words: int = 0
     customers: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))  # c_u
@@ -356,7 +360,7 @@ class Bucket:
         t[live] = 1
         customers = np.bincount(of, minlength=len(self.word)).astype(np.float64)
         tables = np.minimum(customers, 1)
-        for r in range(BURN_IN + SAMPLES):
+        for r in range(totals.burn_in + totals.samples):
             p = totals.root_probability(customers, tables, totals.root)
             if totals.hot_root is not None and len(totals.hot):
                 p = np.where(self.hot >= 0, totals.hot_root[self.hot], p)
@@ -377,6 +381,7 @@ def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[Buc
             if held >= JOINED:
                 yield Bucket(parts, hot)
                 parts, held = [], 0
+                pa.default_memory_pool().release_unused()
     if parts:
         yield Bucket(parts, hot)
 
@@ -467,12 +472,14 @@ def _sample(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
-        found = {"tables": np.zeros(SAMPLES * CONTEXTS), "customers": np.zeros(SAMPLES), "root": np.zeros(SAMPLES),
-                 "hot": np.zeros(SAMPLES * max(1, len(totals.hot)))}
+        n = totals.samples
+        found = {"tables": np.zeros(n * CONTEXTS), "customers": np.zeros(n), "root": np.zeros(n),
+                 "hot": np.zeros(n * max(1, len(totals.hot)))}
         for own in _buckets(batches, totals.hot):
+            own.row = own.n = own.pair = None  # only the counts matter here
             cold = own.hot < 0
             for r, (t, customers, tables) in enumerate(own.rounds(totals)):
-                s = r - BURN_IN
+                s = r - totals.burn_in
                 if s >= 0:
                     found["tables"][s * CONTEXTS:(s + 1) * CONTEXTS] += np.bincount(own.context, weights=t, minlength=CONTEXTS)
                     found["customers"][s] += customers.sum()
@@ -488,11 +495,11 @@ def _sampled(model: DataFrame, totals: Totals) -> None:
     shared = model.sparkSession.sparkContext.broadcast(totals)
     n = len(totals.hot)
     got = _sums(model.mapInArrow(_sample(shared), "kind string, key long, value double"),
-                {"tables": SAMPLES * CONTEXTS, "customers": SAMPLES, "root": SAMPLES, "hot": SAMPLES * max(1, n)})
+                {"tables": totals.samples * CONTEXTS, "customers": totals.samples, "root": totals.samples, "hot": totals.samples * max(1, n)})
     totals.sampled = []
-    for s in range(SAMPLES):
+    for s in range(totals.samples):
         customers = got["hot"][s * n:(s + 1) * n]
-        tables = seated(customers.astype(np.int64), np.full(n, totals.root_weight()), totals.discounts[0], mix(totals.hot + np.uint64(1000 + BURN_IN + s)))
+        tables = seated(customers.astype(np.int64), np.full(n, totals.root_weight()), totals.discounts[0], mix(totals.hot + np.uint64(1000 + totals.burn_in + s)))
         root = (float(got["customers"][s]), float(got["root"][s] + tables.sum()))
         totals.sampled.append((got["tables"][s * CONTEXTS:(s + 1) * CONTEXTS], root, totals.root_probability(customers, tables, root)))
 
@@ -501,11 +508,17 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
         s1, d1 = STRENGTH[1], totals.discounts[1]
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def batch(rows, known, base, score) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                                              ["row", "n_known", "base", "score"])
+
         for own in _buckets(batches, totals.hot):
             p = np.zeros(len(own.c))
             for r, (t, customers, tables) in enumerate(own.rounds(totals)):
-                if r >= BURN_IN:
-                    context_tables, root, hot = totals.sampled[r - BURN_IN]
+                if r >= totals.burn_in:
+                    context_tables, root, hot = totals.sampled[r - totals.burn_in]
                     above = totals.root_probability(customers, tables, root)
                     if len(totals.hot):
                         above = np.where(own.hot >= 0, hot[own.hot], above)
@@ -515,16 +528,25 @@ def _score(shared):
             if len(totals.hot):
                 count = np.where(own.hot >= 0, totals.hot_count[own.hot], count)
             word_of = own.word_of[own.pair]
-            rows, place = np.unique(own.row, return_inverse=True)
-            known = np.bincount(place, weights=own.n * (count[word_of] > 0), minlength=len(rows))
-            base = np.bincount(place, weights=own.n * np.log10(count + 0.5)[word_of], minlength=len(rows))
-            score = np.bincount(place, weights=own.n * np.log10(p / SAMPLES)[own.pair], minlength=len(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
-                                             ["row", "n_known", "base", "score"])
+            n = own.n
+            held.append(_added([(own.row, n * (count[word_of] > 0), n * np.log10(count + 0.5)[word_of], n * np.log10(p / totals.samples)[own.pair])]))
+            if sum(len(x[0]) for x in held) >= HELD_SUMS:
+                held = [_added(held)]
+                if len(held[0][0]) >= HELD_SUMS / 2:
+                    yield batch(*held.pop())
+        if held:
+            yield batch(*_added(held))
 
     return run
 
 
+def _added(sums: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(row, sums...) with one entry for each row."""
+    row = np.concatenate([x[0] for x in sums])
+    rows, place = np.unique(row, return_inverse=True)
+    return rows, *(np.bincount(place, weights=np.concatenate([x[i] for x in sums]), minlength=len(rows)) for i in range(1, len(sums[0])))
+
+
 def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
 
@@ -545,14 +567,16 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFram
                 {"customers": CONTEXTS, "tables": CONTEXTS, "hot_count": max(1, len(hot)), "hot_root": max(1, len(hot)),
                  **{k: 1 for k in ("words", "tokens", "pairs1", "pairs2", "words1", "words2", "root")}})
     hot_seen = int((got["hot_count"] > 0).sum())
-    totals = Totals(hot, int(got["tokens"][0]), int(got["words"][0]) + hot_seen, got["customers"], got["tables"])
+    totals = Totals(hot, tokens=int(got["tokens"][0]), words=int(got["words"][0]) + hot_seen, customers=got["customers"], tables=got["tables"])
     totals.discounts = (_discount(got["words1"][0], got["words2"][0]), _discount(got["pairs1"][0], got["pairs2"][0]))
     totals.root = (float(got["root"][0]), float(totals.words))
     totals.hot_count = got["hot_count"]
     totals.hot_root = totals.root_probability(got["hot_root"], np.minimum(got["hot_root"], 1), totals.root)
+    # One round from one table per dish, then all rounds from the tables that it found.
+    totals.burn_in, totals.samples = 0, 1
     _sampled(model, totals)
-    # Once more, from the tables that the first pass found.
     totals.tables, totals.root, totals.hot_root = totals.sampled[-1]
+    totals.burn_in, totals.samples = BURN_IN, SAMPLES
     _sampled(model, totals)
 
     shared = docs.sparkSession.sparkContext.broadcast(totals)
