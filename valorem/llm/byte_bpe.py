@@ -3,7 +3,7 @@
 Encoding reads a piece byte by byte. The encoding of each prefix ends with one
 token, and a token may follow another exactly when merging their joint bytes
 gives the two back. A prefix is live while the bytes after it begin a longer
-token that may follow. A state of the transducer is the last settled token and, for each live
+token. A state of the transducer is the last settled token and, for each live
 prefix, the tokens since and the bytes after it. Tokens that all live prefixes
 share are emitted: no later byte can change them, and the lookahead is bounded
 by the longest token. States and transitions are made when a text first needs
@@ -28,15 +28,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import table
+from valorem.llm.common import small_batches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Entries of the tables that a worker keeps. Full tables become the older ones, which are kept until the next time.
-MOST_STATES = 100_000
-MOST_PIECES = 300_000
-MOST_PAIRS = 150_000
-#: Bytes from which on it is looked up whether any token that grows from a prefix may follow.
-SHORT = 3
+MOST_STATES = 50_000
+MOST_PIECES = 250_000
+MOST_PAIRS = 100_000
 #: Longest piece that is remembered whole, and longest rest of a piece that is read without compiling transitions.
 LONG_PIECE = 40
 #: Pieces (encoding) or ids (decoding) that are held at once.
@@ -63,19 +61,12 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Each token and prefix of one -> its rank (None: no token) and the longer tokens that begin with it (None: none;
-        # of short prefixes, which have many, only that there are some).
-        self.trie: dict[bytes, tuple[int | None, list[int] | None]] = {token: (rank, None) for token, rank in ranks.items()}
-        for token, rank in ranks.items():
-            for n in range(1, len(token)):
-                own, longer = self.trie.get(token[:n], (None, None))
-                if longer is None:
-                    longer = []
-                    self.trie[token[:n]] = own, longer
-                if n >= SHORT:
-                    longer.append(rank)
+        # Each token and prefix of one -> its rank (None: no token) and whether a longer token begins with it.
+        grows = {token[:n] for token in ranks for n in range(1, len(token))}
+        prefix = (None, True)
+        self.trie: dict[bytes, tuple[int | None, bool]] = dict.fromkeys(grows, prefix)
+        self.trie.update((token, (rank, token in grows)) for token, rank in ranks.items())
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.hopes: dict[tuple[int, bytes], bool] = {}
         self.spines: dict[bytes, tuple | None] = {}
         self.start = State(None, ((b"", ()),))
         self.states: dict[tuple, State] = {}
@@ -150,34 +141,21 @@ class Transducer:
         self.pairs[left, right] = known
         return known
 
-    def hope(self, left: int | None, suffix: bytes, longer: list[int]) -> bool:
-        """Can one of the tokens ``longer``, which begin with ``suffix``, come after ``left``?"""
-        known = any(self.follows(left, t) for t in longer)
-        if len(self.hopes) >= MOST_PAIRS:
-            self.hopes.clear()
-        self.hopes[left, suffix] = known
-        return known
-
     def step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """Next state and the tokens that this byte settles."""
-        own, before, trie, hopes = bytes((byte,)), state.before, self.trie, self.hopes
+        own, before, trie = bytes((byte,)), state.before, self.trie
         end = None
         live = []
         for suffix, path in state.live:
             suffix += own
-            known = trie.get(suffix)
-            if known is None:
+            entry = trie.get(suffix)
+            if entry is None:
                 continue
-            token, longer = known
-            left = path[-1] if path else before
-            if end is None and token is not None and self.follows(left, token):
+            token, grows = entry
+            if end is None and token is not None and self.follows(path[-1] if path else before, token):
                 end = (*path, token)
-            if longer is not None:
-                keep = hopes.get((left, suffix)) if longer else True
-                if keep is None:
-                    keep = self.hope(left, suffix, longer)
-                if keep:
-                    live.append((suffix, path))
+            if grows:
+                live.append((suffix, path))
         live.append((b"", end))
         shared = live[0][1]
         if shared:
@@ -207,7 +185,7 @@ class Transducer:
                     known = pairs.get((left, token))
                     if self.follows(left, token) if known is None else known:
                         end = (*path, token)
-                if entry[1] is not None:
+                if entry[1]:
                     grown.append((suffix, path))
             grown.append((b"", end))
             live = grown
@@ -364,13 +342,6 @@ def _vocabulary(docs: DataFrame, path: str | None):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Batches of fewer rows: a row's Python objects are many times its text."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The columns of ``docs`` without text, and ids (array<int>). Null text is empty; no special tokens."""
     names = [c for c in docs.columns if c not in ("text", "ids")]
@@ -379,7 +350,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(shared.value) as codec:
-            for batch in _small(batches):
+            for batch in small_batches(batches, 500):
                 ids = [list(chain.from_iterable(codec.encode(t or ""))) for t in batch.column(len(names)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"])
 
@@ -395,7 +366,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(shared.value) as codec:
-            for batch in _small(batches):
+            for batch in small_batches(batches, 500):
                 texts = [codec.text(ids or ()) for ids in batch.column(len(names)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*names, "text"])
 
@@ -414,7 +385,7 @@ def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with _codec(shared.value) as codec:
             name = [str(i) for i in range(max(codec.transducer.tokens) + 1)].__getitem__
-            for batch in _small(batches):
+            for batch in small_batches(batches, 500):
                 rows: list[tuple] = []
                 for text in batch.column(1).to_pylist():
                     n, ids_sha, back, kept = 0, hashlib.sha256(), hashlib.sha256(), []

@@ -28,6 +28,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(batches, rows: int = 1000):
+    """Arrow batches of fewer rows: as Python objects, texts take several times the room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; null becomes the empty string.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored, table, text_pieces, without
+from valorem.llm.common import small_batches, stored, table, text_pieces, without
 from valorem.llm.hashing import Rolling, mix
 
 SPAN = 10
@@ -137,7 +137,7 @@ def _scan(short: list[int] | None, bitmap: np.ndarray | None):
     """(id, body, text) -> (id, body, n_words, hits). ``short`` None: a text of under SPAN words is hashed whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n_words = np.zeros(batch.num_rows, np.int32)
             hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             segments, owners = [], []

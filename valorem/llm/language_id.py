@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import doc_crc, table
+from valorem.llm.common import doc_crc, small_batches, table
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3)
@@ -83,7 +83,7 @@ class Model:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
-    for batch in batches:
+    for batch in small_batches(batches):
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in set(langs):
             own = [t for t, x in zip(texts, langs) if x == lang]
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             lang, score = predict(shared.value, batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])

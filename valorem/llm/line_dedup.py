@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored, table
+from valorem.llm.common import small_batches, stored, table
 from valorem.llm.hashing import Rolling, mix, whole_runs
 
 EDITS = 2
@@ -113,7 +113,7 @@ def _emit_segments(edits: int, min_near: int):
             rows = segment_rows(list(own), np.array(list(own.values()), np.int64), edits)
             return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], ["key", "line", "sketch"])
 
-        for batch in batches:
+        for batch in small_batches(batches):
             own: dict[bytes, int] = {}
             held = 0
             for text in batch.column(0).to_pylist():
@@ -236,7 +236,7 @@ def within_edits(a: bytes, b: bytes, edits: int) -> int | None:
 
 def _verify(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [(*row[:4], d) for row in zip(*(c.to_pylist() for c in batch.columns))
                     if (d := within_edits(row[4], row[5], edits)) is not None]
             yield pa.RecordBatch.from_arrays(
@@ -250,7 +250,7 @@ def _texts_of(min_near: int, wanted: np.ndarray | None):
     """Lines as h1, h2, text; only those whose halved id is among ``wanted`` (sorted), if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             own: dict[tuple[int, int], bytes] = {}
             for text in batch.column(0).to_pylist():
                 lines = [x for x in set(split_lines(text)) if len(x) >= min_near]
@@ -292,7 +292,7 @@ def line_links(docs: DataFrame, edits: int = EDITS, min_near: int = MIN_NEAR, mo
 
 def _occurrences(min_equal: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out: list[list] = [[], [], [], [], []]
             for doc, body, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for n, line in enumerate(split_lines(text)):
@@ -342,7 +342,7 @@ def _rewrite(names: list[str]):
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts, counts = [], []
             for text, drop in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 lines = [] if text is None else text.split("\n")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import doc_crc, table, text_pieces
+from valorem.llm.common import doc_crc, small_batches, table, text_pieces
 
 PASSAGE = 64
 BUCKETS = 256
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     own = docs.select(*names, F.encode("text", "UTF-8").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             got = shared.value.score(batch.column(len(names)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got)], [*names, "score"])
 

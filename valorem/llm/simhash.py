@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored, table, text_pieces, with_body, without
+from valorem.llm.common import small_batches, stored, table, text_pieces, with_body, without
 from valorem.llm.components import components
 from valorem.llm.hashing import whole_runs
 
@@ -109,7 +109,7 @@ def fingerprint_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, body (hash of the text), fp (the fingerprint's bits as a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             fp = fingerprints(batch.column(2).to_pylist(), words)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp.view(np.int64))], ["doc_id", "body", "fp"])
 
