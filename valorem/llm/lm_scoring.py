@@ -60,9 +60,7 @@ BLOCK_TOKENS = 1_000_000
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
 #: Packed bytes of buckets that are seated together at least.
-JOINED = 3_000_000
-#: Rows of partial sums that a task holds before it adds up those of one text.
-HELD_SUMS = 1_000_000
+JOINED = 1_500_000
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -508,7 +506,6 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
         s1, d1 = STRENGTH[1], totals.discounts[1]
-        held: list[tuple[np.ndarray, ...]] = []
 
         def batch(rows, known, base, score) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
@@ -529,22 +526,15 @@ def _score(shared):
                 count = np.where(own.hot >= 0, totals.hot_count[own.hot], count)
             word_of = own.word_of[own.pair]
             n = own.n
-            held.append(_added([(own.row, n * (count[word_of] > 0), n * np.log10(count + 0.5)[word_of], n * np.log10(p / totals.samples)[own.pair])]))
-            if sum(len(x[0]) for x in held) >= HELD_SUMS:
-                held = [_added(held)]
-                if len(held[0][0]) >= HELD_SUMS / 2:
-                    yield batch(*held.pop())
-        if held:
-            yield batch(*_added(held))
+            yield batch(*_added(own.row, n * (count[word_of] > 0), n * np.log10(count + 0.5)[word_of], n * np.log10(p / totals.samples)[own.pair]))
 
     return run
 
 
-def _added(sums: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+def _added(row: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """(row, sums...) with one entry for each row."""
-    row = np.concatenate([x[0] for x in sums])
     rows, place = np.unique(row, return_inverse=True)
-    return rows, *(np.bincount(place, weights=np.concatenate([x[i] for x in sums]), minlength=len(rows)) for i in range(1, len(sums[0])))
+    return rows, *(np.bincount(place, weights=v, minlength=len(rows)) for v in values)
 
 
 def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFrame:
