@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from valorem import schema as S
 from valorem.plans import jobs
 from valorem.session import scratch_path
-from valorem.sources import feed
+from valorem.sources import csv_io, feed
 from valorem.sources.tables import master
 
 from conftest import SF_SMALL
@@ -25,13 +25,25 @@ def test_ingest_upserts_and_reports(spark):
     assert first["envelope"].count() == 2
     # a second run over a re-read page: new values win, no duplicates
     page2 = "<table><tbody>" + _row(pid="2", value="€4M") + _row(pid="9") + "</tbody></table>"
-    second = jobs.ingest(spark, spark.createDataFrame([(3, "w", page2)], pages_df.schema), first["master_path"])
+    second = jobs.ingest(spark, spark.createDataFrame([(3, "w", page2)], pages_df.schema), f"{root}/master")
+    assert csv_io.current(spark, f"{root}/master") == second["master_path"] != first["master_path"]
     m2 = {r.ID: r.Value for r in spark.read.parquet(second["master_path"]).collect()}
     assert m2 == {"1": 28.5e6, "2": 4e6, "9": 28.5e6}
     s2 = second["stats"].first()
     assert (s2.existing_rows, s2.new_rows, s2.merged_rows, s2.added, s2.removed) == (2, 2, 3, 1, 1)
 
 
+def test_ingest_of_a_repeated_id_keeps_the_last_listed(spark):
+    def page(values):
+        return "<table><tbody>" + "".join(_row(pid="7", value=f"€{v}M") for v in values) + "</tbody></table>"
+    rows = [(2, "u", page([1, 2, 3])), (5, "v", page([8, 4])), (3, "w", page([9]))]
+    root = scratch_path(spark, "ingest-repeats")
+    for parts in (1, 2, 5):
+        pages_df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        run = jobs.ingest(spark, pages_df, f"{root}/master-{parts}")
+        assert [r.Value for r in spark.read.parquet(run["master_path"]).collect()] == [4e6]
+
+
 def test_train_save_load_and_score_feed(spark):
     df = master(spark, SF_SMALL)
     root = scratch_path(spark, "jobs-models")

@@ -167,8 +167,8 @@ def test_scoring_flags_against_the_training_band(spark, models):
 
 
 def test_features_null_and_zero_variance(spark):
-    """A row with a null feature is skipped by the assembler; a constant
-    feature scales to 0 and does not break the fit."""
+    """A row with a null feature does not train; it comes out of scoring with a null
+    prediction and the feature's name. A constant feature scales to 0 and does not break the fit."""
     rows = [(str(i), float(i % 7) + 1.0, 50.0, float(i), 10.0 + i, 1.0) for i in range(40)]
     rows.append(("null", None, 50.0, 1.0, 2.0, 1.0))
     cols = ["ID", "Age", "Overall rating", "Potential", "Wage", "Value_log"]
@@ -177,8 +177,9 @@ def test_features_null_and_zero_variance(spark):
         if f not in df.columns:
             df = df.withColumn(f, F.lit(3.0))          # zero-variance features
     model = train.fit(df, "field", "linear", tune=False)
-    out = model.transform(df)
-    assert out.count() == 40 and "null" not in {r.ID for r in out.select("ID").collect()}
+    out = {r.ID: r for r in train.predict({("field", "linear"): model}, df.withColumn("segment", F.lit("field")), ["linear"]).collect()}
+    assert len(out) == 41 and out["null"].prediction is None and out["null"].missing_features == ["Age"]
+    assert all(r.prediction is not None and r.missing_features == [] for i, r in out.items() if i != "null")
     scaler = model.stages[1]
     const_slots = [i for i, f in enumerate(S.FIELD_FEATURES) if f not in cols]
     assert all(scaler.std[i] == 0.0 for i in const_slots)

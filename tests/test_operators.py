@@ -65,8 +65,8 @@ def test_trim_edges(spark):
             ("f4", "field", 30.0), ("f5", "field", 5e8)]
     df = spark.createDataFrame(rows, "ID string, segment string, Value double")
     out = {r.ID: r for r in prepare.trim_segments(df, cap=1e6, sigmas={"field": 10.0, "goalkeeper": 3.0}).collect()}
-    # one-row segment: stddev is null -> band is null -> row dropped; null Value dropped; cap applied
-    assert "g1" not in out and "f1" not in out
+    # one-row segment: the row is its own band and stays; null Value dropped; cap applied
+    assert "g1" in out and "f1" not in out
     assert out["f5"].Value == 1e6
     # a value exactly on a bound stays
     # mean 2, sample stddev exactly 1: with k = 1 the band is [1, 3], inclusive
@@ -91,6 +91,16 @@ def test_validate_messages(spark):
     assert got["pot"].error == "Potential must be between 50 and 99"
 
 
+def test_validate_rejects_what_is_no_number(spark):
+    df = spark.createDataFrame(
+        [("text", "abc"), ("nan", "NaN"), ("huge", "1e30"), ("none", None), ("float", "12.9")],
+        "ID string, Wage string").selectExpr("*", "false AS is_goalkeeper", "22 AS Age", "70 AS `Overall rating`", "70 AS Potential")
+    got = {r.ID: (r.valid, r.error, r.Wage) for r in validate.validate(df).collect()}
+    for bad in ("text", "nan", "huge"):
+        assert got[bad] == (False, "Wage must be a number", None)
+    assert got["none"] == (True, None, 0) and got["float"] == (True, None, 12)
+
+
 def test_attach_predictions_first_wins_and_fallback(spark):
     base = spark.createDataFrame([("1", "A", 10.0), ("2", "A", 11.0), ("3", "B", 12.0), ("4", "C", 13.0)],
                                  "ID string, Name string, Value double")

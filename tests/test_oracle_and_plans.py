@@ -64,12 +64,11 @@ def test_dedup_and_upsert_combine_map_side(spark):
     assert "partial_min_by" in p and "TakeOrderedAndProject" in p
 
 
-def test_envelope_offsets_window_is_sub_bucketed(spark):
+def test_publishing_does_not_shuffle(spark):
     from valorem.sources import feed, tables
-    env = feed.publish(tables.table(spark, SF_SMALL, "events"), key="user_id", order=["event_id"])
+    env = feed.publish(tables.table(spark, SF_SMALL, "events"), key="user_id")
     p = env._jdf.queryExecution().executedPlan().toString()
-    windows = [ln for ln in p.splitlines() if "Window [" in ln and "row_number" in ln]
-    assert windows and all("_sub" in ln for ln in windows)
+    assert "Exchange" not in p and "Window" not in p
 
 
 def test_new_batch_date_filter_reaches_the_scan(spark):

@@ -4,7 +4,6 @@ stays spread."""
 from pyspark.sql import functions as F
 
 from valorem.operators import report, upsert
-from valorem.sources import feed
 
 N = 30_000
 
@@ -17,23 +16,6 @@ def _hot(spark):
         (F.col("id") % 97).cast("double").alias("value"))
 
 
-def test_envelope_spreads_a_hot_key(spark):
-    env = feed.publish(_hot(spark), key="user_id", order=["event_id"], sub_buckets=64)
-    hot = env.filter(F.col("key") == "7")
-    assert hot.count() == N // 3
-    # offsets of the hot key's partition are dense and unique
-    p = hot.select("partition").first()[0]
-    part = env.filter(F.col("partition") == p)
-    st = part.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"), F.max("offset").alias("hi")).first()
-    assert st.n == st.d == st.hi + 1
-    # the window groups (partition, sub-bucket) each hold a small share of the rows
-    hot_df = _hot(spark)
-    staged = hot_df.select(F.col("user_id").cast("string").alias("k"),
-                           feed.sub_bucket(hot_df, ["event_id"], 64).alias("sub"))
-    biggest = staged.groupBy("sub").count().agg(F.max("count")).first()[0]
-    assert biggest < N / 20
-
-
 def test_keep_last_and_top_distinct_with_a_hot_key(spark):
     df = _hot(spark).select(F.col("user_id").cast("string").alias("ID"), F.col("event_id").alias("seq"),
                             F.col("value").alias("Value"))

@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     sc.add_argument("--models", required=True)
     sc.add_argument("--envelope", required=True)
     sc.add_argument("--out", required=True)
-    sc.add_argument("--max", type=int, default=300)
+    sc.add_argument("--max", type=int, default=None, help="score only so many messages (default: all)")
     sc.add_argument("--kinds", default=",".join(S.MODEL_KINDS))
     a = p.parse_args(argv)
 

@@ -22,6 +22,16 @@ def _c(c: str | Column) -> Column:
 
 # --- money / numbers --------------------------------------------------------
 
+# Number forms that the original accepted (digits may be grouped by single underscores); Java's
+# parser would also take suffixes such as 5D or 5f.
+NUMBER_FORM = r"^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+)?\s*$"
+
+
+def number(text: Column) -> Column:
+    """Text -> double where it has the form of a number, else null."""
+    return F.when(text.rlike(NUMBER_FORM), F.regexp_replace(F.trim(text), "_", "").try_cast("double"))
+
+
 def money(text: str | Column) -> Column:
     """Money text -> double.
 
@@ -32,9 +42,9 @@ def money(text: str | Column) -> Column:
     """
     t = _c(text)
     s = F.translate(t, "€,", "")
-    plain = F.coalesce(s.try_cast("double"), F.lit(0.0))
-    mega = F.replace(s, F.lit("M"), F.lit("")).try_cast("double") * F.lit(1e6)
-    kilo = F.replace(s, F.lit("K"), F.lit("")).try_cast("double") * F.lit(1e3)
+    plain = F.coalesce(number(s), F.lit(0.0))
+    mega = number(F.replace(s, F.lit("M"), F.lit(""))) * F.lit(1e6)
+    kilo = number(F.replace(s, F.lit("K"), F.lit(""))) * F.lit(1e3)
     return (F.when(t.isNull() | (t == "") | (t == "-"), F.lit(0.0))
             .when(s.contains("M"), mega)
             .when(s.contains("K"), kilo)

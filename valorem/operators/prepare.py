@@ -32,8 +32,9 @@ def sigma_for(group: str | None, sigmas: dict[str, float] = S.TRIM_SIGMAS, defau
 
 
 def fit_band(df: DataFrame, group: str = "segment", sigmas: dict[str, float] = S.TRIM_SIGMAS) -> DataFrame:
-    """(group, mean, sd, lo, hi) of Value_log per group; sd is the sample stddev."""
-    st = df.groupBy(group).agg(F.avg("Value_log").alias("log_mean"), F.stddev_samp("Value_log").alias("log_sd"))
+    """(group, mean, sd, lo, hi) of Value_log per group; sd is the sample stddev, 0 for a single row (which is then its own band)."""
+    st = df.groupBy(group).agg(F.avg("Value_log").alias("log_mean"),
+                               F.when(F.count("Value_log") > 0, F.coalesce(F.stddev_samp("Value_log"), F.lit(0.0))).alias("log_sd"))
     k = sigma_for(group, sigmas)
     return st.select(group, "log_mean", "log_sd",
                      (F.col("log_mean") - k * F.col("log_sd")).alias("band_lo"),

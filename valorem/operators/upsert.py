@@ -27,7 +27,8 @@ def tagged_union(existing: DataFrame, new: DataFrame, seq: str | None = None) ->
     old = existing.withColumn("_src", F.lit(0))
     fresh = new.withColumn("_src", F.lit(1))
     both = old.unionByName(fresh, allowMissingColumns=True)
-    return both.withColumn("_seq", F.col(seq) if seq else F.lit(0))
+    # without a sequence the row's own content decides between repeats: never the partitioning
+    return both.withColumn("_seq", F.col(seq) if seq else F.xxhash64(*[F.col(c) for c in both.columns]))
 
 
 def keep_last(existing: DataFrame, new: DataFrame, key: str = "ID", seq: str | None = None) -> DataFrame:

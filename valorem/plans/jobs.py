@@ -22,7 +22,7 @@ from valorem import schema as S
 from valorem.operators import metrics, upsert
 from valorem.plans import score, train
 from valorem.sources import csv_io, feed, pages
-from valorem.session import scratch_path
+from valorem.session import materialize, scratch_path
 from valorem.streaming import listener
 
 
@@ -34,24 +34,31 @@ def ingest(spark: SparkSession, stored_pages: DataFrame, master_path: str | None
     Returns {"status", "stats", "master_path", "envelope"}: the extraction
     status row (pages, pages with rows, rows kept, rows rejected for
     unparsable money), the upsert statistics, the path of the new master version
-    (the previous one is never overwritten while it is read) and the
-    envelope of the new rows. An empty extraction is reported in ``status``.
+    and the envelope of the new rows. ``master_path`` names the table through all
+    runs: each run merges into its current version and then makes the result
+    the current one (``csv_io.replace``; ``csv_io.current`` resolves it).
+    Of rows that repeat an ID the last listed wins. An empty extraction is reported in ``status``.
     """
-    listed = pages.table_listings(stored_pages, with_rejects=True)
-    new = listed.filter(~F.col("rejected")).select(*S.MASTER_COLUMNS)
+    # Parsed once: status, merge, statistics and envelope read the written rows.
+    listed = materialize(pages.table_listings(stored_pages, with_rejects=True))
+    # The order in which the pages list the rows decides between repeats of an ID.
+    rows = listed.filter(~F.col("rejected")).withColumn("seq", F.struct("page_id", "row_index"))
+    new = rows.select(*S.MASTER_COLUMNS, "seq")
     n_pages = stored_pages.agg(F.count(F.lit(1))).scalar()
     status = listed.agg(F.count_distinct("page_id").alias("pages_with_rows"),
                         F.count_if(~F.col("rejected")).alias("rows_kept"),
                         F.count_if(F.col("rejected")).alias("rows_rejected")
                         ).select(n_pages.alias("pages"), "pages_with_rows", "rows_kept", "rows_rejected")
     master_path = master_path or scratch_path(spark, "master-table")
-    existing = upsert.read_existing(spark, master_path, fmt, new)
-    merged = upsert.keep_last(existing.select(*S.MASTER_COLUMNS), new, "ID").drop("source")
+    version = csv_io.current(spark, master_path)
+    existing = (spark.read.format(fmt).load(version) if version else
+                upsert.read_existing(spark, master_path, fmt, new.drop("seq"))).select(*S.MASTER_COLUMNS)
+    merged = upsert.keep_last(existing.withColumn("seq", F.lit(None).cast(new.schema["seq"].dataType)), new, "ID", "seq").drop("source", "seq")
     target = csv_io.replace(merged.select(*S.MASTER_COLUMNS), master_path, fmt)
     return {"status": status,
-            "stats": upsert.upsert_stats(existing, new, "ID"),
+            "stats": upsert.upsert_stats(existing, new.drop("seq"), "ID"),
             "master_path": target,
-            "envelope": feed.publish(new, key="ID", columns=S.MESSAGE_COLUMNS)}
+            "envelope": feed.publish(new.drop("seq"), key="ID", columns=S.MESSAGE_COLUMNS)}
 
 
 def train_job(spark: SparkSession, master_df: DataFrame, models_dir: str | None = None,
@@ -72,8 +79,8 @@ def load_models(models_dir: str, kinds: list[str] = S.MODEL_KINDS) -> dict:
 
 
 def score_feed(models: dict, envelope: DataFrame, kinds: list[str] = S.MODEL_KINDS,
-               max_messages: int = 300, factor: float = 1.0) -> DataFrame:
-    """Bounded feed: first ``max_messages`` messages, decoded, scored by every
+               max_messages: int | None = None, factor: float = 1.0) -> DataFrame:
+    """The feed from earliest to latest (with ``max_messages`` its first messages), decoded, scored by every
     kind (listener routing: 'gardien' -> goalkeeper, anything else -> field)."""
     msgs = feed.decode(feed.bounded_read(envelope, max_messages))
     return score.score_table(models, msgs, kinds, factor=factor, route_unknown_to_field=True)

@@ -6,7 +6,6 @@ written against the pre-registered driver tables.
 
 from __future__ import annotations
 
-from valorem.sources.feed import DEFAULT_SUB_BUCKETS
 from valorem.sources.tables import MASTER_SQL
 
 
@@ -89,13 +88,7 @@ def trimmed_sql(cap: float, source: str = "seg", name: str = "trimmed") -> str:
 
 
 ENVELOPE_SQL = """
-envelope AS (
-  SELECT *, "ID" AS key, 'entities' AS topic,
-         CAST(coalesce(('0x' || substr(md5("ID"), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition",
-         CAST(row_number() OVER (PARTITION BY coalesce(('0x' || substr(md5("ID"), 1, 8))::BIGINT % 3, 0)
-              ORDER BY ('0x' || substr(md5(coalesce("ID", '')), 9, 8))::BIGINT % {SUB_BUCKETS}, "ID") - 1 AS BIGINT) AS "offset"
-  FROM master
-)""".replace("{SUB_BUCKETS}", str(DEFAULT_SUB_BUCKETS))
+envelope AS (SELECT *, "ID" AS key, 'entities' AS topic FROM master)"""
 
 
 def table_listings_sql(pages: str = "pages") -> str:

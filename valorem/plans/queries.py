@@ -11,6 +11,7 @@ import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from valorem import schema as S
@@ -366,31 +367,47 @@ def unit_scale_stats(spark, sf_dir):
     return prepare.feature_stats(prepare.trim_segments(segments.with_segments(master_table(spark, sf_dir))))
 
 
-def _validate_sql() -> str:
-    feats = list(dict.fromkeys(S.GOALKEEPER_FEATURES + S.FIELD_FEATURES))
-    req = [f for f, _, _ in S.REQUIRED_RANGES]
-    cols = ", ".join(
-        f"CAST(trunc(coalesce(TRY_CAST({q(f)} AS DOUBLE), {'0.0' if f in req else '1.0'})) AS BIGINT) AS {q(f)}"
-        for f in feats)
-    msg = lambda f, lo, hi: (f"{f} must be between {lo:,} and {hi:,}" if f == "Wage"
-                             else f"{f} must be between {lo} and {hi}")
+def _request_sql() -> list[str]:
+    """CTEs ``req`` (the requests as given) and ``checked`` (with is_goalkeeper and error)."""
+    required = {f: (lo, hi) for f, lo, hi in S.REQUIRED_RANGES}
+    feats = [f for f in dict.fromkeys(S.GOALKEEPER_FEATURES + S.FIELD_FEATURES) if f not in required]
+    given = {"Age": '14 + "Age" % 29', "Overall rating": '49 + "Overall rating" % 52', "Potential": '49 + "Potential" % 52',
+             "Wage": 'CAST(trunc("Wage" * 21) AS BIGINT)'} | {f: f"{q(f)} % 101" for f in feats}
+    msg = lambda f, lo, hi: f"{f} must be between {lo:,} and {hi:,}" if f == "Wage" else f"{f} must be between {lo} and {hi}"
     chk = lambda f, lo, hi: f"CASE WHEN NOT ({q(f)} BETWEEN {lo} AND {hi}) THEN '{msg(f, lo, hi)}' END"
     lo, hi = S.OTHER_RANGE
-    gk = [f for f in S.GOALKEEPER_FEATURES if f not in S.SHARED_FEATURES]
-    fd = [f for f in S.FIELD_FEATURES if f not in S.SHARED_FEATURES]
-    err = ("coalesce(" + ", ".join(chk(f, a, b) for f, a, b in S.REQUIRED_RANGES)
-           + f", CASE WHEN is_goalkeeper THEN coalesce({', '.join(chk(f, lo, hi) for f in gk)}) END"
-           + f", CASE WHEN NOT is_goalkeeper THEN coalesce({', '.join(chk(f, lo, hi) for f in fd)}) END)")
-    return with_ctes(SEGMENTS_SQL, f"""
-r AS (SELECT "ID", coalesce(segment = 'goalkeeper', false) AS is_goalkeeper, {cols} FROM seg)""",
-                     body=f"SELECT \"ID\", is_goalkeeper, {err} IS NULL AS valid, {err} AS error FROM r")
+    only = lambda own: ", ".join(chk(f, lo, hi) for f in own if f not in S.SHARED_FEATURES)
+    first = [chk(f, a, b) for f, a, b in S.REQUIRED_RANGES if f != "Wage"]
+    wage = f"""CASE WHEN "ID" LIKE '%19' OR "ID" LIKE '%39' OR "ID" LIKE '%49' THEN 'Wage must be a number'
+                    WHEN "ID" LIKE '%29' THEN NULL ELSE {chk("Wage", *required["Wage"])} END"""
+    return [f"""
+req AS (SELECT "ID", coalesce(segment = 'goalkeeper', false) AS is_goalkeeper, {", ".join(f"{x} AS {q(f)}" for f, x in given.items())} FROM seg)""", f"""
+checked AS (SELECT "ID", is_goalkeeper, coalesce({", ".join(first)}, {wage},
+    CASE WHEN is_goalkeeper THEN coalesce({only(S.GOALKEEPER_FEATURES)}) ELSE coalesce({only(S.FIELD_FEATURES)}) END) AS error FROM req)"""]
 
 
-@register("validate_inputs", _validate_sql())
-def validate_inputs(spark, sf_dir):
-    req = segments.with_segments(master_table(spark, sf_dir)).withColumn(
+_REQUEST_SQL = _request_sql()
+
+
+def _requests(spark, sf_dir):
+    """What-if requests made from the master rows: numbers folded into (and a little
+    beyond) the allowed ranges, and wages that are missing or no number."""
+    rows = segments.with_segments(master_table(spark, sf_dir)).withColumn(
         "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
-    return validate.validate(req).select("ID", "is_goalkeeper", "valid", "error")
+    required = [f for f, _, _ in S.REQUIRED_RANGES]
+    folded = {f: F.col(f) % 101 for f in dict.fromkeys(S.GOALKEEPER_FEATURES + S.FIELD_FEATURES) if f not in required}
+    wage = (F.when(F.col("ID").like("%19"), F.lit("abc")).when(F.col("ID").like("%29"), F.lit(None).cast("string"))
+            .when(F.col("ID").like("%39"), F.lit("NaN")).when(F.col("ID").like("%49"), F.lit("1e30"))
+            .otherwise((F.col("Wage") * 21).cast("string")))
+    return rows.withColumns({"Age": 14 + F.col("Age") % 29, "Overall rating": 49 + F.col("Overall rating") % 52,
+                             "Potential": 49 + F.col("Potential") % 52, "Wage": wage, **folded})
+
+
+@register("validate_inputs", with_ctes(SEGMENTS_SQL, *_REQUEST_SQL, body="""
+SELECT "ID", is_goalkeeper, error IS NULL AS valid, error FROM checked"""))
+def validate_inputs(spark, sf_dir):
+    """Valid requests of both segments, out-of-range values and wages that are no number."""
+    return validate.validate(_requests(spark, sf_dir)).select("ID", "is_goalkeeper", "valid", "error")
 
 
 # ---------------------------------------------------------------------------
@@ -406,40 +423,30 @@ def entity_envelope(spark, sf_dir):
 
 
 @register("publish_envelope", with_ctes(ENVELOPE_SQL, body=f"""
-SELECT key, topic, "partition", "offset", {_MSG_COLS} FROM envelope"""))
+SELECT key, topic, {_MSG_COLS} FROM envelope"""))
 def publish_envelope(spark, sf_dir):
-    return feed.decode(entity_envelope(spark, sf_dir), keep=["key", "topic", "partition", "offset"])
-
-
-@register("offset_report", with_ctes(ENVELOPE_SQL, body="""
-SELECT topic, "partition", min("offset") AS start_offset, max("offset") + 1 AS end_offset, count(*) AS n
-FROM envelope GROUP BY topic, "partition\""""))
-def offset_report(spark, sf_dir):
-    return feed.offset_report(entity_envelope(spark, sf_dir))
+    return feed.decode(entity_envelope(spark, sf_dir), keep=["key", "topic"])
 
 
-FEED_CAP = 300
 _NUMERIC_TRUNC = ", ".join(f"CAST(CAST(trunc({q(c)}) AS BIGINT) AS DOUBLE) AS {q(c)}" for c in S.NUMERIC_COLUMNS)
-_BOUNDED_SQL = [ENVELOPE_SQL, f"""
-bounded AS (SELECT * FROM envelope ORDER BY "partition", "offset" LIMIT {FEED_CAP})""", """
-bl AS (SELECT *, ln(1 + "Value") AS "Value_log" FROM bounded)""", """
+_FEED_SQL = [ENVELOPE_SQL, """
+bl AS (SELECT *, ln(1 + "Value") AS "Value_log" FROM envelope)""", """
 bs AS (SELECT avg("Value_log") AS m, stddev_samp("Value_log") AS sd FROM bl)""", f"""
 feed_rows AS (SELECT "Name", "ID", "Team", "Position category", {_NUMERIC_TRUNC}, "Value_log"
               FROM bl, bs WHERE "Value_log" BETWEEN m - 3.0 * sd AND m + 3.0 * sd)"""]
 
 
-def bounded_feed(spark, sf_dir):
-    """First 300 messages, decoded, 3-sigma band over all of them, numbers truncated."""
-    # at most FEED_CAP rows: read once, then reused by every statistic below
-    msgs = materialize(feed.decode(feed.bounded_read(entity_envelope(spark, sf_dir), FEED_CAP)))
+def whole_feed(spark, sf_dir, max_messages: int | None = None):
+    """Every message (or the caller's number of them), decoded, 3-sigma band over all of them, numbers truncated."""
+    msgs = feed.decode(feed.bounded_read(entity_envelope(spark, sf_dir), max_messages))
     trimmed = prepare.trim_all(prepare.cap_log(msgs, cap=None), k=S.TRIM_SIGMAS["feed"])
     return profile.numeric_normalise(trimmed)
 
 
-@register("bounded_feed_300", with_ctes(*_BOUNDED_SQL, body=f"""
+@register("feed_trimmed", with_ctes(*_FEED_SQL, body=f"""
 SELECT * REPLACE (round("Value_log", 6) AS "Value_log") FROM feed_rows"""))
-def bounded_feed_300(spark, sf_dir):
-    return (bounded_feed(spark, sf_dir)
+def feed_trimmed(spark, sf_dir):
+    return (whole_feed(spark, sf_dir)
             .select("Name", "ID", "Team", "Position category", *S.NUMERIC_COLUMNS,
                     F.round("Value_log", 6).alias("Value_log")))
 
@@ -448,13 +455,13 @@ _COMMON = ["Name", "ID", "Team", "Position category", *S.NUMERIC_COLUMNS]
 
 
 @register("combined_scaler_stats", with_ctes(
-    *_BOUNDED_SQL,
+    *_FEED_SQL,
     "unioned AS (SELECT {c} FROM master UNION ALL BY NAME SELECT {c} FROM feed_rows)".format(
         c=", ".join(q(c) for c in _COMMON)),
     SEGMENTS_SQL.replace("FROM master", "FROM unioned"),
     trimmed_sql(S.VALUE_CAP), _feature_stats_sql("trimmed")[0], body=_feature_stats_sql("trimmed")[1]))
 def combined_scaler_stats(spark, sf_dir):
-    both = master_table(spark, sf_dir).select(*_COMMON).unionByName(bounded_feed(spark, sf_dir).select(*_COMMON))
+    both = master_table(spark, sf_dir).select(*_COMMON).unionByName(whole_feed(spark, sf_dir).select(*_COMMON))
     return prepare.feature_stats(prepare.trim_segments(segments.with_segments(both)))
 
 
@@ -574,74 +581,153 @@ def csv_round_trip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Models (rows-only checks: fitted models have no SQL equivalent)
+# Models. A fitted model has no SQL form; these queries return what must hold
+# for every row: which rows are scored by which model, and true where the
+# prediction keeps a property that any right model has.
 # ---------------------------------------------------------------------------
 
+PREPARED_SQL = f"""
+pl AS (SELECT * REPLACE (least("Value", {S.VALUE_CAP!r}) AS "Value"), ln(1 + least("Value", {S.VALUE_CAP!r})) AS "Value_log"
+       FROM seg WHERE segment IS NOT NULL),
+pb AS (SELECT segment, avg("Value_log") AS m, stddev_samp("Value_log") AS sd,
+              CASE segment WHEN 'goalkeeper' THEN {S.TRIM_SIGMAS["goalkeeper"]!r} ELSE {S.TRIM_SIGMAS["field"]!r} END AS k
+       FROM pl WHERE split = 'train' GROUP BY segment),
+prepared AS (SELECT pl.* FROM pl JOIN pb USING (segment) WHERE "Value_log" BETWEEN m - k * sd AND m + k * sd)"""
+_KINDS_SQL = "(VALUES " + ", ".join(f"('{k}')" for k in S.MODEL_KINDS) + ") AS kinds(model)"
+TREES = ("forest", "forest_sub")
+
+
+def _cache_key(spark, sf_dir):
+    return (spark.sparkContext.applicationId, sf_dir)
 
 
 def _models(spark, sf_dir, kinds):
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    return train.fitted_models(spark, prepared, kinds, cache_key=(spark.sparkContext.applicationId, sf_dir))
+    return train.fitted_models(spark, prepared, kinds, cache_key=_cache_key(spark, sf_dir))
+
+
+def _finite(c: str) -> F.Column:
+    return F.coalesce(~F.isnan(c) & (F.abs(c) < 1e12), F.lit(False))
 
 
 def _train_eval(kind):
+    """Test rows scored by the kind, with the label in money. ``ok``: a forest's
+    prediction lies within its training labels, a linear one is finite."""
     def run(spark, sf_dir):
-        return train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=(spark.sparkContext.applicationId, sf_dir))
+        preds = train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=_cache_key(spark, sf_dir))
+        ok = _finite("prediction")
+        if kind in TREES:
+            labels = (train.prepare_training(master_table(spark, sf_dir)).filter(F.col("split") == "train")
+                      .groupBy("segment").agg(F.min("Value_log").alias("lo"), F.max("Value_log").alias("hi")))
+            preds = preds.join(F.broadcast(labels), "segment")  # one row per segment
+            ok = ok & F.col("prediction").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)
+        return preds.select("ID", "segment", "model", F.round("Value_euros", 2).alias("value"), ok.alias("ok"))
     run.__name__ = f"train_eval_{kind}"
     return run
 
 
-@register("train_all")
+@register("train_all", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT model, segment, count(*) AS n, true AS below_mean_baseline
+FROM prepared, {_KINDS_SQL} WHERE split = 'test' GROUP BY model, segment"""))
 def train_all(spark, sf_dir):
     """The full training run: every kind x both segments, cross-validated
-    (78 fits); returns the test RMSE per (model, segment)."""
-    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
-    return metrics.rmse(preds, ["model", "segment"])
+    (78 fits). Per (model, segment) the test rows, and whether the test RMSE is
+    below that of the training mean."""
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=_cache_key(spark, sf_dir))
+    baseline = metrics.baseline_predictions(prepared).filter((F.col("split") == "test") & (F.col("model") == "segment_mean"))
+    bar = metrics.rmse(baseline, ["segment"]).select("segment", F.col("rmse").alias("bar"))
+    return (metrics.rmse(preds, ["model", "segment"]).join(F.broadcast(bar), "segment")
+            .select("model", "segment", "n", (F.col("rmse") < F.col("bar")).alias("below_mean_baseline")))
 
 
 for _kind in S.MODEL_KINDS:
-    register(f"train_eval_{_kind}")(_train_eval(_kind))
+    register(f"train_eval_{_kind}", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT "ID", segment, '{_kind}' AS model, round(exp("Value_log") - 1, 2) AS value, true AS ok
+FROM prepared WHERE split = 'test'"""))(_train_eval(_kind))
 
 
-@register("feature_importance")
-def feature_importance(spark, sf_dir):
-    """Importances of every trained forest (sorted desc) and coefficients of
-    every linear kind (sorted by absolute value), per segment."""
-    return train.importances(_models(spark, sf_dir, S.MODEL_KINDS), spark)
+_FEATURES_SQL = " UNION ALL ".join(
+    f"SELECT '{seg}' AS segment, '{kind}' AS model, unnest([{', '.join(repr(f) for f in feats)}]) AS feature"
+    for seg, feats in S.SEGMENTS.items() for kind in S.MODEL_KINDS)
 
 
-@register("score_batch")
+@register("feature_importance", f"""
+WITH f AS ({_FEATURES_SQL}), entities AS (SELECT count(*) AS n FROM customer)
+SELECT segment, model, feature, true AS ok FROM f, entities WHERE n > 0""")
+def feature_importance(spark, sf_dir):
+    """Every feature of every trained model with its importance (forests) or
+    coefficient. ``ok``: a forest's importances lie in 0..1, sum to 1 and are
+    ranked in falling order; coefficients are finite and ranked by size."""
+    got = train.importances(_models(spark, sf_dir, S.MODEL_KINDS), spark)
+    w = Window.partitionBy("segment", "model")  # one model's features
+    size = F.abs("importance")
+    tree = F.col("model").isin(*TREES)
+    falling = F.coalesce(size <= F.lag(size).over(w.orderBy("rank")) + 1e-12, F.lit(True))
+    ok = _finite("importance") & falling & F.when(
+        tree, F.col("importance").between(0, 1) & (F.abs(F.sum("importance").over(w) - 1) < 1e-6)).otherwise(F.lit(True))
+    return got.select("segment", "model", "feature", ok.alias("ok"))
+
+
+@register("score_batch", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT "ID", segment, model, coalesce("Value_log" NOT BETWEEN m - k * sd AND m + k * sd, false) AS is_outlier, true AS scored
+FROM pl JOIN pb USING (segment), {_KINDS_SQL}"""))
 def score_batch(spark, sf_dir):
     """Every master row in a model segment scored by every kind; rows outside
     the frozen training band are flagged, never dropped."""
     _, band = train.training_band(master_table(spark, sf_dir))
-    return score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS,
-                             band=band)
+    out = score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS, band=band)
+    return out.select("ID", "segment", "model", "is_outlier", _finite("prediction").alias("scored"))
 
 
-@register("whatif_score")
-def whatif_score(spark, sf_dir):
-    """Every master row as a what-if request: validated, and scored by the
-    forest of its segment as exp(prediction) * scale when valid."""
-    req = segments.with_segments(master_table(spark, sf_dir)).withColumn(
-        "is_goalkeeper", F.coalesce(F.col("segment") == "goalkeeper", F.lit(False)))
-    return score.whatif(_models(spark, sf_dir, ["forest"]), req, "forest")
+# Rows that can't be scored are told apart by what they lack: Age of every ID that ends in 7, Potential of every one in 8.
+_HOLES_SQL = """
+holes AS (SELECT * REPLACE (CASE WHEN "ID" LIKE '%7' THEN NULL ELSE "Age" END AS "Age",
+                            CASE WHEN "ID" LIKE '%8' THEN NULL ELSE "Potential" END AS "Potential") FROM master)"""
+
 
+@register("scoring_rejects", with_ctes(_HOLES_SQL, SEGMENTS_SQL.replace("FROM master", "FROM holes"), body=f"""
+SELECT "ID", segment, 'forest' AS model, "Age" IS NOT NULL AND "Potential" IS NOT NULL AS scored,
+       CASE WHEN "Age" IS NULL THEN 'Age' WHEN "Potential" IS NULL THEN 'Potential' ELSE '' END AS missing
+FROM seg WHERE segment IS NOT NULL"""))
+def scoring_rejects(spark, sf_dir):
+    """Rows with null features come out of scoring like all others, without a
+    price and with the names of the features they miss."""
+    holed = (master_table(spark, sf_dir)
+             .withColumn("Age", F.when(~F.col("ID").like("%7"), F.col("Age")))
+             .withColumn("Potential", F.when(~F.col("ID").like("%8"), F.col("Potential"))))
+    out = score.score_table(_models(spark, sf_dir, ["forest"]), holed, ["forest"])
+    return out.select("ID", "segment", "model", F.col("Prediction_euros").isNotNull().alias("scored"),
+                      F.array_join("missing_features", ",").alias("missing"))
 
-STREAM_FILES = 5
+
+@register("whatif_score", with_ctes(SEGMENTS_SQL, *_REQUEST_SQL, body="""
+SELECT "ID", is_goalkeeper, error IS NULL AS valid, error, error IS NULL AS priced FROM checked"""))
+def whatif_score(spark, sf_dir):
+    """What-if requests (valid ones and each kind of error, both segments),
+    validated, and scored by the forest of their segment when valid."""
+    out = score.whatif(_models(spark, sf_dir, ["forest"]), _requests(spark, sf_dir), "forest")
+    return out.select("ID", "is_goalkeeper", "valid", "error", F.coalesce(F.col("predicted_value") > 0, F.lit(False)).alias("priced"))
 
 
-@register("stream_score_append")
+@register("stream_score_append", with_ctes(SEGMENTS_SQL, body=f"""
+SELECT "ID" AS key, model AS model_type, CASE WHEN cat_idx = 3.0 THEN 'goalkeeper' ELSE 'field' END AS segment, true AS same_as_batch
+FROM tagged, {_KINDS_SQL}"""))
 def stream_score_append(spark, sf_dir):
-    """Publish the master rows as envelope files, score them with a streaming
-    query (availableNow, 2 files per trigger) and return the appended output."""
+    """The master rows published as envelope files and scored by a streaming
+    query (availableNow, 2 files per trigger); every appended row is held
+    against the batch scoring of the same message."""
     models = _models(spark, sf_dir, S.MODEL_KINDS)
     root = scratch_path(spark, "stream")
-    feed.write_envelope(entity_envelope(spark, sf_dir), f"{root}/topic", files=STREAM_FILES)
+    feed.write_envelope(entity_envelope(spark, sf_dir), f"{root}/topic")
     q_ = listener.start(listener.file_stream(spark, f"{root}/topic", max_files_per_trigger=2), models,
                         S.MODEL_KINDS, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint", available_now=True)
     q_.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    batch = (score.score_table(models, feed.decode(entity_envelope(spark, sf_dir)), S.MODEL_KINDS, route_unknown_to_field=True)
+             .select(F.col("ID").alias("key"), F.col("model").alias("model_type"), F.col("Prediction_euros").alias("batch_euros")))
+    same = F.abs(F.col("Prediction_euros") - F.col("batch_euros")) <= 1e-9 * F.abs("batch_euros")
+    return (spark.read.parquet(f"{root}/out").join(batch, ["key", "model_type"], "left")
+            .select("key", "model_type", "segment", F.coalesce(same, F.lit(False)).alias("same_as_batch")))
 
 
 # ---------------------------------------------------------------------------
@@ -673,12 +759,15 @@ def pair_diag_density(spark, sf_dir):
     return profile.densities(report.report_base(master_table(spark, sf_dir)), S.PAIR_COLUMNS)
 
 
-@register("bounded_feed_score")
-def bounded_feed_score(spark, sf_dir):
-    """The bounded feed (300 messages) scored per segment with the forest
-    models and the training-time scaler inside each model."""
+@register("feed_score", with_ctes(*_FEED_SQL, SEGMENTS_SQL.replace("FROM master", "FROM feed_rows"), body="""
+SELECT "ID", "Name", segment, 'forest' AS model, true AS scored FROM seg WHERE segment IS NOT NULL"""))
+def feed_score(spark, sf_dir):
+    """The whole feed scored per segment with the forest models and the
+    training-time scaler inside each model: every message in a segment gets a
+    finite, positive price (``scored``)."""
     models = _models(spark, sf_dir, ["forest"])
-    return score.score_table(models, bounded_feed(spark, sf_dir), ["forest"])
+    out = score.score_table(models, whole_feed(spark, sf_dir), ["forest"])
+    return out.select("ID", "Name", "segment", "model", F.coalesce((F.col("Prediction_euros") > 0) & ~F.isnan("Prediction_euros"), F.lit(False)).alias("scored"))
 
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
@@ -686,41 +775,41 @@ EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double
 
 
 @register("event_envelope", """
-WITH e AS (SELECT *, CAST(user_id AS VARCHAR) AS key, 'events' AS topic,
-  CAST(coalesce(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 3, 0) AS INTEGER) AS "partition"
-  FROM events)
-SELECT key, topic, "partition",
-       CAST(row_number() OVER (PARTITION BY "partition" ORDER BY event_id) - 1 AS BIGINT) AS "offset",
-       event_id, user_id, event_type, value, props
-FROM e""")
+SELECT CAST(user_id AS VARCHAR) AS key, 'events' AS topic, event_id, user_id, event_type, value, props FROM events""")
 def event_envelope(spark, sf_dir):
-    """Events keyed by user; inside each topic partition the offsets follow
-    the event id. A hot user lands in one topic partition, but the numbering
-    runs in range sub-buckets of the event id, so no task holds its rows alone."""
-    env = feed.publish(table(spark, sf_dir, "events"), key="user_id", columns=EVENT_COLUMNS, topic="events",
-                       order=["event_id"])
-    return feed.decode(env, schema=EVENT_SCHEMA, keep=["key", "topic", "partition", "offset"])
+    """Every event keyed by user, encoded as a message and decoded again."""
+    env = feed.publish(table(spark, sf_dir, "events"), key="user_id", columns=EVENT_COLUMNS, topic="events")
+    return feed.decode(env, schema=EVENT_SCHEMA, keep=["key", "topic"])
 
 
-@register("training_report")
+@register("training_report", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT segment, model, CASE WHEN model LIKE 'forest%' THEN 'RandomForestRegressionModel' ELSE 'LinearRegressionModel' END AS model_class,
+       CASE segment WHEN 'goalkeeper' THEN {len(S.GOALKEEPER_FEATURES)} ELSE {len(S.FIELD_FEATURES)} END AS num_features,
+       count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'test') AS test_rows
+FROM prepared, {_KINDS_SQL} GROUP BY segment, model"""))
 def training_report(spark, sf_dir):
-    """Per (segment, model): train/test rows, fit seconds, chosen parameters."""
+    """Per (segment, model): class, feature count, train and test rows. (Chosen
+    parameters and fit seconds are in ``train.training_report``.)"""
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
-    return train.training_report(models, spark, prepared)
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=_cache_key(spark, sf_dir))
+    return train.training_report(models, spark, prepared).select(
+        "segment", "model", "model_class", "num_features", "train_rows", "test_rows")
 
 
-@register("model_round_trip")
+@register("model_round_trip", with_ctes(SEGMENTS_SQL, body="""
+SELECT "ID", segment, 'forest' AS model, true AS same FROM seg WHERE segment IS NOT NULL"""))
 def model_round_trip(spark, sf_dir):
     """Forest models saved whole (assembler + scaler + forest) to the shared
-    folder, loaded back and used to score every master row in a segment."""
+    folder and loaded back: every row's prediction is that of the model saved."""
     models = _models(spark, sf_dir, ["forest"])
     loaded = {}
     for (segment, kind), model in models.items():
         path = scratch_path(spark, f"model-{segment}-{kind}")
         train.save(model, path)
         loaded[(segment, kind)] = train.load(path)
-    return score.score_table(loaded, master_table(spark, sf_dir), ["forest"])
+    first, again = (score.score_table(m, master_table(spark, sf_dir), ["forest"]) for m in (models, loaded))
+    again = again.select("ID", F.col("prediction").alias("again"))
+    return first.join(again, "ID").select("ID", "segment", "model", (F.col("prediction") == F.col("again")).alias("same"))
 
 
 @register("csv_copy", with_ctes(body='SELECT * REPLACE (CAST("ID" AS INTEGER) AS "ID") FROM master'))
@@ -735,14 +824,20 @@ def csv_copy(spark, sf_dir):
     return csv_io.read_inferred(spark, dst)
 
 
-@register("model_calibration")
+@register("model_calibration", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT model, segment, round(sum(exp("Value_log") - 1), 0) AS actual, true AS ok
+FROM prepared, {_KINDS_SQL} WHERE split = 'train' GROUP BY model, segment"""))
 def model_calibration(spark, sf_dir):
     """Learned calibration factor of every trained model: sum(actual) /
-    sum(predicted) on the money scale over the training split."""
+    sum(predicted) on the money scale over the training split. ``ok``: the
+    factor turns the predicted total into the actual one and lies near 1."""
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=(spark.sparkContext.applicationId, sf_dir))
+    models = train.fitted_models(spark, prepared, S.MODEL_KINDS, cache_key=_cache_key(spark, sf_dir))
     scored = train.predict(models, prepared.filter(F.col("split") == "train"), S.MODEL_KINDS)
-    return metrics.calibration(scored, ["model", "segment"])
+    sums = scored.groupBy("model", "segment").agg(F.sum(F.expm1("Value_log")).alias("actual"), F.sum(F.expm1("prediction")).alias("predicted"))
+    got = metrics.calibration(scored, ["model", "segment"], digits=9).join(sums, ["model", "segment"])
+    ok = (F.abs(F.col("factor") * F.col("predicted") / F.col("actual") - 1) < 1e-6) & F.col("factor").between(0.5, 2.0)
+    return got.select("model", "segment", F.round("actual", 0).alias("actual"), ok.alias("ok"))
 
 
 @register("listing_status", f"""

@@ -25,6 +25,7 @@ def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1
     """(ID, Name, segment, model, prediction, Prediction_euros) for every row of
     ``df`` in a model segment — or, with ``route_unknown_to_field``, every row
     (the listener's routing: 'gardien' -> goalkeeper, anything else -> field).
+    A row that misses features has a null prediction and their names in ``missing_features``.
     Missing kinds fall back to ``forest``.
 
     With ``band`` (the frozen training band, ``prepare.fit_band``) rows are
@@ -43,7 +44,7 @@ def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1
     usable = [k if any(key[1] == k for key in models) else "forest" for k in kinds]
     scored = train.predict(models, tagged, list(dict.fromkeys(usable)))
     return scored.select("ID", "Name", "segment", "model", "prediction",
-                         (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"), *extra)
+                         (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"), "missing_features", *extra)
 
 
 def whatif(models: dict, requests: DataFrame, kind: str = "forest", scale: float = S.WHATIF_SCALE) -> DataFrame:
@@ -51,8 +52,7 @@ def whatif(models: dict, requests: DataFrame, kind: str = "forest", scale: float
     rows keep their error and a null prediction."""
     checked = validate.validate(requests).withColumn(
         "segment", F.when(F.col("is_goalkeeper"), F.lit("goalkeeper")).otherwise(F.lit("field")))
-    # every request has all features after defaults, so all rows are scored in
-    # place (no join back); invalid ones get a null value
+    # all rows are scored in place (no join back); invalid ones get a null value
     scored = train.predict({k: m for k, m in models.items() if k[1] == kind}, checked, [kind])
     return scored.select("ID", "is_goalkeeper", "valid", "error",
                          F.when(F.col("valid"), F.exp("prediction") * F.lit(scale)).alias("predicted_value"))

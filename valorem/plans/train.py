@@ -34,18 +34,33 @@ from valorem.operators import prepare, segments
 
 LABEL = "Value_log"
 SEED = S.SPLIT_SEED
-TRAIN_PARTITIONS = 8
+#: Partitions of the training frame. Bagging and tree splits depend on it, so it is a parameter of
+#: the model and not of the cluster.
+LAYOUT_PARTITIONS = 16
 
 
 def feature_stages(segment: str) -> list:
     """Assemble the segment's features in fixed order, scale to unit stddev (no centring).
 
-    Rows with a null feature are skipped (and counted by ``prepare_training``).
+    No row is dropped here: ``fit`` is given complete rows only, and ``predict``
+    gives rows that miss features a null prediction with their names.
     """
-    return [VectorAssembler(inputCols=S.segment_features(segment), outputCol="features", handleInvalid="skip"),
+    return [VectorAssembler(inputCols=S.segment_features(segment), outputCol="features", handleInvalid="keep"),
             StandardScaler(inputCol="features", outputCol="scaled_features", withMean=False, withStd=True)]
 
 
+def missing_features(segment: str) -> F.Column:
+    """Names of the segment's features that a row lacks (null or NaN)."""
+    return F.array_compact(F.array(*[
+        F.when(F.col(f).isNull() | F.isnan(F.col(f).cast("double")), F.lit(f)) for f in S.segment_features(segment)]))
+
+
+def incomplete_rows(prepared: DataFrame) -> DataFrame:
+    """Per segment and split: rows, and rows that miss a feature and therefore can't train or be scored."""
+    lacking = F.coalesce(*[F.when(F.col("segment") == s, F.size(missing_features(s)) > 0) for s in S.SEGMENTS], F.lit(False))
+    return prepared.groupBy("segment", "split").agg(F.count(F.lit(1)).alias("rows"), F.count_if(lacking).alias("incomplete"))
+
+
 # Execution settings of the forests (they do not change the fitted trees):
 # larger node batches per pass and cached node ids halve the passes over data.
 FOREST_EXEC = dict(maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
@@ -105,10 +120,11 @@ def training_band(df: DataFrame, cap: float = S.VALUE_CAP, parity: bool = False)
 def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fixed partition count and in-partition order, for reproducible bagging.
 
-    The count defaults to the cluster's default parallelism (at least
-    TRAIN_PARTITIONS): fixed for a given cluster, and wide enough to use it.
+    The count is the caller's or LAYOUT_PARTITIONS, whatever the cluster: the
+    same data give the same model everywhere. Large data want more; the count
+    belongs to the model.
     """
-    n = partitions or max(TRAIN_PARTITIONS, df.sparkSession.sparkContext.defaultParallelism)
+    n = partitions or LAYOUT_PARTITIONS
     # hash of the whole row: deterministic, and a repeated ID cannot pile up in one partition
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     return df.repartition(n, row_hash).sortWithinPartitions("ID", row_hash)
@@ -119,10 +135,14 @@ def fit(train: DataFrame, segment: str, kind: str, folds: int | None = None, par
     """Cross-validated fit on one segment; returns the best full PipelineModel."""
     est = estimator(kind, seed)
     pipe = Pipeline(stages=feature_stages(segment) + [est])
+    train = train.filter(F.size(missing_features(segment)) == 0)
     if not tune:
         return pipe.fit(train)
+    folds = folds or S.CV_FOLDS[segment]
+    # The fold follows from the row itself, not from where it lies.
+    train = train.withColumn("fold", F.pmod(F.xxhash64("ID", F.lit(seed)), F.lit(folds)).cast("int"))
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid(kind, est), evaluator=evaluator(),
-                        numFolds=folds or S.CV_FOLDS[segment], parallelism=parallelism, seed=seed)
+                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     return cv.fit(train).bestModel
 
 
@@ -130,7 +150,8 @@ _CACHE: dict = {}
 
 
 def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], cache_key=None,
-                  tune: bool = True, concurrency: int = 8, cv_parallelism: int = 4) -> dict[tuple[str, str], PipelineModel]:
+                  tune: bool = True, concurrency: int = 8, cv_parallelism: int = 4,
+                  layout_partitions: int | None = None) -> dict[tuple[str, str], PipelineModel]:
     """{(segment, kind): model} for both segments; models are reused per cache_key.
 
     The (segment, kind) fits are independent Spark jobs over one persisted
@@ -148,7 +169,9 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
                 todo.append((segment, kind))
     if not todo:
         return out
-    train = stable_layout(prepared.filter(F.col("split") == "train")).persist()
+    features = dict.fromkeys(f for s in S.SEGMENTS for f in S.segment_features(s))
+    train = stable_layout(prepared.filter(F.col("split") == "train").select("segment", "ID", LABEL, *features),
+                          layout_partitions).persist()
     # empty-segment guard: one grouped count, then fit only segments with rows
     present = {r["segment"] for r in train.groupBy("segment").count().collect()}
     todo = [job for job in todo if job[0] in present]
@@ -177,22 +200,26 @@ def predict(models: dict, rows: DataFrame, kinds: list[str], route: str = "segme
     Per segment, the kinds' models are chained on one pass over the rows
     (each writes its own prediction column), then the predictions are
     stacked — two scans of the input however many kinds are scored.
+
+    Every row of a segment comes out once per kind. Its prediction is null
+    when it misses features (``missing_features`` names them) or when the
+    segment has no model of that kind.
     """
+    if not models:
+        raise ValueError("no fitted model for the requested kinds")
     parts = []
     for segment in S.SEGMENTS:
-        chosen = [k for k in kinds if (segment, k) in models]
-        if not chosen:
-            continue
-        part = rows.filter(F.col(route) == segment)
-        for kind in chosen:
+        part = rows.filter(F.col(route) == segment).withColumn("missing_features", missing_features(segment))
+        for kind in (k for k in kinds if (segment, k) in models):
             part = (models[(segment, kind)].transform(part)
                     .withColumnRenamed("prediction", f"_pred_{kind}").drop("features", "scaled_features"))
-        stacked = F.explode(F.array(*[F.struct(F.lit(k).alias("model"), F.col(f"_pred_{k}").alias("prediction"))
-                                      for k in chosen])).alias("_p")
+        whole = F.size("missing_features") == 0
+        stacked = F.explode(F.array(*[
+            F.struct(F.lit(k).alias("model"),
+                     (F.when(whole, F.col(f"_pred_{k}")) if (segment, k) in models else F.lit(None).cast("double")).alias("prediction"))
+            for k in kinds])).alias("_p")
         keep = [c for c in part.columns if not c.startswith("_pred_")]
         parts.append(part.select(*keep, stacked).select(*keep, "_p.model", "_p.prediction"))
-    if not parts:
-        raise ValueError("no fitted model for the requested kinds")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -36,12 +36,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` (the cluster's shared folder). Only when it
-    is unset — a bare local test session — a private temp folder is created
-    and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` (the cluster's shared folder). A local
+    session (``local[...]``: one process, one disk) without it gets a private
+    temp folder; on a cluster a machine-local folder would lose data, so there
+    the setting is required.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="valorem-ckpt-")
     if not sc.getCheckpointDir():  # e.g. the conf was given after the context started

@@ -9,6 +9,8 @@ expected column becomes null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,34 +18,49 @@ from pyspark.sql.utils import AnalysisException
 
 from valorem import schema as S
 
+#: Fixed on both sides: quotes are doubled, a quoted field may hold line breaks, and an empty text
+#: (written as "") differs from a null (written as nothing).
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": True, "emptyValue": '""', "nullValue": ""}
+
 
 def read_by_name(spark: SparkSession, path: str, schema: T.StructType = S.MASTER_SCHEMA,
                  require_rows: bool = True) -> DataFrame:
+    """Every file is checked against the header that Spark took the names from: files of a folder whose
+    columns are ordered otherwise are read apart, by their own header."""
     try:
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        names = spark.read.text(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(path) from e
         raise
+    heads = (names.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block_start"))
+             .withColumn("_at", F.monotonically_increasing_id()).filter(F.col("_block_start") == 0)
+             .groupBy("_file").agg(F.min_by("value", "_at").alias("header")).groupBy("header").agg(F.collect_list("_file").alias("files")).collect())
+    parts = [_read_one_header(spark, row.files, schema) for row in heads]
+    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    if require_rows and df.isEmpty():
+        raise ValueError(f"no rows in {path}")
+    return df
+
+
+def _read_one_header(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    raw = spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", False).csv(files)
     cols = []
     for f in schema.fields:
         src = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string")
         cols.append(src.try_cast(f.dataType).alias(f.name))
-    df = raw.select(*cols)
-    if require_rows and df.isEmpty():
-        raise ValueError(f"no rows in {path}")
-    return df
+    return raw.select(*cols)
 
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Header + inferred types (report inputs, copies)."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return spark.read.options(**CSV_OPTIONS).csv(path, header=True, inferSchema=True)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """CSV with header. ``single_file`` merges to one part — only for small report exports."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).option("header", True).csv(path)
 
 
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -64,14 +81,36 @@ def copy_csv(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def replace(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Full rewrite of a table that may be the input of ``df``: write a new
-    version next to it and return its path (never overwrite a path being read)."""
-    import uuid
-    target = f"{path.rstrip('/')}.v{uuid.uuid4().hex[:8]}"
+    """Full rewrite of a versioned table that may be the input of ``df``.
+
+    A table at ``path`` has its rows in ``version-N`` folders and the numbers
+    of the complete ones in ``versions``; the highest is its content. The
+    number is added after the rows are written, so readers see the old rows
+    until the new ones are all there. Returns the version's path.
+    """
+    root, spark = path.rstrip("/"), df.sparkSession
+    number = max(_versions(spark, root), default=0) + 1
+    target = f"{root}/version-{number}"
     df.write.mode("overwrite").format(fmt).save(target)
+    spark.range(number, number + 1, 1, 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{root}/versions")
     return target
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    try:
+        return [r[0] for r in spark.read.parquet(f"{root}/versions").agg(F.max("version")).collect() if r[0] is not None]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return []
+        raise
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """Path of the current version of a table written by ``replace``; None when there is none."""
+    numbers = _versions(spark, path.rstrip("/"))
+    return f"{path.rstrip('/')}/version-{max(numbers)}" if numbers else None
+
+
 def write_importance_report(importances: DataFrame, path: str) -> None:
     """Plain-text ``feature: importance`` lines in rank order, one folder per
     (model, segment) — the text form of ``train.importances``."""

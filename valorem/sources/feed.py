@@ -1,89 +1,30 @@
-"""Keyed message envelope: publish, offset report, bounded read, file sink/source.
+"""Keyed message envelope: publish, decode, bounded read, file sink/source.
 
 Envelope columns: ``key, value, topic, partition, offset, timestamp`` — the
-shape of a broker record. Publishing assigns each row a partition from the
-hash of its key and a dense per-partition offset. Offsets are computed
-without a single-task window:
-
-* every row gets a sub-bucket: a range of its numeric ordering column, or a
-  hash of its ordering columns;
-* one small aggregate counts rows per (partition, sub-bucket) and a window
-  over that small table turns the counts into start offsets;
-* a ``row_number`` partitioned by (partition, sub-bucket) adds the position.
-
-So the largest window group is ~1/(partitions x sub_buckets) of the data,
-even when one key holds a third of all rows (its rows spread over
-sub-buckets when the ordering column is a unique sequence, e.g. an event id).
+shape of a broker record. A published row has a key, a JSON value and a
+topic; partition and offset are the broker's to give and are null until a
+source that has them (``read_broker``) delivers the record.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from valorem import schema as S
-from valorem.operators.segments import hash_bucket
 
 DEFAULT_TOPIC = "entities"
-DEFAULT_PARTITIONS = 3
-# sub-buckets per topic partition: the offset windows run as (partitions x this)
-# independent groups, so the numbering spreads over thousands of tasks
-DEFAULT_SUB_BUCKETS = 4096
-
-
-NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _sub_bucket(cols: list[str], n: int) -> F.Column:
-    """Hash sub-bucket of the ordering columns (any types)."""
-    joined = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-    h = F.conv(F.substring(F.md5(joined), 9, 8), 16, 10).cast("bigint")
-    return (h % F.lit(n)).cast("int")
-
-
-def sub_bucket(df: DataFrame, order: list[str], n: int) -> F.Column:
-    """Sub-bucket used to spread the offset numbering.
-
-    A single numeric ordering column gets equal-width *range* buckets over
-    its [min, max] (statistics as one scalar subquery): the bucket is
-    monotone in the value, so (bucket, value) order is exactly value order
-    and offsets follow it whatever ``n`` is. Other orderings get hash buckets
-    (offset order is then (hash bucket, ordering columns)).
-    """
-    if len(order) == 1 and dict(df.dtypes)[order[0]] in NUMERIC_TYPES:
-        from valorem.operators.profile import scalar_stats
-        x = F.col(order[0]).cast("double")
-        st = scalar_stats(df, {"lo": F.min(x), "hi": F.max(x)})
-        lo, hi = st["lo"], st["hi"]
-        raw = F.floor((x - lo) * F.lit(n) / (hi - lo)).cast("int")
-        return F.coalesce(F.when(hi > lo, F.least(raw, F.lit(n - 1))), F.lit(0))
-    return _sub_bucket(order, n)
 
 
 def publish(df: DataFrame, key: str = "ID", columns: list[str] | None = None, topic: str = DEFAULT_TOPIC,
-            partitions: int = DEFAULT_PARTITIONS, order: list[str] | None = None,
-            sub_buckets: int = DEFAULT_SUB_BUCKETS, timestamp: F.Column | None = None) -> DataFrame:
-    """Rows -> envelope. value = JSON of ``columns`` (default: all), key = ``key`` as string."""
-    cols = columns or df.columns
-    order = order or [key]
-    staged = df.select(
+            timestamp: F.Column | None = None) -> DataFrame:
+    """Rows -> envelope. value = JSON of ``columns`` (default: all), key = ``key`` as string. A projection: no shuffle."""
+    return df.select(
         F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"),
-        hash_bucket(F.col(key), partitions).cast("int").alias("partition"),
-        sub_bucket(df, order, sub_buckets).alias("_sub"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-    )
-    counts = staged.groupBy("partition", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.select(
-        "partition", "_sub",
-        (F.sum("_n").over(Window.partitionBy("partition").orderBy("_sub")) - F.col("_n")).alias("_start"))
-    # (partitions x sub_buckets) rows at most: a size bound known up front
-    starts = F.broadcast(starts) if partitions * sub_buckets <= 1_000_000 else starts
-    local = Window.partitionBy("partition", "_sub").orderBy(*[F.col(f"_o{i}") for i in range(len(order))])
-    return (staged.join(starts, ["partition", "_sub"])
-                  .select("key", "value", F.lit(topic).alias("topic"), "partition",
-                          (F.col("_start") + F.row_number().over(local) - 1).cast("bigint").alias("offset"),
-                          (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp")))
+        F.to_json(F.struct(*[F.col(c) for c in columns or df.columns])).alias("value"),
+        F.lit(topic).alias("topic"), F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
+        (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"))
 
 
 def decode(envelope: DataFrame, schema=S.MESSAGE_SCHEMA, keep: list[str] | None = None,
@@ -102,17 +43,11 @@ def decode(envelope: DataFrame, schema=S.MESSAGE_SCHEMA, keep: list[str] | None
     return out.select(*keep, "_m.*")
 
 
-def offset_report(envelope: DataFrame) -> DataFrame:
-    """Start offset, end offset (exclusive) and count per (topic, partition)."""
-    return envelope.groupBy("topic", "partition").agg(
-        F.min("offset").alias("start_offset"),
-        (F.max("offset") + 1).alias("end_offset"),
-        F.count(F.lit(1)).alias("n"))
-
-
-def bounded_read(envelope: DataFrame, max_messages: int = 300) -> DataFrame:
-    """First ``max_messages`` messages in (partition, offset) order — earliest to latest."""
-    return envelope.orderBy("partition", "offset").limit(max_messages)
+def bounded_read(envelope: DataFrame, max_messages: int | None = None) -> DataFrame:
+    """All messages, or with ``max_messages`` the first so many in (partition, offset, key) order."""
+    if max_messages is None:
+        return envelope
+    return envelope.orderBy("partition", "offset", "key").limit(max_messages)
 
 
 def write_envelope(envelope: DataFrame, path: str, files: int | None = None) -> None:
@@ -139,20 +74,20 @@ def read_broker(spark: SparkSession, servers: str, topic: str, retries: int = 5)
 
 
 def read_broker_or_empty(spark: SparkSession, servers: str, topic: str, retries: int = 5) -> DataFrame:
-    """``read_broker``; when the topic cannot be read (connector missing,
-    broker unreachable after the source's retries) an empty envelope — "no
-    data" is an empty frame, never ``None``."""
+    """``read_broker``; without the connector on the classpath an empty
+    envelope. Every other fault (address, password, schema, an unreachable
+    broker at the action) is raised."""
     try:
-        df = read_broker(spark, servers, topic, retries)
-        df.schema  # resolve now: a missing connector fails here
-        return df
-    except Exception as e:  # noqa: BLE001 - any read failure means "no data"
+        return read_broker(spark, servers, topic, retries)
+    except AnalysisException as e:
+        if "Failed to find data source" not in str(e) and "DATA_SOURCE_NOT_FOUND" not in str(e):
+            raise
         import logging
-        logging.getLogger(__name__).warning("no data from %s/%s: %s", servers, topic, str(e).splitlines()[0])
+        logging.getLogger(__name__).warning("no connector to read %s/%s", servers, topic)
         return spark.createDataFrame([], S.ENVELOPE_SCHEMA)
 
 
 def write_broker(envelope: DataFrame, servers: str) -> None:
     """Publish to a broker (needs the Kafka connector)."""
-    (envelope.select("key", "value", "topic", "partition").write.format("kafka")
+    (envelope.select("key", "value", "topic").write.format("kafka")
              .option("kafka.bootstrap.servers", servers).save())

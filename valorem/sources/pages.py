@@ -70,16 +70,22 @@ def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
     return kept if with_rejects else kept.filter(~F.col("rejected")).drop("rejected")
 
 
-def page_manifest(spark: SparkSession, base_url: str, max_pages: int = 5) -> DataFrame:
-    """(page_no, url) for offsets 0, 60, ... of a paginated listing."""
+def page_manifest(spark: SparkSession, base_url: str, max_pages: int) -> DataFrame:
+    """(page_no, url) for offsets 0, 60, ... of a paginated listing: the urls to fetch."""
     return spark.range(0, max_pages * S.PAGE_ROWS, S.PAGE_ROWS).select(
         (F.col("id") / S.PAGE_ROWS).cast("int").alias("page_no"),
         F.concat(F.lit(base_url), F.col("id").cast("string")).alias("url"))
 
 
-def manifest_pages(spark: SparkSession, pages: DataFrame, base_url: str, max_pages: int = 5) -> DataFrame:
-    """Stored pages of the manifest, in page order (inner join on url)."""
-    return page_manifest(spark, base_url, max_pages).join(pages, "url")
+def manifest_pages(pages: DataFrame, base_url: str, max_pages: int | None = None) -> DataFrame:
+    """Stored pages of a paginated listing with their page number: every page whose url is
+    ``base_url`` and an offset 0, 60, ... (with ``max_pages`` only the first so many)."""
+    offset = F.substring("url", len(base_url) + 1, 30)
+    number = F.when(F.startswith("url", F.lit(base_url)) & offset.rlike("^(0|[1-9][0-9]*)$"), offset.try_cast("bigint"))
+    out = (pages.withColumn("page_no", number / S.PAGE_ROWS)
+           .filter(F.col("page_no").isNotNull() & (F.col("page_no") == F.floor("page_no")))
+           .withColumn("page_no", F.col("page_no").cast("int")))
+    return out.filter(F.col("page_no") < max_pages) if max_pages is not None else out
 
 
 def extraction_status(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") -> DataFrame:

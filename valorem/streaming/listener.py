@@ -63,13 +63,18 @@ def batch_scorer(models: dict, kinds: list[str], out_path: str, reject_path: str
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            bad = batch.filter(F.col("_corrupt").isNotNull()).select(
-                F.lit(batch_id).alias("batch_id"), "key", "partition", "offset", F.col("_corrupt").alias("value"))
-            if not bad.isEmpty():  # the batch is persisted: a cheap check that skips an empty write
-                _writer(bad, fmt).partitionBy("batch_id").save(reject_path)
             good = batch.filter(F.col("_corrupt").isNull())
             scored = train.predict(models, good, kinds)
-            out = scored.select(
+            lacking = F.coalesce(*[F.when(F.col("segment") == s, train.missing_features(s)) for s in S.SEGMENTS])
+            bad = (batch.withColumn("_lacks", F.when(F.col("_corrupt").isNull(), lacking))
+                   .filter(F.col("_corrupt").isNotNull() | (F.size("_lacks") > 0))
+                   .select(F.lit(batch_id).alias("batch_id"), "key", "partition", "offset",
+                           F.coalesce("_corrupt", F.to_json(F.struct("Name", "ID"))).alias("value"),
+                           F.when(F.col("_corrupt").isNotNull(), F.lit("not a message"))
+                           .otherwise(F.concat(F.lit("no value for "), F.array_join("_lacks", ", "))).alias("reason")))
+            if not bad.isEmpty():  # the batch is persisted: a cheap check that skips an empty write
+                _writer(bad, fmt).partitionBy("batch_id").save(reject_path)
+            out = scored.filter(F.size("missing_features") == 0).select(
                 F.lit(batch_id).alias("batch_id"), F.col("model").alias("model_type"), "key", "partition",
                 "offset", "Name", "segment", (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"))
             _writer(out, fmt).partitionBy("batch_id", "model_type").save(out_path)
