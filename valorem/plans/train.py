@@ -36,7 +36,7 @@ LABEL = "Value_log"
 SEED = S.SPLIT_SEED
 #: Partitions of the training frame. Bagging and tree splits depend on it, so it is a parameter of
 #: the model and not of the cluster.
-LAYOUT_PARTITIONS = 16
+LAYOUT_PARTITIONS = 8
 
 
 def feature_stages(segment: str) -> list:
