@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from valorem.llm.common import small_batches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Entries of the tables that a worker keeps. Full tables become the older ones, which are kept until the next time.
+#: Entries of the tables that a task keeps. Full tables become the older ones, which are kept until the next time.
 MOST_STATES = 50_000
 MOST_PIECES = 250_000
 MOST_PAIRS = 100_000
@@ -89,6 +89,12 @@ class Transducer:
             state.next.clear()  # states refer to one another in circles
         self.older = {}
 
+    def close(self) -> None:
+        """Drops all states."""
+        self.forget()
+        self.older, self.states = self.states, {}
+        self.forget()
+
     def spine(self, token: bytes) -> tuple | None:
         """How a token's first and last parts grow while it is merged: two lists of (part, rank that merges it into the next).
 
@@ -306,32 +312,30 @@ class Codec:
         while own := list(islice(ids, PORTION)):
             yield b"".join(map(self.bytes_of, own))
 
+    def close(self) -> None:
+        self.transducer.close()
+        self.pieces.clear()
+        self.pieces.older = {}
+
     def text(self, ids: Iterable[int]) -> str:
         stream = Utf8Stream()
         return "".join(chain(map(stream.feed, self.decode(ids)), iter([stream.close()])))
 
 
-_codecs: dict[str, Codec] = {}
-
-
 @contextmanager
 def _codec(data: bytes):
-    """One codec a worker and vocabulary; its tables outlive the task.
+    """A codec for one task. Its tables go with it, so that a worker's next task, of whatever kind, has the room.
 
     The cyclic collector rests meanwhile: it would walk the tables again and
     again, and they undo their circles themselves.
     """
-    name = hashlib.sha256(data).hexdigest()
     collecting = gc.isenabled()
     gc.disable()
+    codec = Codec(read_ranks(data))
     try:
-        if name not in _codecs:
-            _codecs[name] = Codec(read_ranks(data))
-        yield _codecs[name]
+        yield codec
     finally:
-        if name in _codecs:  # between tasks the newer tables are enough
-            _codecs[name].pieces.older = {}
-            _codecs[name].transducer.forget()
+        codec.close()
         if collecting:
             gc.enable()
 
