@@ -54,25 +54,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 SEGMENT_POSITION = [("AUTOMOBILE", "ST"), ("BUILDING", "CM"), ("FURNITURE", "CB"),
                     ("MACHINERY", "GK"), ("HOUSEHOLD", "RES")]
 
-# Rows up to which a dimension side is broadcast; above it the planner's
-# shuffle join is used.
-BROADCAST_MAX_ROWS = 100_000
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a bounded probe proves it has <= max_rows rows.
-
-    The probe reads at most ``max_rows + 1`` rows; when the side is larger the
-    frame is returned unhinted and the planner (with AQE) picks the join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _position_code(segment: F.Column) -> F.Column:
     expr = None
     for seg, code in SEGMENT_POSITION:
@@ -129,7 +114,7 @@ def master(spark: SparkSession, sf_dir: str, orders_since: str | None = None) ->
         )
     )
     cust = customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    nat = small_side(nation.select("n_nationkey", "n_name"))
+    nat = nation.select("n_nationkey", "n_name")  # the planner broadcasts it by its measured size
     j = (per_entity.join(cust, per_entity.o_custkey == cust.c_custkey)
          .join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     i = lambda c: F.col(c).cast("int")
@@ -167,7 +152,8 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Multi-pass operators (statistics first, then a pass that uses them) read
     this table instead of re-aggregating ``lineitem`` in every pass; the data
-    survive executor loss. Written once per session and input folder.
+    survive executor loss. Written once per session and input folder;
+    ``forget`` after the input files changed.
     """
     from valorem.session import scratch_path
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
@@ -179,6 +165,13 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def forget() -> None:
+    """Drops what this session remembers of input folders: master tables and fitted models."""
+    from valorem.plans import train
+    _MATERIALIZED.clear()
+    train._CACHE.clear()  # noqa: SLF001
+
+
 # Same view for the DuckDB oracle (tables are pre-registered views there).
 def master_sql(name: str = "master", orders_since: str | None = None) -> str:
     """CTE list defining ``name`` as the master view (helper CTEs are suffixed)."""
