@@ -626,6 +626,12 @@ def _train_eval(kind):
     return run
 
 
+def trained_rmse(spark, sf_dir):
+    """Test RMSE on log1p(value) of each (model, segment)."""
+    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=_cache_key(spark, sf_dir))
+    return metrics.rmse(preds, ["model", "segment"])
+
+
 @register("train_all", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
 SELECT model, segment, count(*) AS n, true AS below_mean_baseline
 FROM prepared, {_KINDS_SQL} WHERE split = 'test' GROUP BY model, segment"""))
@@ -634,10 +640,9 @@ def train_all(spark, sf_dir):
     (78 fits). Per (model, segment) the test rows, and whether the test RMSE is
     below that of the training mean."""
     prepared = train.prepare_training(master_table(spark, sf_dir))
-    preds = train.train_eval(spark, master_table(spark, sf_dir), S.MODEL_KINDS, cache_key=_cache_key(spark, sf_dir))
     baseline = metrics.baseline_predictions(prepared).filter((F.col("split") == "test") & (F.col("model") == "segment_mean"))
     bar = metrics.rmse(baseline, ["segment"]).select("segment", F.col("rmse").alias("bar"))
-    return (metrics.rmse(preds, ["model", "segment"]).join(F.broadcast(bar), "segment")
+    return (trained_rmse(spark, sf_dir).join(F.broadcast(bar), "segment")
             .select("model", "segment", "n", (F.col("rmse") < F.col("bar")).alias("below_mean_baseline")))
 
 
