@@ -173,7 +173,7 @@ def test_features_null_and_zero_variance(spark):
     rows.append(("null", None, 50.0, 1.0, 2.0, 1.0))
     cols = ["ID", "Age", "Overall rating", "Potential", "Wage", "Value_log"]
     df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" if c != "ID" else "ID string" for c in cols))
-    for f in S.FIELD_FEATURES:
+    for f in dict.fromkeys(S.FIELD_FEATURES + S.GOALKEEPER_FEATURES):
         if f not in df.columns:
             df = df.withColumn(f, F.lit(3.0))          # zero-variance features
     model = train.fit(df, "field", "linear", tune=False)
