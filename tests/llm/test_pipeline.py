@@ -100,3 +100,11 @@ def test_empty_table(spark, docs):
         out = stage(spark, none, "/root/testdata/sf0.001")
         assert out.collect() == []
         none = out if name != "byte_bpe" else none
+
+
+def test_short_lines_that_repeat_go(spark):
+    rows = [(1, "Menu\nfirst text of its own"), (2, "second text of its own\n menu \n\n目录一二\n"), (3, "目录一二\nMENU\nx")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in dict(cp.STAGES)["line_dedup"](spark, docs, "").collect()}
+    want = {1: rows[0][1], 2: "second text of its own\n\n目录一二\n", 3: "x"}
+    assert got == {d: (t, len(t)) for d, t in want.items()}

@@ -1,11 +1,12 @@
 """Line deduplication with a segment-partition edit join.
 
 Lines are compared after lower-casing A-Z and trimming white space. A line of
-``MIN_EQUAL`` bytes or more goes when an equal line precedes it (documents in
-the order of doc_id, lines in their order). One of ``MIN_NEAR`` bytes or more
-also goes when a line within ``EDITS`` byte edits (insertions, deletions,
-replacements of UTF-8 bytes) first occurs before it. Shorter lines stay: two
-short lines resemble each other by chance.
+``MIN_EQUAL`` bytes or more (any that isn't empty) goes when an equal line
+precedes it (documents in the order of doc_id, lines in their order). One of
+``MIN_NEAR`` bytes or more also goes when a line within ``EDITS`` byte edits
+(insertions, deletions, replacements of UTF-8 bytes) first occurs before it;
+two shorter lines resemble each other by chance. The query op3_line_dedup
+compares lines of ``QUERY_MIN_EQUAL`` bytes or more, as its SQL does.
 
 The edit join cuts a line into EDITS + 1 segments; two lines within EDITS
 edits share a segment unchanged. Segments are indexed under their line's
@@ -35,7 +36,9 @@ from valorem.llm.common import small_batches, stored, table
 from valorem.llm.hashing import Rolling, mix, whole_runs
 
 EDITS = 2
-MIN_EQUAL = 20
+MIN_EQUAL = 1
+#: The bound that SQL has for equal lines.
+QUERY_MIN_EQUAL = 20
 MIN_NEAR = 40
 #: Rows of one key that are compared in one task.
 MOST = 4000
@@ -377,7 +380,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_equal: int = MIN_EQUAL,
 
 def op3_line_dedup(spark, sf_dir):
     """doc_id, n_lines, n_equal, n_near, n_links, kept_sha256 (of the text that is left; null text: null)."""
-    return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_equal=QUERY_MIN_EQUAL)
             .select("doc_id", "n_lines", "n_equal", "n_near", "n_links", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")))
 
 
