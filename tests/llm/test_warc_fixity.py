@@ -90,3 +90,19 @@ def test_empty(spark):
     assert wf.audit(none, none).collect() == []
     assert {r.status for r in wf.audit(frame(spark, pages()), none).collect()} == {"missing"}
     assert {r.status for r in wf.audit(none, frame(spark, pages())).collect()} == {"extra"}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_records_added_to_known_pages(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(wf, "RANGE", 700)
+        monkeypatch.setattr(wf, "FANOUT_BITS", 2)
+        monkeypatch.setattr(wf, "ARCHIVE_RECORDS", 20)
+    a = pages()
+    more = [(6, "http://h0.example/6", "foreign"), (None, "u", "another null id"), (300, "u", "one")]
+    b = [(p, u, h + "!") if p in (300, 500) else (p, u, h) for p, u, h in a] + more + [(4, "http://h/4", "twice")]
+    rows = wf.audit(frame(spark, a), frame(spark, b)).collect()
+    changed = next((300, *digest(u, h + "!")) for p, u, h in a if p == 300)
+    added = [(p, *digest(u, h)) for p, u, h in more] + [changed]
+    assert sorted(((r.page_id, r.length, r.digest) for r in rows if r.status == "added"), key=str) == sorted(added, key=str)
+    assert sorted(((r.page_id, r.length, r.digest, r.status) for r in rows if r.status != "added"), key=str) == plain(a, b)

@@ -114,12 +114,15 @@ def differing_ranges(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def audit(original: DataFrame, replica: DataFrame) -> DataFrame:
-    """page_id, archive, offset, length, digest, status for every record of the original, and of the replica's extra ones.
+    """page_id, archive, offset, length, digest, status for every record of the original, and of the replica's extra and added ones.
 
     status: ok; changed (the replica has the page, but not this record in as
     many copies); missing (it hasn't the page); extra (only the replica has
-    the page; offset and digest are the replica's). An empty table makes all
-    records missing or extra; two empty tables give no rows.
+    the page; offset and digest are the replica's); added (only the replica
+    has this record of a known page, and the page has more such records than
+    it lost; which of them stand for lost ones can't be told, so all are
+    given). An empty table makes all records missing or extra; two empty
+    tables give no rows.
     """
     both = stored(packed(original).withColumn("replica", F.lit(0)).unionByName(packed(replica).withColumn("replica", F.lit(1))), "fixity-records")
     differ, _ = differing_ranges(both)
@@ -136,7 +139,26 @@ def audit(original: DataFrame, replica: DataFrame) -> DataFrame:
              .select(*columns, F.coalesce("status", F.lit("ok")).alias("status")))
     more = b.withColumn("place", F.floor(F.col("offset") / RANGE)).join(differ, ["archive", "place"], "left_semi")
     own = a.select(F.col("page_id").alias("_page")).distinct()
-    return known.unionByName(more.join(own, F.col("page_id").eqNullSafe(F.col("_page")), "left_anti").select(*columns, F.lit("extra").alias("status")))
+    extra = more.join(own, F.col("page_id").eqNullSafe(F.col("_page")), "left_anti").select(*columns, F.lit("extra").alias("status"))
+    return known.unionByName(extra).unionByName(_added(a, b, suspect, more).select(*columns, F.lit("added").alias("status")))
+
+
+def _added(a: DataFrame, b: DataFrame, suspect: DataFrame, more: DataFrame) -> DataFrame:
+    """Suspect records that only the replica has, of the original's pages that lost fewer records than they gained."""
+    def without(records: DataFrame, others: DataFrame) -> DataFrame:
+        others = others.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"))
+        return records.join(others, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left_anti")
+
+    def per_page(records: DataFrame, name: str) -> DataFrame:
+        return records.groupBy(F.col("page_id").alias("_page")).agg(F.count(F.lit(1)).alias(name))
+
+    gained = without(more, a)
+    pages = a.select(F.col("page_id").alias("_own")).distinct()
+    lost = per_page(without(suspect, b), "lost").withColumnRenamed("_page", "_lost_page")
+    grown = (per_page(gained, "gained").join(pages, F.col("_page").eqNullSafe(F.col("_own")), "left_semi")
+             .join(lost, F.col("_page").eqNullSafe(F.col("_lost_page")), "left")
+             .filter(F.col("gained") > F.coalesce("lost", F.lit(0))).select("_page"))
+    return gained.join(grown, F.col("page_id").eqNullSafe(F.col("_page")), "left_semi")
 
 
 def damaged(pages: DataFrame) -> DataFrame:
