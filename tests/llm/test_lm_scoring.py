@@ -158,3 +158,27 @@ def test_empty(spark):
     assert lm.lm_scores(docs.filter("false"), F.lit(False)).collect() == []
     untrained = lm.lm_scores(docs.limit(3), F.lit(True)).collect()
     assert len(untrained) == 3 and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in untrained)
+
+
+def test_every_previous_word_is_a_context_of_its_own(monkeypatch):
+    """Far more previous words than a part holds: each has its own customers, added up over the buckets."""
+    words = [b"w%d" % i for i in range(40_000)]
+    doc, word, context = lm.tokens([b" x ".join(words)])
+    after = context[word == word[1]]  # contexts of x
+    assert len(np.unique(after)) == len(words) - 1
+    monkeypatch.setattr(lm, "CONTEXTS", 7)
+    parts = []
+    for k in range(2):
+        own = (word & np.uint64(1)) == k
+        order = np.lexsort((context[own], word[own]))
+        parts.append(lm._packed(word[own][order], context[own][order], np.zeros(own.sum(), np.uint32), np.ones(own.sum(), np.uint32), 0))
+    own = lm.Bucket(parts, np.empty(0, np.uint64), [0, 1])
+    values = np.bincount(own.context, weights=own.c)[:, None]
+    sent = sorted(lm._sent([5, 9], own, values, 4), key=lambda r: r[1])
+    assert max(r[2] for r in sent) <= 7 and {r[0] for r in sent} == {5, 9}
+    back = lm.pa.Table.from_batches(lm._add_up(1)(iter([lm._sent_batch(sent)]))).to_pylist()
+    plain = dict(zip(*map(np.ndarray.tolist, np.unique(context, return_counts=True))))
+    for bucket in (5, 9):
+        got = lm._answered([r | {"width": 1} for r in back if r["bucket"] == bucket])
+        assert (got[0] == own.contexts[own.member == (bucket == 9)]).all()
+        assert [plain[u] for u in got[0].tolist()] == got[1][:, 0].tolist()

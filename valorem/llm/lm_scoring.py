@@ -1,8 +1,7 @@
 """Document scores by a hierarchical Pitman-Yor language model.
 
 Two levels of restaurants: one restaurant for each context (the previous
-word, hashed to one of ``CONTEXTS`` numbers; 0 is the start of a text), which
-share one parent, the restaurant of words without context, above a uniform
+word, by its 64-bit hash; 0 is the start of a text), which share one parent, the restaurant of words without context, above a uniform
 base over the known words and one place for all others:
 
     P(w)     = (C_w - d0 t_w + (s0 + d0 T) / (V + 1)) / (s0 + C)
@@ -17,13 +16,16 @@ predictive probabilities of ``SAMPLES`` rounds are averaged; the score is
 their log10, summed over the tokens.
 
 On Spark the words are dealt into buckets by hash, so all that concerns one
-dish is in one place; what a restaurant's dishes share (c_u, T_u) is a vector
-of CONTEXTS numbers, whatever the corpus, and is summed by Spark and broadcast
-before the next pass. Within a pass it stays fixed, so rows are seated
-independently of one another. Random numbers are hashes of (word, context,
+dish is in one place. What a restaurant's dishes share (c_u, T_u) is added up
+over the buckets before the next pass: a bucket sends its own sums for each of
+its contexts, dealt into blocks by context; a block adds up what the buckets
+sent and answers each with the totals of the contexts that it named; the
+answers are stored and joined to the buckets. A context is one row of a part
+for each bucket that has it, however common it is. Within a pass the totals
+stay fixed, so rows are seated independently of one another. Random numbers are hashes of (word, context,
 round, customer): the result doesn't depend on partitions, order or retries.
 
-Words that hold ``HOT_SHARE`` of all tokens or more (at most 1 / HOT_SHARE
+Words that hold half of ``HOT_SHARE`` of all tokens or more (at most 2 / HOT_SHARE
 words) are split over buckets by context; their parent counts are summed like
 T_u. Within a text, repeats of a (context, word) are one entry.
 """
@@ -32,7 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ from pyspark.sql import functions as F
 from valorem.llm.common import doc_crc, stored, table, text_pieces
 from valorem.llm.hashing import Rolling, mix
 
+#: Contexts that a bucket sends in one part at most.
 CONTEXTS = 1 << 15
 STRENGTH = (1.0, 1.0)
 BURN_IN = 2
@@ -115,11 +118,10 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     out[place] = word
     ends = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1) - 1
     doc[place], doc[ends] = owner, np.arange(len(texts))
-    context = np.zeros(len(doc), np.int64)
-    context[1:] = 1 + (mix(out[:-1] + np.uint64(1)) % np.uint64(CONTEXTS - 1)).astype(np.int64)
+    context = np.zeros(len(doc), np.uint64)
+    context[1:] = np.maximum(mix(out[:-1] + np.uint64(1)), np.uint64(1))
     context[ends[:-1] + 1] = 0
-    context[:1] = 0
-    return doc, out, context.astype(np.uint16)
+    return doc, out, context
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,29 +135,46 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of half the hot share or more within a batch, and the number of tokens as word 0."""
+    """Words of a quarter of the hot share or more within a batch, and the number of tokens as word 0."""
     for texts in _portions(batches):
         _, word, _ = tokens(texts.column(0).to_pylist())
         own, n = np.unique(word, return_counts=True)
-        keep = n >= HOT_SHARE / 2 * len(word)
+        keep = n >= HOT_SHARE / 4 * len(word)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(own[keep], np.uint64(0)).view(np.int64)), pa.array(np.append(n[keep], len(word)))], ["word", "n"])
 
 
+def _counted(known: np.ndarray):
+    """The tokens of each of the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(known), np.int64)
+        for texts in _portions(batches):
+            at = _among(tokens(texts.column(0).to_pylist())[1], known)
+            n += np.bincount(at[at >= 0], minlength=len(known))
+        yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    return run
+
+
 def hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Words of (nearly) HOT_SHARE of the tokens or more, and the number of all tokens.
+    """Words of half of HOT_SHARE of the tokens or more, and the number of all tokens.
 
-    A word with that share has half of it in batches that hold half its
-    occurrences or more, so half the share is the bar for the sum; at most 2 /
-    HOT_SHARE words pass it.
+    A word with that share has half its occurrences or more in batches of
+    which it holds half that share, so those that pass a quarter of HOT_SHARE
+    by their counts in such batches (at most 4 / HOT_SHARE words) are counted
+    in full: the words do not depend on the batches.
     """
-    rows = (docs.select(F.encode("text", "UTF-8").alias("text")).mapInArrow(_common, "word long, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
-    rows = stored(rows, "lm-common-words")
+    texts = docs.select(F.encode("text", "UTF-8").alias("text"))
+    rows = stored(texts.mapInArrow(_common, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-common-words")
     total = rows.filter("word = 0").agg(F.sum("n")).first()[0] or 0
-    bar = math.ceil(HOT_SHARE / 2 * total)
-    own = rows.filter((F.col("word") != 0) & (F.col("n") >= bar)).select("word").collect()
-    return np.sort(np.array([r.word for r in own], np.int64).view(np.uint64)), total
+    bar = math.ceil(HOT_SHARE / 4 * total)
+    known = np.sort(np.array([r.word for r in rows.filter((F.col("word") != 0) & (F.col("n") >= bar)).select("word").collect()], np.int64).view(np.uint64))
+    if not len(known):
+        return known, total
+    counts = (texts.mapInArrow(_counted(known), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+              .filter(F.col("n") >= math.ceil(HOT_SHARE / 2 * total)).collect())
+    return np.sort(np.array([r.word for r in counts], np.int64).view(np.uint64)), total
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -168,7 +187,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 # --- dealing words to buckets --------------------------------------------------------------------------------
 
-_ENTRY = pa.schema([("word", pa.uint64()), ("context", pa.uint16()), ("doc", pa.uint32()), ("n", pa.uint32())])
+_ENTRY = pa.schema([("word", pa.uint64()), ("context", pa.uint64()), ("doc", pa.uint32()), ("n", pa.uint32())])
 
 
 def _packed(word, context, doc, n, first_row: int) -> bytes:
@@ -180,14 +199,15 @@ def _packed(word, context, doc, n, first_row: int) -> bytes:
 
 
 def _unpacked(parts: list[bytes]):
-    """word, context, row, held out, n of all entries."""
-    out = [[], [], [], [], []]
-    for part in parts:
+    """word, context, row, held out, n, number of the part, of all entries."""
+    out = [[], [], [], [], [], []]
+    for number, part in enumerate(parts):
         with pa.ipc.open_stream(part) as reader:
             first = int(reader.schema.metadata[b"first_row"])
             for batch in reader:
                 word, context, doc, n = (c.to_numpy() for c in batch.columns)
-                for x, v in zip(out, (word, context, first + (doc >> 1).astype(np.int64), (doc & 1).astype(bool), n.astype(np.int32))):
+                for x, v in zip(out, (word, context, first + (doc >> 1).astype(np.int64), (doc & 1).astype(bool), n.astype(np.int32),
+                                    np.full(len(word), number, np.int32))):
                     x.append(v)
     for i, x in enumerate(out):
         out[i] = np.concatenate(x)
@@ -211,8 +231,8 @@ def _deal(buckets: int, hot: np.ndarray):
             row, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
             doc, word, context = tokens(batch.column(3).to_pylist())
             yield out((-1 - row % buckets).astype(np.int32), [None] * len(row), row, batch.column(1), held, np.bincount(doc, minlength=len(row)))
-            # By word, then context, then text: the high bits of the word's hash order the buckets too.
-            order = np.argsort((word & ~np.uint64(0xFFFF)) | context, kind="stable")
+            # By word, then context (16 bits of it), then text: the high bits of the word's hash order the buckets too.
+            order = np.argsort((word & ~np.uint64(0xFFFF)) | (context & np.uint64(0xFFFF)), kind="stable")
             doc, word, context = doc[order], word[order], context[order]
             new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]))))
             n = np.diff(np.append(new, len(word)))
@@ -220,7 +240,7 @@ def _deal(buckets: int, hot: np.ndarray):
             bucket = (((word >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
             split = _among(word, hot) >= 0
             if split.any():
-                spread = mix(word[split] ^ mix(context[split].astype(np.uint64)))
+                spread = mix(word[split] ^ mix(context[split]))
                 bucket[split] = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 bucket, doc, word, context, n = bucket[order], doc[order], word[order], context[order], n[order]
@@ -236,21 +256,21 @@ def _deal(buckets: int, hot: np.ndarray):
 
 @dataclass
 class Totals:
-    """What is known of the whole corpus: fixed-size vectors, scalars, and numbers for each hot word."""
+    """What is known of the whole corpus: scalars and numbers for each hot word; and, in a task, vectors over a bucket's contexts."""
 
     hot: np.ndarray
     burn_in: int = BURN_IN
     samples: int = SAMPLES
     tokens: int = 0
     words: int = 0
-    customers: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))  # c_u
-    tables: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))  # T_u that seatings start from
+    customers: np.ndarray | None = None  # c_u
+    tables: np.ndarray | None = None  # T_u that seatings start from
     discounts: tuple[float, float] = (0.5, 0.5)
     root: tuple[float, float] = (0.0, 0.0)  # C and T that seatings start from
     hot_count: np.ndarray | None = None  # training tokens of each hot word
     hot_root: np.ndarray | None = None  # P(w) of each hot word that seatings start from
-    # by sample: T_u, (C, T), P(w) of the hot words
-    sampled: list[tuple[np.ndarray, tuple[float, float], np.ndarray]] = field(default_factory=list)
+    # by sample: (C, T), P(w) of the hot words
+    sampled: list[tuple[tuple[float, float], np.ndarray]] = field(default_factory=list)
 
     def root_probability(self, customers, tables, root):
         d, s = self.discounts[0], STRENGTH[0]
@@ -279,7 +299,8 @@ def _one_by_one(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np
         here = sizes[own]
         taken = here > 0
         upto = np.cumsum(np.where(taken, here - d, 0), axis=1)
-        x = _uniform(key[own], step) * (upto[:, -1] + new[own])
+        # numbered by round and customer, whatever rows are seated beside this one
+        x = _uniform(key[own], step // width * ONE_BY_ONE + who) * (upto[:, -1] + new[own])
         at = np.where(x >= upto[:, -1], np.argmin(taken, axis=1), (upto <= x[:, None]).sum(axis=1))
         sizes[own, at] += 1
         seat[own, who] = at
@@ -328,13 +349,19 @@ def seated(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndar
 
 
 class Bucket:
-    """Entries of one bucket by (word, context), with training counts."""
+    """Entries of a bucket, or of several, by (word, context), with training counts.
 
-    def __init__(self, parts: list[bytes], hot: np.ndarray):
-        word, context, row, held, n = _unpacked(parts)
+    ``members`` has the place of each part's bucket among them. Contexts are
+    numbered by bucket, then in order, so each bucket has its own.
+    """
+
+    def __init__(self, parts: list[bytes], hot: np.ndarray, members: list[int] | None = None):
+        word, context, row, held, n, number = _unpacked(parts)
+        member = np.array(members if members is not None else [0] * len(parts), np.int32)[number]
+        del number
         order = np.argsort(context, kind="stable")
         order = order[np.argsort(word[order], kind="stable")]
-        word, context, self.row, self.n = word[order], context[order], row[order], n[order]
+        word, context, self.row, self.n, member = word[order], context[order], row[order], n[order], member[order]
         train = np.where(held[order], 0, self.n).astype(np.int64)
         del order, row, n, held
         new_word = np.concatenate(([True], word[1:] != word[:-1]))
@@ -342,12 +369,17 @@ class Bucket:
         pair_at, word_at = np.flatnonzero(new_pair), np.flatnonzero(new_word)
         self.pair = np.cumsum(new_pair, dtype=np.int32) - 1  # of an entry
         self.c = np.add.reduceat(train, pair_at)
-        self.context = context[pair_at].astype(np.int64)
+        context, member = context[pair_at], member[pair_at]
+        order = np.lexsort((context, member))
+        new = np.concatenate(([True], (np.diff(member[order]) != 0) | (context[order][1:] != context[order][:-1])))
+        self.context = np.empty(len(order), np.int64)
+        self.context[order] = np.cumsum(new) - 1
+        self.contexts, self.member = context[order][new], member[order][new]  # of a number
         self.word_of = (np.cumsum(new_word, dtype=np.int32) - 1)[pair_at]  # of a pair
         self.word = word[word_at]
         self.count = np.add.reduceat(train, word_at)
         self.hot = _among(self.word, hot)
-        self.key = mix(self.word[self.word_of] ^ mix(self.context.astype(np.uint64)))
+        self.key = mix(self.word[self.word_of] ^ mix(context))
 
     def rounds(self, totals: Totals) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(t_uw of the pairs, C_w, t_w of the words) after each round. C_w and t_w of a hot word are of no use here."""
@@ -369,19 +401,107 @@ class Bucket:
             yield t.copy(), customers, tables
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[Bucket]:
-    """Buckets, small ones joined. Seating depends on word and context alone, so joining changes nothing."""
-    parts, held = [], 0
+def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[list[int], Bucket, np.ndarray]]:
+    """(numbers of the buckets, their entries, the totals of their contexts), small ones joined.
+
+    Seating depends on word and context alone, so joining changes nothing.
+    """
+    numbers, parts, members, answers, held = [], [], [], [], 0
+
+    def settle() -> tuple[list[int], Bucket, np.ndarray]:
+        own = Bucket(parts, hot, members)
+        totals = []
+        for at in range(len(answers[0])):
+            context, values = map(np.concatenate, zip(*(_answered(x[at]) for x in answers)))
+            if not np.array_equal(context, own.contexts):
+                raise ValueError("totals of other contexts than the bucket's")
+            totals.append(values)
+        return list(numbers), own, np.concatenate(totals, axis=1)
+
     for batch in batches:
-        for row in batch.column(0):
-            parts += row.as_py()
-            held += sum(map(len, parts[-len(row):]))
+        for row in batch.to_pylist():
+            members += [len(numbers)] * len(row["parts"])
+            numbers.append(row["bucket"])
+            parts += row["parts"]
+            answers.append([row[k] for k in sorted(row) if k.startswith("totals")])
+            held += sum(map(len, row["parts"]))
             if held >= JOINED:
-                yield Bucket(parts, hot)
-                parts, held = [], 0
+                yield settle()
+                numbers, parts, members, answers, held = [], [], [], [], 0
                 pa.default_memory_pool().release_unused()
     if parts:
-        yield Bucket(parts, hot)
+        yield settle()
+
+
+# --- totals of contexts --------------------------------------------------------------------------------------
+
+_SENT = "bucket int, block int, n long, sums binary"
+
+
+def _sums_packed(context: np.ndarray, values: np.ndarray) -> bytes:
+    raw = context.tobytes() + np.ascontiguousarray(values.T, np.float64).tobytes()
+    return pa.compress(raw, "zstd", asbytes=True)
+
+
+def _sums_unpacked(n: int, columns: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = pa.decompress(data, 8 * n * (1 + columns), "zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.float64, n * columns, 8 * n).reshape(columns, n).T
+
+
+def _answered(answer: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts in order, and the totals of each."""
+    parts = [_sums_unpacked(x["n"], x["width"], x["sums"]) for x in answer]
+    context, values = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+    order = np.argsort(context)
+    return context[order], values[order]
+
+
+def _sent(numbers: list[int], own: Bucket, values: np.ndarray, blocks: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """_SENT of what buckets have of their contexts (a row of ``values`` each)."""
+    block = (((own.contexts >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero((np.diff(own.member, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+    for a, b in zip(first, np.append(first[1:], len(block))):
+        for low in range(a, b, CONTEXTS):
+            high = min(b, low + CONTEXTS)
+            yield numbers[own.member[a]], int(block[a]), int(high - low), _sums_packed(own.contexts[low:high], values[low:high])
+
+
+def _sent_batch(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary()))], ["bucket", "block", "n", "sums"])
+
+
+def _add_up(columns: int):
+    """Parts sorted by block -> the same parts with the sums over all parts of the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(held: list[dict]) -> pa.RecordBatch:
+            parts = [_sums_unpacked(x["n"], columns, x["sums"]) for x in held]
+            _, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+            values = np.concatenate([v for _, v in parts])
+            total = np.stack([np.bincount(place, weights=values[:, k])[place] for k in range(columns)], axis=1)
+            ends = np.cumsum([x["n"] for x in held])
+            return _sent_batch([(x["bucket"], x["block"], x["n"], _sums_packed(c, total[end - x["n"]:end]))
+                                for x, (c, _), end in zip(held, parts, ends)])
+
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["block"] != held[0]["block"]:
+                    yield settle(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield settle(held)
+
+    return run
+
+
+def _totals(sent: DataFrame, columns: int, name: str) -> DataFrame:
+    """bucket, ``name``: the totals of the bucket's contexts in ``columns`` columns, in parts."""
+    rows = stored(sent.repartition("block").sortWithinPartitions("block").mapInArrow(_add_up(columns), _SENT), f"lm-{name}")
+    return rows.groupBy("bucket").agg(F.collect_list(F.struct("n", F.lit(columns).alias("width"), "sums")).alias(name))
 
 
 def _stats_rows(kinds: dict[str, dict[int, float] | np.ndarray]) -> pa.RecordBatch:
@@ -395,29 +515,28 @@ def _stats_rows(kinds: dict[str, dict[int, float] | np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(key, pa.int64()), pa.array(value, pa.float64())], ["kind", "key", "value"])
 
 
-_GATHERED = "bucket int, parts array<binary>, row long, doc_id long, held_out boolean, n_tokens long, kind string, key long, value double"
+_GATHERED = "bucket int, parts array<binary>, row long, doc_id long, held_out boolean, n_tokens long, kind string, key long, value double, block int, n long, sums binary"
 
 
-def _gather(hot: np.ndarray):
+def _gather(buckets: int, hot: np.ndarray):
     """Rows sorted by bucket -> one row for each bucket, the texts' rows, and the corpus counts of this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.float64()]
+        types = [pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.float64(),
+                 pa.int32(), pa.int64(), pa.binary()]
         names = [x.split()[0] for x in _GATHERED.split(", ")]
 
-        def out(n: int, **columns) -> pa.RecordBatch:
+        def out(n: int, /, **columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [columns[c] if c in columns else pa.nulls(n, t) for c, t in zip(names, types)], names)
 
-        pairs = {"customers": np.zeros(CONTEXTS), "tables": np.zeros(CONTEXTS)}
         sums = {k: 0.0 for k in ("words", "tokens", "pairs1", "pairs2", "words1", "words2", "root")}
         hot_count, hot_root = np.zeros(len(hot)), np.zeros(len(hot))
 
-        def settle(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
+        def settle(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
             own = Bucket(parts, hot)
             live = own.c > 0
-            pairs["customers"] += np.bincount(own.context, weights=own.c, minlength=CONTEXTS)
-            pairs["tables"] += np.bincount(own.context[live], minlength=CONTEXTS)
+            pairs = np.stack([np.bincount(own.context, weights=x, minlength=len(own.contexts)) for x in (own.c, live)], axis=1)
             dishes = np.bincount(own.word_of[live], minlength=len(own.word))
             cold = own.hot < 0
             np.add.at(hot_count, own.hot[~cold], own.count[~cold])
@@ -426,24 +545,26 @@ def _gather(hot: np.ndarray):
                          ("pairs1", (own.c == 1).sum()), ("pairs2", (own.c == 2).sum()),
                          ("words1", (dishes[cold] == 1).sum()), ("words2", (dishes[cold] == 2).sum())):
                 sums[k] += float(v)
-            return out(1, bucket=pa.array([bucket], pa.int32()), parts=pa.array([parts], pa.list_(pa.binary())))
+            yield out(1, bucket=pa.array([bucket], pa.int32()), parts=pa.array([parts], pa.list_(pa.binary())))
+            sent = _sent_batch(_sent([bucket], own, pairs, buckets))
+            yield out(sent.num_rows, **dict(zip(sent.schema.names, sent.columns)))
 
         at, parts = None, []
         for batch in batches:
-            buckets = batch.column(0).to_numpy()
-            texts = np.flatnonzero(buckets < 0)
+            dealt = batch.column(0).to_numpy()
+            texts = np.flatnonzero(dealt < 0)
             if len(texts):
                 own = batch.take(pa.array(texts))
                 yield out(len(texts), **{c: own.column(i) for i, c in ((2, "row"), (3, "doc_id"), (4, "held_out"), (5, "n_tokens"))})
-            for i in np.flatnonzero(buckets >= 0):
-                if at is not None and buckets[i] != at:
-                    yield settle(at, parts)
+            for i in np.flatnonzero(dealt >= 0):
+                if at is not None and dealt[i] != at:
+                    yield from settle(at, parts)
                     parts = []
-                at = int(buckets[i])
+                at = int(dealt[i])
                 parts.append(batch.column(1)[int(i)].as_py())
         if parts:
-            yield settle(at, parts)
-        found = {k: {0: v} for k, v in sums.items()} | pairs | {"hot_count": hot_count, "hot_root": hot_root}
+            yield from settle(at, parts)
+        found = {k: {0: v} for k, v in sums.items()} | {"hot_count": hot_count, "hot_root": hot_root}
         stats = _stats_rows(found)
         yield out(stats.num_rows, kind=stats.column(0), key=stats.column(1), value=stats.column(2))
 
@@ -465,44 +586,59 @@ def _discount(ones: float, twos: float) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def _sample(shared):
-    """Buckets -> for each sample the sums of t by context, of C_w and t_w over the words, and of t by hot word."""
+_SAMPLED = _SENT + ", kind string, key long, value double"
+
+
+def _sample(shared, blocks: int):
+    """Buckets with totals (the last column: T_u) -> for each sample the sums of t by context, of C_w and t_w over the words, and of t by hot word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
         n = totals.samples
-        found = {"tables": np.zeros(n * CONTEXTS), "customers": np.zeros(n), "root": np.zeros(n),
-                 "hot": np.zeros(n * max(1, len(totals.hot)))}
-        for own in _buckets(batches, totals.hot):
+        found = {"customers": np.zeros(n), "root": np.zeros(n), "hot": np.zeros(n * max(1, len(totals.hot)))}
+        names = [x.split()[0] for x in _SAMPLED.split(", ")]
+
+        def out(rows: pa.RecordBatch) -> pa.RecordBatch:
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.float64()]
+            own = dict(zip(rows.schema.names, rows.columns))
+            return pa.RecordBatch.from_arrays([own.get(c, pa.nulls(rows.num_rows, t)) for c, t in zip(names, types)], names)
+
+        for numbers, own, known in _buckets(batches, totals.hot):
             own.row = own.n = own.pair = None  # only the counts matter here
             cold = own.hot < 0
-            for r, (t, customers, tables) in enumerate(own.rounds(totals)):
+            by_context = np.zeros((len(own.contexts), n))
+            for r, (t, customers, tables) in enumerate(own.rounds(replace(totals, tables=known[:, -1]))):
                 s = r - totals.burn_in
                 if s >= 0:
-                    found["tables"][s * CONTEXTS:(s + 1) * CONTEXTS] += np.bincount(own.context, weights=t, minlength=CONTEXTS)
+                    by_context[:, s] = np.bincount(own.context, weights=t, minlength=len(own.contexts))
                     found["customers"][s] += customers.sum()
                     found["root"][s] += tables[cold].sum()
                     np.add.at(found["hot"], s * len(totals.hot) + own.hot[~cold], customers[~cold])
-        yield _stats_rows(found)
+            yield out(_sent_batch(_sent(numbers, own, by_context, blocks)))
+        yield out(_stats_rows(found))
 
     return run
 
 
-def _sampled(model: DataFrame, totals: Totals) -> None:
-    """Fills totals.sampled by one pass over the buckets."""
+def _sampled(model: DataFrame, totals: Totals, blocks: int, name: str) -> DataFrame:
+    """Fills totals.sampled by one pass over the buckets with totals; gives T_u of each sample."""
     shared = model.sparkSession.sparkContext.broadcast(totals)
     n = len(totals.hot)
-    got = _sums(model.mapInArrow(_sample(shared), "kind string, key long, value double"),
-                {"tables": totals.samples * CONTEXTS, "customers": totals.samples, "root": totals.samples, "hot": totals.samples * max(1, n)})
+    rows = stored(model.mapInArrow(_sample(shared, blocks), _SAMPLED), "lm-sampled")
+    got = _sums(rows.filter("kind is not null").select("kind", "key", "value"),
+                {"customers": totals.samples, "root": totals.samples, "hot": totals.samples * max(1, n)})
     totals.sampled = []
     for s in range(totals.samples):
         customers = got["hot"][s * n:(s + 1) * n]
         tables = seated(customers.astype(np.int64), np.full(n, totals.root_weight()), totals.discounts[0], mix(totals.hot + np.uint64(1000 + totals.burn_in + s)))
         root = (float(got["customers"][s]), float(got["root"][s] + tables.sum()))
-        totals.sampled.append((got["tables"][s * CONTEXTS:(s + 1) * CONTEXTS], root, totals.root_probability(customers, tables, root)))
+        totals.sampled.append((root, totals.root_probability(customers, tables, root)))
+    return _totals(rows.filter("sums is not null").select("bucket", "block", "n", "sums"), totals.samples, name)
 
 
 def _score(shared):
+    """Buckets with totals, in columns: c_u, first T_u, T_u that seatings start from, T_u of each sample."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
         s1, d1 = STRENGTH[1], totals.discounts[1]
@@ -511,16 +647,16 @@ def _score(shared):
             return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
                                               ["row", "n_known", "base", "score"])
 
-        for own in _buckets(batches, totals.hot):
+        for _, own, known in _buckets(batches, totals.hot):
             p = np.zeros(len(own.c))
-            for r, (t, customers, tables) in enumerate(own.rounds(totals)):
+            u = own.context
+            for r, (t, customers, tables) in enumerate(own.rounds(replace(totals, tables=known[:, 2]))):
                 if r >= totals.burn_in:
-                    context_tables, root, hot = totals.sampled[r - totals.burn_in]
+                    root, hot = totals.sampled[r - totals.burn_in]
                     above = totals.root_probability(customers, tables, root)
                     if len(totals.hot):
                         above = np.where(own.hot >= 0, hot[own.hot], above)
-                    u = own.context
-                    p += (own.c - d1 * t + (s1 + d1 * context_tables[u]) * above[own.word_of]) / (s1 + totals.customers[u])
+                    p += (own.c - d1 * t + (s1 + d1 * known[u, 3 + r - totals.burn_in]) * above[own.word_of]) / (s1 + known[u, 0])
             count = own.count
             if len(totals.hot):
                 count = np.where(own.hot >= 0, totals.hot_count[own.hot], count)
@@ -550,27 +686,28 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFram
     hot, n = hot_words(docs)
     buckets = buckets or max(LEAST_BUCKETS, math.ceil(n / BUCKET_TOKENS))
     dealt = own.mapInArrow(_deal(buckets, hot), _DEALT)
-    gathered = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gather(hot), _GATHERED), "lm-buckets")
-    model = gathered.filter("parts is not null").select("parts")
+    gathered = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gather(buckets, hot), _GATHERED), "lm-buckets")
+    model = gathered.filter("parts is not null").select("bucket", "parts")
 
     got = _sums(gathered.filter("kind is not null").select("kind", "key", "value"),
-                {"customers": CONTEXTS, "tables": CONTEXTS, "hot_count": max(1, len(hot)), "hot_root": max(1, len(hot)),
+                {"hot_count": max(1, len(hot)), "hot_root": max(1, len(hot)),
                  **{k: 1 for k in ("words", "tokens", "pairs1", "pairs2", "words1", "words2", "root")}})
     hot_seen = int((got["hot_count"] > 0).sum())
-    totals = Totals(hot, tokens=int(got["tokens"][0]), words=int(got["words"][0]) + hot_seen, customers=got["customers"], tables=got["tables"])
+    totals = Totals(hot, tokens=int(got["tokens"][0]), words=int(got["words"][0]) + hot_seen)
     totals.discounts = (_discount(got["words1"][0], got["words2"][0]), _discount(got["pairs1"][0], got["pairs2"][0]))
     totals.root = (float(got["root"][0]), float(totals.words))
     totals.hot_count = got["hot_count"]
     totals.hot_root = totals.root_probability(got["hot_root"], np.minimum(got["hot_root"], 1), totals.root)
     # One round from one table per dish, then all rounds from the tables that it found.
     totals.burn_in, totals.samples = 0, 1
-    _sampled(model, totals)
-    totals.tables, totals.root, totals.hot_root = totals.sampled[-1]
+    counted = _totals(gathered.filter("sums is not null").select("bucket", "block", "n", "sums"), 2, "totals0")
+    begun = _sampled(model.join(counted, "bucket"), totals, buckets, "totals1")
+    totals.root, totals.hot_root = totals.sampled[-1]
     totals.burn_in, totals.samples = BURN_IN, SAMPLES
-    _sampled(model, totals)
+    kept = _sampled(model.join(begun, "bucket"), totals, buckets, "totals2")
 
     shared = docs.sparkSession.sparkContext.broadcast(totals)
-    sums = (model.mapInArrow(_score(shared), "row long, n_known long, base double, score double")
+    sums = (model.join(counted, "bucket").join(begun, "bucket").join(kept, "bucket").mapInArrow(_score(shared), "row long, n_known long, base double, score double")
             .groupBy("row").agg(F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score")))
     texts = gathered.filter("row is not null").select("row", "doc_id", "held_out", "n_tokens")
     rest = math.log10(totals.tokens + 0.5 * (totals.words + 1))
