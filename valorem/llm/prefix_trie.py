@@ -387,8 +387,8 @@ WITH turns AS (
          md5(coalesce(role, '')) || md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars
   FROM conversations WHERE conv_id IS NOT NULL
 ), convs AS (
-  SELECT c, c - c % 100 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), i -> ascii((c::VARCHAR)[i])::BIGINT)),
-    (acc, b) -> list_reduce(list_concat([xor(acc, b)], range(8)), (r, x) -> CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 6 AS h
+  SELECT c, c - c % 100 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)), lambda r, x: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) % 6 AS h
   FROM (SELECT DISTINCT c FROM turns)
 ), parts AS (
   SELECT convs.c, 0 AS o, pos, t, chars FROM convs JOIN turns ON turns.c = convs.base AND pos <= h
