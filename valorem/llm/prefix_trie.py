@@ -415,6 +415,6 @@ WITH turns AS (
   FROM nodes LEFT JOIN children USING (k) JOIN prefixes up ON up.c = nodes.c AND up.d <= nodes.d GROUP BY up.k
 )
 SELECT nodes.c AS conv_id, nodes.d::BIGINT AS depth, p.c AS parent_conv_id, nodes.n AS n_convs, coalesce(n_children, 0) AS n_children,
-       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(ends) AS ends_sha256
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(nodes.ends) AS ends_sha256
 FROM nodes JOIN totals USING (k) LEFT JOIN children USING (k) LEFT JOIN parents USING (k) LEFT JOIN nodes p ON p.k = parents.parent
 """
