@@ -15,9 +15,12 @@ Factors. A document is parsed from left to right into blocks found whole in a
 document of smaller id. At the ends of such factors a block differs from every
 earlier one, but single windows of it may not: where an anchor has several
 different blocks, each different block (once, at its least document) gives the
-hashes of its windows, and the least doc_id of each is looked up. Every window
-that occurs twice has its anchor, and so its blocks, in common: none is
-missed. Neighbouring finds from one document are joined to one factor.
+hashes of its windows, and the least doc_id of each is looked up. The windows
+of CORE neighbouring places before an anchor have a core of SPAN - CORE + 1
+words in common; only those whose core occurs in several documents are
+looked up. Every window that occurs twice has its anchor, and so its blocks
+and its core, in common: none is missed. Neighbouring finds from one document
+are joined to one factor.
 
 Words are compared by 64-bit hashes, blocks and windows by that of the
 anchor's gram and one of their own.
@@ -44,15 +47,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valorem.llm.common import small_batches, stored, table
+from valorem.llm.common import small_batches, stored, table, text_pieces
 from valorem.llm.hashing import Rolling
 
 SPAN = 50
 GRAM = 10
+CORE = 8
 #: Documents plus spans (8 to 16 bytes each) up to which a list of them is sent to every task.
 SEND_ITEMS = 500_000
-#: Bytes of text that are hashed at once; a longer text is hashed by itself.
-BLOCK = 4 << 20
+#: Bytes of text that are hashed at once. Of a longer text only words' hashes are held.
+BLOCK = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[9:14] = _IS_SPACE[32] = True
@@ -62,17 +66,22 @@ class Words:
     """Words of some texts: their number and where they begin by text, and their hashes."""
 
     def __init__(self, texts: list[bytes]):
-        data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-        inside = ~_IS_SPACE[data]
-        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if inside[0]:
-            edges = np.concatenate(([0], edges))
-        start, end = edges[0::2], edges[1::2]
+        starts, hashes, offset = [], [], 0
+        for piece in text_pieces(b" ".join(texts) + b" ", BLOCK):
+            data = np.frombuffer(piece + b" ", np.uint8)
+            inside = ~_IS_SPACE[data]
+            edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+            if inside[0]:
+                edges = np.concatenate(([0], edges))
+            starts.append(edges[0::2] + offset)
+            hashes.append(Rolling(data.astype(np.uint64)).spans(edges[0::2], edges[1::2]))
+            offset += len(piece)
+        start = np.concatenate(starts)
         size = np.array([len(t) + 1 for t in texts])
         self.first = np.searchsorted(start, np.cumsum(size) - size)
         self.count = np.diff(np.append(self.first, len(start)))
         self.text = np.repeat(np.arange(len(texts)), self.count)
-        self.spans = Rolling(Rolling(data.astype(np.uint64)).spans(start, end))
+        self.spans = Rolling(np.concatenate(hashes))
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return self.spans.spans(start, end)
@@ -99,11 +108,11 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks_of(words: Words, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Blocks as (text, hash of the anchor's gram, hash of the block, first and last window), windows by the text's words."""
+    """Blocks as (text, hash of the anchor's gram, hash of the block, first and last window, anchor), places by the text's words."""
     at = words.windows(span)
     if not len(at):
         none = np.empty(0, np.int64)
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     every = np.arange(len(words.text) - gram + 1)
     grams = words.hashes(every, every + gram)
     anchor = least_of(grams, span - gram + 1)[at]
@@ -113,7 +122,8 @@ def blocks_of(words: Words, span: int, gram: int) -> tuple[np.ndarray, ...]:
     # a block is the same one only with its anchor in the same place
     content = words.hashes(first, last + span) + (anchor[head] - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     text = words.text[first]
-    return text, grams[anchor[head]].view(np.int64), content.view(np.int64), first - words.first[text], last - words.first[text]
+    of = words.first[text]
+    return text, grams[anchor[head]].view(np.int64), content.view(np.int64), first - of, last - of, anchor[head] - of
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +140,7 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start)
 
 
-_BLOCK = pa.struct([("h", pa.int64()), ("b", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+_BLOCK = pa.struct([("h", pa.int64()), ("b", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int32())])
 
 
 def _blocks_scan(span: int, gram: int):
@@ -140,11 +150,10 @@ def _blocks_scan(span: int, gram: int):
         for batch in _portions(batches):
             texts = [t or b"" for t in batch.column(0).to_pylist()]
             words = Words(texts)
-            text, h, b, first, last = blocks_of(words, span, gram)
+            text, h, b, *places = blocks_of(words, span, gram)
             size = np.bincount(text, minlength=len(texts))
             offsets = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
-            rows = pa.StructArray.from_arrays([pa.array(h), pa.array(b), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
-                                              fields=list(_BLOCK))
+            rows = pa.StructArray.from_arrays([pa.array(h), pa.array(b), *(pa.array(p.astype(np.int32)) for p in places)], fields=list(_BLOCK))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(words.count),
                  pa.array([hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts]), pa.ListArray.from_arrays(offsets, rows)],
@@ -153,8 +162,8 @@ def _blocks_scan(span: int, gram: int):
     return run
 
 
-def _windows_scan(span: int):
-    """(text, id, wanted blocks) -> h, b, place of the window in its block, hash of the window, id."""
+def _windows_scan(span: int, core: int):
+    """(text, id, wanted blocks) -> h, b, id, hash of the core, place of the first window in its block, hashes of the windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches):
@@ -162,15 +171,25 @@ def _windows_scan(span: int):
             wanted = batch.column(2)
             of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(wanted).to_numpy())
             items = wanted.flatten()
-            h, b, first, last = (items.field(i).to_numpy() for i in range(4))
-            size = (last - first + 1).astype(np.int64)
+            h, b = items.field(0).to_numpy(), items.field(1).to_numpy()
+            first, last, anchor = (items.field(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
+            size = last - first + 1
+            block = np.repeat(np.arange(len(of)), size)
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            at = np.repeat(first + words.first[of], size) + place
-            hashes = words.hashes(at, at + span)
+            at = first[block] + place
+            # windows of one group begin in the same CORE places before the anchor
+            group = (anchor[block] - at) // core
+            new = np.concatenate(([True], (block[1:] != block[:-1]) | (group[1:] != group[:-1]))) if len(at) else np.empty(0, bool)
+            head = np.flatnonzero(new)
+            own = block[head]
+            low = words.first[of[own]] + anchor[own] - group[head] * core
+            cores = words.hashes(low, low - core + 1 + span) + group[head].astype(np.uint64)
+            at = at + words.first[of[block]]
+            offsets = pa.array(np.append(head, len(at)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(h, size)), pa.array(np.repeat(b, size)), pa.array(place.astype(np.int32)),
-                 pa.array(hashes.view(np.int64)), pa.array(np.repeat(batch.column(1).to_numpy()[of], size))],
-                ["h", "b", "place", "w", "doc_id"])
+                [pa.array(h[own]), pa.array(b[own]), pa.array(batch.column(1).to_numpy()[of[own]]), pa.array(cores.view(np.int64)),
+                 pa.array(place[head].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(words.hashes(at, at + span).view(np.int64)))],
+                ["h", "b", "doc_id", "core", "place", "windows"])
 
     return run
 
@@ -218,23 +237,29 @@ def parsed(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFra
     """
     own = _texts(docs)
     scanned = stored(own.mapInArrow(_blocks_scan(span, gram), "doc_id long, body long, n_words long, words_sha256 string, "
-                                    "blocks array<struct<h: long, b: long, first: int, last: int>>"), "substring-blocks")
+                                    "blocks array<struct<h: long, b: long, first: int, last: int, anchor: int>>"), "substring-blocks")
     blocks = scanned.filter("doc_id is not null").select("doc_id", "body", F.explode("blocks").alias("k")).select("doc_id", "body", "k.*")
     # the index: each different block with its least document, one place there, and whether others hold it
-    index = stored(blocks.groupBy("h", "b").agg(F.min(F.struct("doc_id", "body", "first", "last")).alias("at"), F.max("doc_id").alias("most"))
+    index = stored(blocks.groupBy("h", "b").agg(F.min(F.struct("doc_id", "body", "first", "last", "anchor")).alias("at"), F.max("doc_id").alias("most"))
                    .select("h", "b", "at.*", (F.col("most") > F.col("at.doc_id")).alias("shared")), "substring-index")
     several = index.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     wanted = stored(index.join(several, "h", "left_semi").groupBy("doc_id", "body")
-                    .agg(F.collect_list(F.struct("h", "b", "first", "last")).alias("wanted")), "substring-ends")
+                    .agg(F.collect_list(F.struct("h", "b", "first", "last", "anchor")).alias("wanted")), "substring-ends")
     few = _few(wanted, "wanted")
-    windows = stored(own.join(few, ["doc_id", "body"]).dropDuplicates(["doc_id", "body"]).select("text", "doc_id", "wanted")
-                     .mapInArrow(_windows_scan(span), "h long, b long, place int, w long, doc_id long"), "substring-windows")
+    grouped = stored(own.join(few, ["doc_id", "body"]).dropDuplicates(["doc_id", "body"]).select("text", "doc_id", "wanted")
+                     .mapInArrow(_windows_scan(span, min(CORE, span - gram + 1)),
+                                 "h long, b long, doc_id long, core long, place int, windows array<long>"), "substring-windows")
+    cores = stored(grouped.groupBy("h", "core").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+                   .select("h", "core"), "substring-cores")
+    windows = stored(grouped.join(cores, ["h", "core"], "left_semi").select("h", "b", "doc_id", "place", F.posexplode("windows").alias("i", "w"))
+                     .select("h", "b", "doc_id", (F.col("place") + F.col("i")).alias("place"), "w"), "substring-pairs")
     least = windows.groupBy("h", "w").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most")).filter("source < most").drop("most")
     part = (windows.join(least, ["h", "w"]).filter("source < doc_id")
             .groupBy("h", "b").agg(F.collect_list(F.struct("place", "source")).alias("part")))
     # a block in a later document is found whole; in its least document, by those of its windows that occur earlier
-    found = index.join(part, ["h", "b"], "left").filter("shared or part is not null")
-    finds = (blocks.join(found.select("h", "b", F.col("doc_id").alias("source"), "part"), ["h", "b"])
+    found = stored(index.join(part, ["h", "b"], "left").filter("shared or part is not null")
+                   .select("h", "b", F.col("doc_id").alias("source"), "part"), "substring-found")
+    finds = (blocks.drop("anchor").join(found, ["h", "b"])
              .withColumn("find", F.when(F.col("doc_id") > F.col("source"), F.array(F.struct("first", "last", "source")))
                          .otherwise(F.transform("part", lambda p: F.struct((F.col("first") + p.place).alias("first"),
                                                                            (F.col("first") + p.place).alias("last"), p.source.alias("source")))))
