@@ -238,7 +238,10 @@ def parsed(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFra
     own = _texts(docs)
     scanned = stored(own.mapInArrow(_blocks_scan(span, gram), "doc_id long, body long, n_words long, words_sha256 string, "
                                     "blocks array<struct<h: long, b: long, first: int, last: int, anchor: int>>"), "substring-blocks")
-    blocks = scanned.filter("doc_id is not null").select("doc_id", "body", F.explode("blocks").alias("k")).select("doc_id", "body", "k.*")
+    every = scanned.filter("doc_id is not null").select("doc_id", "body", F.explode("blocks").alias("k")).select("doc_id", "body", "k.*")
+    # most anchors' grams occur in one document only, and their blocks can go at once
+    often = every.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("h")
+    blocks = stored(every.join(often, "h", "left_semi"), "substring-often")
     # the index: each different block with its least document, one place there, and whether others hold it
     index = stored(blocks.groupBy("h", "b").agg(F.min(F.struct("doc_id", "body", "first", "last", "anchor")).alias("at"), F.max("doc_id").alias("most"))
                    .select("h", "b", "at.*", (F.col("most") > F.col("at.doc_id")).alias("shared")), "substring-index")
