@@ -249,7 +249,7 @@ def parsed(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFra
     wanted = stored(index.join(several, "h", "left_semi").groupBy("doc_id", "body")
                     .agg(F.collect_list(F.struct("h", "b", "first", "last", "anchor")).alias("wanted")), "substring-ends")
     few = _few(wanted, "wanted")
-    grouped = stored(own.join(few, ["doc_id", "body"]).dropDuplicates(["doc_id", "body"]).select("text", "doc_id", "wanted")
+    grouped = stored(own.join(few, ["doc_id", "body"]).select("text", "doc_id", "wanted")
                      .mapInArrow(_windows_scan(span, min(CORE, span - gram + 1)),
                                  "h long, b long, doc_id long, core long, place int, windows array<long>"), "substring-windows")
     cores = stored(grouped.groupBy("h", "core").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
@@ -258,7 +258,7 @@ def parsed(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFra
                      .select("h", "b", "doc_id", (F.col("place") + F.col("i")).alias("place"), "w"), "substring-pairs")
     least = windows.groupBy("h", "w").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most")).filter("source < most").drop("most")
     part = (windows.join(least, ["h", "w"]).filter("source < doc_id")
-            .groupBy("h", "b").agg(F.collect_list(F.struct("place", "source")).alias("part")))
+            .groupBy("h", "b").agg(F.collect_set(F.struct("place", "source")).alias("part")))  # (equal rows of documents give equal rows)
     # a block in a later document is found whole; in its least document, by those of its windows that occur earlier
     found = stored(index.join(part, ["h", "b"], "left").filter("shared or part is not null")
                    .select("h", "b", F.col("doc_id").alias("source"), "part"), "substring-found")
