@@ -27,8 +27,7 @@ anchor's gram and one of their own.
 
 Documents are read once for the blocks; the texts of documents that hold
 different blocks of one anchor, and of those with factors, are read once more.
-The keys of those documents are broadcast up to SEND_ITEMS entries, beyond
-that joined by a shuffle.
+No join has a hint: adaptive execution broadcasts what is small.
 
 Nulls are texts without words. A row without doc_id is neither cut nor a
 source. Rows that repeat a doc_id are documents of their own (of no smaller
@@ -53,8 +52,6 @@ from valorem.llm.hashing import Rolling
 SPAN = 50
 GRAM = 10
 CORE = 8
-#: Documents plus spans (8 to 16 bytes each) up to which a list of them is sent to every task.
-SEND_ITEMS = 500_000
 #: Bytes of text that are hashed at once. Of a longer text only words' hashes are held.
 BLOCK = 1 << 20
 
@@ -218,12 +215,6 @@ def _join_finds(span: int):
     return run
 
 
-def _few(listed: DataFrame, items: str) -> DataFrame:
-    """A stored list of documents, to be broadcast while it and what it holds are at most SEND_ITEMS entries."""
-    n = listed.agg(F.count("*") + F.coalesce(F.sum(F.size(items)), F.lit(0))).first()[0]
-    return F.broadcast(listed) if n <= SEND_ITEMS else listed
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64("text").alias("body"))
@@ -248,8 +239,7 @@ def parsed(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFra
     several = index.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     wanted = stored(index.join(several, "h", "left_semi").groupBy("doc_id", "body")
                     .agg(F.collect_list(F.struct("h", "b", "first", "last", "anchor")).alias("wanted")), "substring-ends")
-    few = _few(wanted, "wanted")
-    grouped = stored(own.join(few, ["doc_id", "body"]).select("text", "doc_id", "wanted")
+    grouped = stored(own.join(wanted, ["doc_id", "body"]).select("text", "doc_id", "wanted")
                      .mapInArrow(_windows_scan(span, min(CORE, span - gram + 1)),
                                  "h long, b long, doc_id long, core long, place int, windows array<long>"), "substring-windows")
     cores = stored(grouped.groupBy("h", "core").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
@@ -288,23 +278,22 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(left, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
-def _cut_texts(docs: DataFrame, few: DataFrame) -> DataFrame:
-    return (_texts(docs).join(few, ["doc_id", "body"]).select("text", "doc_id", "factors")
+def _cut_texts(docs: DataFrame, factors: DataFrame) -> DataFrame:
+    return (_texts(docs).join(factors, ["doc_id", "body"]).select("text", "doc_id", "factors")
             .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept string"))
 
 
 def dedup_substrings(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words by one space) of the documents that lose words; the others stay as they are."""
-    return _cut_texts(docs, _few(parsed(docs, span, gram)[1], "factors"))
+    return _cut_texts(docs, parsed(docs, span, gram)[1])
 
 
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     words, factors = parsed(docs)
-    few = _few(factors, "factors")
-    cut = _cut_texts(docs, few).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    same = words.doc_id.eqNullSafe(few.doc_id) & (words.body == few.body)
-    whole = words.join(few, same, "left_anti").select(
+    cut = _cut_texts(docs, factors).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    same = words.doc_id.eqNullSafe(factors.doc_id) & (words.body == factors.body)
+    whole = words.join(factors, same, "left_anti").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("words_sha256").alias("kept_sha256"))
     return whole.unionByName(cut)
 
