@@ -44,6 +44,31 @@ def test_table_listings(spark):
     assert pages.table_listings(df).count() == 2
 
 
+def test_nested_elements(spark):
+    from valorem.functions import html
+    cases = {
+        "<td>a</td><TD class='x'>b</TD >": ["a", "b"],
+        "<td>a<table><tr><td>1</td><td>2</td></tr></table>z</td><td>b</td>": ["a<table><tr><td>1</td><td>2</td></tr></table>z", "b"],
+        "<td><td><td>x</td></td>y</td>": ["<td><td>x</td></td>y"],
+        "</td>q<td>a</td></td><td>open": ["a", "open"],
+        "<tdx>a</tdx>": [], "": [], "plain": [], "<td\nid=1>\n a</td>t": ["\n a"], None: None,
+    }
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(cases)], "i int, h string").select("h", html.nested_elements("h", "td").alias("e"))
+    assert {r.h: r.e for r in df.collect()} == cases
+
+
+def test_table_inside_a_cell(spark):
+    nested = "<table><tbody><tr><td>1</td></tr></tbody><tr><td><table><tr><td>2</td></tr></table></td></tr></table>"
+    rows = [_row(pid="1"), _row(pid="2").replace("<td></td></tr>", f"<td>{nested}</td></tr>").replace("<td></td>", f"<td>{nested}</td>", 1), _row(pid="3")]
+    page = f"<table><tbody>{''.join(rows)}</tbody></table><table><tr><td>other</td></tr></table>"
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    got = {r.ID: r.asDict() for r in pages.table_listings(df).collect()}
+    assert sorted(got) == ["1", "2", "3"]
+    same = [c for c in S.MESSAGE_COLUMNS if c != "ID"]
+    assert [got["2"][c] for c in same] == [got["1"][c] for c in same] and got["3"]["row_index"] == 2
+    assert pages.table_rows(df).count() == 3
+
+
 def test_listing_rows_li(spark):
     page = "<ul><li><a href='x'>no</a></li><li>\n<a href=\"/a\">A</a><a href=\"/b\">B</a></li></ul><!-- <li>c</li> -->"
     df = spark.createDataFrame([(7, "u", page)], "page_id long, url string, html string")

@@ -24,12 +24,12 @@ def _c(c: str | Column) -> Column:
 
 # Number forms that the original accepted (digits may be grouped by single underscores); Java's
 # parser would also take suffixes such as 5D or 5f.
-NUMBER_FORM = r"^\s*[+-]?(\d+(_\d+)*(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+)?\s*$"
+NUMBER_FORM = r"^\s*+[+-]?+(?:\d++(?:_\d++)*+(?:\.(?:\d++(?:_\d++)*+)?+)?+|\.\d++(?:_\d++)*+)(?:[eE][+-]?+\d++)?+\s*+$"
 
 
 def number(text: Column) -> Column:
     """Text -> double where it has the form of a number, else null."""
-    return F.when(text.rlike(NUMBER_FORM), F.regexp_replace(F.trim(text), "_", "").try_cast("double"))
+    return F.when(text.rlike(NUMBER_FORM), F.translate(F.trim(text), "_", "").try_cast("double"))
 
 
 def money(text: str | Column) -> Column:
@@ -42,13 +42,11 @@ def money(text: str | Column) -> Column:
     """
     t = _c(text)
     s = F.translate(t, "€,", "")
-    plain = F.coalesce(number(s), F.lit(0.0))
-    mega = number(F.replace(s, F.lit("M"), F.lit(""))) * F.lit(1e6)
-    kilo = number(F.replace(s, F.lit("K"), F.lit(""))) * F.lit(1e3)
+    mega, kilo = s.contains("M"), s.contains("K")
+    digits = F.when(mega, F.replace(s, F.lit("M"), F.lit(""))).when(kilo, F.replace(s, F.lit("K"), F.lit(""))).otherwise(s)
+    scale = F.when(mega, F.lit(1e6)).when(kilo, F.lit(1e3)).otherwise(F.lit(1.0))
     return (F.when(t.isNull() | (t == "") | (t == "-"), F.lit(0.0))
-            .when(s.contains("M"), mega)
-            .when(s.contains("K"), kilo)
-            .otherwise(plain))
+            .otherwise(F.coalesce(number(digits) * scale, F.when(~(mega | kilo), F.lit(0.0)))))
 
 
 def strip(text: str | Column) -> Column:

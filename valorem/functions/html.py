@@ -44,6 +44,31 @@ def first_element(html: str | Column, tag: str) -> Column:
     return F.when(_c(html).rlike(rf"(?is)<{tag}\b[^>]*>.*?</{tag}>"), inner)
 
 
+def nested_elements(html: str | Column, tag: str) -> Column:
+    """array<string>: inner HTML of each outermost ``tag`` element, elements of the same tag inside it included.
+
+    The text is cut before every opening and closing ``tag``; an aggregate
+    over the pieces carries the depth. An element left open ends with the
+    text; a closing tag without an opening one is passed over. Null gives
+    null, a text without the tag an empty array.
+    """
+    pieces = F.split(_c(html), rf"(?i)(?=</?{tag}\b)")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("inner"), F.array().cast("array<string>").alias("done"))
+
+    def step(s: Column, x: Column) -> Column:
+        opens, closes = x.rlike(rf"(?i)^<{tag}\b"), x.rlike(rf"(?i)^</{tag}\b")
+        depth = s.depth + opens.cast("int") - (closes & (s.depth > 0)).cast("int")
+        ends = closes & (s.depth == 1)
+        inner = (F.when(ends, F.lit(""))
+                 .when(s.depth > 0, F.concat(s.inner, x))
+                 .when(opens, F.regexp_replace(x, r"^<[^>]*>?", ""))
+                 .otherwise(F.lit("")))
+        return F.struct(depth.alias("depth"), inner.alias("inner"),
+                        F.when(ends, F.concat(s.done, F.array(s.inner))).otherwise(s.done).alias("done"))
+
+    return F.aggregate(pieces, start, step, lambda s: F.when(s.depth > 0, F.concat(s.done, F.array(s.inner))).otherwise(s.done))
+
+
 EDGE_SPACE_PATTERN = r"^\s+|\s+$"
 
 

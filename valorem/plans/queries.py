@@ -20,7 +20,7 @@ from valorem.functions.clean import feed_route
 from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
 from valorem.plans import score, train
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
-                                      money_sql, q, table_listings_sql, trimmed_sql, with_ctes)
+                                      money_sql, q, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
 from valorem.sources import cells, csv_io, feed, pages
 from valorem.sources.cells import POSITION_CODES
@@ -306,11 +306,35 @@ def listing_extract(spark, sf_dir):
     return pages.listing_rows(table(spark, sf_dir, "pages"), "li", "a")
 
 
-@register("listing_table_66", table_listings_sql())
+def _digits_sql(i: int) -> str:
+    return f"CAST(k * {i + 1} % 100 AS INTEGER)"
+
+
+# What the rendered rows say, taken from the customers themselves: nothing is parsed from HTML here.
+_LISTED_SQL = f"""
+WITH c AS (
+  SELECT c_custkey AS k, c_name, c_acctbal, c_mktsegment, n_name, c_custkey // {S.PAGE_ROWS} AS page,
+         ({_CODES_SQL})[c_custkey % {len(POSITION_CODES)} + 1] AS code
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+), n AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY k) - 1 AS i FROM c),
+f AS (
+  SELECT {cells.LISTING_PAGES} + page AS page_id, CAST(i AS INTEGER) AS row_index, c_name || ' & Co' AS "Name", CAST(k AS VARCHAR) AS "ID",
+         CAST(CASE WHEN k % 13 = 0 THEN 0 ELSE k % 20 + 18 END AS INTEGER) AS "Age", CAST(k % 50 + 50 AS INTEGER) AS "Overall rating",
+         CAST(k % 40 + 60 AS INTEGER) AS "Potential",
+         CASE WHEN c_mktsegment = 'HOUSEHOLD' OR c_acctbal < 0 THEN 'Free' ELSE n_name END AS "Team", {category_sql('code')} AS "Position category",
+         CASE k % 5 WHEN 0 THEN (k + 0.5::DOUBLE) * 1e6 WHEN 1 THEN k * 1e3 WHEN 2 THEN 1000.0 + k % 1000
+                    WHEN 3 THEN CASE WHEN k % 3 = 0 THEN NULL ELSE k::DOUBLE END ELSE CASE WHEN k % 2 = 0 THEN 0.0 ELSE 7e6 END END::DOUBLE AS "Value",
+         CASE WHEN k % 17 = 0 THEN 0.0 ELSE (k % 900 + 1) * 1e3 END::DOUBLE AS "Wage",
+         {", ".join(f'{_digits_sql(i)} AS "{c}"' for c, i in zip(S.TOTAL_COLUMNS + S.STAT_COLUMNS, S.TOTAL_CELLS + S.STAT_CELLS))}
+  FROM n WHERE k % 31 <> 0)
+SELECT *, "Value" IS NULL AS rejected FROM f WHERE "Value" IS NULL OR ("Value" <> 0 AND "Wage" <> 0)"""
+
+
+@register("listing_table_66", _LISTED_SQL)
 def listing_table_66(spark, sf_dir):
-    """Listing-table layout over every stored page (the driver pages carry no
-    tables, so this returns no rows there; the layout is unit-tested)."""
-    return pages.table_listings(table(spark, sf_dir, "pages"), with_rejects=True)
+    """Listing tables over the pages rendered from customers and every stored page (those hold no table)."""
+    rendered = cells.listing_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    return pages.table_listings(rendered.unionByName(table(spark, sf_dir, "pages").select(*rendered.columns)), with_rejects=True)
 
 
 NEW_BATCH_SINCE = "1998-01-01"

@@ -12,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from valorem import schema as S
 from valorem.functions import clean, html
 
+#: page_id of the first rendered listing page.
+LISTING_PAGES = 1_000_000_000
+
 # FIXED VALUES: position codes cycled over customers (every listed code, an unknown one, '').
 POSITION_CODES = ["GK", "CF", "ST", "RW", "LW", "CB", "LB", "RB", "RWB", "LWB",
                   "CM", "CDM", "CAM", "LM", "RM", "RES", ""]
@@ -67,6 +71,42 @@ def entity_cells(customer: DataFrame, nation: DataFrame) -> DataFrame:
                     contract.alias("contract_cell"), code.alias("position_code"))
 
 
+def listing_pages(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Listing pages rendered from customers: PAGE_ROWS table rows of 66 cells a page, page_id from LISTING_PAGES on.
+
+    Every seventh row has a table inside a cell, every 31st one cell too few;
+    ratings carry markup, money all its forms (some unparsable, some zero).
+    """
+    k = F.col("c_custkey")
+    parts = entity_cells(customer, nation).withColumn("c_custkey", F.col("ID").cast("long"))
+    j = customer.select("c_custkey", "c_name").join(parts, "c_custkey")
+    value = (F.when(k % 5 == 0, F.concat(F.lit("€"), _s(k), F.lit(".5M")))
+             .when(k % 5 == 1, F.concat(F.lit("€"), _s(k), F.lit("K")))
+             .when(k % 5 == 2, F.concat(F.lit("€1,"), F.lpad(_s(k % 1000), 3, "0")))
+             .when(k % 5 == 3, F.when(k % 3 == 0, F.lit("abcM")).otherwise(F.concat(F.lit("€"), _s(k))))
+             .otherwise(F.when(k % 2 == 0, F.lit("-")).otherwise(F.lit("€7M"))))
+    inner = F.lit("<table><tbody><tr><td>1</td><td><b>x</b></td></tr><tr><td>2</td></tr></tbody></table>")
+    cells = {
+        S.CELL_NAME: F.concat(F.lit('<a href="/entity/'), _s(k), F.lit('">'), F.col("c_name"), F.lit(" &amp; Co</a><span>RW</span>")),
+        S.CELL_AGE: F.when(k % 13 == 0, F.lit("x9")).otherwise(_s(k % 20 + 18)),
+        S.CELL_OVERALL: F.concat(F.lit("<em>"), _s(k % 50 + 50), F.lit("</em>-1")),
+        S.CELL_POTENTIAL: F.concat(F.lit("\n  "), _s(k % 40 + 60), F.lit(" ")),
+        S.CELL_TEAM: F.col("team_cell"), S.CELL_ID: F.col("ID"), 9: F.when(k % 7 == 0, inner).otherwise(F.lit("")),
+        S.CELL_POSITION: F.col("position_code"), S.CELL_CONTRACT: F.col("contract_cell"), S.CELL_VALUE: value,
+        S.CELL_WAGE: F.when(k % 17 == 0, F.lit("€0")).otherwise(F.concat(F.lit("€"), _s(k % 900 + 1), F.lit("K"))),
+    } | {i: _s(k * (i + 1) % 100) for i in S.TOTAL_CELLS + S.STAT_CELLS}
+    tds = [F.concat(F.lit("<td>"), cells.get(i, F.lit("")), F.lit("</td>")) for i in range(S.MIN_CELLS - 1)]
+    last = F.when(k % 31 == 0, F.lit("")).otherwise(F.lit("<td class='last'></td>"))
+    row = F.concat(F.lit("<tr>"), *tds, last, F.lit("</tr>"))
+    page = F.lit(LISTING_PAGES) + F.floor(k / S.PAGE_ROWS)
+    html_ = F.concat(F.lit("<html><!-- <table> --><table><thead><tr><th>Name</th></tr></thead>\n<tbody>"),
+                     F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("c_custkey", "row"))), lambda r: r.row), ""),
+                     F.lit("</tbody></table><table></table></html>"))
+    return (j.select("c_custkey", row.alias("row"), page.cast("long").alias("page_id"))
+            .groupBy("page_id").agg(html_.alias("html"))
+            .select("page_id", F.concat(F.lit("http://listing.example/?offset="), _s((F.col("page_id") - LISTING_PAGES) * S.PAGE_ROWS)).alias("url"), "html"))
+
+
 def parse_money(cells: DataFrame) -> DataFrame:
     v, w = clean.money("raw_value"), clean.money("raw_wage")
     out = cells.withColumns({"Value": v, "Wage": w})

@@ -4,7 +4,8 @@
                   ``cell_tag`` cells inside it (used with li/a on the driver
                   pages).
 ``table_listings`` the listing-table layout: first ``<table>``, its ``<tbody>``,
-                  every ``<tr>`` with at least 66 ``<td>``; cells are parsed by
+                  every ``<tr>`` of it with at least 66 ``<td>`` of its own (a
+                  table inside a cell is part of that cell); cells are parsed by
                   index into the master columns, rows with Value or Wage 0 are
                   dropped and unparsable money marks a reject.
 ``page_manifest`` the paginated URL list (offset step of 60) joined to the
@@ -13,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valorem import schema as S
@@ -33,8 +34,14 @@ def listing_rows(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") ->
     )
 
 
-def _cell(i: int) -> F.Column:
-    return F.get(F.col("cells"), i)
+def table_rows(pages: DataFrame) -> DataFrame:
+    """page_id, row_index, cells (inner HTML) of every row of each page's first table, by nesting depth."""
+    table = F.get(html.nested_elements(html.strip_noise(F.col("html")), "table"), 0)
+    inner = pages.select("page_id", table.alias("inner")).filter("inner is not null")
+    body = F.coalesce(F.get(html.nested_elements(F.col("inner"), "tbody"), 0), F.col("inner"))
+    return (inner.select("page_id", body.alias("body"))
+            .select("page_id", F.posexplode(html.nested_elements(F.col("body"), "tr")).alias("row_index", "row_html"))
+            .select("page_id", "row_index", html.nested_elements(F.col("row_html"), "td").alias("cells")))
 
 
 def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
@@ -43,20 +50,22 @@ def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
     With ``with_rejects`` the rows whose money text could not be parsed are
     kept with ``rejected = true`` instead of being dropped.
     """
-    body = html.strip_noise(F.col("html"))
-    table = html.first_element(body, "table")
-    tbody = F.coalesce(html.first_element(table, "tbody"), table)
-    rows = (pages.select("page_id", F.posexplode(html.elements(tbody, "tr")).alias("row_index", "row_html"))
-                 .select("page_id", "row_index", html.elements(F.col("row_html"), "td").alias("cells"))
-                 .filter(F.size("cells") >= S.MIN_CELLS))
-    txt = lambda i: html.text(_cell(i))
+    # texts once for all cells; the fields below take them by index
+    rows = (table_rows(pages).filter(F.size("cells") >= S.MIN_CELLS)
+            .select("page_id", "row_index", F.transform("cells", html.text).alias("texts"),
+                    html.anchor_text(F.get("cells", F.lit(S.CELL_NAME))).alias("name"),
+                    html.anchor_text(F.get("cells", F.lit(S.CELL_TEAM))).alias("team")))
+
+    def txt(i: int) -> Column:
+        return F.get(F.col("texts"), F.lit(i))
+
     fields = {
-        "Name": html.anchor_text(_cell(S.CELL_NAME)),
+        "Name": F.col("name"),
         "ID": txt(S.CELL_ID),
         "Age": clean.digits_int(txt(S.CELL_AGE)),
         "Overall rating": clean.leading_int(txt(S.CELL_OVERALL)),
         "Potential": clean.leading_int(txt(S.CELL_POTENTIAL)),
-        "Team": clean.team(html.anchor_text(_cell(S.CELL_TEAM)), txt(S.CELL_CONTRACT)),
+        "Team": clean.team(F.col("team"), txt(S.CELL_CONTRACT)),
         "Position category": clean.position_category(txt(S.CELL_POSITION)),
         "Value": clean.money(txt(S.CELL_VALUE)),
         "Wage": clean.money(txt(S.CELL_WAGE)),
