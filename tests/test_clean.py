@@ -12,7 +12,11 @@ def _one(spark, expr, values, typ="string"):
 
 def test_money(spark):
     vals = [None, "", "-", "€28.5M", "€950K", "€1,200", "€0", "abc", "abcM", "12.5K", "€3"]
-    assert _one(spark, clean.money, vals) == [0.0, 0.0, 0.0, 28.5e6, 950e3, 1200.0, 0.0, 0.0, None, 12500.0, 3.0]
+    vals += ["1_000", "1__0", "_1", "5D", "5f", "NaN", "Infinity", "1e3", " 7 ", "0x1p3K", "M", "€", "1K5M", "+.5", "\x015"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x string")
+    got = [r.v for r in clean.with_money(df, {"v": "x", "w": F.upper("x")}).orderBy("i").collect()]
+    assert got == [0.0, 0.0, 0.0, 28.5e6, 950e3, 1200.0, 0.0, 0.0, None, 12500.0, 3.0,
+                   1000.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1000.0, 7.0, None, None, 0.0, None, 0.5, 0.0]
 
 
 def test_leading_and_digits(spark):

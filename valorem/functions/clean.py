@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valorem import schema as S
@@ -27,26 +27,40 @@ def _c(c: str | Column) -> Column:
 NUMBER_FORM = r"^\s*+[+-]?+(?:\d++(?:_\d++)*+(?:\.(?:\d++(?:_\d++)*+)?+)?+|\.\d++(?:_\d++)*+)(?:[eE][+-]?+\d++)?+\s*+$"
 
 
+#: Characters with which the cast and the form may differ; a text without them is left to the cast alone.
+ODD_NUMBER = r"[_A-DF-Za-df-z\x00-\x08\x0E-\x1F]"
+
+
 def number(text: Column) -> Column:
     """Text -> double where it has the form of a number, else null."""
-    return F.when(text.rlike(NUMBER_FORM), F.translate(F.trim(text), "_", "").try_cast("double"))
+    odd = F.when(text.rlike(NUMBER_FORM), F.translate(F.trim(text), "_", "").try_cast("double"))
+    return F.when(text.rlike(ODD_NUMBER), odd).otherwise(text.try_cast("double"))
 
 
-def money(text: str | Column) -> Column:
-    """Money text -> double.
+def with_money(df: DataFrame, texts: dict[str, str | Column]) -> DataFrame:
+    """Money text -> double, under the names that are the keys.
 
     null, '' and '-' -> 0; the currency sign and thousands commas are
     removed; an 'M' (tested first) multiplies by 1e6, a 'K' by 1e3. A bad
     plain number gives 0, a bad number next to 'M'/'K' gives null (the
     original raised and skipped the row).
+
+    Step by step, each a projection of its own, so that each is done once a cell.
     """
-    t = _c(text)
-    s = F.translate(t, "€,", "")
-    mega, kilo = s.contains("M"), s.contains("K")
-    digits = F.when(mega, F.replace(s, F.lit("M"), F.lit(""))).when(kilo, F.replace(s, F.lit("K"), F.lit(""))).otherwise(s)
-    scale = F.when(mega, F.lit(1e6)).when(kilo, F.lit(1e3)).otherwise(F.lit(1.0))
-    return (F.when(t.isNull() | (t == "") | (t == "-"), F.lit(0.0))
-            .otherwise(F.coalesce(number(digits) * scale, F.when(~(mega | kilo), F.lit(0.0)))))
+    def text(n: str) -> Column:
+        return _c(texts[n])
+
+    bare = {f"_{n}_bare": F.when(text(n).isNull() | text(n).isin("", "-"), F.lit("0"))
+            .otherwise(F.replace(F.replace(text(n), F.lit("€"), F.lit("")), F.lit(","), F.lit(""))) for n in texts}
+    out = df.withColumns(bare)
+    out = out.withColumns({f"_{n}_scale": F.when(F.contains(f"_{n}_bare", F.lit("M")), F.lit(1e6))
+                           .when(F.contains(f"_{n}_bare", F.lit("K")), F.lit(1e3)) for n in texts})
+    out = out.withColumns({f"_{n}_digits": F.when(F.col(f"_{n}_scale") == 1e6, F.replace(f"_{n}_bare", F.lit("M"), F.lit("")))
+                           .when(F.col(f"_{n}_scale") == 1e3, F.replace(f"_{n}_bare", F.lit("K"), F.lit("")))
+                           .otherwise(F.col(f"_{n}_bare")) for n in texts})
+    out = out.withColumns({n: F.coalesce(number(F.col(f"_{n}_digits")) * F.coalesce(f"_{n}_scale", F.lit(1.0)),
+                                         F.when(F.col(f"_{n}_scale").isNull(), F.lit(0.0))) for n in texts})
+    return out.drop(*[f"_{n}_{part}" for n in texts for part in ("bare", "scale", "digits")])
 
 
 def strip(text: str | Column) -> Column:

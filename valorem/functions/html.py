@@ -52,11 +52,13 @@ def nested_elements(html: str | Column, tag: str) -> Column:
     text; a closing tag without an opening one is passed over. Null gives
     null, a text without the tag an empty array.
     """
-    pieces = F.split(_c(html), rf"(?i)(?=</?{tag}\b)")
+    # the blank keeps the piece before the first tag from looking like one
+    pieces = F.split(F.concat(F.lit(" "), _c(html)), rf"(?i)(?=</?{tag}\b)")
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("inner"), F.array().cast("array<string>").alias("done"))
 
     def step(s: Column, x: Column) -> Column:
-        opens, closes = x.rlike(rf"(?i)^<{tag}\b"), x.rlike(rf"(?i)^</{tag}\b")
+        closes = F.startswith(x, F.lit("</"))
+        opens = F.startswith(x, F.lit("<")) & ~closes
         depth = s.depth + opens.cast("int") - (closes & (s.depth > 0)).cast("int")
         ends = closes & (s.depth == 1)
         inner = (F.when(ends, F.lit(""))
@@ -70,6 +72,8 @@ def nested_elements(html: str | Column, tag: str) -> Column:
 
 
 EDGE_SPACE_PATTERN = r"^\s+|\s+$"
+# FIXED VALUES: the characters of \s.
+EDGE_SPACE = " \t\n\x0b\f\r"
 
 
 def text(fragment: str | Column) -> Column:
@@ -77,7 +81,7 @@ def text(fragment: str | Column) -> Column:
     trailing whitespace of every kind stripped (inner whitespace kept)."""
     t = F.regexp_replace(_c(fragment), TAG_PATTERN, "")
     t = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), ENTITIES, t)
-    return F.regexp_replace(t, EDGE_SPACE_PATTERN, "")
+    return F.btrim(t, F.lit(EDGE_SPACE))
 
 
 def anchor_text(fragment: str | Column) -> Column:

@@ -108,8 +108,7 @@ def listing_pages(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def parse_money(cells: DataFrame) -> DataFrame:
-    v, w = clean.money("raw_value"), clean.money("raw_wage")
-    out = cells.withColumns({"Value": v, "Wage": w})
+    out = clean.with_money(cells, {"Value": "raw_value", "Wage": "raw_wage"})
     status = (F.when(F.col("Value").isNull() | F.col("Wage").isNull(), F.lit("rejected"))
               .when((F.col("Value") == 0) | (F.col("Wage") == 0), F.lit("zero"))
               .otherwise(F.lit("kept")))

@@ -34,14 +34,19 @@ def listing_rows(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") ->
     )
 
 
+def _once(value: Column) -> Column:
+    """The value through a generator: filters above are not pushed below it, which would repeat its expression."""
+    return F.explode(F.array(value))
+
+
 def table_rows(pages: DataFrame) -> DataFrame:
     """page_id, row_index, cells (inner HTML) of every row of each page's first table, by nesting depth."""
-    table = F.get(html.nested_elements(html.strip_noise(F.col("html")), "table"), 0)
-    inner = pages.select("page_id", table.alias("inner")).filter("inner is not null")
-    body = F.coalesce(F.get(html.nested_elements(F.col("inner"), "tbody"), 0), F.col("inner"))
-    return (inner.select("page_id", body.alias("body"))
+    first = F.slice(html.nested_elements(html.strip_noise(F.col("html")), "table"), 1, 1)
+    body = F.coalesce(F.get(html.nested_elements(F.col("inner"), "tbody"), F.lit(0)), F.col("inner"))
+    return (pages.select("page_id", F.explode(first).alias("inner"))
+            .select("page_id", _once(body).alias("body"))
             .select("page_id", F.posexplode(html.nested_elements(F.col("body"), "tr")).alias("row_index", "row_html"))
-            .select("page_id", "row_index", html.nested_elements(F.col("row_html"), "td").alias("cells")))
+            .select("page_id", "row_index", _once(html.nested_elements(F.col("row_html"), "td")).alias("cells")))
 
 
 def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
@@ -50,14 +55,18 @@ def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
     With ``with_rejects`` the rows whose money text could not be parsed are
     kept with ``rejected = true`` instead of being dropped.
     """
-    # texts once for all cells; the fields below take them by index
+    # the texts of the cells that have a field, once; the fields below take them by index
+    used = [S.CELL_AGE, S.CELL_OVERALL, S.CELL_POTENTIAL, S.CELL_ID, S.CELL_POSITION, S.CELL_CONTRACT, S.CELL_VALUE, S.CELL_WAGE,
+            *S.TOTAL_CELLS, *S.STAT_CELLS]
     rows = (table_rows(pages).filter(F.size("cells") >= S.MIN_CELLS)
-            .select("page_id", "row_index", F.transform("cells", html.text).alias("texts"),
-                    html.anchor_text(F.get("cells", F.lit(S.CELL_NAME))).alias("name"),
-                    html.anchor_text(F.get("cells", F.lit(S.CELL_TEAM))).alias("team")))
+            .select("page_id", "row_index", _once(F.struct(
+                F.transform(F.array(*[F.get("cells", F.lit(i)) for i in used]), html.text).alias("texts"),
+                html.anchor_text(F.get("cells", F.lit(S.CELL_NAME))).alias("name"),
+                html.anchor_text(F.get("cells", F.lit(S.CELL_TEAM))).alias("team"))).alias("c"))
+            .select("page_id", "row_index", "c.*"))
 
     def txt(i: int) -> Column:
-        return F.get(F.col("texts"), F.lit(i))
+        return F.get(F.col("texts"), F.lit(used.index(i)))
 
     fields = {
         "Name": F.col("name"),
@@ -67,14 +76,13 @@ def table_listings(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
         "Potential": clean.leading_int(txt(S.CELL_POTENTIAL)),
         "Team": clean.team(F.col("team"), txt(S.CELL_CONTRACT)),
         "Position category": clean.position_category(txt(S.CELL_POSITION)),
-        "Value": clean.money(txt(S.CELL_VALUE)),
-        "Wage": clean.money(txt(S.CELL_WAGE)),
     }
     for col, idx in zip(S.TOTAL_COLUMNS + S.STAT_COLUMNS, S.TOTAL_CELLS + S.STAT_CELLS):
         fields[col] = clean.digits_int(txt(idx))
-    out = rows.select("page_id", "row_index", *[fields[c].alias(c) for c in S.MESSAGE_COLUMNS])
-    rejected = F.col("Value").isNull() | F.col("Wage").isNull()
-    out = out.withColumn("rejected", rejected)
+    priced = clean.with_money(rows, {"Value": txt(S.CELL_VALUE), "Wage": txt(S.CELL_WAGE)})
+    priced = priced.select(*rows.columns, _once(F.struct("Value", "Wage")).alias("money"))
+    out = priced.select("page_id", "row_index", *[(fields[c] if c in fields else F.col("money")[c]).alias(c) for c in S.MESSAGE_COLUMNS])
+    out = out.withColumn("rejected", F.col("Value").isNull() | F.col("Wage").isNull())
     kept = out.filter(F.col("rejected") | ((F.col("Value") != 0) & (F.col("Wage") != 0)))
     return kept if with_rejects else kept.filter(~F.col("rejected")).drop("rejected")
 
