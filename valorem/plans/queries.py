@@ -18,7 +18,7 @@ from valorem import schema as S
 from valorem.functions import html as H
 from valorem.functions.clean import feed_route
 from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
-from valorem.plans import score, train
+from valorem.plans import score, train, trees
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
                                       money_sql, q, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
@@ -636,16 +636,17 @@ def _finite(c: str) -> F.Column:
 
 def _train_eval(kind):
     """Test rows scored by the kind, with the label in money. ``ok``: a forest's
-    prediction lies within its training labels, a linear one is finite."""
+    prediction lies within its training labels, a linear one is finite.
+    ``same``: the model's own table (nodes or coefficients) gives the same prediction."""
     def run(spark, sf_dir):
-        preds = train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=_cache_key(spark, sf_dir))
+        preds = train.train_eval(spark, master_table(spark, sf_dir), [kind], cache_key=_cache_key(spark, sf_dir), check=True)
         ok = _finite("prediction")
         if kind in TREES:
             labels = (train.prepare_training(master_table(spark, sf_dir)).filter(F.col("split") == "train")
                       .groupBy("segment").agg(F.min("Value_log").alias("lo"), F.max("Value_log").alias("hi")))
             preds = preds.join(F.broadcast(labels), "segment")  # one row per segment
             ok = ok & F.col("prediction").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)
-        return preds.select("ID", "segment", "model", F.round("Value_euros", 2).alias("value"), ok.alias("ok"))
+        return preds.select("ID", "segment", "model", F.round("Value_euros", 2).alias("value"), ok.alias("ok"), "same")
     run.__name__ = f"train_eval_{kind}"
     return run
 
@@ -672,7 +673,7 @@ def train_all(spark, sf_dir):
 
 for _kind in S.MODEL_KINDS:
     register(f"train_eval_{_kind}", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
-SELECT "ID", segment, '{_kind}' AS model, round(exp("Value_log") - 1, 2) AS value, true AS ok
+SELECT "ID", segment, '{_kind}' AS model, round(exp("Value_log") - 1, 2) AS value, true AS ok, true AS same
 FROM prepared WHERE split = 'test'"""))(_train_eval(_kind))
 
 
@@ -686,27 +687,32 @@ WITH f AS ({_FEATURES_SQL}), entities AS (SELECT count(*) AS n FROM customer)
 SELECT segment, model, feature, true AS ok FROM f, entities WHERE n > 0""")
 def feature_importance(spark, sf_dir):
     """Every feature of every trained model with its importance (forests) or
-    coefficient. ``ok``: a forest's importances lie in 0..1, sum to 1 and are
-    ranked in falling order; coefficients are finite and ranked by size."""
-    got = train.importances(_models(spark, sf_dir, S.MODEL_KINDS), spark)
+    coefficient. ``ok``: a forest's importances lie in 0..1, sum to 1, are
+    ranked in falling order and equal those recomputed from its nodes;
+    coefficients are finite and ranked by size."""
+    models = _models(spark, sf_dir, S.MODEL_KINDS)
+    again = trees.importances(models, spark).withColumnRenamed("importance", "again")
+    got = train.importances(models, spark).join(again, ["segment", "model", "feature"], "left")
     w = Window.partitionBy("segment", "model")  # one model's features
     size = F.abs("importance")
     tree = F.col("model").isin(*TREES)
     falling = F.coalesce(size <= F.lag(size).over(w.orderBy("rank")) + 1e-12, F.lit(True))
     ok = _finite("importance") & falling & F.when(
-        tree, F.col("importance").between(0, 1) & (F.abs(F.sum("importance").over(w) - 1) < 1e-6)).otherwise(F.lit(True))
+        tree, F.col("importance").between(0, 1) & (F.abs(F.sum("importance").over(w) - 1) < 1e-6)
+        & (F.abs(F.col("importance") - F.coalesce("again", F.lit(0.0))) < 1e-9)).otherwise(F.lit(True))
     return got.select("segment", "model", "feature", ok.alias("ok"))
 
 
 @register("score_batch", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
-SELECT "ID", segment, model, coalesce("Value_log" NOT BETWEEN m - k * sd AND m + k * sd, false) AS is_outlier, true AS scored
+SELECT "ID", segment, model, coalesce("Value_log" NOT BETWEEN m - k * sd AND m + k * sd, false) AS is_outlier, true AS scored, true AS same
 FROM pl JOIN pb USING (segment), {_KINDS_SQL}"""))
 def score_batch(spark, sf_dir):
     """Every master row in a model segment scored by every kind; rows outside
-    the frozen training band are flagged, never dropped."""
+    the frozen training band are flagged, never dropped. ``same``: the model's
+    own table gives the same prediction."""
     _, band = train.training_band(master_table(spark, sf_dir))
-    out = score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS, band=band)
-    return out.select("ID", "segment", "model", "is_outlier", _finite("prediction").alias("scored"))
+    out = score.score_table(_models(spark, sf_dir, S.MODEL_KINDS), master_table(spark, sf_dir), S.MODEL_KINDS, band=band, check=True)
+    return out.select("ID", "segment", "model", "is_outlier", _finite("prediction").alias("scored"), "same")
 
 
 # Rows that can't be scored are told apart by what they lack: Age of every ID that ends in 7, Potential of every one in 8.
@@ -789,14 +795,14 @@ def pair_diag_density(spark, sf_dir):
 
 
 @register("feed_score", with_ctes(*_FEED_SQL, SEGMENTS_SQL.replace("FROM master", "FROM feed_rows"), body="""
-SELECT "ID", "Name", segment, 'forest' AS model, true AS scored FROM seg WHERE segment IS NOT NULL"""))
+SELECT "ID", "Name", segment, 'forest' AS model, true AS scored, true AS same FROM seg WHERE segment IS NOT NULL"""))
 def feed_score(spark, sf_dir):
     """The whole feed scored per segment with the forest models and the
     training-time scaler inside each model: every message in a segment gets a
-    finite, positive price (``scored``)."""
+    finite, positive price (``scored``), the one that the forest's nodes give (``same``)."""
     models = _models(spark, sf_dir, ["forest"])
-    out = score.score_table(models, whole_feed(spark, sf_dir), ["forest"])
-    return out.select("ID", "Name", "segment", "model", F.coalesce((F.col("Prediction_euros") > 0) & ~F.isnan("Prediction_euros"), F.lit(False)).alias("scored"))
+    out = score.score_table(models, whole_feed(spark, sf_dir), ["forest"], check=True)
+    return out.select("ID", "Name", "segment", "model", F.coalesce((F.col("Prediction_euros") > 0) & ~F.isnan("Prediction_euros"), F.lit(False)).alias("scored"), "same")
 
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from valorem import schema as S
 from valorem.functions.clean import feed_route
 from valorem.operators import prepare, segments, validate
-from valorem.plans import train
+from valorem.plans import train, trees
 
 
 def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1.0,
                 route_unknown_to_field: bool = False, band: DataFrame | None = None,
-                cap: float = S.VALUE_CAP) -> DataFrame:
+                cap: float = S.VALUE_CAP, check: bool = False) -> DataFrame:
     """(ID, Name, segment, model, prediction, Prediction_euros) for every row of
     ``df`` in a model segment — or, with ``route_unknown_to_field``, every row
     (the listener's routing: 'gardien' -> goalkeeper, anything else -> field).
@@ -30,7 +30,8 @@ def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1
 
     With ``band`` (the frozen training band, ``prepare.fit_band``) rows are
     never dropped: ``is_outlier`` flags those whose capped log value lies
-    outside it (rows without a value are not outliers).
+    outside it (rows without a value are not outliers). With ``check``,
+    ``same`` tells whether the models' tables give the same prediction.
     """
     tagged = segments.with_segments(df)
     if route_unknown_to_field:
@@ -43,6 +44,8 @@ def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1
         extra = ["is_outlier"]
     usable = [k if any(key[1] == k for key in models) else "forest" for k in kinds]
     scored = train.predict(models, tagged, list(dict.fromkeys(usable)))
+    if check:
+        scored, extra = trees.checked(scored, models), [*extra, "same"]
     return scored.select("ID", "Name", "segment", "model", "prediction",
                          (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"), "missing_features", *extra)
 

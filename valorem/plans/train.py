@@ -227,14 +227,18 @@ def predict(models: dict, rows: DataFrame, kinds: list[str], route: str = "segme
 
 
 def train_eval(spark: SparkSession, master_df: DataFrame, kinds: list[str], cache_key=None,
-               tune: bool = True) -> DataFrame:
-    """Test-split predictions (money scale) of every kind in both segments."""
+               tune: bool = True, check: bool = False) -> DataFrame:
+    """Test-split predictions (money scale) of every kind in both segments; with ``check`` also ``same`` (trees.checked)."""
     prepared = prepare_training(master_df)
     models = fitted_models(spark, prepared, kinds, cache_key, tune)
     test = prepared.filter(F.col("split") == "test")
     scored = predict(models, test, kinds)
+    same = []
+    if check:
+        from valorem.plans import trees
+        scored, same = trees.checked(scored, models), ["same"]
     return scored.select("ID", "Name", "segment", "model", LABEL, "prediction",
-                         F.expm1(LABEL).alias("Value_euros"), F.expm1("prediction").alias("Prediction_euros"))
+                         F.expm1(LABEL).alias("Value_euros"), F.expm1("prediction").alias("Prediction_euros"), *same)
 
 
 def importances(models: dict, spark: SparkSession) -> DataFrame:
