@@ -12,7 +12,7 @@ Kinds (and their grids, folds: goalkeeper 3, field 2):
 * ``elastic``     elastic net (0.01, 0.5); grid regParam {0.01, 0.1} x alpha {0.3, 0.7}
 
 Determinism: every estimator and the fold split get an explicit seed, and the
-training frame is hash-partitioned by ID and sorted inside partitions before
+training frame is hash-partitioned by whole rows and sorted inside partitions before
 fitting, so bagging sees the same rows in the same places on every run.
 """
 
