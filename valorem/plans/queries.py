@@ -18,7 +18,7 @@ from valorem import schema as S
 from valorem.functions import html as H
 from valorem.functions.clean import feed_route
 from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
-from valorem.plans import score, train, trees
+from valorem.plans import moments, score, train, trees
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
                                       money_sql, q, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
@@ -703,6 +703,44 @@ def feature_importance(spark, sf_dir):
     return got.select("segment", "model", "feature", ok.alias("ok"))
 
 
+def _moments_sql(segment: str) -> str:
+    names = moments.terms(segment)
+    value = {n: "1.0::DOUBLE" if n == "1" else f'"{n}"::DOUBLE' for n in names}
+    return " UNION ALL ".join(
+        f"SELECT '{segment}' AS segment, split, '{a}' AS \"row\", '{b}' AS col, printf('%.8e', sum({value[a]} * {value[b]})) AS total "
+        f"FROM prepared WHERE segment = '{segment}' GROUP BY split" for i, a in enumerate(names) for b in names[i:])
+
+
+@register("moment_matrices", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=" UNION ALL ".join(_moments_sql(s) for s in S.SEGMENTS)))
+def moment_matrices(spark, sf_dir):
+    """Sums of products of features and label by segment and split: all that the linear models need of the rows."""
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    parts = [moments.moments(prepared, s, ["split"]).withColumn("segment", F.lit(s)) for s in S.SEGMENTS]
+    out = parts[0].unionByName(parts[1])
+    return out.select("segment", "split", "row", "col", F.format_string("%.8e", "total").alias("total"))
+
+
+@register("linear_cv_moments", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
+SELECT DISTINCT segment, model, reg, alpha, true AS optimal, true AS as_chosen, true AS same_fit
+FROM prepared, (VALUES {", ".join(f"('{m}', {r}::DOUBLE, {a}::DOUBLE)" for m, r, a in moments.GRID)}) g(model, reg, alpha) WHERE split = 'train'"""))
+def linear_cv_moments(spark, sf_dir):
+    """Every grid point of the linear kinds fitted and cross-validated from moment matrices. ``optimal``: the optimality
+    conditions hold; ``as_chosen``: the best point is the one that CrossValidator chose; ``same_fit``: its predictions are
+    those of the model fitted by Spark ML, within 1e-6 standard deviations of the label for ridge and 1e-3 for the
+    elastic net (which Spark ML solves by iteration up to a tolerance)."""
+    prepared = train.prepare_training(master_table(spark, sf_dir))
+    others: dict = {}
+    for (segment, kind), model in _models(spark, sf_dir, ["linear", "elastic"]).items():
+        last, std = model.stages[-1], model.stages[1].std.toArray().tolist()
+        point = (kind, last.getOrDefault("regParam"), last.getOrDefault("elasticNetParam"))
+        coefficients = [float(c) / s if s else 0.0 for c, s in zip(last.coefficients.toArray(), std)]
+        others.setdefault(segment, {})[point] = (coefficients, float(last.intercept))
+    got = moments.linear_cv(spark, prepared, others)
+    near = F.col("gap") <= F.when(F.col("model") == "linear", 1e-6).otherwise(1e-3)
+    return got.select("segment", "model", "reg", "alpha", (F.col("kkt") < 1e-9).alias("optimal"),
+                      (F.col("chosen") == F.col("gap").isNotNull()).alias("as_chosen"), F.coalesce(near, F.lit(True)).alias("same_fit"))
+
+
 @register("score_batch", with_ctes(SEGMENTS_SQL, PREPARED_SQL, body=f"""
 SELECT "ID", segment, model, coalesce("Value_log" NOT BETWEEN m - k * sd AND m + k * sd, false) AS is_outlier, true AS scored, true AS same
 FROM pl JOIN pb USING (segment), {_KINDS_SQL}"""))
