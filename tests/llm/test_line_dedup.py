@@ -41,10 +41,9 @@ def test_lines_within_the_edits_share_a_key_and_pass_the_sketch(a, changes):
     b = bytes(b)
     if a == b or len(b) < 5 or distance(a, b) > 3:
         return
-    rows = ld.segment_rows([a, b, b"another line in between"], np.array([2, 4, 6]), 3)
-    order = np.argsort(rows[0], kind="stable")
-    pairs = {p for x in ld._pairs_of_runs(*rows[:, order], 3) for p in zip(*map(np.ndarray.tolist, x))}
-    assert (1, 2) in pairs
+    rows = ld.segment_rows([a, b, b"another line in between"], np.array([4, 8, 12]), 3)
+    pairs = {frozenset((rows[1, np.stack(x)] >> 2)[:, i].tolist()) for x in ld.meetings(*rows, 3) for i in range(len(x[0]))}
+    assert frozenset((1, 2)) in pairs
 
 
 def plain(rows, edits, min_equal, min_near):
@@ -105,6 +104,31 @@ def test_against_brute_force(spark, most, block_rows, send_ids):
     assert got == plain(rows, 2, 8, 12)
 
 
+@pytest.mark.parametrize("most, block_rows", [(4000, 1000), (50, 20)])
+def test_rows_grow_with_the_lines_of_a_group(spark, most, block_rows):
+    docs = spark.createDataFrame([(i, f"one of very many lines that are nearly the same, {i:03d}") for i in range(200)], "doc_id long, text string").repartition(4)
+    met = ld.candidates(docs, most=most, block_rows=block_rows)
+    assert met.select("cell", "line").distinct().count() == met.count()
+    if most > 200:
+        assert met.count() <= 200 * len(ld.segment_rows([b"x" * 53], np.array([4]), ld.EDITS)[0])
+    lines = {f"one of very many lines that are nearly the same, {i:03d}".encode() for i in range(200)}
+    want = {i: sum(distance(b"%03d" % i, b"%03d" % j) <= ld.EDITS for j in range(200)) - 1 for i in range(200)}
+    got = ld.dedup_lines(docs, most=most, block_rows=block_rows).collect()
+    assert {r.doc_id: r.n_links for r in got} == want and len(lines) == 200
+    assert {r.doc_id: r.n_near for r in got} == {i: int(any(distance(b"%03d" % i, b"%03d" % j) <= ld.EDITS for j in range(i))) for i in range(200)}
+
+
+def test_any_names_of_other_columns(spark):
+    names = ["doc_id", "text", "_id", "_body", "_drop", "_KEY", "body", "h1", "n", "a.b", "n_lines", "score"]
+    docs = spark.createDataFrame([(1, "twice\nonce", *names[2:]), (2, "Twice\nalone", *names[2:])], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names[2:]))
+    got = ld.dedup_lines(docs, counts=False)
+    assert got.columns == names
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "twice\nonce", *names[2:]), (2, "alone", *names[2:])]
+    counted = ld.dedup_lines(docs)
+    assert counted.columns == [c for c in names if c != "n_lines"] + ["n_equal", "n_near", "n_links", "n_lines"]
+    assert sorted((r.doc_id, r.n_lines, r.n_equal, r._id) for r in counted.collect()) == [(1, 2, 0, "_id"), (2, 2, 1, "_id")]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.dedup_lines(docs).collect() == []

@@ -5,8 +5,7 @@ Lines are compared after lower-casing A-Z and trimming white space. A line of
 precedes it (documents in the order of doc_id, lines in their order). One of
 ``MIN_NEAR`` bytes or more also goes when a line within ``EDITS`` byte edits
 (insertions, deletions, replacements of UTF-8 bytes) first occurs before it;
-two shorter lines resemble each other by chance. The query op3_line_dedup
-compares lines of ``QUERY_MIN_EQUAL`` bytes or more, as its SQL does.
+two shorter lines resemble each other by chance.
 
 The edit join cuts a line into EDITS + 1 segments; two lines within EDITS
 edits share a segment unchanged. Segments are indexed under their line's
@@ -14,12 +13,19 @@ length, number and hash, and each line probes the indexes of its own length
 and of the EDITS shorter ones with the few substrings whose shift the edits
 allow. Index and probe rows meet by key in sorted partitions. A row carries a
 64-bit sketch (parities of its bytes and byte pairs) that drops most pairs
-without their texts; the rest are verified on the texts by an edit automaton
-whose states are bits along a diagonal band.
-
-A key that more than ``MOST`` rows share is compared in blocks: its index rows
-are dealt into blocks and its probes copied to each, so no task gets the whole
-group and no pair is left out.
+without their texts. Rows that are left with a partner get their texts and meet
+again under the same key, where an edit automaton whose states are bits along a
+diagonal band verifies them.
+
+Pairs never leave the task in which they meet: it gives each line its number of
+links and whether a linked line occurs before it, so what is written grows with
+the lines and not with the square of a group. A pair that shares several keys
+counts under the least of them.
+
+A key that more than ``MOST`` rows share is compared in cells: its index rows
+and its probes are dealt into blocks of about ``BLOCK_ROWS``, and each pair of
+blocks is a cell of its own. No task holds more than two blocks at once, and no
+pair is left out.
 """
 
 from __future__ import annotations
@@ -31,22 +37,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from valorem.llm.common import small_batches, stored, table
 from valorem.llm.hashing import Rolling, mix, whole_runs
 
 EDITS = 2
 MIN_EQUAL = 1
-#: The bound that SQL has for equal lines.
-QUERY_MIN_EQUAL = 20
 MIN_NEAR = 40
 #: Rows of one key that are compared in one task.
 MOST = 4000
-#: Index rows of a block of a more common key.
+#: Rows of a block of a more common key.
 BLOCK_ROWS = 1000
 #: Bytes of lines that are hashed at once.
 BLOCK = 1 << 20
-#: Lines of candidate pairs up to which their ids (8 bytes each) are sent to the tasks that read the texts again.
+#: What a row is among those of its key: paired with all others, paired with probes only, or a probe.
+INDEX, CROSS, PROBE = 0, 1, 2
+#: Lines with candidates up to which their ids (8 bytes each) are sent to the tasks that read the texts again.
 SEND_IDS = 1 << 20
 
 
@@ -77,14 +84,14 @@ def sketches(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def segment_rows(lines: list[bytes], ids: np.ndarray, edits: int) -> np.ndarray:
-    """3 x n longs: key, id with role (0 index, 1 probe) in the lowest bit, sketch. Lines are longer than ``edits``."""
+    """3 x n longs: key, id with role (INDEX or PROBE) in the two lowest bits, sketch. Lines are longer than ``edits``."""
     raw = np.frombuffer(b"".join(lines), np.uint8)
     length = np.array([len(x) for x in lines])
     start = np.cumsum(length) - length
     sketch = sketches(raw, start).view(np.int64)
     hashes = Rolling(raw.astype(np.uint64))
     parts = edits + 1
-    own = ids & ~np.int64(1)
+    own = ids & ~np.int64(3)
     out = []
 
     def add(which: np.ndarray, at: np.ndarray, size: np.ndarray, indexed: np.ndarray, number: int, role: int) -> None:
@@ -104,9 +111,9 @@ def segment_rows(lines: list[bytes], ids: np.ndarray, edits: int) -> np.ndarray:
                 at = place + shift
                 which = np.flatnonzero((at >= 0) & (at + size <= length) & (indexed >= parts))
                 if shorter == 0 and shift == 0:
-                    add(which, at, size, indexed, i, 0)  # the index row is also the unshifted probe of its own length
+                    add(which, at, size, indexed, i, INDEX)  # the index row is also the unshifted probe of its own length
                 elif len(which):
-                    add(which, at, size, indexed, i, 1)
+                    add(which, at, size, indexed, i, PROBE)
     return np.concatenate(out, axis=1)
 
 
@@ -133,64 +140,78 @@ def _emit_segments(edits: int, min_near: int):
     return run
 
 
-def _pairs_of_runs(key: np.ndarray, line: np.ndarray, sketch: np.ndarray, edits: int):
-    """Pairs of an index row with any other row of its key whose sketches allow ``edits``."""
-    order = np.lexsort((line & 1, key))
+def meetings(key: np.ndarray, line: np.ndarray, sketch: np.ndarray, edits: int):
+    """Places of an index row and of another line's row of its key whose sketches allow ``edits``. A pair may come twice."""
+    order = np.lexsort((line & 3, key))
     key, line, sketch = key[order], line[order], sketch[order].view(np.uint64)
-    index = (line & 1) == 0
-    at = np.flatnonzero((key[1:] == key[:-1]) & index[:-1])
+    role, line = line & 3, line >> 2
+    at = np.flatnonzero((key[1:] == key[:-1]) & (role[:-1] != PROBE))
     step = 1
     while len(at):
         differ = sketch[at] ^ sketch[at + step]
         near = at[(np.bitwise_count(differ & _LOW) <= 2 * edits) & (np.bitwise_count(differ >> np.uint64(32)) <= 4 * edits)]
-        a, b = line[near] >> 1, line[near + step] >> 1
-        if (a != b).any():
-            yield np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+        near = near[((role[near] == INDEX) | (role[near + step] == PROBE)) & (line[near] != line[near + step])]
+        if len(near):
+            yield order[near], order[near + step]
         step += 1
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
 
 
-def _compare(edits: int, most: int | None):
+def _with_partner(edits: int, most: int | None, cells: bool):
+    """Rows (cell, key, line) that meet a possible partner; with ``most``, rows of more common keys as they come."""
+    columns = 4 if cells else 3
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(common: bool, a, b, c) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), common)), pa.array(a), pa.array(b), pa.array(c)],
-                                              ["common", "a", "b", "c"])
+        def out(common: bool, *columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), common)), *map(pa.array, columns)],
+                                              ["common", "cell", "key", "line", "sketch"])
 
-        for common, rows in whole_runs(batches, 3, most):
+        for common, rows in whole_runs(batches, columns, most):
+            cell, key, line, sketch = rows if cells else (rows[0], *rows)
             if common:
-                yield out(True, *rows)
+                yield out(True, cell, key, line, sketch)
                 continue
-            found = list(_pairs_of_runs(*rows, edits))
-            if found:
-                pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
-                yield out(False, pairs[0], pairs[1], np.zeros(pairs.shape[1], np.int64))
+            met = np.zeros(len(cell), bool)
+            for x, y in meetings(cell, line, sketch, edits):
+                met[x] = met[y] = True
+            if met.any():
+                left = np.unique(np.stack([cell[met], key[met], line[met]]), axis=1)
+                yield out(False, *left, np.zeros(left.shape[1], np.int64))
 
     return run
 
 
-_MET = "common boolean, a long, b long, c long"
+_MET = "common boolean, cell long, key long, line long, sketch long"
 
 
-def candidate_pairs(docs: DataFrame, edits: int = EDITS, min_near: int = MIN_NEAR, most: int = MOST,
-                    block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """a < b: halved ids (first long of the line key, shifted right by one) of lines that may be within ``edits``."""
+def candidates(docs: DataFrame, edits: int = EDITS, min_near: int = MIN_NEAR, most: int = MOST,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """cell, key, line (id and role): the rows that meet a possible partner in their cell."""
     rows = docs.select("text").mapInArrow(_emit_segments(edits, min_near), "key long, line long, sketch long")
-    met = stored(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(edits, most), _MET), "line-pairs")
-    pairs = met.filter("not common").select("a", "b")
-    common = met.filter("common").select(F.col("a").alias("key"), F.col("b").alias("line"), F.col("c").alias("sketch"))
-    if not common.isEmpty():
-        # Index rows go to one block of their key, as index. All rows go to the other blocks (index rows to
-        # later ones only) as probes.
-        common = common.distinct()
-        blocks = common.groupBy("key").agg(F.ceil(F.sum(F.expr("1 - (line & 1)")) / block_rows).cast("int").alias("blocks")).filter("blocks > 0")
-        dealt = (common.join(blocks, "key")
-                 .withColumn("own", F.expr("if(line & 1 = 0, cast(pmod(xxhash64(line), blocks) as int), -1)"))
-                 .withColumn("block", F.explode(F.expr("if(own < 0, sequence(0, blocks - 1), sequence(own, blocks - 1))")))
-                 .select(F.xxhash64("key", "block").alias("key"), F.expr("if(block = own, line, line | 1L)").alias("line"), "sketch"))
-        again = stored(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(edits, None), _MET), "common-line-pairs")
-        pairs = pairs.unionByName(again.select("a", "b"))
-    return pairs.distinct()
+    met = stored(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_with_partner(edits, most, False), _MET), "line-candidates")
+    found = met.filter("not common").select("cell", "key", "line")
+    common = met.filter("common").select("key", "line", "sketch")
+    if common.isEmpty():
+        return found
+    # An index row meets all that a probe of the same line meets.
+    common = common.groupBy("key", F.expr("shiftright(line, 2)").alias("id")).agg(F.min("line").alias("line"), F.first("sketch").alias("sketch"))
+    blocks = (common.groupBy("key").agg(
+        F.ceil(F.count_if(F.expr(f"line & 3 = {INDEX}")) / block_rows).cast("int").alias("n"),
+        F.ceil(F.count_if(F.expr(f"line & 3 = {PROBE}")) / block_rows).cast("int").alias("p")).filter("n > 0"))
+    # Cells are numbered n * i + j for blocks i <= j of index rows and n * n + p * i + j for block j of the probes.
+    own_cells = f"""transform(sequence(0, n - 1), j -> struct(
+        cast(n as long) * least(j, own) + greatest(j, own) as number, case when j = own then {INDEX} when j < own then {PROBE} else {CROSS} end as role))"""
+    index_cells = f"""concat({own_cells}, if(p = 0, array(), transform(sequence(0, p - 1), j -> struct(
+        cast(n as long) * n + cast(p as long) * own + j as number, {CROSS} as role))))"""
+    probe_cells = f"""transform(sequence(0, n - 1), i -> struct(
+        cast(n as long) * n + cast(p as long) * i + own as number, {PROBE} as role))"""
+    dealt = (common.join(blocks, "key")
+             .withColumn("own", F.expr(f"cast(pmod(xxhash64(line), if(line & 3 = {INDEX}, n, p)) as int)"))
+             .withColumn("at", F.explode(F.expr(f"if(line & 3 = {INDEX}, {index_cells}, {probe_cells})")))
+             .select(F.xxhash64("key", "at.number").alias("cell"), "key", F.expr("(id * 4) | at.role").alias("line"), "sketch"))
+    again = stored(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(_with_partner(edits, None, True), _MET), "common-line-candidates")
+    return found.unionByName(again.select("cell", "key", "line"))
 
 
 # --- verification --------------------------------------------------------------------------------------------
@@ -237,20 +258,70 @@ def within_edits(a: bytes, b: bytes, edits: int) -> int | None:
     return next((e for e, level in enumerate(levels) if level & goal), None)
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by ``cell`` in tables of whole cells."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column("cell").to_numpy()
+        first = int(np.searchsorted(cell != (held[0].column("cell")[-1].as_py() if held else cell[0]), True))
+        last = int(np.argmax(cell == cell[-1]))
+        if held and first == 0:  # the held cell has ended
+            yield pa.Table.from_batches(held)
+            held = []
+        if last == 0 and (not held or first == batch.num_rows):  # one cell only
+            held.append(batch)
+            continue
+        yield pa.Table.from_batches([*held, batch.slice(0, last)])
+        held = [batch.slice(last)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _verify(edits: int):
+    """Rows with texts, by cell -> h1, h2, links, near (a linked line occurs first before it): what each line has in these cells."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            rows = [(*row[:4], d) for row in zip(*(c.to_pylist() for c in batch.columns))
-                    if (d := within_edits(row[4], row[5], edits)) is not None]
+        for rows in _whole_cells(batches):
+            number: dict[bytes, int] = {}
+            own = np.array([number.setdefault(x, len(number)) for x in rows.column("text").to_pylist()])
+            lines = list(number)
+            keys, ids, sketch = segment_rows(lines, np.arange(len(lines)) * 4, edits)
+            sketch_of = np.zeros(len(lines), np.int64)
+            sketch_of[ids >> 2] = sketch
+            indexed: list[set[int]] = [set() for _ in lines]
+            probed: list[set[int]] = [set() for _ in lines]
+            for key, x in zip(keys.tolist(), ids.tolist()):
+                probed[x >> 2].add(key)
+                if x & 3 == INDEX:
+                    indexed[x >> 2].add(key)
+            place: list = [None] * len(lines)
+            of = [rows.column(c).to_pylist() for c in ("last", "doc_id", "body", "n")]
+            for x, last, doc, body, n in zip(own.tolist(), *of):
+                place[x] = (last, doc or 0, body, n)
+            role = rows.column("line").to_numpy() & 3
+            key = rows.column("key").to_numpy()
+            pairs = [(np.minimum(own[x], own[y]), np.maximum(own[x], own[y]), key[x])
+                     for x, y in meetings(rows.column("cell").to_numpy(), own * 4 | role, sketch_of[own], edits)]
+            links, near = np.zeros(len(lines), np.int64), np.zeros(len(lines), bool)
+            if pairs:
+                for a, b, k in np.unique(np.stack([np.concatenate(x) for x in zip(*pairs)]), axis=1).T.tolist():
+                    if min((indexed[a] & probed[b]) | (indexed[b] & probed[a])) == k and within_edits(lines[a], lines[b], edits) is not None:
+                        links[a] += 1
+                        links[b] += 1
+                        near[b if place[a] < place[b] else a] = True
+            at = np.flatnonzero(links)
+            h = {x: (h1, h2) for x, h1, h2 in zip(own.tolist(), rows.column("h1").to_pylist(), rows.column("h2").to_pylist())}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)] + [pa.array([r[4] for r in rows], pa.int32())],
-                ["a1", "a2", "b1", "b2", "edits"])
+                [pa.array([h[x][i] for x in at.tolist()], pa.int64()) for i in (0, 1)] + [pa.array(links[at]), pa.array(near[at])],
+                ["h1", "h2", "links", "near"])
 
     return run
 
 
 def _texts_of(min_near: int, wanted: np.ndarray | None):
-    """Lines as h1, h2, text; only those whose halved id is among ``wanted`` (sorted), if given."""
+    """Lines as h1, h2, text; only those whose id is among ``wanted`` (sorted), if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -259,7 +330,7 @@ def _texts_of(min_near: int, wanted: np.ndarray | None):
                 lines = [x for x in set(split_lines(text)) if len(x) >= min_near]
                 keys = [line_key(x) for x in lines]
                 if wanted is not None and keys:
-                    half = np.array([k[0] for k in keys]) >> 1
+                    half = np.array([k[0] for k in keys]) >> 2
                     at = np.minimum(np.searchsorted(wanted, half), max(0, len(wanted) - 1))
                     keep = wanted[at] == half if len(wanted) else np.zeros(len(half), bool)
                     own |= {keys[i]: lines[i] for i in np.flatnonzero(keep)}
@@ -267,28 +338,30 @@ def _texts_of(min_near: int, wanted: np.ndarray | None):
                     own |= dict(zip(keys, lines))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in own], pa.int64()), pa.array([k[1] for k in own], pa.int64()), pa.array(list(own.values()), pa.binary())],
-                ["h1", "h2", "line"])
+                ["h1", "h2", "text"])
 
     return run
 
 
-def line_links(docs: DataFrame, edits: int = EDITS, min_near: int = MIN_NEAR, most: int = MOST,
+def line_links(docs: DataFrame, firsts: DataFrame, edits: int = EDITS, min_near: int = MIN_NEAR, most: int = MOST,
                block_rows: int = BLOCK_ROWS, send_ids: int = SEND_IDS) -> DataFrame:
-    """a1, a2, b1, b2, edits: every pair of different lines within ``edits``, once, by their line keys."""
+    """h1, h2, links, near: lines with another line within ``edits``, the number of those lines, whether one occurs first before it.
+
+    ``firsts`` has each line's first place (h1, h2, first: struct of last, doc_id, body, n).
+    """
     if min_near <= edits:
         raise ValueError("a line must be longer than the edits it may have")
-    pairs = stored(candidate_pairs(docs, edits, min_near, most, block_rows), "line-candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("half")).distinct()
+    met = candidates(docs, edits, min_near, most, block_rows).withColumn("id", F.expr("shiftright(line, 2)"))
+    ids = met.select("id").distinct()
     wanted = np.sort(ids.limit(send_ids + 1).toArrow().column(0).to_numpy())
     lines = docs.select("text").mapInArrow(
-        _texts_of(min_near, wanted if len(wanted) <= send_ids else None), "h1 long, h2 long, line binary")
-    lines = stored(lines.withColumn("half", F.expr("shiftright(h1, 1)")).join(ids, "half", "left_semi").distinct(), "line-texts")
-
-    def side(x: str) -> DataFrame:
-        return lines.select(F.col("half").alias(x), F.col("h1").alias(x + "1"), F.col("h2").alias(x + "2"), F.col("line").alias(x + "_line"))
-
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a1", "a2", "b1", "b2", "a_line", "b_line")
-                  .mapInArrow(_verify(edits), "a1 long, a2 long, b1 long, b2 long, edits int"), "line-links")
+        _texts_of(min_near, wanted if len(wanted) <= send_ids else None), "h1 long, h2 long, text binary")
+    lines = (lines.withColumn("id", F.expr("shiftright(h1, 2)")).join(ids, "id", "left_semi").distinct()
+             .join(firsts.select("h1", "h2", "first"), ["h1", "h2"]).select("id", "h1", "h2", "text", "first.*"))
+    lines = stored(lines, "line-texts")
+    found = (met.join(lines, "id").select("cell", "key", "line", "h1", "h2", "text", "last", "doc_id", "body", "n")
+             .repartition("cell").sortWithinPartitions("cell").mapInArrow(_verify(edits), "h1 long, h2 long, links long, near boolean"))
+    return stored(found.groupBy("h1", "h2").agg(F.sum("links").alias("links"), F.max("near").alias("near")), "line-links")
 
 
 # --- decisions -----------------------------------------------------------------------------------------------
@@ -319,15 +392,9 @@ def line_decisions(docs: DataFrame, edits: int = EDITS, min_equal: int = MIN_EQU
     seen = stored(keyed.mapInArrow(_occurrences(min_equal), "doc_id long, body long, n int, h1 long, h2 long"), "line-occurrences")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "body", "n")
     lines = stored(seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")), "lines")
-    links = line_links(docs, edits, min_near, **limits)
-    ways = links.select(F.explode(F.array(
-        F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.col("b1").alias("o1"), F.col("b2").alias("o2")),
-        F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2"), F.col("a1").alias("o1"), F.col("a2").alias("o2")))).alias("x")).select("x.*")
-    firsts = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("first").alias("other_first"))
-    near = ways.join(firsts, ["o1", "o2"]).groupBy("h1", "h2").agg(F.min("other_first").alias("near_first"), F.count(F.lit(1)).alias("links"))
+    near = line_links(docs, lines, edits, min_near, **limits)
     touched = (lines.join(near, ["h1", "h2"], "left").filter("copies > 1 or links is not null")
-               .select("h1", "h2", "first", F.coalesce("links", F.lit(0)).alias("links"),
-                       F.coalesce(F.col("near_first") < F.col("first"), F.lit(False)).alias("near")))
+               .select("h1", "h2", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("near", F.lit(False)).alias("near")))
     marked = seen.join(touched, ["h1", "h2"]).withColumn("equal", ~place.eqNullSafe(F.col("first")))
     return (marked.groupBy("doc_id", "body").agg(
         F.array_sort(F.collect_set(F.when(F.col("equal") | F.col("near"), F.col("n")))).alias("drop"),
@@ -340,47 +407,63 @@ def line_decisions(docs: DataFrame, edits: int = EDITS, min_equal: int = MIN_EQU
             F.expr("links_of_rows div (lines_of_rows div lines)").alias("n_links")))
 
 
-def _rewrite(names: list[str]):
-    """Texts without the lines numbered in the last column, and the number of lines they had."""
-    at = names.index("text")
+def _rewrite(at: int, counts: bool):
+    """Texts (column ``at``) without the lines numbered in the last column; with ``counts``, the number of lines they had."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            texts, counts = [], []
+            texts, sizes = [], []
             for text, drop in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 lines = [] if text is None else text.split("\n")
-                counts.append(len(lines))
+                sizes.append(len(lines))
                 if drop:
                     gone = set(drop)
                     text = "\n".join(line for n, line in enumerate(lines) if n not in gone)
                 texts.append(text)
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*names, "n_lines"])
+            if counts:
+                columns.append(pa.array(sizes, pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     return run
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_equal: int = MIN_EQUAL, min_near: int = MIN_NEAR, **limits) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_equal: int = MIN_EQUAL, min_near: int = MIN_NEAR,
+                counts: bool = True, **limits) -> DataFrame:
     """``docs`` with its texts without the lines that go, and n_lines, n_equal, n_near, n_links (replaced if they are there).
 
     One row per input row; a null text stays null and has no lines. The lines
-    that stay are unchanged.
+    that stay are unchanged. Without ``counts``, the columns of ``docs`` and no
+    others. Columns beside doc_id and text may have any name.
     """
-    added = ("n_equal", "n_near", "n_links")
-    names = [c for c in docs.columns if c not in ("n_lines", *added)]
+    added = ["n_equal", "n_near", "n_links"] if counts else []
+    names = [c for c in docs.columns if not counts or c.lower() not in ("n_lines", *added)]
+
+    def free(name: str) -> str:
+        while name in (c.lower() for c in docs.columns):
+            name += "_"
+        return name
+
+    of_id, of_body, drop, body = free("_id"), free("_body"), free("_drop"), free("_key")
+    own_names = [F.col("`" + c.replace("`", "``") + "`") for c in names]
     decided = (line_decisions(docs, edits, min_equal, min_near, **limits)
-               .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("drop").alias("_drop"), *added))
-    own = docs.select(*names).withColumn("_key", F.xxhash64("text"))
-    joined = (own.join(decided, own.doc_id.cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_body")), "left")
-              .select(*names, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in added], "_drop"))
-    kept = [*names, *added]
-    return joined.mapInArrow(_rewrite(kept), joined.drop("_drop").withColumn("n_lines", F.lit(0).cast("long")).schema)
+               .select(F.col("doc_id").alias(of_id), F.col("body").alias(of_body), F.col("drop").alias(drop), *added))
+    own = docs.select(*own_names).withColumn(body, F.xxhash64("text"))
+    joined = (own.join(decided, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (F.col(body) == F.col(of_body)), "left")
+              .select(*own_names, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in added], drop))
+    # By place while Arrow has them: it takes no dots in names.
+    kept = [*names, *added, *(["n_lines"] if counts else [])]
+    fields = [*joined.schema.fields[:-1], *([T.StructField("n_lines", T.LongType())] if counts else [])]
+    numbered = [f"c{i}" for i in range(len(fields))]
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(numbered, fields)])
+    rewritten = joined.toDF(*numbered[:len(names) + len(added)], "drop").mapInArrow(_rewrite(names.index("text"), counts), schema)
+    return rewritten.toDF(*kept)
 
 
 def op3_line_dedup(spark, sf_dir):
     """doc_id, n_lines, n_equal, n_near, n_links, kept_sha256 (of the text that is left; null text: null)."""
-    return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_equal=QUERY_MIN_EQUAL)
+    return (dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
             .select("doc_id", "n_lines", "n_equal", "n_near", "n_links", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")))
 
 
@@ -390,7 +473,7 @@ l AS (
   SELECT doc_id, n, ls[n] AS raw,
          trim(translate(ls[n], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), E' \t\r\x0b\x0c') AS line
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS n FROM d)),
-u AS (SELECT line, strlen(line) AS size, min((doc_id, n)) AS first FROM l WHERE strlen(line) >= 20 GROUP BY line),
+u AS (SELECT line, strlen(line) AS size, min((doc_id, n)) AS first FROM l WHERE strlen(line) >= 1 GROUP BY line),
 near AS (
   SELECT a.line, b.first AS other FROM u a JOIN u b
     ON a.size >= 40 AND b.size BETWEEN greatest(40, a.size - 2) AND a.size + 2 AND a.line <> b.line
