@@ -31,7 +31,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that precede in equal or nearly equal form; documents of which nothing is left go."""
-    left = line_dedup.dedup_lines(docs)
+    left = line_dedup.dedup_lines(docs, counts=False)
     left = left.filter(F.col("text").rlike(r"\S"))
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
