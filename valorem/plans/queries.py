@@ -22,7 +22,7 @@ from valorem.plans import moments, score, train, trees
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
                                       money_sql, q, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
-from valorem.sources import cells, csv_io, feed, pages
+from valorem.sources import cells, csv_io, feed, pages, versions
 from valorem.sources.cells import POSITION_CODES
 from valorem.sources.tables import master, master_sql, master_table, table
 from valorem.streaming import listener
@@ -358,6 +358,60 @@ def upsert_stats(spark, sf_dir):
     return upsert.upsert_stats(master_table(spark, sf_dir), master(spark, sf_dir, NEW_BATCH_SINCE), "ID")
 
 
+STORE_BUCKETS = 64
+_MERGED_SQL = [*_UPSERT_SQL, """merged AS (
+  SELECT * EXCLUDE (rn, source) FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY source DESC) AS rn FROM u) d WHERE rn = 1)"""]
+
+
+def _merged_store(spark, sf_dir) -> str:
+    """A bucketed table that holds the master and, as its second version, the new batch merged into it."""
+    path = scratch_path(spark, "versions")
+    versions.create(master_table(spark, sf_dir), path, "ID", STORE_BUCKETS, S.TOTAL_COLUMNS + ["Value", "Wage"])
+    versions.merge(master(spark, sf_dir, NEW_BATCH_SINCE), path)
+    return path
+
+
+@register("versioned_merge", with_ctes(*_MERGED_SQL, body="SELECT * FROM merged"))
+def versioned_merge(spark, sf_dir):
+    return versions.read(spark, _merged_store(spark, sf_dir))
+
+
+@register("versioned_stats", with_ctes(*_MERGED_SQL, body="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({q(c)}) AS n, min({q(c)})::DOUBLE AS lo, max({q(c)})::DOUBLE AS hi, "
+    f"round(avg({q(c)}), 4) AS mean, round(stddev_samp({q(c)}), 4) AS stddev FROM merged" for c in S.TOTAL_COLUMNS + ["Value", "Wage"])))
+def versioned_stats(spark, sf_dir):
+    """Statistics of the merged table from its buckets' statistics: the merge rewrote only the buckets it touched."""
+    return versions.stats(spark, _merged_store(spark, sf_dir)).select(
+        "column", "n", "lo", "hi", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"))
+
+
+def _rescale_batch_sql(cols: list[str]) -> str:
+    stats = ", ".join(f"min({q(c)}) AS lo{i}, max({q(c)}) AS hi{i}" for i, c in enumerate(cols))
+    outs = [f"CASE WHEN hi{i} > lo{i} THEN CAST(round_even(1 + (({q(c)} - lo{i}) / (hi{i} - lo{i})) * 98, 0) AS INTEGER) "
+            f"WHEN {q(c)} IS NOT NULL THEN 1 END AS {q(c)}" for i, c in enumerate(cols)]
+    return with_ctes(*_MERGED_SQL, f"st AS (SELECT {stats} FROM merged)", body=f'SELECT "ID", {", ".join(outs)} FROM fresh, st')
+
+
+@register("versioned_rescale", _rescale_batch_sql(S.TOTAL_COLUMNS))
+def versioned_rescale(spark, sf_dir):
+    """The new batch on the merged table's 1..99 scale, from its stored statistics."""
+    bounds = versions.rescale_bounds(spark, _merged_store(spark, sf_dir), S.TOTAL_COLUMNS)
+    return profile.rescale_1_99(master(spark, sf_dir, NEW_BATCH_SINCE), stats=bounds).select("ID", *S.TOTAL_COLUMNS)
+
+
+@register("listing_runs", r"""
+WITH p AS (SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS listing, TRY_CAST(regexp_extract(url, '/([0-9]+)([/.?#]|$)', 1) AS BIGINT) AS page_no FROM pages),
+d AS (SELECT listing, page_no, count(*) AS copies FROM p WHERE page_no IS NOT NULL GROUP BY ALL),
+i AS (SELECT *, page_no - row_number() OVER (PARTITION BY listing ORDER BY page_no) AS island FROM d),
+r AS (SELECT listing, min(page_no) AS first_page, max(page_no) AS last_page, count(*) AS n_pages, sum(copies - 1)::BIGINT AS n_repeats FROM i GROUP BY listing, island)
+SELECT *, first_page - lag(last_page) OVER (PARTITION BY listing ORDER BY first_page) - 1 AS gap_before FROM r""")
+def listing_runs(spark, sf_dir):
+    """Runs of consecutive page numbers of each host's listing, the pages missing before each, and repeats."""
+    number = F.regexp_extract("url", r"/([0-9]+)([/.?#]|$)", 1).try_cast("bigint")
+    return pages.page_runs(table(spark, sf_dir, "pages").select(
+        F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("listing"), number.alias("page_no")))
+
+
 # ---------------------------------------------------------------------------
 # Preparation, validation
 # ---------------------------------------------------------------------------

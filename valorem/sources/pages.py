@@ -10,15 +10,17 @@
                   dropped and unparsable money marks a reject.
 ``page_manifest`` the paginated URL list (offset step of 60) joined to the
                   stored page table; nothing is fetched.
+``page_runs``     which page numbers of each listing are stored: runs, gaps, repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from valorem import schema as S
 from valorem.functions import clean, html
+from valorem.session import materialize
 
 
 def listing_rows(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") -> DataFrame:
@@ -105,6 +107,37 @@ def manifest_pages(pages: DataFrame, base_url: str, max_pages: int | None = None
     return out.filter(F.col("page_no") < max_pages) if max_pages is not None else out
 
 
+def page_runs(numbered: DataFrame, listing: str = "listing", number: str = "page_no") -> DataFrame:
+    """listing, first_page, last_page, n_pages, n_repeats, gap_before: runs of consecutive page numbers of each listing.
+
+    ``gap_before`` is the number of pages missing since the run before (null
+    for a listing's first run), ``n_repeats`` the stored pages beyond the first
+    of each number. Pages without a number don't count; a null listing is one.
+
+    A prefix scan over ranges, so that a huge listing is many tasks: each range
+    of (listing, page) looks back within itself, and its first row to the last
+    one of the ranges before. Only those ends, one row a range, meet in one task.
+    """
+    page = F.struct(F.col(listing).alias("listing"), F.col(number).cast("long").alias("page_no"))
+    seen = (numbered.select(page.alias("p")).filter("p.page_no is not null").groupBy("p").agg(F.count(F.lit(1)).alias("copies")))
+    # The numbers of the ranges are kept with the rows: sampling again could move the borders.
+    ranged = materialize(seen.repartitionByRange("p").withColumn("part", F.spark_partition_id()))
+    ends = (ranged.groupBy("part").agg(F.max("p").alias("last"))
+            .select("part", F.lag("last").over(Window.orderBy("part")).alias("end_before")))
+    looked = (ranged.withColumn("before", F.lag("p").over(Window.partitionBy("part").orderBy("p")))
+              .join(F.broadcast(ends), "part").withColumn("before", F.coalesce("before", "end_before")))
+    same = F.col("p.listing").eqNullSafe(F.col("before.listing")) & F.col("before").isNotNull()
+    gap = F.when(same, F.col("p.page_no") - F.col("before.page_no") - 1)
+    marked = looked.select("part", "p", "copies", gap.alias("gap"), F.when(gap == 0, 0).otherwise(1).alias("starts"))
+    totals = (marked.groupBy("part").agg(F.sum("starts").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("runs_before")))
+    run = F.sum("starts").over(Window.partitionBy("part").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)) + F.col("runs_before")
+    return (marked.join(F.broadcast(totals), "part").withColumn("run", run)
+            .groupBy("run").agg(F.min("p").alias("first"), F.max("p.page_no").alias("last_page"), F.count(F.lit(1)).alias("n_pages"),
+                                F.sum(F.col("copies") - 1).alias("n_repeats"), F.max(F.when(F.col("starts") == 1, F.col("gap"))).alias("gap_before"))
+            .select(F.col("first.listing").alias("listing"), F.col("first.page_no").alias("first_page"), "last_page", "n_pages", "n_repeats", "gap_before"))
+
+
 def extraction_status(pages: DataFrame, row_tag: str = "li", cell_tag: str = "a") -> DataFrame:
     """One status row for an extraction run: pages read, pages that yielded no
     row, rows and cells extracted. An empty run is reported, not silent, and
