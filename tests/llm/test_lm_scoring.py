@@ -118,27 +118,43 @@ def test_predictive_probabilities_of_a_bucket():
             assert abs(p.sum() + (1.0 + 0.6 * by_context[u]) * unknown / (1.0 + customers[u]) - 1) < 1e-9
 
 
-def test_seating_follows_the_restaurant_process():
-    """Mean tables of seated customers against exact enumeration of the process's stationary law."""
-    d, new, c = 0.5, 0.7, 3
-    weight = {1: 0.0, 2: 0.0, 3: 0.0}  # seatings of 3 customers by number of tables
-    weight[1] = new * (1 - d) * (2 - d)
-    weight[2] = 3 * new ** 2 * (1 - d)
-    weight[3] = new ** 3
-    mean = sum(k * w for k, w in weight.items()) / sum(weight.values())
-    n = 60_000
-    keys = lm.mix(np.arange(n, dtype=np.uint64))
-    got = lm._one_by_one(np.full(n, c), np.full(n, new), d, keys)
-    assert abs(got.mean() - mean) < 0.12  # two seatings from one table, not yet at rest
-    many = lm._block(np.full(2000, 5000), np.full(2000, 3.0), 0.3, lm.mix(np.arange(2000, dtype=np.uint64)))
-    rng = np.random.default_rng(1)
-    plain = []
-    for _ in range(150):
-        t = 1
-        for i in range(1, 5000):
-            t += rng.random() < 3.0 / (3.0 + i - 0.3 * t)
-        plain.append(t)
-    assert abs(many.mean() - np.mean(plain)) < 1.5
+def exact_law(c, new, d, most):
+    """Probabilities of 1 .. most tables by the recursion over generalised Stirling numbers, as logarithms."""
+    k = np.arange(1, most + 1)
+    row = np.full(most, -np.inf)
+    row[0] = 0.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for n in range(1, c):
+            stay = np.where(n - k * d > 0, np.log(np.maximum(n - k * d, 1e-300)), -np.inf) + row
+            row = np.logaddexp(np.concatenate(([-np.inf], row[:-1])), stay)
+    weight = row + k * math.log(new)
+    p = np.exp(weight - weight.max())
+    return p / p.sum()
+
+
+@pytest.mark.parametrize("c, new, d", [(2, 0.3, 0.5), (3, 0.7, 0.5), (20, 2.0, 0.7), (32, 2.0, 0.8), (33, 2.0, 0.8), (100, 2.0, 0.7), (1000, 5.0, 0.8),
+                                       (5000, 3.0, 0.8), (5000, 3.0, 0.3), (700, 40.0, 0.6), (1001, 90.0, 0.5), (30000, 6.0, 0.4), (60, 1e6, 0.9)])
+def test_seating_follows_the_restaurant_process(c, new, d):
+    law = exact_law(c, new, d, min(c, 600))
+    n = 40_000
+    got = lm.seated(np.full(n, c), np.full(n, new), d, lm.mix(np.arange(n, dtype=np.uint64)))
+    mean = (law * np.arange(1, len(law) + 1)).sum()
+    var = (law * np.arange(1, len(law) + 1) ** 2).sum() - mean ** 2
+    assert abs(got.mean() - mean) < 0.01 * mean + 4 * math.sqrt(var / n)
+    assert abs(got.var() - var) < 0.05 * var + 0.01
+    drawn = np.bincount(got.astype(int), minlength=len(law) + 1)[1:] / n
+    assert np.abs(np.cumsum(drawn)[:len(law)] - np.cumsum(law)).max() < 0.015
+
+
+@pytest.mark.parametrize("c, new, d", [(2000, 700.0, 0.6), (900, 5000.0, 0.8), (20000, 600.0, 0.7)])
+def test_dishes_with_many_tables(c, new, d):
+    law = exact_law(c, new, d, min(c, 2500))
+    n = 20_000
+    got = lm.seated(np.full(n, c), np.full(n, new), d, lm.mix(np.arange(n, dtype=np.uint64)))
+    mean = (law * np.arange(1, len(law) + 1)).sum()
+    deviation = math.sqrt((law * np.arange(1, len(law) + 1) ** 2).sum() - mean ** 2)
+    assert abs(got.mean() - mean) < 0.002 * mean and abs(got.std() - deviation) < 0.03 * deviation
+    assert got.min() >= 1 and got.max() <= c
 
 
 def test_held_out_perplexity(spark):

@@ -9,9 +9,10 @@ base over the known words and one place for all others:
 
 c_uw counts w after u in the training texts, t_uw the tables that serve w in
 u's restaurant; C_w, the customers of w in the parent, is the sum of t_uw.
-Tables are seated by Gibbs sampling of the Chinese restaurant process: each
-customer gets up and sits down again, at a table with weight (its size - d)
-or at a new one with weight (s + d T) P(w). After ``BURN_IN`` rounds the
+Tables are seated by Gibbs sampling of the Chinese restaurant process, a dish
+at a time: its customers get up and sit down again, at tables with weight
+(size - d) or at new ones with weight (s + d T) P(w), and their number of
+tables is drawn from that law as a whole (``seated``). After ``BURN_IN`` rounds the
 predictive probabilities of ``SAMPLES`` rounds are averaged; the score is
 their log10, summed over the tokens.
 
@@ -23,7 +24,7 @@ sent and answers each with the totals of the contexts that it named; the
 answers are stored and joined to the buckets. A context is one row of a part
 for each bucket that has it, however common it is. Within a pass the totals
 stay fixed, so rows are seated independently of one another. Random numbers are hashes of (word, context,
-round, customer): the result doesn't depend on partitions, order or retries.
+round): the result doesn't depend on partitions, order or retries.
 
 Words that hold half of ``HOT_SHARE`` of all tokens or more (at most 2 / HOT_SHARE
 words) are split over buckets by context; their parent counts are summed like
@@ -35,6 +36,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +52,10 @@ CONTEXTS = 1 << 15
 STRENGTH = (1.0, 1.0)
 BURN_IN = 2
 SAMPLES = 3
-#: Times that each customer is seated again in a round.
-SEATINGS = 2
-#: Up to so many customers of a dish are seated one by one; a dish with more is seated as a block (see ``_block``).
-ONE_BY_ONE = 32
+#: Tables up to which a dish's distribution is written out; counts up to which all its ratios are kept, and are computed exactly.
+WIDTH, DENSE, EXACT = 512, 512, 16384
+#: Numbers of a distribution that are held at once.
+CELLS = 1 << 19
 HOT_SHARE = 0.002
 #: Tokens in a bucket on average, and buckets at least.
 BUCKET_TOKENS = 1_200_000
@@ -285,66 +287,105 @@ def _uniform(key: np.ndarray, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
-def _one_by_one(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
-    """Tables of each row: its customers begin at one table, then each is seated again SEATINGS times."""
-    rows = np.arange(len(new))
-    width = int(c.max())
-    sizes = np.zeros((len(new), width))
-    sizes[:, 0] = c
-    seat = np.zeros((len(new), width), np.int64)
-    for step in range(SEATINGS * width):
-        who = step % width
-        own = rows[c > who] if (c <= who).any() else rows
-        sizes[own, seat[own, who]] -= 1
-        here = sizes[own]
-        taken = here > 0
-        upto = np.cumsum(np.where(taken, here - d, 0), axis=1)
-        # numbered by round and customer, whatever rows are seated beside this one
-        x = _uniform(key[own], step // width * ONE_BY_ONE + who) * (upto[:, -1] + new[own])
-        at = np.where(x >= upto[:, -1], np.argmin(taken, axis=1), (upto <= x[:, None]).sum(axis=1))
-        sizes[own, at] += 1
-        seat[own, who] = at
-    return (sizes > 0).sum(axis=1)
-
-
-def _block(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
-    """Tables when c customers come one after another.
-
-    Customer i + 1 opens a table with probability new / (new + i - d t). The
-    chance that none opens one from i to j is close to ((i - d t) / (j - d t))
-    ** new, so the next opening is drawn at once; the work grows with the
-    tables, not with the customers.
+@lru_cache(maxsize=4)
+def _stirling(d: float) -> tuple[np.ndarray, np.ndarray]:
+    """Counts c (ascending) and, for each, the running sums over t <= WIDTH of log(S(c, t - 1) / S(c, t)), from t = 2 on.
+
+    S are generalised Stirling numbers: S(c + 1, t) = S(c, t - 1) + (c - t d) S(c, t),
+    so the ratios r(c, t) follow from those of c alone. Kept are all counts up
+    to DENSE and 32 an octave up to EXACT. As c grows, r(c, t) falls to
+    d (t - 1); beyond EXACT the rest falls by the power that it had in the
+    last octave. A ratio of t > c is infinite: there are no such tables.
+    """
+    t = np.arange(2, WIDTH + 1)
+    r = np.full(len(t), np.inf)
+    counts, rows = [1], [r.copy()]
+    beyond = {int(DENSE * 2 ** (i / 32)) for i in range(1, 1 + 32 * int(math.log2(EXACT / DENSE)))}
+    half = None
+    for c in range(1, EXACT):
+        n = min(c, WIDTH) - 1  # finite ratios of c: t = 2 .. n + 1
+        own, k = r[:n], t[:n]
+        below = np.concatenate(([0.0], own[:-1]))
+        following = own * (below + c - (k - 1) * d) / (own + c - k * d)
+        if n < len(t):
+            r[n] = (own[-1] if n else 0.0) + c * (1 - d)  # S(c + 1, c)
+        r[:n] = following
+        if c + 1 <= DENSE or c + 1 in beyond:
+            counts.append(c + 1)
+            rows.append(r.copy())
+        if c + 1 == EXACT // 2:
+            half = r.copy()
+    least = d * (t - 1)
+    rest = np.maximum(r - least, 1e-300)
+    power = np.maximum(np.log2(np.maximum(half - least, 1e-300) / rest), 1e-3)
+    for octave in range(1, 65):
+        counts.append(EXACT * 2.0 ** (octave / 2))
+        rows.append(least + rest * 2.0 ** (-power * octave / 2))
+    with np.errstate(invalid="ignore"):
+        sums = np.cumsum(np.log(np.stack(rows)), axis=1)
+    return np.array(counts, float), sums
+
+
+def _narrow(c: np.ndarray, new: np.ndarray, d: float, u: np.ndarray, width: int) -> np.ndarray:
+    """A draw of each row's tables (``width`` at most) by the inverse of its distribution function."""
+    counts, sums = _stirling(d)
+    after = np.minimum(np.searchsorted(counts, c), len(counts) - 1)
+    upper = sums[after, :width - 1]
+    off = np.flatnonzero(counts[after] != c)
+    if len(off):
+        x0, x1 = np.log(counts[after[off] - 1]), np.log(counts[after[off]])
+        share = np.clip((np.log(c[off]) - x0) / (x1 - x0), 0, 1)[:, None]
+        upper[off] = (1 - share) * sums[after[off] - 1, :width - 1] + share * upper[off]
+    weight = np.concatenate([np.zeros((len(c), 1)), np.log(new)[:, None] * np.arange(1, width) - upper], axis=1)
+    upto = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+    return 1.0 + (upto < (u * upto[:, -1])[:, None]).sum(axis=1)
+
+
+def _wide(c: np.ndarray, new: np.ndarray, d: float, u: np.ndarray) -> np.ndarray:
+    """A normal draw with the law's mean and variance, for rows that may have more than WIDTH tables.
+
+    The tables are a Poisson number of independent sizes, given that they add
+    up to c: with g(x) = (1 - (1 - x)^d) / d, new g(x) tables whose sizes have
+    the generating function g. x solves new x (1 - x)^(d - 1) = c.
     """
-    tables = np.ones(len(c))
-    seated = np.ones(len(c))
-    left = np.arange(len(c))
-    step = 0
-    while len(left):
-        here, t = seated[left], tables[left]
-        gap = np.maximum(here - d * t, 1e-9)
-        with np.errstate(over="ignore", divide="ignore"):
-            ahead = d * t + gap * _uniform(key[left], step) ** (-1 / new[left])
-        following = np.maximum(here + 1, np.ceil(ahead))
-        opened = following <= c[left]
-        left = left[opened]
-        seated[left] = following[opened]
-        tables[left] += 1
-        step += 1
-    return tables
+    y = np.zeros(len(c))  # log(x / (1 - x)); the left side grows with it
+    low, high = np.full(len(c), -700.0), np.full(len(c), 700.0)
+    goal = np.log(c) - np.log(new)
+    for _ in range(60):
+        over = -np.logaddexp(0, -y) - (d - 1) * np.logaddexp(0, y) > goal
+        high, low = np.where(over, y, high), np.where(over, low, y)
+        y = (low + high) / 2
+    rest, x = np.exp(-np.logaddexp(0, y)), np.exp(-np.logaddexp(0, -y))
+    g = -np.expm1(d * np.log(rest)) / d
+    size = x * rest ** (d - 1) / g
+    square = size + (1 - d) * x * x * rest ** (d - 2) / g
+    mean = new * g
+    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * _uniform(np.ascontiguousarray(u).view(np.uint64), 0))
+    return np.clip(np.rint(mean + np.sqrt(np.maximum(mean * (1 - size * size / square), 0)) * normal), 1, c)
 
 
 def seated(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
-    """Tables of each dish: c customers, weight ``new`` of a new table, discount d."""
+    """Tables of each dish: c customers, weight ``new`` of a new table, discount d.
+
+    All customers of a dish get up and sit down again together: given the
+    other dishes, the probability of t tables is in proportion to
+    S(c, t) new^t with generalised Stirling numbers S, and t is drawn from
+    that, whatever the count.
+    """
     out = np.minimum(c, 1).astype(np.float64)
+    new = np.maximum(new, 1e-12)
+    most = np.minimum(c, 10 + new / d + 9 * np.sqrt(new / d))
+    u = _uniform(key, 0)
     width = 2
-    while width <= ONE_BY_ONE:  # rows of like sizes go together
-        own = np.flatnonzero((c > width // 2) & (c <= width))
-        if len(own):
-            out[own] = _one_by_one(c[own], new[own], d, key[own])
+    while width <= WIDTH:  # rows of like widths go together
+        own = np.flatnonzero((c > 1) & (most > (width // 2 if width > 2 else 0)) & (most <= width))
+        for at in range(0, len(own), max(1, CELLS // width)):
+            rows = own[at:at + max(1, CELLS // width)]
+            out[rows] = _narrow(c[rows].astype(float), new[rows], d, u[rows], width)
         width *= 2
-    large = np.flatnonzero(c > ONE_BY_ONE)
+    large = np.flatnonzero(most > WIDTH)
     if len(large):
-        out[large] = _block(c[large], new[large], d, key[large])
+        out[large] = _wide(c[large].astype(float), new[large], d, u[large])
     return out
 
 
