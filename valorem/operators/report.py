@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valorem import schema as S
+from valorem.operators import skew
 
 
 def coerce_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -99,12 +100,14 @@ def group_total_share(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
 
 def attach_predictions(df: DataFrame, prediction_sets: list[DataFrame], key: str = "Name",
                        prediction: str = "Prediction_euros", fallback: str = "Value",
-                       salt: int = 0, salt_by: str = "ID") -> DataFrame:
+                       salt: int = 0, salt_by: str = "ID", spread: int = 0) -> DataFrame:
     """Left-join predictions on ``key``; the earlier set wins for a key present twice,
     and rows without a prediction fall back to ``fallback``.
 
-    With ``salt`` > 1 the join is salted (see below), so a hot key does not
-    depend on adaptive skew handling to be spread.
+    With ``spread`` (the join's partitions) the names with a large share of
+    ``df`` are found first and they alone are dealt over salts by ``salt_by``
+    (``skew.spread_join``). With ``salt`` > 1 every name is salted that many
+    times. Either way a hot key does not depend on adaptive skew handling.
 
     Each set carries (key, prediction, order) columns; ``order`` (any
     orderable column, e.g. a struct) breaks ties inside a set. Several sources
@@ -116,7 +119,9 @@ def attach_predictions(df: DataFrame, prediction_sets: list[DataFrame], key: str
         t = p.select(key, prediction, F.col("order").alias("_order")).withColumn("_src", F.lit(i))
         tagged = t if tagged is None else tagged.unionByName(t)
     preds = keep_first(tagged, key, [F.col("_src"), F.col("_order")], [key, prediction])
-    if salt > 1:
+    if spread > 1:
+        joined = skew.spread_join(df, preds, key, skew.hot_keys(df, key, spread), salt_by)
+    elif salt > 1:
         # a key holding a large share of ``df`` is split over ``salt`` join
         # partitions: each row draws a salt from its own id, and the
         # prediction side (one row per key) is replicated once per salt value

@@ -547,8 +547,6 @@ def combined_scaler_stats(spark, sf_dir):
 # Reports on predictions, comparison, baseline metrics
 # ---------------------------------------------------------------------------
 
-PREDICTION_JOIN_SALT = 16   # join partitions a single hot name is spread over
-
 
 def _baseline_predictions(spark, sf_dir):
     """Per-segment mean Value of the training split, scored on the test split:
@@ -583,7 +581,7 @@ WHERE "Value" IS NOT NULL AND NOT isnan("Value") AND "Wage" IS NOT NULL AND NOT
   AND "Age" IS NOT NULL AND NOT isnan("Age") AND "Team" IS NOT NULL"""))
 def prediction_left_join(spark, sf_dir):
     joined = report.attach_predictions(master_table(spark, sf_dir), _baseline_predictions(spark, sf_dir), "Name",
-                                       salt=PREDICTION_JOIN_SALT)
+                                       spread=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return report.report_base(joined).select("ID", "Name", "Value", "Prediction_euros")
 
 
