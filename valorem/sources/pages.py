@@ -107,6 +107,12 @@ def manifest_pages(pages: DataFrame, base_url: str, max_pages: int | None = None
     return out.filter(F.col("page_no") < max_pages) if max_pages is not None else out
 
 
+def _over_ranges(ends: DataFrame, value: str, name: str) -> DataFrame:
+    """part, ``name``: ``value`` of each row, an expression of its place ``i`` in the array ``a`` of all rows by part (one a range)."""
+    rows = ends.agg(F.array_sort(F.collect_list(F.struct("part", *[c for c in ends.columns if c != "part"]))).alias("a"))
+    return rows.select(F.inline(F.expr(f"transform(a, (x, i) -> struct(x.part as part, {value} as {name}))")))
+
+
 def page_runs(numbered: DataFrame, listing: str = "listing", number: str = "page_no") -> DataFrame:
     """listing, first_page, last_page, n_pages, n_repeats, gap_before: runs of consecutive page numbers of each listing.
 
@@ -122,15 +128,15 @@ def page_runs(numbered: DataFrame, listing: str = "listing", number: str = "page
     seen = (numbered.select(page.alias("p")).filter("p.page_no is not null").groupBy("p").agg(F.count(F.lit(1)).alias("copies")))
     # The numbers of the ranges are kept with the rows: sampling again could move the borders.
     ranged = materialize(seen.repartitionByRange("p").withColumn("part", F.spark_partition_id()))
-    ends = (ranged.groupBy("part").agg(F.max("p").alias("last"))
-            .select("part", F.lag("last").over(Window.orderBy("part")).alias("end_before")))
+    ends = _over_ranges(ranged.groupBy("part").agg(F.max("p").alias("last")),
+                        "if(i = 0, null, a[i - 1].last)", "end_before")
     looked = (ranged.withColumn("before", F.lag("p").over(Window.partitionBy("part").orderBy("p")))
               .join(F.broadcast(ends), "part").withColumn("before", F.coalesce("before", "end_before")))
     same = F.col("p.listing").eqNullSafe(F.col("before.listing")) & F.col("before").isNotNull()
     gap = F.when(same, F.col("p.page_no") - F.col("before.page_no") - 1)
     marked = looked.select("part", "p", "copies", gap.alias("gap"), F.when(gap == 0, 0).otherwise(1).alias("starts"))
-    totals = (marked.groupBy("part").agg(F.sum("starts").alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("runs_before")))
+    totals = _over_ranges(marked.groupBy("part").agg(F.sum("starts").alias("n")),
+                          "aggregate(slice(a, 1, i), 0L, (sum, y) -> sum + y.n)", "runs_before")
     run = F.sum("starts").over(Window.partitionBy("part").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)) + F.col("runs_before")
     return (marked.join(F.broadcast(totals), "part").withColumn("run", run)
             .groupBy("run").agg(F.min("p").alias("first"), F.max("p.page_no").alias("last_page"), F.count(F.lit(1)).alias("n_pages"),
