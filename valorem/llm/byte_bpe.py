@@ -61,11 +61,15 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         # Each token and prefix of one -> its rank (None: no token) and whether a longer token begins with it.
         grows = {token[:n] for token in ranks for n in range(1, len(token))}
         prefix = (None, True)
         self.trie: dict[bytes, tuple[int | None, bool]] = dict.fromkeys(grows, prefix)
         self.trie.update((token, (rank, token in grows)) for token, rank in ranks.items())
+        # One suffix stands for all shorter ones that begin a token or are one. It goes on by each byte, and has the tokens at its end.
+        self.goes: dict[bytes, dict[int, bytes]] = {}
+        self.ends: dict[bytes, tuple[tuple[int, int], ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.spines: dict[bytes, tuple | None] = {}
         self.start = State(None, ((b"", ()),))
@@ -175,27 +179,52 @@ class Transducer:
         state.next[byte] = found, shared
         return found, shared
 
+    def go(self, suffix: bytes, byte: int) -> bytes:
+        """The longest end of the suffix and this byte that begins a token or is one; kept for the next time."""
+        grown = suffix + bytes((byte,))
+        while grown and grown not in self.trie:
+            grown = grown[1:]
+        self.enter(grown)
+        self.goes[suffix][byte] = grown
+        return grown
+
+    def enter(self, suffix: bytes) -> None:
+        if suffix not in self.goes:
+            ends = (suffix[i:] for i in range(len(suffix)))
+            # Longest first, each with its length.
+            self.ends[suffix] = tuple((self.ranks[end], len(end)) for end in ends if end in self.ranks)
+            self.goes[suffix] = {}
+
     def rest(self, state: State, piece: bytes) -> tuple[int, ...]:
-        """Tokens from ``state`` on when ``piece`` follows and ends: the same steps, without states."""
-        before, live, trie, pairs = state.before, state.live, self.trie, self.pairs
-        end = live[-1][1]
-        for at in range(len(piece)):
-            own, end, grown = piece[at:at + 1], None, []
-            for suffix, path in live:
-                suffix += own
-                entry = trie.get(suffix)
-                if entry is None:
-                    continue
-                if end is None and (token := entry[0]) is not None:
-                    left = path[-1] if path else before
-                    known = pairs.get((left, token))
-                    if self.follows(left, token) if known is None else known:
-                        end = (*path, token)
-                if entry[1]:
-                    grown.append((suffix, path))
-            grown.append((b"", end))
-            live = grown
-        return end
+        """Tokens from ``state`` on when ``piece`` follows and ends: the last token of each prefix, without states.
+
+        Every suffix after a live prefix is an end of the longest one, so that
+        one alone is carried on; a token at its end counts if it may follow the
+        last token of the prefix before it.
+        """
+        before, live, goes, ends, pairs = state.before, state.live, self.goes, self.ends, self.pairs
+        suffix = live[0][0]
+        known_at = len(suffix)
+        last: list[int | None] = [None] * (known_at + 1)
+        for own, path in live:
+            last[known_at - len(own)] = path[-1] if path else before
+        self.enter(suffix)
+        at = known_at
+        for byte in piece:
+            at += 1
+            suffix = goes[suffix].get(byte) or self.go(suffix, byte)
+            for token, length in ends[suffix]:
+                left = last[at - length]
+                known = pairs.get((left, token))
+                if self.follows(left, token) if known is None else known:
+                    break
+            last.append(token)
+        out, size = [], self.lengths
+        while at > known_at:
+            out.append(last[at])
+            at -= size[last[at]]
+        out.reverse()
+        return next(path for own, path in live if len(own) == known_at - at) + tuple(out)
 
     def walk(self, state: State, piece: bytes) -> list[int]:
         """Tokens from ``state`` on. A transition is compiled when it is asked for the second time."""
@@ -392,14 +421,15 @@ def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False)
             for batch in small_batches(batches, 500):
                 rows: list[tuple] = []
                 for text in batch.column(1).to_pylist():
-                    n, ids_sha, back, kept = 0, hashlib.sha256(), hashlib.sha256(), []
+                    n, ids_sha, back, kept, stream = 0, hashlib.sha256(), hashlib.sha256(), [], Utf8Stream()
                     for ids in codec.encode(text or ""):
                         ids_sha.update((" " * bool(n) + " ".join(map(name, ids))).encode())
                         n += len(ids)
                         for data in codec.decode(ids):
-                            back.update(data)
+                            back.update(stream.feed(data).encode())
                         if with_ids:
                             kept += ids
+                    back.update(stream.close().encode())
                     rows.append((n, ids_sha.hexdigest(), back.hexdigest(), kept))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names)
