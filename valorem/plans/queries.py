@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from valorem import schema as S
 from valorem.functions import html as H
@@ -941,6 +942,16 @@ def model_round_trip(spark, sf_dir):
     return first.join(again, "ID").select("ID", "segment", "model", (F.col("prediction") == F.col("again")).alias("same"))
 
 
+@register("csv_line_breaks", "SELECT CAST(doc_id AS BIGINT) AS doc_id, lang, source, nullif(text, '') AS text FROM documents")
+def csv_line_breaks(spark, sf_dir):
+    """Texts with quotes and line breaks written as CSV and read again by many tasks."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = scratch_path(spark, "documents-csv")
+    csv_io.write_csv(docs.select(F.col("doc_id").cast("long"), F.nullif("text", F.lit("")).alias("text"), "lang", "source"), path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("text", "lang", "source")]])
+    return csv_io.read_by_name(spark, path, schema)
+
+
 @register("csv_copy", with_ctes(body='SELECT * REPLACE (CAST("ID" AS INTEGER) AS "ID") FROM master'))
 def csv_copy(spark, sf_dir):
     """Master exported as CSV, copied with its header kept, and read back with
