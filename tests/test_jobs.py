@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from valorem import schema as S
+from valorem.operators import profile
 from valorem.plans import jobs
 from valorem.session import scratch_path
-from valorem.sources import csv_io, feed
+from valorem.sources import csv_io, feed, versions
 from valorem.sources.tables import master
 
 from conftest import SF_SMALL
@@ -44,6 +45,33 @@ def test_ingest_of_a_repeated_id_keeps_the_last_listed(spark):
         assert [r.Value for r in spark.read.parquet(run["master_path"]).collect()] == [4e6]
 
 
+def test_ingest_merged_rewrites_touched_buckets_and_scales_by_kept_statistics(spark):
+    schema = "page_id long, url string, html string"
+
+    def page(*rows):
+        return spark.createDataFrame([(1, "u", "<table><tbody>" + "".join(rows) + "</tbody></table>")], schema)
+
+    path = scratch_path(spark, "ingest-merged")
+    first = jobs.ingest_merged(spark, page(*[_row(pid=str(i)) for i in range(40)]), path, buckets=8)
+    assert first["stats"].first().asDict() == {"existing_rows": 0, "new_rows": 40, "merged_rows": 40, "added": 40, "removed": 0}
+    second = jobs.ingest_merged(spark, page(_row(pid="2", value="€3M"), _row(pid="2", value="€4M"), _row(pid="x4", value="xM")), path)
+    assert second["stats"].first().asDict() == {"existing_rows": 40, "new_rows": 2, "merged_rows": 40, "added": 0, "removed": 2}
+    assert second["status"].first().rows_rejected == 1
+    rows = {r.ID: r.Value for r in versions.read(spark, path).collect()}
+    assert len(rows) == 40 and rows["2"] == 4e6 and rows["3"] == 28.5e6
+    changed = [k for k in first["version"].holds if first["version"].holds[k] != second["version"].holds[k]]
+    assert len(changed) == 1
+    whole = profile.rescale_1_99(versions.read(spark, path), S.TOTAL_COLUMNS)
+    want = {tuple(r) for r in whole.filter("ID = '2'").select(*S.TOTAL_COLUMNS).collect()}
+    assert {tuple(r) for r in second["rescaled"].select(*S.TOTAL_COLUMNS).collect()} == want
+    # nothing listed: a version that holds the same rows
+    third = jobs.ingest_merged(spark, spark.createDataFrame([(1, "v", "<p>none</p>")], schema), path)
+    assert third["version"].holds == second["version"].holds and third["rescaled"].count() == 0
+    empty = scratch_path(spark, "ingest-none")
+    jobs.ingest_merged(spark, spark.createDataFrame([(1, "v", "<p>none</p>")], schema), empty)
+    assert versions.read(spark, empty).count() == 0
+
+
 def test_train_save_load_and_score_feed(spark):
     df = master(spark, SF_SMALL)
     root = scratch_path(spark, "jobs-models")

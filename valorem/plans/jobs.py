@@ -4,6 +4,9 @@
                  (written as a new version) -> envelope. Totals are stored raw;
                  1..99 totals are derived master-wide (``profile.rescale_1_99``)
                  rather than per batch, so batches stay comparable.
+* ``ingest_merged``  the same into a master in hash buckets: only the buckets
+                 that the new rows touch are read and written, and the batch's
+                 totals are scaled 1..99 by the statistics kept with the table
 * ``train_job``  master -> prepared segments -> every model kind, cross-validated
                  -> whole PipelineModels saved -> test RMSE per (model, segment)
 * ``score_feed`` bounded read of an envelope -> decoded -> scored by every kind
@@ -19,13 +22,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valorem import schema as S
-from valorem.operators import metrics, upsert
+from valorem.operators import metrics, profile, upsert
 from valorem.plans import score, train
-from valorem.sources import csv_io, feed, pages
+from valorem.sources import csv_io, feed, pages, versions
 from valorem.session import materialize, scratch_path
 from valorem.streaming import listener
 
 
+def _listed(stored_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that are kept (with ``seq``), and the status row."""
+    # Parsed once: status, merge, statistics and envelope read the written rows.
+    listed = materialize(pages.table_listings(stored_pages, with_rejects=True))
+    # The order in which the pages list the rows decides between repeats of an ID.
+    rows = listed.filter(~F.col("rejected")).withColumn("seq", F.struct("page_id", "row_index"))
+    new = rows.select(*S.MASTER_COLUMNS, "seq")
+    n_pages = stored_pages.agg(F.count(F.lit(1))).scalar()
+    status = listed.agg(F.count_distinct("page_id").alias("pages_with_rows"),
+                        F.count_if(~F.col("rejected")).alias("rows_kept"),
+                        F.count_if(F.col("rejected")).alias("rows_rejected")
+                        ).select(n_pages.alias("pages"), "pages_with_rows", "rows_kept", "rows_rejected")
+    return new, status
+
+
 def ingest(spark: SparkSession, stored_pages: DataFrame, master_path: str | None,
            fmt: str = "parquet") -> dict:
     """Extract listing rows from stored pages, upsert them into the master
@@ -39,16 +57,7 @@ def ingest(spark: SparkSession, stored_pages: DataFrame, master_path: str | None
     the current one (``csv_io.replace``; ``csv_io.current`` resolves it).
     Of rows that repeat an ID the last listed wins. An empty extraction is reported in ``status``.
     """
-    # Parsed once: status, merge, statistics and envelope read the written rows.
-    listed = materialize(pages.table_listings(stored_pages, with_rejects=True))
-    # The order in which the pages list the rows decides between repeats of an ID.
-    rows = listed.filter(~F.col("rejected")).withColumn("seq", F.struct("page_id", "row_index"))
-    new = rows.select(*S.MASTER_COLUMNS, "seq")
-    n_pages = stored_pages.agg(F.count(F.lit(1))).scalar()
-    status = listed.agg(F.count_distinct("page_id").alias("pages_with_rows"),
-                        F.count_if(~F.col("rejected")).alias("rows_kept"),
-                        F.count_if(F.col("rejected")).alias("rows_rejected")
-                        ).select(n_pages.alias("pages"), "pages_with_rows", "rows_kept", "rows_rejected")
+    new, status = _listed(stored_pages)
     master_path = master_path or scratch_path(spark, "master-table")
     version = csv_io.current(spark, master_path)
     existing = (spark.read.format(fmt).load(version) if version else
@@ -61,6 +70,35 @@ def ingest(spark: SparkSession, stored_pages: DataFrame, master_path: str | None
             "envelope": feed.publish(new.drop("seq"), key="ID", columns=S.MESSAGE_COLUMNS)}
 
 
+def ingest_merged(spark: SparkSession, stored_pages: DataFrame, master_path: str, buckets: int = 64) -> dict:
+    """As ``ingest``, into the bucketed table at ``master_path`` (``versions``; made by the first run).
+
+    Returns {"status", "stats", "version", "rescaled", "envelope"}. ``stats``
+    counts the rows of the versions before and after; ``rescaled`` is the batch
+    with its totals on the scale of the whole merged table, whose bounds come
+    from the buckets' statistics. Another writer's version in between raises
+    ``versions.ConcurrentMerge`` and leaves that version as it is. Of rows that
+    repeat an ID the last listed wins; a run without rows gives a version that
+    holds what the one before held.
+    """
+    new, status = _listed(stored_pages)
+    base = versions.current(spark, master_path)
+    if base is None:
+        version = versions.create(new, master_path, "ID", buckets, S.TOTAL_COLUMNS, seq="seq")
+    else:
+        version = versions.merge(new, master_path, seq="seq", base=base)
+    merged = versions.read(spark, master_path, version.number).agg(F.count(F.lit(1)).alias("merged_rows"))
+    before = versions.read(spark, master_path, base.number).agg(F.count(F.lit(1))).scalar() if base else F.lit(0).cast("long")
+    stats = merged.select(before.alias("existing_rows"), new.agg(F.count(F.lit(1))).scalar().alias("new_rows"), "merged_rows")
+    bounds = versions.rescale_bounds(spark, master_path, S.TOTAL_COLUMNS)
+    batch = new.drop("seq")
+    return {"status": status,
+            "stats": stats.withColumn("added", F.expr("merged_rows - existing_rows")).withColumn("removed", F.expr("existing_rows + new_rows - merged_rows")),
+            "version": version,
+            "rescaled": profile.rescale_1_99(batch, S.TOTAL_COLUMNS, stats=bounds),
+            "envelope": feed.publish(batch, key="ID", columns=S.MESSAGE_COLUMNS)}
+
+
 def train_job(spark: SparkSession, master_df: DataFrame, models_dir: str | None = None,
               kinds: list[str] = S.MODEL_KINDS, tune: bool = True) -> tuple[dict, DataFrame]:
     """Fit every kind for both segments; save each as ``models_dir/<segment>_<kind>``.
@@ -94,4 +132,4 @@ def stream(spark: SparkSession, models: dict, source: DataFrame, out_path: str,
                           available_now=available_now, factor=factor, fmt=fmt)
 
 
-__all__ = ["ingest", "train_job", "load_models", "score_feed", "stream"]
+__all__ = ["ingest", "ingest_merged", "train_job", "load_models", "score_feed", "stream"]

@@ -19,7 +19,7 @@ from valorem import schema as S
 from valorem.functions import html as H
 from valorem.functions.clean import feed_route
 from valorem.operators import metrics, prepare, profile, report, segments, upsert, validate
-from valorem.plans import moments, score, train, trees
+from valorem.plans import jobs, moments, score, train, trees
 from valorem.plans.oracle_sql import (ENVELOPE_SQL, REPORT_BASE_SQL, SEGMENTS_SQL, anchor_text_sql, category_sql,
                                       money_sql, q, trimmed_sql, with_ctes)
 from valorem.session import materialize, scratch_path
@@ -338,6 +338,24 @@ def listing_table_66(spark, sf_dir):
     return pages.table_listings(rendered.unionByName(table(spark, sf_dir, "pages").select(*rendered.columns)), with_rejects=True)
 
 
+_BOUNDS = ", ".join(f"min({q(c)}) AS lo{i}, max({q(c)}) AS hi{i}" for i, c in enumerate(S.TOTAL_COLUMNS))
+_SCALED = ", ".join(f"CASE WHEN hi{i} > lo{i} THEN CAST(round_even(1 + (({q(c)} - lo{i}) / (hi{i} - lo{i})) * 98, 0) AS INTEGER) "
+                    f"WHEN {q(c)} IS NOT NULL THEN 1 END AS {q(c)}" for i, c in enumerate(S.TOTAL_COLUMNS))
+
+
+@register("ingest_merged", f"""
+WITH listed AS ({_LISTED_SQL}), kept AS (SELECT * FROM listed WHERE NOT rejected), st AS (SELECT {_BOUNDS} FROM kept)
+SELECT "ID", "Value", {_SCALED} FROM kept, st""")
+def ingest_merged(spark, sf_dir):
+    """The ingest job over the bucketed master, twice: the rendered listing, then it again with all stored pages.
+    Gives the second batch on the merged table's scale."""
+    rendered = cells.listing_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    path = scratch_path(spark, "ingest-merged")
+    jobs.ingest_merged(spark, rendered, path, buckets=16)
+    run = jobs.ingest_merged(spark, rendered.unionByName(table(spark, sf_dir, "pages").select(*rendered.columns)), path)
+    return run["rescaled"].select("ID", "Value", *S.TOTAL_COLUMNS)
+
+
 NEW_BATCH_SINCE = "1998-01-01"
 _UPSERT_SQL = [master_sql("fresh", NEW_BATCH_SINCE),
                'u AS (SELECT *, 0 AS source FROM master UNION ALL BY NAME SELECT *, 1 AS source FROM fresh)']

@@ -34,8 +34,9 @@ from valorem.operators import prepare, segments
 
 LABEL = "Value_log"
 SEED = S.SPLIT_SEED
-#: Partitions of the training frame. Bagging and tree splits depend on it, so it is a parameter of
-#: the model and not of the cluster.
+#: Rows of a partition of the training frame, and the least number of partitions. Bagging and tree
+#: splits depend on the number, so it follows from the rows and not from the cluster.
+LAYOUT_ROWS = 250_000
 LAYOUT_PARTITIONS = 8
 
 
@@ -120,11 +121,11 @@ def training_band(df: DataFrame, cap: float = S.VALUE_CAP, parity: bool = False)
 def stable_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fixed partition count and in-partition order, for reproducible bagging.
 
-    The count is the caller's or LAYOUT_PARTITIONS, whatever the cluster: the
-    same data give the same model everywhere. Large data want more; the count
-    belongs to the model.
+    The count is the caller's, or one for each LAYOUT_ROWS counted rows and at
+    least LAYOUT_PARTITIONS, whatever the cluster: the same data give the same
+    model everywhere.
     """
-    n = partitions or LAYOUT_PARTITIONS
+    n = partitions or max(LAYOUT_PARTITIONS, -(-df.count() // LAYOUT_ROWS))
     # hash of the whole row: deterministic, and a repeated ID cannot pile up in one partition
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     return df.repartition(n, row_hash).sortWithinPartitions("ID", row_hash)
