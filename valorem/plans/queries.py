@@ -331,10 +331,16 @@ f AS (
 SELECT *, "Value" IS NULL AS rejected FROM f WHERE "Value" IS NULL OR ("Value" <> 0 AND "Wage" <> 0)"""
 
 
+def _rendered_pages(spark, sf_dir) -> DataFrame:
+    """Dealt anew: adaptive execution puts the few bytes of pages in one task, but reading them is the work."""
+    pages_ = cells.listing_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    return pages_.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8))
+
+
 @register("listing_table_66", _LISTED_SQL)
 def listing_table_66(spark, sf_dir):
     """Listing tables over the pages rendered from customers and every stored page (those hold no table)."""
-    rendered = cells.listing_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    rendered = _rendered_pages(spark, sf_dir)
     return pages.table_listings(rendered.unionByName(table(spark, sf_dir, "pages").select(*rendered.columns)), with_rejects=True)
 
 
@@ -349,7 +355,7 @@ SELECT "ID", "Value", {_SCALED} FROM kept, st""")
 def ingest_merged(spark, sf_dir):
     """The ingest job over the bucketed master, twice: the rendered listing, then it again with all stored pages.
     Gives the second batch on the merged table's scale."""
-    rendered = cells.listing_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    rendered = _rendered_pages(spark, sf_dir)
     path = scratch_path(spark, "ingest-merged")
     jobs.ingest_merged(spark, rendered, path, buckets=16)
     run = jobs.ingest_merged(spark, rendered.unionByName(table(spark, sf_dir, "pages").select(*rendered.columns)), path)
