@@ -162,14 +162,15 @@ def _added(a: DataFrame, b: DataFrame, suspect: DataFrame, more: DataFrame) -> D
 
 
 def damaged(pages: DataFrame) -> DataFrame:
-    """A replica with faults, chosen by the first byte of md5(page_id): a changed byte, a changed url, a lost page, a page too many (four of 256 each)."""
+    """A replica with faults, chosen by the first byte of md5(page_id): a changed byte, a changed url, a lost page, a page too many, a second record of a page (four of 256 each)."""
     chance = F.substring(F.md5(F.encode(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "UTF-8")), 1, 2)
     whole = pages.select("page_id", "url", "html").withColumn("chance", chance)
     kept = (whole.filter(~F.col("chance").between("08", "0b"))
             .withColumn("html", F.when(F.col("chance") < "04", F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
             .withColumn("url", F.when(F.col("chance").between("04", "07"), F.concat("url", F.lit("#moved"))).otherwise(F.col("url"))))
     more = whole.filter(F.col("chance").between("0c", "0f")).withColumn("page_id", F.col("page_id") + F.lit(1_000_000_000_000))
-    return kept.unionByName(more).drop("chance")
+    again = whole.filter(F.col("chance").between("10", "13")).withColumn("url", F.concat(F.coalesce("url", F.lit("")), F.lit("#again")))
+    return kept.unionByName(more).unionByName(again).drop("chance")
 
 
 def op6_warc_fixity(spark, sf_dir):
@@ -186,7 +187,9 @@ x AS (
   SELECT 1, page_id, CASE WHEN chance BETWEEN '04' AND '07' THEN url || '#moved' ELSE url END,
          CASE WHEN chance < '04' THEN '#' || substr(html, 2) ELSE html END FROM p WHERE chance NOT BETWEEN '08' AND '0b'
   UNION ALL
-  SELECT 1, page_id + 1000000000000, url, html FROM p WHERE chance BETWEEN '0c' AND '0f'),
+  SELECT 1, page_id + 1000000000000, url, html FROM p WHERE chance BETWEEN '0c' AND '0f'
+  UNION ALL
+  SELECT 1, page_id, coalesce(url, '') || '#again', html FROM p WHERE chance BETWEEN '10' AND '13'),
 t AS (
   SELECT replica, page_id, 'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Target-URI: ' || coalesce(url, '') || nl
          || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(coalesce(html, '')) || nl || nl || coalesce(html, '') || nl || nl AS rec
@@ -196,7 +199,10 @@ r AS (
   FROM t GROUP BY ALL),
 o AS (
   SELECT *, coalesce(sum(length) OVER (PARTITION BY replica, archive ORDER BY page_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset"
-  FROM r)
+  FROM r),
+alone AS (
+  SELECT *, count(*) FILTER (WHERE replica = 1) OVER (PARTITION BY page_id) AS gained, count(*) FILTER (WHERE replica = 0) OVER (PARTITION BY page_id) AS lost
+  FROM o WHERE NOT EXISTS (SELECT 1 FROM o b WHERE b.replica <> o.replica AND b.page_id = o.page_id AND b.digest = o.digest))
 SELECT page_id, archive::BIGINT AS archive, "offset"::BIGINT AS "offset", length::BIGINT AS length, digest,
        CASE WHEN EXISTS (SELECT 1 FROM o b WHERE b.replica = 1 AND b.page_id = o.page_id AND b.digest = o.digest AND b.copies = o.copies) THEN 'ok'
             WHEN EXISTS (SELECT 1 FROM o b WHERE b.replica = 1 AND b.page_id = o.page_id) THEN 'changed' ELSE 'missing' END AS status
@@ -204,4 +210,7 @@ FROM o WHERE replica = 0
 UNION ALL
 SELECT page_id, archive::BIGINT, "offset"::BIGINT, length::BIGINT, digest, 'extra'
 FROM o WHERE replica = 1 AND NOT EXISTS (SELECT 1 FROM o a WHERE a.replica = 0 AND a.page_id = o.page_id)
+UNION ALL
+SELECT page_id, archive::BIGINT, "offset"::BIGINT, length::BIGINT, digest, 'added'
+FROM alone WHERE replica = 1 AND gained > lost AND EXISTS (SELECT 1 FROM o a WHERE a.replica = 0 AND a.page_id = alone.page_id)
 """
