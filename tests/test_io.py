@@ -34,3 +34,15 @@ def test_master_schema_listing(spark):
     m = master(spark, SF_SMALL)
     assert [(f.name, f.dataType) for f in m.schema.fields] == [(f.name, f.dataType) for f in S.MASTER_SCHEMA.fields]
     assert [f.name for f in m.schema.fields] == S.MASTER_COLUMNS
+
+
+def test_a_message_is_parsed_once(spark):
+    """Filters on a message's fields repeated its parsing, 18 times in feed_score."""
+    from pyspark.sql import functions as F
+    from valorem.sources import feed
+    rows = spark.createDataFrame([("1", '{"Name":"a","ID":"1","Value":2.0,"Wage":1.0}'), ("2", "junk"), ("3", None)], "key string, value string")
+    got = feed.decode(rows, keep=["key"])
+    assert [(r.key, r.Name, r.Value) for r in got.orderBy("key").collect()] == [("1", "a", 2.0), ("2", None, None), ("3", None, None)]
+    kept = got.filter((F.col("Value") > 1) & (F.col("Wage") > 0) & F.col("Name").isNotNull())
+    assert kept.count() == 1
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

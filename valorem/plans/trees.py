@@ -1,21 +1,25 @@
 """Fitted models as tables, and an evaluator of them that does not use ``transform``.
 
 ``forest_nodes``  every node of every tree as a row (from the forests' own saved form).
-``parameters``    one row per (segment, model): the scale of its features and either its
-                  trees (arrays of nodes) or its coefficients.
+``parameters``    by (segment, model): the scale of its features and either its nodes or
+                  its coefficients, as arrays.
 ``checked``       scored rows with ``same``: the prediction computed again from that row.
 ``importances``   feature importances recomputed from the nodes' gains and weights.
 
-The evaluator is a projection: a row goes down each tree by an aggregate over
-the levels, so nothing is shuffled but the parameters. Their size follows from
+The evaluator is a projection: batches of rows go down all trees together, a
+level at a time, so nothing is shuffled. The parameters are broadcast once; as a
+column beside the rows they would be copied for each row. Their size follows from
 the grids and not from the data: at most 120 trees of depth 8 or 50 of depth
-10, some 100,000 nodes (about 5 MB) a model, two segments and two such kinds.
+10, some 100,000 nodes (about 4 MB) a model, two segments and two such kinds.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,20 +59,55 @@ def forest_nodes(models: dict, spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def parameters(models: dict, spark: SparkSession) -> DataFrame:
-    """segment, model, scale, depth, coefficients, intercept, trees (null for linear models)."""
-    rows = []
+def _nodes(nodes: pa.Table) -> dict:
+    """One forest's nodes, tree after tree: the places of the roots, and arrays by place. A leaf goes to itself.
+
+    Nodes are numbered 0, 1, ... within a tree.
+    """
+    tree, node, feature, threshold, low, high, prediction = (
+        nodes.column(c).to_numpy() for c in ("tree", "node", "feature", "threshold", "low", "high", "prediction"))
+    order = np.lexsort((node, tree))
+    tree, low, high, feature = tree[order], low[order], high[order], feature[order]
+    first = np.flatnonzero(np.diff(tree, prepend=tree[0] - 1))
+    start = np.repeat(first, np.diff(np.append(first, len(tree))))
+    leaf, own = low < 0, np.arange(len(tree))
+    return {"roots": first, "feature": np.where(leaf, 0, feature).astype(np.int64), "threshold": threshold[order], "prediction": prediction[order],
+            "low": np.where(leaf, own, start + low), "high": np.where(leaf, own, start + high)}
+
+
+def parameters(models: dict, spark: SparkSession) -> dict[tuple[str, str], dict]:
+    """(segment, model) -> the scale of its features, and either its coefficients and intercept or its depth and ``_nodes``."""
+    nodes, out = forest_nodes(models, spark).toArrow(), {}
     for (segment, kind), model in models.items():
-        last, std = model.stages[-1], model.stages[1].std.toArray().tolist()
-        scale = [1.0 / s if s else 0.0 for s in std]
-        rows.append((segment, kind, scale, last.getOrDefault("maxDepth"), None, None) if _has_trees(model)
-                    else (segment, kind, scale, None, last.coefficients.toArray().tolist(), float(last.intercept)))
-    flat = spark.createDataFrame(rows, "segment string, model string, scale array<double>, depth int, coefficients array<double>, intercept double")
-    # nodes are numbered 0, 1, ... within a tree, so a node's number is its place in the array
-    node = F.struct("node", "feature", "threshold", "low", "high", "prediction")
-    trees = (forest_nodes(models, spark).groupBy("segment", "model", "tree").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
-             .groupBy("segment", "model").agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("trees")))
-    return flat.join(trees, ["segment", "model"], "left")
+        last, std = model.stages[-1], model.stages[1].std.toArray()
+        scale = np.divide(1.0, std, out=np.zeros(len(std)), where=std != 0)
+        if _has_trees(model):
+            own = nodes.filter(pc.and_(pc.equal(nodes["segment"], segment), pc.equal(nodes["model"], kind)))
+            out[segment, kind] = {"scale": scale, "depth": last.getOrDefault("maxDepth"), **_nodes(own)}
+        else:
+            out[segment, kind] = {"scale": scale, "coefficients": last.coefficients.toArray(), "intercept": float(last.intercept)}
+    return out
+
+
+def predictor():
+    """(one model's parameters, rows of features) -> predictions. A closure, so that workers need nothing but numpy."""
+    def predict(own: dict, x: np.ndarray) -> np.ndarray:
+        x = x * own["scale"]
+        if "roots" not in own:
+            total = np.full(len(x), own["intercept"])
+            for j, c in enumerate(own["coefficients"]):
+                total += c * x[:, j]
+            return total
+        feature, threshold, low, high = (own[k] for k in ("feature", "threshold", "low", "high"))
+        total, row = np.zeros(len(x)), np.arange(len(x))
+        for root in own["roots"]:
+            at = np.full(len(x), root)
+            for _ in range(own["depth"]):
+                at = np.where(x[row, feature[at]] <= threshold[at], low[at], high[at])
+            total += own["prediction"][at]
+        return total / len(own["roots"])
+
+    return predict
 
 
 def _features() -> Column:
@@ -77,32 +116,31 @@ def _features() -> Column:
     return F.coalesce(*arrays)
 
 
-def _forest(x: Column) -> Column:
-    def leaf(tree: Column) -> Column:
-        def down(at: Column, _level: Column) -> Column:
-            node = F.get(tree["nodes"], at)
-            return F.when(node["low"] < 0, at).when(F.get(x, node["feature"]) <= node["threshold"], node["low"]).otherwise(node["high"])
-
-        return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(1), F.col("depth")), F.lit(0), down))["prediction"]
-
-    return F.aggregate("trees", F.lit(0.0), lambda total, tree: total + leaf(tree)) / F.size("trees")
-
-
-def _linear(x: Column) -> Column:
-    return F.aggregate(F.zip_with("coefficients", x, lambda c, v: c * v), F.col("intercept"), lambda total, v: total + v)
-
-
 def checked(scored: DataFrame, models: dict) -> DataFrame:
     """``scored`` (the output of train.predict) with ``same``: the prediction is that of the model's table, within TOLERANCE.
 
     A row without a prediction is the same when it misses features or its model does not exist.
     """
-    known = F.broadcast(parameters(models, scored.sparkSession))
-    own = scored.join(known, ["segment", "model"], "left").withColumn("_x", F.zip_with(_features(), "scale", lambda v, s: v * s))
-    again = F.when(F.col("trees").isNotNull(), _forest(F.col("_x"))).otherwise(_linear(F.col("_x")))
-    lacking = (F.size("missing_features") > 0) | F.col("scale").isNull()
-    same = F.when(lacking, F.col("prediction").isNull()).otherwise(F.coalesce(F.abs(F.col("prediction") - again) <= TOLERANCE, F.lit(False)))
-    return own.withColumn("same", same).select(*scored.columns, "same")
+    spark = scored.sparkSession
+    shared = spark.sparkContext.broadcast(parameters(models, spark))
+    key, predict = F.concat_ws("/", "segment", "model"), predictor()
+
+    @F.arrow_udf("double")
+    def again(keys: pa.Array, features: pa.Array) -> pa.Array:
+        out = np.full(len(keys), np.nan)
+        for (segment, kind), own in shared.value.items():
+            rows = pc.indices_nonzero(pc.and_(pc.equal(keys, f"{segment}/{kind}"), features.is_valid()))
+            if len(rows):
+                x = features.take(rows).flatten().to_numpy(zero_copy_only=False)
+                out[rows.to_numpy()] = predict(own, x.reshape(len(rows), -1))
+        return pa.array(out)
+
+    known = F.coalesce(key.isin(*[f"{s}/{k}" for s, k in models]), F.lit(False))
+    lacking = (F.size("missing_features") > 0) | ~known
+    same = F.when(lacking, F.col("prediction").isNull()).otherwise(
+        F.coalesce(F.abs(F.col("prediction") - F.col("_again")) <= TOLERANCE, F.lit(False)))
+    return (scored.withColumn("_again", again(key, F.when(~lacking, _features())))
+            .withColumn("same", same).select(*scored.columns, "same"))
 
 
 def importances(models: dict, spark: SparkSession) -> DataFrame:

@@ -32,9 +32,11 @@ def decode(envelope: DataFrame, schema=S.MESSAGE_SCHEMA, keep: list[str] | None
     """JSON value -> columns (PERMISSIVE: malformed JSON gives null fields).
 
     With ``corrupt_column`` the raw text of unparsable messages is kept there.
+    Each message is parsed once: behind a generator, filters on its fields
+    don't repeat the parsing for every field that they name.
     """
     keep = keep or []
-    parsed = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE"}).alias("_m")
+    parsed = F.explode(F.array(F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE"}))).alias("_m")
     out = envelope.select(*keep, parsed, "value")
     if corrupt_column:
         bad = F.col("_m").isNull() | F.to_json(F.col("_m")).eqNullSafe(F.lit("{}"))
