@@ -18,3 +18,12 @@ def test_layout_grows_with_the_rows(spark, monkeypatch):
     same = spark.range(2000).select(F.lit("7").alias("ID"), F.col("id").alias("x"))
     sizes = [n for (n,) in train.stable_layout(same).groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert max(sizes) < 400
+
+
+def test_fewer_fits_at_once_over_more_rows():
+    """All fits used to run at once whatever the rows, 32 of them."""
+    assert train.fits_at_once(0, 8, 4) == (8, 4) and train.fits_at_once(100_000, 8, 4) == (8, 4)
+    for rows in (1, 10_000, 600_000, 2_700_000, 5_000_000, 10**9):
+        jobs, inner = train.fits_at_once(rows, 8, 4)
+        assert jobs >= 1 and inner >= 1 and (jobs * inner == 1 or jobs * inner * rows <= train.ROWS_AT_ONCE)
+    assert train.fits_at_once(2_700_000, 8, 4) == (1, 2)

@@ -36,8 +36,11 @@ LABEL = "Value_log"
 SEED = S.SPLIT_SEED
 #: Rows of a partition of the training frame, and the least number of partitions. Bagging and tree
 #: splits depend on the number, so it follows from the rows and not from the cluster.
-LAYOUT_ROWS = 250_000
+LAYOUT_ROWS = 500_000
 LAYOUT_PARTITIONS = 8
+#: Training rows of all fits that run at once. A forest keeps about 1 KB a row (bins, bagging counts and node ids of
+#: each tree) until it is fitted; more fits at once would spill one another's rows and read them again at every level.
+ROWS_AT_ONCE = 8_000_000
 
 
 def feature_stages(segment: str) -> list:
@@ -147,6 +150,13 @@ def fit(train: DataFrame, segment: str, kind: str, folds: int | None = None, par
     return cv.fit(train).bestModel
 
 
+def fits_at_once(rows: int, jobs: int, parallelism: int) -> tuple[int, int]:
+    """(jobs, fits of a job's cross-validation) that run at once, so that together they hold ROWS_AT_ONCE rows at most, or are one fit."""
+    most = max(1, ROWS_AT_ONCE // max(1, rows))
+    inner = max(1, min(parallelism, most))
+    return max(1, min(jobs, most // inner)), inner
+
+
 _CACHE: dict = {}
 
 
@@ -158,7 +168,8 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
     The (segment, kind) fits are independent Spark jobs over one persisted
     training frame; they are submitted from a small thread pool (like
     CrossValidator's ``parallelism``) so that many small jobs overlap
-    instead of waiting on each other's scheduling latency.
+    instead of waiting on each other's scheduling latency. Fewer of them
+    overlap when there are many rows (``fits_at_once``).
     """
     out, todo = {}, []
     for segment in S.SEGMENTS:
@@ -174,8 +185,9 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
     train = stable_layout(prepared.filter(F.col("split") == "train").select("segment", "ID", LABEL, *features),
                           layout_partitions).persist()
     # empty-segment guard: one grouped count, then fit only segments with rows
-    present = {r["segment"] for r in train.groupBy("segment").count().collect()}
+    present = {r["segment"]: r["count"] for r in train.groupBy("segment").count().collect()}
     todo = [job for job in todo if job[0] in present]
+    concurrency, cv_parallelism = fits_at_once(max(present.values(), default=0), min(concurrency, len(todo)), cv_parallelism)
     try:
         def run(job):
             segment, kind = job
@@ -185,7 +197,7 @@ def fitted_models(spark: SparkSession, prepared: DataFrame, kinds: list[str], ca
             model._fit_seconds = time.time() - t0  # noqa: SLF001
             return job, model
 
-        with ThreadPoolExecutor(max_workers=max(1, min(concurrency, len(todo)))) as pool:
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
             for (segment, kind), model in pool.map(run, todo):
                 out[(segment, kind)] = model
                 if cache_key is not None:
