@@ -63,3 +63,36 @@ def test_html_text_and_anchor(spark):
 def test_strip_all_whitespace(spark):
     assert _one(spark, clean.leading_int, ["\t80-1\n", "\n7 "]) == [80, 7]
     assert _one(spark, clean.digits_int, ["\t12\n"]) == [12]
+
+
+def test_elements_in_turn_are_those_by_depth(spark):
+    """Texts without nesting take a short way; nested, open and stray tags the one by depth."""
+    import random
+    from pyspark.sql import functions as F
+    from valorem.functions import html
+
+    def by_depth(text):
+        import re
+        out, depth, inner = [], 0, ""
+        for x in re.split(r"(?i)(?=</?td\b)", " " + text):
+            if x.startswith("</"):
+                if depth == 1:
+                    out.append(inner)
+                    inner = ""
+                elif depth > 1:
+                    inner += x
+                depth = max(0, depth - 1)
+            elif x.startswith("<"):
+                inner = inner + x if depth else re.sub(r"^<[^>]*>?", "", x)
+                depth += 1
+            elif depth:
+                inner += x
+        return out + [inner] * (depth > 0)
+
+    rng = random.Random(7)
+    texts = ["", "a", "<td>", "</td>", "<td", "<td>1</td><TD class='x'>2</Td>z<td>3", "<tdx>1</tdx>"]
+    texts += ["".join(rng.choice(["<td>", "</td>", "<TD a=1>", "x\n", "<b>", "</tr>", "é"]) for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", html.nested_elements("t", "td").alias("got"))
+    assert "array_contains" in df._jdf.queryExecution().optimizedPlan().toString()
+    for r in df.collect():
+        assert r.got == (None if r.t is None else by_depth(r.t)), r.t

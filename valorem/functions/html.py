@@ -47,15 +47,19 @@ def first_element(html: str | Column, tag: str) -> Column:
 def nested_elements(html: str | Column, tag: str) -> Column:
     """array<string>: inner HTML of each outermost ``tag`` element, elements of the same tag inside it included.
 
-    The text is cut before every opening and closing ``tag``; an aggregate
-    over the pieces carries the depth. An element left open ends with the
-    text; a closing tag without an opening one is passed over. Null gives
-    null, a text without the tag an empty array.
+    The text is cut before every opening and closing ``tag``. Where the pieces
+    open and close in turn, each opening piece is an element; otherwise an
+    aggregate over the pieces, several times dearer, carries the depth. An
+    element left open ends with the text; a closing tag without an opening one
+    is passed over. Null gives null, a text without the tag an empty array.
     """
     # the blank keeps the piece before the first tag from looking like one
     pieces = F.split(F.concat(F.lit(" "), _c(html)), rf"(?i)(?=</?{tag}\b)")
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("inner"), F.array().cast("array<string>").alias("done"))
 
+    def inside(x: Column) -> Column:
+        return F.regexp_replace(x, r"^<[^>]*>?", "")
+
     def step(s: Column, x: Column) -> Column:
         closes = F.startswith(x, F.lit("</"))
         opens = F.startswith(x, F.lit("<")) & ~closes
@@ -63,12 +67,18 @@ def nested_elements(html: str | Column, tag: str) -> Column:
         ends = closes & (s.depth == 1)
         inner = (F.when(ends, F.lit(""))
                  .when(s.depth > 0, F.concat(s.inner, x))
-                 .when(opens, F.regexp_replace(x, r"^<[^>]*>?", ""))
+                 .when(opens, inside(x))
                  .otherwise(F.lit("")))
         return F.struct(depth.alias("depth"), inner.alias("inner"),
                         F.when(ends, F.concat(s.done, F.array(s.inner))).otherwise(s.done).alias("done"))
 
-    return F.aggregate(pieces, start, step, lambda s: F.when(s.depth > 0, F.concat(s.done, F.array(s.inner))).otherwise(s.done))
+    def elements_of(cut: Column) -> Column:
+        in_turn = F.transform(cut, lambda x, i: F.startswith(x, F.lit("</")) == ((i % 2 == 0) & (i > 0)))
+        flat = F.transform(F.filter(cut, lambda x, i: i % 2 == 1), inside)
+        by_depth = F.aggregate(cut, start, step, lambda s: F.when(s.depth > 0, F.concat(s.done, F.array(s.inner))).otherwise(s.done))
+        return F.when(~F.array_contains(in_turn, False), flat).otherwise(by_depth)
+
+    return F.get(F.transform(F.array(pieces), elements_of), F.lit(0))  # a lambda's argument: cut once
 
 
 EDGE_SPACE_PATTERN = r"^\s+|\s+$"
