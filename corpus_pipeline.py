@@ -48,7 +48,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, ids."""
-    return byte_bpe.round_trip(docs, with_ids=True)
+    return byte_bpe.round_trip(docs, with_ids=True, share=byte_bpe.PIPELINE_SHARE)
 
 
 STAGES = [

@@ -94,3 +94,16 @@ def test_whole_table_against_the_library(spark, library):
         assert got[d.doc_id].n_tokens == len(ids)
         assert got[d.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[d.doc_id].decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
+
+
+def test_a_share_of_the_tables_bounds_them_and_keeps_the_ids(ranks, monkeypatch):
+    """The pipeline's tasks take a share: with whole tables they passed an executor's memory."""
+    monkeypatch.setattr(bb, "MOST_STATES", 100)
+    monkeypatch.setattr(bb, "MOST_PIECES", 100)
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abeinrstéß7") for _ in range(rng.randint(1, 12))) for _ in range(60)) for _ in range(20)]
+    whole, small = bb.Codec(ranks), bb.Codec(ranks, share=0.2)
+    for text in texts:
+        assert list(whole.encode(text)) == list(small.encode(text))
+        assert len(small.pieces) <= 20 and len(small.pieces.older) <= 20 and len(small.transducer.states) <= 21
+    assert len(whole.pieces) > 20 or len(whole.pieces.older) > 20

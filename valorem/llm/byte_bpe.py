@@ -35,6 +35,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 MOST_STATES = 50_000
 MOST_PIECES = 250_000
 MOST_PAIRS = 100_000
+#: Share of these tables for a task of the pipeline, where the stages before it have left less of an executor's memory.
+PIPELINE_SHARE = 0.2
 #: Longest piece that is remembered whole, and longest rest of a piece that is read without compiling transitions.
 LONG_PIECE = 40
 #: Pieces (encoding) or ids (decoding) that are held at once.
@@ -58,8 +60,9 @@ class State:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], share: float = 1.0):
         self.ranks = ranks
+        self.share = share  # of the tables' most entries
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.lengths = {rank: len(token) for token, rank in ranks.items()}
         # Each token and prefix of one -> its rank (None: no token) and whether a longer token begins with it.
@@ -80,7 +83,7 @@ class Transducer:
         key = (before, live)
         found = self.states.get(key)
         if found is None:
-            if len(self.states) >= MOST_STATES:
+            if len(self.states) >= MOST_STATES * self.share:
                 self.forget()
                 self.start.next.clear()
                 self.older, self.states = self.states, {}
@@ -146,7 +149,7 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-        if len(self.pairs) >= MOST_PAIRS:
+        if len(self.pairs) >= MOST_PAIRS * self.share:
             self.pairs.clear()
         self.pairs[left, right] = known
         return known
@@ -261,7 +264,7 @@ class _Pieces(dict):
         if ids is None:
             ids = tuple(self.transducer.encode(piece.encode()))
         if len(piece) <= LONG_PIECE:
-            if len(self) >= MOST_PIECES:
+            if len(self) >= MOST_PIECES * self.transducer.share:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -319,8 +322,8 @@ class Utf8Stream:
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, share: float = 1.0):
+        self.transducer = Transducer(ranks, share)
         self.pattern = regex.compile(pattern)
         self.pieces = _Pieces(self.transducer)
         self.ids_of = self.pieces.__getitem__
@@ -352,7 +355,7 @@ class Codec:
 
 
 @contextmanager
-def _codec(data: bytes):
+def _codec(data: bytes, share: float = 1.0):
     """A codec for one task. Its tables go with it, so that a worker's next task, of whatever kind, has the room.
 
     The cyclic collector rests meanwhile: it would walk the tables again and
@@ -360,7 +363,7 @@ def _codec(data: bytes):
     """
     collecting = gc.isenabled()
     gc.disable()
-    codec = Codec(read_ranks(data))
+    codec = Codec(read_ranks(data), share=share)
     try:
         yield codec
     finally:
@@ -406,17 +409,18 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return own.mapInArrow(run, own.drop("ids").withColumn("text", F.lit("")).schema)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False, share: float = 1.0) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids): each text encoded and its ids decoded.
 
     One row per input row. Null and empty texts have no tokens. Other columns are ignored.
+    ``share`` of the tables' most entries are kept; it changes time and memory, not the ids.
     """
     shared = _vocabulary(docs, path)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     types = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _codec(shared.value) as codec:
+        with _codec(shared.value, share) as codec:
             name = [str(i) for i in range(max(codec.transducer.tokens) + 1)].__getitem__
             for batch in small_batches(batches, 500):
                 rows: list[tuple] = []
