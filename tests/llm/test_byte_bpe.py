@@ -107,3 +107,67 @@ def test_a_share_of_the_tables_bounds_them_and_keeps_the_ids(ranks, monkeypatch)
         assert list(whole.encode(text)) == list(small.encode(text))
         assert len(small.pieces) <= 20 and len(small.pieces.older) <= 20 and len(small.transducer.states) <= 21
     assert len(whole.pieces) > 20 or len(whole.pieces.older) > 20
+
+
+def test_pieces_of_a_batch_are_read_together(ranks, library, monkeypatch):
+    """New pieces go through the transducer at once, from whatever state their compiled transitions end in."""
+    calls = []
+    rests = bb.Transducer.rests
+    monkeypatch.setattr(bb.Transducer, "rests", lambda self, jobs: calls.append(len(jobs)) or rests(self, jobs))
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abeinrstéß日") for _ in range(rng.randint(2, 45))) for _ in range(400)]
+    own = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(60)] + ["", "a" * 300, "\U0001F600 x\x1c\x85y"]
+    codec = bb.Codec(ranks)
+    for _ in range(3):
+        got = [[] for _ in own]
+        for i, ids in codec.encode_all(own):
+            got[i] += ids
+        assert got == [library.encode_ordinary(t) for t in own]
+        codec.pieces.clear()
+        codec.pieces.older = {}
+    assert max(calls) > 300 and len(codec.transducer.states) > 100
+
+
+def test_jobs_from_any_state(ranks, library):
+    """Wherever a piece's transitions end, the rest gives the library's tokens."""
+    own = bb.Transducer(ranks)
+    rng = random.Random(12)
+    want, heads, jobs = [], [], []
+    for _ in range(300):
+        piece = "".join(rng.choice("aeinrstéß日=") for _ in range(rng.randint(2, 30))).encode()
+        state, settled, cut = own.start, [], rng.randrange(len(piece))
+        for byte in piece[:cut]:
+            state, out = own.step(state, byte)
+            settled += out
+        want.append(library._encode_single_piece(piece))
+        heads.append(settled)
+        jobs.append((state, piece[cut:]))
+    assert sum(len(state.live) > 1 for state, _ in jobs) > 100
+    assert [[*head, *rest] for head, rest in zip(heads, own.rests(jobs))] == want
+
+
+def test_narrow_pattern_cuts_alike():
+    import regex
+
+    whole, narrow = regex.compile(public.PATTERN), bb.narrow(public.PATTERN)
+    characters = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    rng = random.Random(13)
+    for alphabet in ("ab 1.'\n\tsSlL", "  \x1c\x85\xa0 x'", "é日 ñ 한٣½　'll", characters):
+        for _ in range(300):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+            assert narrow.findall(text) == whole.findall(text), repr(text)
+    assert narrow.findall(characters) == whole.findall(characters)
+
+
+def test_a_workers_next_task_has_the_tables(ranks):
+    with open(public.path(bb.VOCABULARY), "rb") as file:
+        data = file.read()
+    with bb._codec(data) as first:
+        want = list(first.encode("tables that stay"))
+    with bb._codec(data) as again:
+        assert again is first and len(again.pieces) and list(again.encode("tables that stay")) == want
+        with bb._codec(data) as beside:
+            assert beside is not again
+    with bb._codec(data, 0.2) as small:
+        assert small is not first and not bb._LEFT and not first.pieces
+    assert not bb._LEFT and not small.pieces
