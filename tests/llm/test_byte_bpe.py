@@ -171,3 +171,18 @@ def test_a_workers_next_task_has_the_tables(ranks):
     with bb._codec(data, 0.2) as small:
         assert small is not first and not bb._LEFT and not first.pieces
     assert not bb._LEFT and not small.pieces
+
+
+def test_full_tables_do_not_encode_pieces_alone(ranks, library, monkeypatch):
+    """When a table is full in the middle of a portion, what the older one held is not encoded again piece by piece."""
+    calls = []
+    encode = bb.Transducer.encode
+    monkeypatch.setattr(bb.Transducer, "encode", lambda self, pieces: calls.append(len(pieces)) or encode(self, pieces))
+    monkeypatch.setattr(bb, "MOST_PIECES", 200)
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abeinrst") for _ in range(8)) for _ in range(300)]
+    codec = bb.Codec(ranks)
+    for _ in range(8):
+        own = [" ".join(rng.sample(words, 150))]
+        assert [i for _, ids in codec.encode_all(own) for i in ids] == library.encode_ordinary(own[0])
+    assert len(calls) == 8

@@ -374,14 +374,6 @@ class _Pieces(dict):
         super().__init__()
         self.transducer = transducer
         self.older: dict[str, tuple[int, ...]] = {}
-        self.long: dict[str, tuple[int, ...]] = {}
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or self.long.get(piece)
-        if ids is None:
-            ids, = self.transducer.encode([piece.encode()])
-        self.keep(piece, ids)
-        return ids
 
     def keep(self, piece: str, ids: tuple[int, ...]) -> None:
         if len(piece) <= LONG_PIECE:
@@ -390,14 +382,14 @@ class _Pieces(dict):
                 self.clear()
             self[piece] = ids
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encodes those that are new; none is in the table. Long ones are kept until the next time."""
-        new = [piece for piece in pieces if piece not in self.older]
-        self.long = {}
-        for piece, ids in zip(new, self.transducer.encode([piece.encode() for piece in new])):
-            if len(piece) > LONG_PIECE:
-                self.long[piece] = ids
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of pieces that are not in the table, which may drop some of them again."""
+        found = {piece: self.older[piece] for piece in pieces if piece in self.older}
+        new = [piece for piece in pieces if piece not in found]
+        found.update(zip(new, self.transducer.encode([piece.encode() for piece in new])))
+        for piece, ids in found.items():
             self.keep(piece, ids)
+        return found
 
 
 #: Byte classes of UTF-8 as (first, last, class); any other byte is of class 0 (never valid).
@@ -456,7 +448,6 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.narrow, self.wide = narrow(pattern), re.compile("[\U00010000-\U0010FFFF]")
         self.pieces = _Pieces(self.transducer)
-        self.ids_of = self.pieces.__getitem__
         self.bytes_of = self.transducer.tokens.__getitem__
 
     def encode(self, text: str) -> Iterator[list[int]]:
@@ -483,9 +474,9 @@ class Codec:
 
     def _settled(self, held: list[tuple[int, list[str]]]) -> Iterator[tuple[int, list[int]]]:
         known = [list(map(self.pieces.get, pieces)) for _, pieces in held]
-        self.pieces.learn({piece for (_, pieces), own in zip(held, known) for piece, ids in zip(pieces, own) if ids is None})
+        new = self.pieces.learn({piece for (_, pieces), own in zip(held, known) for piece, ids in zip(pieces, own) if ids is None})
         for (i, pieces), own in zip(held, known):
-            yield i, list(chain.from_iterable([ids or self.ids_of(piece) for piece, ids in zip(pieces, own)]))
+            yield i, list(chain.from_iterable([ids or new[piece] for piece, ids in zip(pieces, own)]))
 
     def decode(self, ids: Iterable[int]) -> Iterator[bytes]:
         """Bytes in portions; unknown ids raise."""
@@ -496,7 +487,7 @@ class Codec:
     def close(self) -> None:
         self.transducer.close()
         self.pieces.clear()
-        self.pieces.older, self.pieces.long = {}, {}
+        self.pieces.older = {}
 
     def text(self, ids: Iterable[int]) -> str:
         stream = Utf8Stream()
