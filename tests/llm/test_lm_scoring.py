@@ -198,3 +198,67 @@ def test_every_previous_word_is_a_context_of_its_own(monkeypatch):
         got = lm._answered([r | {"width": 1} for r in back if r["bucket"] == bucket])
         assert (got[0] == own.contexts[own.member == (bucket == 9)]).all()
         assert [plain[u] for u in got[0].tolist()] == got[1][:, 0].tolist()
+
+
+def dealt(rng, texts, buckets):
+    """Batches of _deal and of _gather for some texts in one portion, all for training but each fifth."""
+    batch = lm.pa.RecordBatch.from_arrays([lm.pa.array(range(texts)), lm.pa.array(range(texts)), lm.pa.array([i % 5 == 1 for i in range(texts)]),
+                                           lm.pa.array([" ".join(f"w{k}" for k in rng.zipf(1.3, 100) % 50_000).encode() for _ in range(texts)])],
+                                          ["row", "doc_id", "held_out", "text"])
+    hot = np.empty(0, np.uint64)
+    sent = lm.pa.Table.from_batches(lm._deal(buckets, hot)(iter([batch]))).sort_by("bucket")
+    return sent, lm.pa.Table.from_batches(lm._gather(buckets, hot)(iter(sent.to_batches())))
+
+
+def test_bytes_that_a_token_takes_on_disk():
+    """What is dealt and what is stored of it: both hold each (word, context) of a portion once, contexts by number."""
+    sent, kept = dealt(np.random.default_rng(5), 2000, 16)
+    tokens = 2000 * 101
+    assert sum(c.nbytes for c in sent.columns) < 3.7 * tokens  # 4.2 with all entries and whole contexts
+    assert sum(c.nbytes for c in kept.columns) < 3.7 * tokens  # 6.2
+
+
+def test_answers_come_back_in_the_order_of_the_pairs():
+    """Each pair of a portion is one of its bucket's, the same number of them as its texts' row has."""
+    sent, kept = dealt(np.random.default_rng(6), 300, 4)
+    texts = [r for r in sent.to_pylist() if r["bucket"] < 0]
+    parts = {r["bucket"]: lm._unpacked(r["part"]) for r in sent.to_pylist() if r["bucket"] >= 0}
+    entries, doc, n, ids, null, held, n_tokens = lm._columns(texts[0]["part"])
+    assert len(texts) == 1 and len(entries) == sum(len(p[1]) for p in parts.values()) and entries.sum() == len(doc) == len(n)
+    assert n_tokens.tolist() == [101] * 300 and ids.tolist() == list(range(300)) and not null.any() and held.sum() == 60
+    for row in kept.to_pylist():
+        if row["part"] is not None:
+            _, word, context, c = lm._unpacked(row["part"])
+            (block, places), = map(lm._columns, row["places"])
+            at = np.cumsum(places).astype(int)
+            own = parts[row["bucket"]]
+            assert int(block[0]) == own[0] == texts[0]["block"]
+            assert (word[at] == own[1]).all() and (context[at] == own[2]).all() and (c[at] == own[3]).all()
+            assert (np.lexsort((context, word)) == np.arange(len(word))).all()
+
+
+def test_squeezed_numbers_come_back():
+    for columns in ([[]], [[0]], [[5, 0, 2 ** 64 - 1], [], [255, 256]], [[True, False]]):
+        got = lm._columns(lm._squeezed(*(np.array(c, np.uint64) for c in columns)))
+        assert [c.tolist() for c in got] == columns
+
+
+def test_shuffles_of_a_stored_frame_leave_the_disk(spark):
+    """The setting holds while the frame is written, and only then."""
+    from valorem.llm import common
+
+    before = spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    frame = spark.range(1000).repartition(4, "id")
+    seen = []
+
+    class Spy:
+        sparkSession, schema = spark, frame.schema
+
+        class write:
+            @staticmethod
+            def parquet(path):
+                seen.append(spark.conf.get(common.SHUFFLE_CLEANUP, None))
+                frame.write.parquet(path)
+
+    assert common.stored(Spy, "kept").count() == common.stored(Spy, "dropped", drop_shuffles=True).count() == 1000
+    assert seen == [before, "true"] and spark.conf.get(common.SHUFFLE_CLEANUP, None) == before

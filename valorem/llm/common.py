@@ -17,15 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Spark's setting that drops the files of a statement's shuffles when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Write to the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor costs only the tasks it ran, and the
-    stages after it read the files instead of the texts.
+    stages after it read the files instead of the texts. ``drop_shuffles``:
+    what the write shuffled leaves the disk with its end; for frames that
+    nothing reads again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if not drop_shuffles:
+        df.write.parquet(path)
+    else:
+        before = spark.conf.get(SHUFFLE_CLEANUP, None)
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(batches, rows: int = 1000):

@@ -21,14 +21,24 @@ dish is in one place. What a restaurant's dishes share (c_u, T_u) is added up
 over the buckets before the next pass: a bucket sends its own sums for each of
 its contexts, dealt into blocks by context; a block adds up what the buckets
 sent and answers each with the totals of the contexts that it named; the
-answers are stored and joined to the buckets. A context is one row of a part
+answers are stored, in the order of the bucket's contexts and without naming
+them again, and joined to the buckets. A context is one row of a part
 for each bucket that has it, however common it is. Within a pass the totals
 stay fixed, so rows are seated independently of one another. Random numbers are hashes of (word, context,
 round): the result doesn't depend on partitions, order or retries.
 
+Texts are dealt in portions. Only the distinct (word, context) of a portion go
+to the buckets, each with its training tokens; which texts have them stays in
+a row of the portion. A bucket answers a portion with the probability and the
+word's count of each pair that it was sent, in the same order, and the
+portion's row adds them up by text.
+
 Words that hold half of ``HOT_SHARE`` of all tokens or more (at most 2 / HOT_SHARE
 words) are split over buckets by context; their parent counts are summed like
 T_u. Within a text, repeats of a (context, word) are one entry.
+
+On the way, numbers are kept as differences in sorted order, byte by byte,
+compressed. A shuffle's files are dropped when its result is stored.
 """
 
 from __future__ import annotations
@@ -61,11 +71,13 @@ HOT_SHARE = 0.002
 BUCKET_TOKENS = 1_200_000
 LEAST_BUCKETS = 128
 #: Tokens that a task sorts at once before it deals them out.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 2_000_000
 #: Bytes of text that are hashed at once.
 BLOCK = 1 << 20
 #: Packed bytes of buckets that are seated together at least.
-JOINED = 1_500_000
+JOINED = 1_000_000
+#: Steps of 1 in which a pair's -log10 probability is sent (in four bytes, so it may be 32 at most).
+STEPS = 1 << 27
 
 END = mix(np.array([0x656E64], np.uint64))[0]
 _LOWER = np.arange(256, dtype=np.uint64)
@@ -189,67 +201,111 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 # --- dealing words to buckets --------------------------------------------------------------------------------
 
-_ENTRY = pa.schema([("word", pa.uint64()), ("context", pa.uint64()), ("doc", pa.uint32()), ("n", pa.uint32())])
-
-
-def _packed(word, context, doc, n, first_row: int) -> bytes:
-    sink = pa.BufferOutputStream()
-    schema = _ENTRY.with_metadata({"first_row": str(first_row)})
-    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(pa.RecordBatch.from_arrays([pa.array(x) for x in (word, context, doc, n)], schema=schema))
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(parts: list[bytes]):
-    """word, context, row, held out, n, number of the part, of all entries."""
-    out = [[], [], [], [], [], []]
-    for number, part in enumerate(parts):
-        with pa.ipc.open_stream(part) as reader:
-            first = int(reader.schema.metadata[b"first_row"])
-            for batch in reader:
-                word, context, doc, n = (c.to_numpy() for c in batch.columns)
-                for x, v in zip(out, (word, context, first + (doc >> 1).astype(np.int64), (doc & 1).astype(bool), n.astype(np.int32),
-                                    np.full(len(word), number, np.int32))):
-                    x.append(v)
-    for i, x in enumerate(out):
-        out[i] = np.concatenate(x)
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers (0 or more), each byte of a number apart from the others, compressed."""
+    head, raw = [len(columns)], []
+    for column in columns:
+        column = np.ascontiguousarray(column).astype(np.uint64)
+        width = max(1, (int(column.max()).bit_length() + 7) // 8) if len(column) else 1
+        head += [len(column), width]
+        raw.append(column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    data = b"".join([np.array(head, np.int64).tobytes(), *raw])
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _columns(data: bytes) -> list[np.ndarray]:
+    """The columns of ``_squeezed``, as unsigned 64-bit numbers."""
+    raw = np.frombuffer(pa.decompress(memoryview(data)[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True), np.uint8)
+    count = int(raw[:8].view(np.int64)[0])
+    head = raw[8:8 + 16 * count].view(np.int64).tolist()
+    out, at = [], 8 + 16 * count
+    for n, width in zip(head[0::2], head[1::2]):
+        column = np.zeros((n, 8), np.uint8)
+        column[:, :width] = raw[at:at + n * width].reshape(width, n).T
+        out.append(column.view(np.uint64)[:, 0])
+        at += n * width
     return out
 
 
-_DEALT = "bucket int, part binary, row long, doc_id long, held_out boolean, n_tokens long"
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
+def _starts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Places where a row differs from the one before."""
+    new = np.zeros(len(sorted_columns[0]), bool)
+    new[:1] = True
+    for x in sorted_columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _pairs_packed(word, context, c, block: int) -> bytes:
+    """Distinct (word, context) in order, c training tokens of each: words and contexts once, then each pair's context by its place."""
+    first = _starts(word)
+    known, place = np.unique(context, return_inverse=True)
+    place = _steps(place.astype(np.int64))
+    place[first] = np.searchsorted(known, context[first])
+    return _squeezed(np.array([block]), _steps(word[first]), np.diff(np.append(first, len(word))), _steps(known), place, c)
+
+
+def _packed(word, context, doc, n, block: int) -> bytes:
+    """The pairs of entries in order of (word, context). n counts for training unless the last bit of ``doc`` is set."""
+    first = _starts(word, context)
+    return _pairs_packed(word[first], context[first], np.add.reduceat(np.where(doc & 1, 0, n).astype(np.int64), first), block)
+
+
+def _unpacked(part: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """block, and the word, context and training tokens of each pair."""
+    block, word, runs, known, place, c = _columns(part)
+    runs = runs.astype(np.int64)
+    first = np.cumsum(runs) - runs
+    upto = np.cumsum(place)
+    place = upto - np.repeat(upto[first] - place[first], runs)
+    return int(block[0]), np.repeat(np.cumsum(word), runs), np.cumsum(known)[place.astype(np.int64)], c.astype(np.int64)
+
+
+_DEALT = "bucket int, block long, part binary"
+
+
+def _dealt_batch(rows) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int64(), pa.binary()))], ["bucket", "block", "part"])
 
 
 def _deal(buckets: int, hot: np.ndarray):
-    """(row, doc_id, held_out, text) -> a row for each text, and for each bucket and block one packed part."""
+    """(row, doc_id, held_out, text) -> for each portion a row of its texts (in a bucket below 0), and for each of its buckets one packed part.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(bucket, part, row, doc_id, held_out, n_tokens) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(bucket, pa.int32()), pa.array(part, pa.binary()), pa.array(row, pa.int64()), pa.array(doc_id, pa.int64()),
-                 pa.array(held_out, pa.bool_()), pa.array(n_tokens, pa.int64())],
-                ["bucket", "part", "row", "doc_id", "held_out", "n_tokens"])
+    The texts' row has the entries of each pair, in the order of bucket, word
+    and context: their number, then text and repeats of each.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches):
-            row, held = batch.column(0).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)
+            block, ids, held = batch.column(0)[0].as_py(), batch.column(1), batch.column(2).to_numpy(zero_copy_only=False)
             doc, word, context = tokens(batch.column(3).to_pylist())
-            yield out((-1 - row % buckets).astype(np.int32), [None] * len(row), row, batch.column(1), held, np.bincount(doc, minlength=len(row)))
-            # By word, then context (16 bits of it), then text: the high bits of the word's hash order the buckets too.
-            order = np.argsort((word & ~np.uint64(0xFFFF)) | (context & np.uint64(0xFFFF)), kind="stable")
+            n_tokens = np.bincount(doc, minlength=len(ids))
+            known, place = np.unique(word, return_inverse=True)
+            follows, at = np.unique(context, return_inverse=True)
+            order = np.argsort(place.astype(np.int64) * len(follows) + at, kind="stable")  # by word, context, text
+            del place, at, known, follows
             doc, word, context = doc[order], word[order], context[order]
-            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]))))
+            new = _starts(word, context, doc)
             n = np.diff(np.append(new, len(word)))
             doc, word, context = doc[new], word[new], context[new]
-            bucket = (((word >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+            bucket = (((word >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)  # grows with the word
             split = _among(word, hot) >= 0
             if split.any():
                 spread = mix(word[split] ^ mix(context[split]))
                 bucket[split] = (((spread >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 bucket, doc, word, context, n = bucket[order], doc[order], word[order], context[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-            code = ((row - row[0])[doc] << 1 | held[doc]).astype(np.uint32)
+            entries = np.diff(np.append(_starts(word, context), len(word)))
+            texts = _squeezed(entries, doc, n, np.asarray(pc.fill_null(ids, 0)).view(np.uint64), np.asarray(pc.is_null(ids)), held, n_tokens)
+            yield _dealt_batch([(-1 - int(mix(np.array([block], np.uint64))[0]) % buckets, block, texts)])
+            first = _starts(bucket)
             for a, b in zip(first, np.append(first[1:], len(bucket))):
-                yield out([bucket[a]], [_packed(word[a:b], context[a:b], code[a:b], n[a:b].astype(np.uint32), int(row[0]))], [None], [None], [None], [None])
+                yield _dealt_batch([(int(bucket[a]), block, _packed(word[a:b], context[a:b], held[doc[a:b]].astype(np.uint8), n[a:b], block))])
 
     return run
 
@@ -390,35 +446,36 @@ def seated(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndar
 
 
 class Bucket:
-    """Entries of a bucket, or of several, by (word, context), with training counts.
+    """Pairs of a bucket, or of several, by (word, context), with training counts.
 
     ``members`` has the place of each part's bucket among them. Contexts are
     numbered by bucket, then in order, so each bucket has its own.
     """
 
     def __init__(self, parts: list[bytes], hot: np.ndarray, members: list[int] | None = None):
-        word, context, row, held, n, number = _unpacked(parts)
-        member = np.array(members if members is not None else [0] * len(parts), np.int32)[number]
-        del number
+        self.blocks, words, contexts, counts = map(list, zip(*map(_unpacked, parts)))  # the first: of each part
+        sizes = [len(x) for x in words]
+        member = np.repeat(np.array(members if members is not None else [0] * len(parts), np.int32), sizes)
+        word, context, c = np.concatenate(words), np.concatenate(contexts), np.concatenate(counts)
+        del words, contexts, counts
         order = np.argsort(context, kind="stable")
         order = order[np.argsort(word[order], kind="stable")]
-        word, context, self.row, self.n, member = word[order], context[order], row[order], n[order], member[order]
-        train = np.where(held[order], 0, self.n).astype(np.int64)
-        del order, row, n, held
-        new_word = np.concatenate(([True], word[1:] != word[:-1]))
-        new_pair = new_word | np.concatenate(([True], context[1:] != context[:-1]))
-        pair_at, word_at = np.flatnonzero(new_pair), np.flatnonzero(new_word)
-        self.pair = np.cumsum(new_pair, dtype=np.int32) - 1  # of an entry
-        self.c = np.add.reduceat(train, pair_at)
-        context, member = context[pair_at], member[pair_at]
-        order = np.lexsort((context, member))
-        new = np.concatenate(([True], (np.diff(member[order]) != 0) | (context[order][1:] != context[order][:-1])))
-        self.context = np.empty(len(order), np.int64)
-        self.context[order] = np.cumsum(new) - 1
-        self.contexts, self.member = context[order][new], member[order][new]  # of a number
-        self.word_of = (np.cumsum(new_word, dtype=np.int32) - 1)[pair_at]  # of a pair
+        word, context, c, member = word[order], context[order], c[order], member[order]
+        pair_at, word_at = _starts(word, context), _starts(word)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.repeat(np.arange(len(pair_at), dtype=np.int32), np.diff(np.append(pair_at, len(order))))
+        self.places = np.split(place, np.cumsum(sizes)[:-1])  # by part: which of the pairs are its own
+        del order, place
+        self.c = np.add.reduceat(c, pair_at)
+        self.count = np.add.reduceat(c, word_at)
         self.word = word[word_at]
-        self.count = np.add.reduceat(train, word_at)
+        self.word_of = np.repeat(np.arange(len(word_at), dtype=np.int32), np.diff(np.append(word_at, len(word))))[pair_at]  # of a pair
+        context, self.owner = context[pair_at], member[pair_at]
+        order = np.lexsort((context, self.owner))
+        new = _starts(context[order], self.owner[order])
+        self.context = np.empty(len(order), np.int64)
+        self.context[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(order))))
+        self.contexts, self.member = context[order][new], self.owner[order][new]  # of a number
         self.hot = _among(self.word, hot)
         self.key = mix(self.word[self.word_of] ^ mix(context))
 
@@ -442,35 +499,29 @@ class Bucket:
             yield t.copy(), customers, tables
 
 
-def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[list[int], Bucket, np.ndarray]]:
-    """(numbers of the buckets, their entries, the totals of their contexts), small ones joined.
+def _buckets(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[list[dict], Bucket, np.ndarray | None]]:
+    """(rows of the buckets, their pairs, the totals of their contexts), small ones joined.
 
     Seating depends on word and context alone, so joining changes nothing.
     """
-    numbers, parts, members, answers, held = [], [], [], [], 0
-
-    def settle() -> tuple[list[int], Bucket, np.ndarray]:
-        own = Bucket(parts, hot, members)
-        totals = []
-        for at in range(len(answers[0])):
-            context, values = map(np.concatenate, zip(*(_answered(x[at]) for x in answers)))
-            if not np.array_equal(context, own.contexts):
-                raise ValueError("totals of other contexts than the bucket's")
-            totals.append(values)
-        return list(numbers), own, np.concatenate(totals, axis=1)
+    rows, held = [], 0
+
+    def settle() -> tuple[list[dict], Bucket, np.ndarray | None]:
+        own = Bucket([x["part"] for x in rows], hot, list(range(len(rows))))
+        totals = [np.concatenate([_in_order(x[k]) for x in rows]) for k in sorted(rows[0]) if k.startswith("totals")]
+        if any(len(x) != len(own.contexts) for x in totals):
+            raise ValueError("totals of other contexts than the bucket's")
+        return rows, own, np.concatenate(totals, axis=1) if totals else None
 
     for batch in batches:
         for row in batch.to_pylist():
-            members += [len(numbers)] * len(row["parts"])
-            numbers.append(row["bucket"])
-            parts += row["parts"]
-            answers.append([row[k] for k in sorted(row) if k.startswith("totals")])
-            held += sum(map(len, row["parts"]))
+            rows.append(row)
+            held += len(row["part"])
             if held >= JOINED:
                 yield settle()
-                numbers, parts, members, answers, held = [], [], [], [], 0
+                rows, held = [], 0
                 pa.default_memory_pool().release_unused()
-    if parts:
+    if rows:
         yield settle()
 
 
@@ -480,18 +531,18 @@ _SENT = "bucket int, block int, n long, sums binary"
 
 
 def _sums_packed(context: np.ndarray, values: np.ndarray) -> bytes:
-    raw = context.tobytes() + np.ascontiguousarray(values.T, np.float64).tobytes()
-    return pa.compress(raw, "zstd", asbytes=True)
+    """Contexts in order and their counts, all whole numbers."""
+    return _squeezed(_steps(context), *values.T)
 
 
-def _sums_unpacked(n: int, columns: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = pa.decompress(data, 8 * n * (1 + columns), "zstd", asbytes=True)
-    return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.float64, n * columns, 8 * n).reshape(columns, n).T
+def _sums_unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    context, *values = _columns(data)
+    return np.cumsum(context), np.stack(values, axis=1).astype(np.float64)
 
 
 def _answered(answer: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """Contexts in order, and the totals of each."""
-    parts = [_sums_unpacked(x["n"], x["width"], x["sums"]) for x in answer]
+    parts = [_sums_unpacked(x["sums"]) for x in answer]
     context, values = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
     order = np.argsort(context)
     return context[order], values[order]
@@ -518,7 +569,7 @@ def _add_up(columns: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(held: list[dict]) -> pa.RecordBatch:
-            parts = [_sums_unpacked(x["n"], columns, x["sums"]) for x in held]
+            parts = [_sums_unpacked(x["sums"]) for x in held]
             _, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
             values = np.concatenate([v for _, v in parts])
             total = np.stack([np.bincount(place, weights=values[:, k])[place] for k in range(columns)], axis=1)
@@ -539,10 +590,50 @@ def _add_up(columns: int):
     return run
 
 
-def _totals(sent: DataFrame, columns: int, name: str) -> DataFrame:
-    """bucket, ``name``: the totals of the bucket's contexts in ``columns`` columns, in parts."""
-    rows = stored(sent.repartition("block").sortWithinPartitions("block").mapInArrow(_add_up(columns), _SENT), f"lm-{name}")
-    return rows.groupBy("bucket").agg(F.collect_list(F.struct("n", F.lit(columns).alias("width"), "sums")).alias(name))
+_ADDED = "bucket int, first long, sums binary, kind string, key long, value double"
+
+
+def _add_all(columns: int):
+    """``_sample``'s rows sorted by block -> totals of each part without the contexts' names (but the first, for order), and the other numbers as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: list[pa.RecordBatch] = []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = np.asarray(batch.column(1)) >= 0
+                yield batch.filter(pa.array(own)).select(["bucket", "block", "n", "sums"])
+                numbers.append(batch.filter(pa.array(~own)).select(["kind", "key", "value"]))
+
+        def out(**found) -> pa.RecordBatch:
+            n = len(next(iter(found.values())))
+            types = (pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.float64())
+            names = [x.split()[0] for x in _ADDED.split(", ")]
+            return pa.RecordBatch.from_arrays([found[c] if c in found else pa.nulls(n, t) for c, t in zip(names, types)], names)
+
+        for batch in _add_up(columns)(sent()):
+            first, sums = [], []
+            for data in batch.column(3).to_pylist():
+                context, values = _answered([{"sums": data}])
+                first.append(context[0])
+                sums.append(_squeezed(*values.T))
+            yield out(bucket=batch.column(0), first=pa.array(np.array(first, np.uint64).view(np.int64)), sums=pa.array(sums, pa.binary()))
+        for batch in numbers:
+            yield out(**dict(zip(batch.schema.names, batch.columns)))
+
+    return run
+
+
+def _in_order(answer: list[dict]) -> np.ndarray:
+    """The totals of a bucket's contexts, in the order of the contexts."""
+    return np.concatenate([np.stack(_columns(x["sums"]), axis=1) for x in sorted(answer, key=lambda x: x["first"] % (1 << 64))]).astype(np.float64)
+
+
+def _totals(sent: DataFrame, columns: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(bucket, ``name``: the totals of the bucket's contexts in ``columns`` columns, in parts), and the other numbers of ``_sample``."""
+    rows = stored(sent.repartition("block").sortWithinPartitions("block").mapInArrow(_add_all(columns), _ADDED), f"lm-{name}", drop_shuffles=True)
+    return (rows.filter("sums is not null").groupBy("bucket").agg(F.collect_list(F.struct("first", "sums")).alias(name)),
+            rows.filter("kind is not null").select("kind", "key", "value"))
 
 
 def _stats_rows(kinds: dict[str, dict[int, float] | np.ndarray]) -> pa.RecordBatch:
@@ -556,15 +647,14 @@ def _stats_rows(kinds: dict[str, dict[int, float] | np.ndarray]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(key, pa.int64()), pa.array(value, pa.float64())], ["kind", "key", "value"])
 
 
-_GATHERED = "bucket int, parts array<binary>, row long, doc_id long, held_out boolean, n_tokens long, kind string, key long, value double, block int, n long, sums binary"
+_GATHERED = "bucket int, part binary, places array<binary>, block long, texts binary, kind string, key long, value double"
 
 
 def _gather(buckets: int, hot: np.ndarray):
-    """Rows sorted by bucket -> one row for each bucket, the texts' rows, and the corpus counts of this task."""
+    """Rows sorted by bucket -> one row for each bucket, the portions' rows, and the corpus counts of this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int32(), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.float64(),
-                 pa.int32(), pa.int64(), pa.binary()]
+        types = [pa.int32(), pa.binary(), pa.list_(pa.binary()), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.float64()]
         names = [x.split()[0] for x in _GATHERED.split(", ")]
 
         def out(n: int, /, **columns) -> pa.RecordBatch:
@@ -574,10 +664,9 @@ def _gather(buckets: int, hot: np.ndarray):
         sums = {k: 0.0 for k in ("words", "tokens", "pairs1", "pairs2", "words1", "words2", "root")}
         hot_count, hot_root = np.zeros(len(hot)), np.zeros(len(hot))
 
-        def settle(bucket: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        def settle(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
             own = Bucket(parts, hot)
             live = own.c > 0
-            pairs = np.stack([np.bincount(own.context, weights=x, minlength=len(own.contexts)) for x in (own.c, live)], axis=1)
             dishes = np.bincount(own.word_of[live], minlength=len(own.word))
             cold = own.hot < 0
             np.add.at(hot_count, own.hot[~cold], own.count[~cold])
@@ -586,9 +675,9 @@ def _gather(buckets: int, hot: np.ndarray):
                          ("pairs1", (own.c == 1).sum()), ("pairs2", (own.c == 2).sum()),
                          ("words1", (dishes[cold] == 1).sum()), ("words2", (dishes[cold] == 2).sum())):
                 sums[k] += float(v)
-            yield out(1, bucket=pa.array([bucket], pa.int32()), parts=pa.array([parts], pa.list_(pa.binary())))
-            sent = _sent_batch(_sent([bucket], own, pairs, buckets))
-            yield out(sent.num_rows, **dict(zip(sent.schema.names, sent.columns)))
+            part = _pairs_packed(own.word[own.word_of], own.contexts[own.context], own.c, 0)
+            places = [_squeezed(np.array([block]), _steps(place)) for block, place in zip(own.blocks, own.places)]
+            return out(1, bucket=pa.array([bucket], pa.int32()), part=pa.array([part], pa.binary()), places=pa.array([places], pa.list_(pa.binary())))
 
         at, parts = None, []
         for batch in batches:
@@ -596,15 +685,15 @@ def _gather(buckets: int, hot: np.ndarray):
             texts = np.flatnonzero(dealt < 0)
             if len(texts):
                 own = batch.take(pa.array(texts))
-                yield out(len(texts), **{c: own.column(i) for i, c in ((2, "row"), (3, "doc_id"), (4, "held_out"), (5, "n_tokens"))})
+                yield out(len(texts), block=own.column(1), texts=own.column(2))
             for i in np.flatnonzero(dealt >= 0):
                 if at is not None and dealt[i] != at:
-                    yield from settle(at, parts)
+                    yield settle(at, parts)
                     parts = []
                 at = int(dealt[i])
-                parts.append(batch.column(1)[int(i)].as_py())
+                parts.append(batch.column(2)[int(i)].as_py())
         if parts:
-            yield from settle(at, parts)
+            yield settle(at, parts)
         found = {k: {0: v} for k, v in sums.items()} | {"hot_count": hot_count, "hot_root": hot_root}
         stats = _stats_rows(found)
         yield out(stats.num_rows, kind=stats.column(0), key=stats.column(1), value=stats.column(2))
@@ -630,6 +719,27 @@ def _discount(ones: float, twos: float) -> float:
 _SAMPLED = _SENT + ", kind string, key long, value double"
 
 
+def _sampled_batch(rows: pa.RecordBatch, blocks: int) -> pa.RecordBatch:
+    """Rows of _SENT, or of ``_stats_rows`` in blocks below 0."""
+    own = dict(zip(rows.schema.names, rows.columns))
+    if "key" in own:
+        own["block"] = pa.array(-1 - np.asarray(own["key"]) % blocks, pa.int32())
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.float64()]
+    names = [x.split()[0] for x in _SAMPLED.split(", ")]
+    return pa.RecordBatch.from_arrays([own[c] if c in own else pa.nulls(rows.num_rows, t) for c, t in zip(names, types)], names)
+
+
+def _count(hot: np.ndarray, blocks: int):
+    """Buckets -> the sums by context of tokens and of dishes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, own, _ in _buckets(batches, hot):
+            pairs = np.stack([np.bincount(own.context, weights=x, minlength=len(own.contexts)) for x in (own.c, own.c > 0)], axis=1)
+            yield _sampled_batch(_sent_batch(_sent([x["bucket"] for x in rows], own, pairs, blocks)), blocks)
+
+    return run
+
+
 def _sample(shared, blocks: int):
     """Buckets with totals (the last column: T_u) -> for each sample the sums of t by context, of C_w and t_w over the words, and of t by hot word."""
 
@@ -637,15 +747,8 @@ def _sample(shared, blocks: int):
         totals: Totals = shared.value
         n = totals.samples
         found = {"customers": np.zeros(n), "root": np.zeros(n), "hot": np.zeros(n * max(1, len(totals.hot)))}
-        names = [x.split()[0] for x in _SAMPLED.split(", ")]
 
-        def out(rows: pa.RecordBatch) -> pa.RecordBatch:
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.float64()]
-            own = dict(zip(rows.schema.names, rows.columns))
-            return pa.RecordBatch.from_arrays([own.get(c, pa.nulls(rows.num_rows, t)) for c, t in zip(names, types)], names)
-
-        for numbers, own, known in _buckets(batches, totals.hot):
-            own.row = own.n = own.pair = None  # only the counts matter here
+        for rows, own, known in _buckets(batches, totals.hot):
             cold = own.hot < 0
             by_context = np.zeros((len(own.contexts), n))
             for r, (t, customers, tables) in enumerate(own.rounds(replace(totals, tables=known[:, -1]))):
@@ -655,8 +758,8 @@ def _sample(shared, blocks: int):
                     found["customers"][s] += customers.sum()
                     found["root"][s] += tables[cold].sum()
                     np.add.at(found["hot"], s * len(totals.hot) + own.hot[~cold], customers[~cold])
-            yield out(_sent_batch(_sent(numbers, own, by_context, blocks)))
-        yield out(_stats_rows(found))
+            yield _sampled_batch(_sent_batch(_sent([x["bucket"] for x in rows], own, by_context, blocks)), blocks)
+        yield _sampled_batch(_stats_rows(found), blocks)
 
     return run
 
@@ -665,30 +768,25 @@ def _sampled(model: DataFrame, totals: Totals, blocks: int, name: str) -> DataFr
     """Fills totals.sampled by one pass over the buckets with totals; gives T_u of each sample."""
     shared = model.sparkSession.sparkContext.broadcast(totals)
     n = len(totals.hot)
-    rows = stored(model.mapInArrow(_sample(shared, blocks), _SAMPLED), "lm-sampled")
-    got = _sums(rows.filter("kind is not null").select("kind", "key", "value"),
-                {"customers": totals.samples, "root": totals.samples, "hot": totals.samples * max(1, n)})
+    tables_of, numbers = _totals(model.mapInArrow(_sample(shared, blocks), _SAMPLED), totals.samples, name)
+    got = _sums(numbers, {"customers": totals.samples, "root": totals.samples, "hot": totals.samples * max(1, n)})
     totals.sampled = []
     for s in range(totals.samples):
         customers = got["hot"][s * n:(s + 1) * n]
         tables = seated(customers.astype(np.int64), np.full(n, totals.root_weight()), totals.discounts[0], mix(totals.hot + np.uint64(1000 + totals.burn_in + s)))
         root = (float(got["customers"][s]), float(got["root"][s] + tables.sum()))
         totals.sampled.append((root, totals.root_probability(customers, tables, root)))
-    return _totals(rows.filter("sums is not null").select("bucket", "block", "n", "sums"), totals.samples, name)
+    return tables_of
 
 
 def _score(shared):
-    """Buckets with totals, in columns: c_u, first T_u, T_u that seatings start from, T_u of each sample."""
+    """Buckets with totals, in columns: c_u, first T_u, T_u that seatings start from, T_u of each sample -> answers to the portions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Totals = shared.value
         s1, d1 = STRENGTH[1], totals.discounts[1]
 
-        def batch(rows, known, base, score) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
-                                              ["row", "n_known", "base", "score"])
-
-        for _, own, known in _buckets(batches, totals.hot):
+        for rows, own, known in _buckets(batches, totals.hot):
             p = np.zeros(len(own.c))
             u = own.context
             for r, (t, customers, tables) in enumerate(own.rounds(replace(totals, tables=known[:, 2]))):
@@ -701,17 +799,51 @@ def _score(shared):
             count = own.count
             if len(totals.hot):
                 count = np.where(own.hot >= 0, totals.hot_count[own.hot], count)
-            word_of = own.word_of[own.pair]
-            n = own.n
-            yield batch(*_added(own.row, n * (count[word_of] > 0), n * np.log10(count + 0.5)[word_of], n * np.log10(p / totals.samples)[own.pair]))
+            count = count[own.word_of]
+            cost = np.rint(np.maximum(-np.log10(p / totals.samples), 0) * STEPS)
+            if not cost.max() < 1 << 32:
+                raise ValueError("a probability below 1e-32")
+            for number, row in enumerate(rows):
+                mine = np.flatnonzero(own.owner == number)  # the bucket's pairs, in its own order
+                for data in row["places"]:
+                    block, place = _columns(data)
+                    at = mine[np.cumsum(place).astype(np.int64)]
+                    yield _dealt_batch([(row["bucket"], int(block[0]), _squeezed(cost[at], count[at]))])
 
     return run
 
 
-def _added(row: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, sums...) with one entry for each row."""
-    rows, place = np.unique(row, return_inverse=True)
-    return rows, *(np.bincount(place, weights=v, minlength=len(rows)) for v in values)
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by portion and bucket (first its texts) -> the sums of each text."""
+
+    def settle(texts: bytes, answers: list[bytes]) -> pa.RecordBatch:
+        entries, doc, n, ids, null, held, n_tokens = _columns(texts)
+        cost, count = (np.concatenate(x).astype(np.float64) for x in zip(*map(_columns, answers)))
+        if len(cost) != len(entries):
+            raise ValueError("answers to other pairs than the portion's")
+        entries, doc, n = entries.astype(np.int64), doc.astype(np.int64), n.astype(np.float64)
+        known, base, score = (np.bincount(doc, weights=n * np.repeat(x, entries), minlength=len(ids))
+                              for x in (count > 0, np.log10(count + 0.5), cost / -STEPS))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids.view(np.int64), mask=null.astype(bool)), pa.array(held.astype(bool)), pa.array(n_tokens.astype(np.int64)),
+             pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], [x.split()[0] for x in _SCORED.split(", ")])
+
+    block, texts, answers = None, None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] < 0:
+                if block is not None:
+                    yield settle(texts, answers)
+                block, texts, answers = row["block"], row["part"], []
+            elif row["block"] != block:
+                raise ValueError("an answer without texts")
+            else:
+                answers.append(row["part"])
+    if block is not None:
+        yield settle(texts, answers)
 
 
 def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFrame:
@@ -727,8 +859,8 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFram
     hot, n = hot_words(docs)
     buckets = buckets or max(LEAST_BUCKETS, math.ceil(n / BUCKET_TOKENS))
     dealt = own.mapInArrow(_deal(buckets, hot), _DEALT)
-    gathered = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gather(buckets, hot), _GATHERED), "lm-buckets")
-    model = gathered.filter("parts is not null").select("bucket", "parts")
+    gathered = stored(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gather(buckets, hot), _GATHERED), "lm-buckets", drop_shuffles=True)
+    model = gathered.filter("part is not null").select("bucket", "part")
 
     got = _sums(gathered.filter("kind is not null").select("kind", "key", "value"),
                 {"hot_count": max(1, len(hot)), "hot_root": max(1, len(hot)),
@@ -741,18 +873,18 @@ def lm_scores(docs: DataFrame, held_out, buckets: int | None = None) -> DataFram
     totals.hot_root = totals.root_probability(got["hot_root"], np.minimum(got["hot_root"], 1), totals.root)
     # One round from one table per dish, then all rounds from the tables that it found.
     totals.burn_in, totals.samples = 0, 1
-    counted = _totals(gathered.filter("sums is not null").select("bucket", "block", "n", "sums"), 2, "totals0")
+    counted, _ = _totals(model.mapInArrow(_count(hot, buckets), _SAMPLED), 2, "totals0")
     begun = _sampled(model.join(counted, "bucket"), totals, buckets, "totals1")
     totals.root, totals.hot_root = totals.sampled[-1]
     totals.burn_in, totals.samples = BURN_IN, SAMPLES
     kept = _sampled(model.join(begun, "bucket"), totals, buckets, "totals2")
 
     shared = docs.sparkSession.sparkContext.broadcast(totals)
-    sums = (model.join(counted, "bucket").join(begun, "bucket").join(kept, "bucket").mapInArrow(_score(shared), "row long, n_known long, base double, score double")
-            .groupBy("row").agg(F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score")))
-    texts = gathered.filter("row is not null").select("row", "doc_id", "held_out", "n_tokens")
+    asked = gathered.filter("part is not null").select("bucket", "part", "places")
+    answers = stored(asked.join(counted, "bucket").join(begun, "bucket").join(kept, "bucket").mapInArrow(_score(shared), _DEALT), "lm-answers", drop_shuffles=True)
+    texts = gathered.filter("texts is not null").select(F.lit(-1).alias("bucket"), "block", F.col("texts").alias("part"))
     rest = math.log10(totals.tokens + 0.5 * (totals.words + 1))
-    return texts.join(sums, "row").select(
+    return texts.unionByName(answers).repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(_scored, _SCORED).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(rest)).alias("base_score"), "score")
 
