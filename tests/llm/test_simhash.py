@@ -99,3 +99,35 @@ def test_links_of_crowded_balls(spark, most):
     for f, r in plain_components(fps).items():
         want.setdefault(r, set()).add(f)
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
+@pytest.mark.parametrize("task_rows", [100_000, 40])
+def test_small_tables_in_few_files(spark, monkeypatch, task_rows):
+    """Tables of keys are written in files for their rows, not one for each shuffle partition."""
+    from valorem.llm import common, components
+    many = spark.newSession()
+    many.conf.set("spark.sql.shuffle.partitions", "40")
+    many.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(common, "TASK_ROWS", task_rows)
+    written = {}
+
+    def stored(df, name, **more):
+        out = common.stored(df, name, **more)
+        written.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    monkeypatch.setattr(components, "stored", stored)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words) + f" x{i}" if i % 2 else " ".join(rng.choices(words, k=60))) for i in range(200)]
+    docs = many.createDataFrame(rows, "doc_id long, text string")
+    want = expected(rows)
+    got = simhash.simhash_groups(docs)
+    most = -(-200 // task_rows)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert got.rdd.getNumPartitions() <= most
+    left = simhash.one_per_group(docs)
+    assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in want})
+    assert len(written["components"]) > 3 and max(written["simhash-groups"] + written["simhash-gone"]) <= most
+    assert max(written["components"]) == 1 or task_rows < 200

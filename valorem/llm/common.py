@@ -43,6 +43,24 @@ def stored(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few longs each (3.2 MB or so) that a task writes, where a table has as many.
+TASK_ROWS = 100_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` narrow rows at most, in no more partitions than they call for.
+
+    For tables of keys that may be far smaller than what they came from: dealt
+    over all shuffle partitions, each would write a file of a few rows, and
+    without Hadoop's native library a local file system begins processes of its
+    own for every file (chmod). The rows are dealt anew, as joins brought
+    together by coalesce would hold their memory in one task; a table that
+    fills the shuffle's partitions stays as it is.
+    """
+    parts = max(1, -(-rows // TASK_ROWS))
+    return df.repartition(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def small_batches(batches, rows: int = 1000):
     """Arrow batches of fewer rows: as Python objects, texts take several times the room."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import stored
+from valorem.llm.common import sized, stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -33,10 +33,11 @@ def components(links: DataFrame) -> DataFrame:
 
     The table is written after each round, so a lost executor repeats one
     round at most; only a row count and a sum reach the driver. Stars are made
-    by min and join, so no neighbourhood is gathered in one row.
+    by min and join, so no neighbourhood is gathered in one row. No round makes
+    more links than it gets, so each is written in files for the last count.
     """
-    now = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                 "components")
+    ordered = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = stored(sized(ordered, links.count()), "components")
     mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
     seen = None
     while True:
@@ -45,4 +46,4 @@ def components(links: DataFrame) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         seen = state
-        now = stored(_small_star(_large_star(now)), "components")
+        now = stored(sized(_small_star(_large_star(now)), state[0]), "components")

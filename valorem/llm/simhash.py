@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valorem.llm.common import small_batches, stored, table, text_pieces, with_body, without
+from valorem.llm.common import sized, small_batches, stored, table, text_pieces, with_body, without
 from valorem.llm.components import components
 from valorem.llm.hashing import whole_runs
 
@@ -207,7 +207,8 @@ def grouped(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most:
     prints = stored(fingerprint_table(docs, words), "simhash-fingerprints")
     nodes = prints.select("fp").distinct()
     roots = components(near_links(nodes, max_bits, most)).withColumnRenamed("node", "fp")
-    return prints.join(roots, "fp", "left").select("doc_id", "body", "fp", F.coalesce("root", "fp").alias("root"))
+    rows = prints.join(roots, "fp", "left").select("doc_id", "body", "fp", F.coalesce("root", "fp").alias("root"))
+    return sized(rows, prints.count())
 
 
 def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
@@ -220,8 +221,9 @@ def simhash_groups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS
     """
     rows = stored(grouped(docs, words, max_bits, most), "simhash-groups")
     ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(ids, "root").select(
+    out = rows.join(ids, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return sized(out, rows.count())
 
 
 def one_per_group(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
@@ -230,7 +232,7 @@ def one_per_group(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS,
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "body")
     kept = rows.groupBy("root").agg(F.min(first).alias("kept"))
     gone = rows.join(kept, "root").filter(~first.eqNullSafe(F.col("kept"))).select("doc_id", "body")
-    left = without(docs, stored(gone, "simhash-gone"))
+    left = without(docs, stored(sized(gone, rows.count()), "simhash-gone"))
     repeated = rows.groupBy("root", "doc_id", "body").count().filter("count > 1").join(kept, "root").filter(first.eqNullSafe(F.col("kept")))
     if repeated.isEmpty():
         return left
