@@ -1,5 +1,7 @@
 """Models as tables: the evaluator agrees with ``transform`` and sees small changes; importances from nodes."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,3 +50,39 @@ def test_no_forest(spark, fitted):
     linear = {k: m for k, m in models.items() if k[1] == "linear"}
     assert trees.importances(linear, spark).count() == 0
     assert trees.checked(train.predict(linear, prepared, ["linear", "forest"]), linear).agg(F.min("same")).first()[0] is True
+
+
+def test_the_models_are_no_column_beside_the_rows(spark, fitted):
+    """A joined column of trees was copied for each row: time grew as rows x nodes."""
+    prepared, models = fitted
+    plan = trees.checked(train.predict(models, prepared, ["forest"]), models)._jdf.queryExecution().optimizedPlan().toString()
+    above = [ln.strip(" +-").split(" ")[0] for ln in plan.splitlines() if re.match(r" *(\+- )?[A-Z]", ln)]  # from the result down to the two segments
+    above = above[:above.index("Union")] if "Union" in above else above
+    assert "Generate" in above and not {"Join", "Window"} & set(above), above
+
+
+def test_going_down_ten_levels_is_compiled(spark, fitted):
+    """The JVM leaves methods of over 8,000 bytes to its interpreter; the grids' deepest trees have ten levels."""
+    prepared, models = fitted
+    deep = {k: m.copy() for k, m in models.items()}
+    for (_, kind), m in deep.items():
+        if kind.startswith("forest"):
+            m.stages[-1].setMaxDepth(10) if hasattr(m.stages[-1], "setMaxDepth") else m.stages[-1]._set(maxDepth=10)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = trees.checked(train.predict(deep, prepared, S.MODEL_KINDS), deep, ["ID", "segment", "model", "prediction", "missing_features"])
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000, sizes
+
+
+def test_rows_that_repeat_come_out_as_often(spark, fitted):
+    prepared, models = fitted
+    scored = train.predict(models, prepared.unionByName(prepared), S.MODEL_KINDS)
+    got = trees.checked(scored, models, ["ID", "segment", "model", "prediction", "missing_features"])
+    assert got.columns == ["ID", "segment", "model", "prediction", "missing_features", "same"]
+    assert got.count() == scored.count() and got.agg(F.min("same")).first()[0] is True
+    assert got.select("ID", "segment", "model", "prediction").exceptAll(scored.select("ID", "segment", "model", "prediction")).count() == 0

@@ -44,10 +44,11 @@ def score_table(models: dict, df: DataFrame, kinds: list[str], factor: float = 1
         extra = ["is_outlier"]
     usable = [k if any(key[1] == k for key in models) else "forest" for k in kinds]
     scored = train.predict(models, tagged, list(dict.fromkeys(usable)))
+    out = ["ID", "Name", "segment", "model", "prediction", "missing_features", *extra]
     if check:
-        scored, extra = trees.checked(scored, models), [*extra, "same"]
-    return scored.select("ID", "Name", "segment", "model", "prediction",
-                         (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros"), "missing_features", *extra)
+        scored, out = trees.checked(scored, models, out), [*out, "same"]
+    euros = (F.expm1("prediction") * F.lit(factor)).alias("Prediction_euros")
+    return scored.select(*out[:5], euros, *out[5:])
 
 
 def whatif(models: dict, requests: DataFrame, kind: str = "forest", scale: float = S.WHATIF_SCALE) -> DataFrame:

@@ -1,15 +1,16 @@
 """Fitted models as tables, and an evaluator of them that does not use ``transform``.
 
 ``forest_nodes``  every node of every tree as a row (from the forests' own saved form).
-``parameters``    one row per (segment, model): the scale of its features and either its
-                  trees (arrays of nodes) or its coefficients.
 ``checked``       scored rows with ``same``: the prediction computed again from that row.
 ``importances``   feature importances recomputed from the nodes' gains and weights.
 
-The evaluator is a projection: a row goes down each tree by an aggregate over
-the levels, so nothing is shuffled but the parameters. Their size follows from
-the grids and not from the data: at most 120 trees of depth 8 or 50 of depth
-10, some 100,000 nodes (about 5 MB) a model, two segments and two such kinds.
+The evaluator takes each row once for each tree of its forest and goes down a
+level at a time by projections, then averages the leaves by row. The nodes are
+arrays that all rows of a task share (scalar subqueries): as a joined column of
+trees they were copied beside each row, and lambdas that go down such trees are
+not compiled. No value but the averages is shuffled. The arrays' size follows
+from the grids and not from the data: at most 120 trees of depth 8 or 50 of
+depth 10, some 100,000 nodes (about 3 MB) a model, two segments and two such kinds.
 """
 
 from __future__ import annotations
@@ -55,54 +56,69 @@ def forest_nodes(models: dict, spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def parameters(models: dict, spark: SparkSession) -> DataFrame:
-    """segment, model, scale, depth, coefficients, intercept, trees (null for linear models)."""
-    rows = []
-    for (segment, kind), model in models.items():
-        last, std = model.stages[-1], model.stages[1].std.toArray().tolist()
-        scale = [1.0 / s if s else 0.0 for s in std]
-        rows.append((segment, kind, scale, last.getOrDefault("maxDepth"), None, None) if _has_trees(model)
-                    else (segment, kind, scale, None, last.coefficients.toArray().tolist(), float(last.intercept)))
-    flat = spark.createDataFrame(rows, "segment string, model string, scale array<double>, depth int, coefficients array<double>, intercept double")
-    # nodes are numbered 0, 1, ... within a tree, so a node's number is its place in the array
-    node = F.struct("node", "feature", "threshold", "low", "high", "prediction")
-    trees = (forest_nodes(models, spark).groupBy("segment", "model", "tree").agg(F.sort_array(F.collect_list(node)).alias("nodes"))
-             .groupBy("segment", "model").agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("trees")))
-    return flat.join(trees, ["segment", "model"], "left")
-
+def _placed(nodes: DataFrame) -> tuple[DataFrame, dict[tuple[str, str], list[int]]]:
+    """``nodes`` with their ``place`` when the nodes of all trees stand one after another, and the places of each forest's roots.
 
-def _features() -> Column:
-    """The row's features in its segment's order."""
-    arrays = [F.when(F.col("segment") == s, F.array(*[F.col(f).cast("double") for f in S.segment_features(s)])) for s in S.SEGMENTS]
-    return F.coalesce(*arrays)
+    Nodes are numbered 0, 1, ... within a tree; there is one row a tree on the driver.
+    """
+    starts, roots, place = [], {}, 0
+    for r in nodes.groupBy("segment", "model", "tree").count().orderBy("segment", "model", "tree").collect():
+        starts.append((r["segment"], r["model"], r["tree"], place))
+        roots.setdefault((r["segment"], r["model"]), []).append(place)
+        place += r["count"]
+    known = nodes.sparkSession.createDataFrame(starts, "segment string, model string, tree int, start int")
+    return nodes.join(F.broadcast(known), ["segment", "model", "tree"]).withColumn("place", F.col("start") + F.col("node")), roots
 
 
-def _forest(x: Column) -> Column:
-    def leaf(tree: Column) -> Column:
-        def down(at: Column, _level: Column) -> Column:
-            node = F.get(tree["nodes"], at)
-            return F.when(node["low"] < 0, at).when(F.get(x, node["feature"]) <= node["threshold"], node["low"]).otherwise(node["high"])
+def _shared(placed: DataFrame) -> dict[str, Column]:
+    """What the nodes hold in the order of their places: arrays, each a single value (a scalar subquery). A leaf leads to itself."""
+    leaf = F.col("low") < 0
+    held = {"_feature": F.when(leaf, 0).otherwise(F.col("feature")), "_threshold": F.when(leaf, 0.0).otherwise(F.col("threshold")),
+            "_low": F.when(leaf, F.col("place")).otherwise(F.col("start") + F.col("low")),
+            "_high": F.when(leaf, F.col("place")).otherwise(F.col("start") + F.col("high")), "_leaf": F.col("prediction")}
+    return {name: placed.agg(F.sort_array(F.collect_list(F.struct("place", value.alias("value"))))["value"].alias(name)).scalar()
+            for name, value in held.items()}
 
-        return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(1), F.col("depth")), F.lit(0), down))["prediction"]
 
-    return F.aggregate("trees", F.lit(0.0), lambda total, tree: total + leaf(tree)) / F.size("trees")
+def _values(segment: str, model) -> list[Column]:
+    """The row's features in the segment's order, scaled as the model scales them."""
+    std = model.stages[1].std.toArray().tolist()
+    return [F.col(f).cast("double") * F.lit(1.0 / s if s else 0.0) for f, s in zip(S.segment_features(segment), std)]
 
 
-def _linear(x: Column) -> Column:
-    return F.aggregate(F.zip_with("coefficients", x, lambda c, v: c * v), F.col("intercept"), lambda total, v: total + v)
+def _linear(values: list[Column], coefficients: list[float], intercept: float) -> Column:
+    return reduce(Column.__add__, [F.lit(c) * v for c, v in zip(coefficients, values)], F.lit(intercept))
 
 
-def checked(scored: DataFrame, models: dict) -> DataFrame:
-    """``scored`` (the output of train.predict) with ``same``: the prediction is that of the model's table, within TOLERANCE.
+def checked(scored: DataFrame, models: dict, keep: list[str] | None = None) -> DataFrame:
+    """``scored`` (the output of train.predict), or its columns ``keep``, with ``same``: the prediction is that of the model's table, within TOLERANCE.
 
     A row without a prediction is the same when it misses features or its model does not exist.
     """
-    known = F.broadcast(parameters(models, scored.sparkSession))
-    own = scored.join(known, ["segment", "model"], "left").withColumn("_x", F.zip_with(_features(), "scale", lambda v, s: v * s))
-    again = F.when(F.col("trees").isNotNull(), _forest(F.col("_x"))).otherwise(_linear(F.col("_x")))
-    lacking = (F.size("missing_features") > 0) | F.col("scale").isNull()
-    same = F.when(lacking, F.col("prediction").isNull()).otherwise(F.coalesce(F.abs(F.col("prediction") - again) <= TOLERANCE, F.lit(False)))
-    return own.withColumn("same", same).select(*scored.columns, "same")
+    kept = keep or scored.columns
+    placed, roots = _placed(forest_nodes(models, scored.sparkSession))
+    known, none, depth = F.lit(False), F.array(F.lit(-1)), 0  # -1: no node
+    x, linear, trees = F.lit(None).cast("array<double>"), F.lit(None).cast("double"), none
+    for (segment, kind), model in models.items():
+        own, last, values = (F.col("segment") == segment) & (F.col("model") == kind), model.stages[-1], _values(segment, model)
+        known = F.coalesce(own, F.lit(False)) | known
+        if _has_trees(model):
+            x, depth = F.when(own, F.array(*values)).otherwise(x), max(depth, last.getOrDefault("maxDepth"))
+            trees = F.when(own, F.lit(roots[(segment, kind)])).otherwise(trees)
+        else:
+            linear = F.when(own, _linear(values, last.coefficients.toArray().tolist(), float(last.intercept))).otherwise(linear)
+    lacking, shared = (F.size("missing_features") > 0) | ~known, _shared(placed)
+    at = (scored.withColumns({"_row": F.monotonically_increasing_id(), "_lacking": lacking, "_linear": linear, "_x": x,
+                              "_trees": F.when(lacking, none).otherwise(trees), **shared})
+          .select(*kept, "_row", "_lacking", "_linear", "_x", *shared, F.explode("_trees").alias("_at")))
+    # each tree of each row, a level at a time; a leaf stays where it is
+    for _ in range(depth):
+        low = F.get("_x", F.get("_feature", F.col("_at"))) <= F.get("_threshold", F.col("_at"))
+        at = at.withColumn("_at", F.when(low, F.get("_low", F.col("_at"))).otherwise(F.get("_high", F.col("_at"))))
+    # Rows are told apart by number: all their columns may repeat.
+    again = (at.groupBy(*kept, "_row", "_lacking").agg(F.avg(F.coalesce(F.get("_leaf", F.col("_at")), F.col("_linear"))).alias("_again")))
+    same = F.when(F.col("_lacking"), F.col("prediction").isNull()).otherwise(F.coalesce(F.abs(F.col("prediction") - F.col("_again")) <= TOLERANCE, F.lit(False)))
+    return again.select(*kept, same.alias("same"))
 
 
 def importances(models: dict, spark: SparkSession) -> DataFrame:
